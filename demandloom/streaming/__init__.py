@@ -1,0 +1 @@
+"""No streaming operators: every source lands and is processed in batches."""
