@@ -122,7 +122,7 @@ def non_decreasing(df: DataFrame, value: Column, order: Column | None = None) ->
     ).scalar()
 
 
-def calendar_checks(df: DataFrame, order: str | None = None) -> DataFrame:
+def calendar_checks(df: DataFrame, order: Column | None = None) -> DataFrame:
     """Calendar: key, parseable non-decreasing dates, weekday names, retail week."""
     def day_of(c: Column) -> Column:
         return c.try_cast("date")
@@ -139,7 +139,7 @@ def calendar_checks(df: DataFrame, order: str | None = None) -> DataFrame:
         _null_or(df, "wm_yr_wk", _nulls).alias("wm_yr_wk_nulls"))
     monotone = F.lit(None).cast("boolean")
     if "date" in df.columns:
-        in_order = non_decreasing(df, day_of(F.col("date")), F.col(order) if order else None)
+        in_order = non_decreasing(df, day_of(F.col("date")), order)
         monotone = F.when(F.col("date_parse_failures") == 0, in_order)
     report = report.withColumn("date_monotonic_non_decreasing", monotone).withColumn(
         "pk_unique", _true("pk_unique"))

@@ -73,8 +73,13 @@ def sales_dates(sales_fact: DataFrame) -> DataFrame:
 
 def macro_daily_aligned(sales_fact: DataFrame, macro: DataFrame) -> DataFrame:
     """Latest known macro value on every sales day and feature."""
+    return macro_on_days(sales_dates(sales_fact), macro)
+
+
+def macro_on_days(days: DataFrame, macro: DataFrame) -> DataFrame:
+    """Latest known macro value on each of the given days."""
     return latest_on_each_day(
-        sales_dates(sales_fact), macro, feature="feature_name", observed="observation_date",
+        days, macro, feature="feature_name", observed="observation_date",
         value="observation_value", tiebreak="ingest_date")
 
 
