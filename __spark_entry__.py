@@ -384,7 +384,7 @@ def queries() -> dict[str, Query]:
         "recursive_seasonal_naive": _recursive(baselines.seasonal_naive),
         "recursive_rolling_mean": _recursive(baselines.rolling_mean),
         "recursive_gbt": _on(_recursive_gbt),
-        "forecast_rows": _on(lambda t: t.forecasts),
+        "forecast_rows": _on(lambda t: t.forecast_runs),
         "forecast_horizon_overwrite": _on(_horizon),
         "forecast_run_monitoring": _on(lambda t: monitoring.run_monitoring(t.forecasts)),
         "forecast_freshness": _on(lambda t: t.freshness),

@@ -216,8 +216,8 @@ def rank_candidates(
              F.count_if(F.col(metric) < F.col("_floor")).alias("windows_beating_baselines")))
     summary = summary.withColumn(
         "beats_baselines", F.col("windows_beating_baselines") == F.col("windows"))
-    better = summary.agg(F.sort_array(F.collect_list(
-        F.struct(f"avg_{metric}", "feature_set_name", "model_name"))).alias("order"))
-    place = F.array_position(
-        better.scalar(), F.struct(f"avg_{metric}", "feature_set_name", "model_name"))
-    return summary.withColumn("rank", place.cast("int"))
+    # Averages equal to nine places tie; names decide then.
+    candidate = F.struct(
+        F.round(f"avg_{metric}", 9).alias("a"), "feature_set_name", "model_name")
+    order = summary.agg(F.sort_array(F.collect_list(candidate)).alias("order")).scalar()
+    return summary.withColumn("rank", F.array_position(order, candidate).cast("int"))

@@ -28,7 +28,7 @@ PRIORITY_SERIES = dict(zip(
 SEGMENT_KEYWORDS = dict(zip(
     ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"), S.TRENDS_KEYWORDS))
 # (model version, days of history left out, generated_at) of three stored runs
-FORECAST_RUNS = (
+FORECAST_BATCHES = (
     ("1", 56, "2024-01-01 04:00:00"), ("2", 28, "2024-01-08 04:00:00"),
     ("3", 0, "2024-01-15 04:00:00"))
 
@@ -40,6 +40,15 @@ def _coded(column: Column, codes: dict[str, str]) -> Column:
     return F.try_element_at(table, column)
 
 
+def _cents(column: str) -> Column:
+    return F.round(F.col(column) * 100).cast("bigint")
+
+
+def _cents_per(cents: Column, n: Column) -> Column:
+    """Mean amount cut to whole cents; integer sums do not depend on row order."""
+    return F.floor(cents / n) / 100
+
+
 class OrderTables:
     """Frames over one folder of parquet tables.
 
@@ -132,11 +141,12 @@ class OrderTables:
     @cached_property
     def prices_raw(self) -> DataFrame:
         week = self.week_of(self.day_number(F.col("date"))).cast("string").alias("wm_yr_wk")
-        unit = F.col("l_extendedprice") / F.col("l_quantity")
+        units = F.sum(F.col("l_quantity").cast("bigint"))
         return (
             self.lines.where(F.col("l_returnflag") != "R")
             .groupBy("store_id", "item_id", week)
-            .agg(F.round(F.avg(unit), 2).cast("string").alias("sell_price")))
+            .agg(_cents_per(F.sum(_cents("l_extendedprice")), units).cast("string")
+                 .alias("sell_price")))
 
     @cached_property
     def dated_orders(self) -> DataFrame:
@@ -154,15 +164,16 @@ class OrderTables:
             .join(regions, F.col("c_nationkey") == F.col("n_nationkey"))
             .groupBy("state_id", "day")
             .agg(F.max("o_totalprice").alias("hi"), F.min("o_totalprice").alias("lo"),
-                 F.count(F.lit(1)).alias("n"), F.avg("o_totalprice").alias("mean")))
+                 F.count(F.lit(1)).alias("n"), F.sum(_cents("o_totalprice")).alias("cents"))
+            .withColumn("mean", _cents_per(F.col("cents"), F.col("n"))))
         text = {
             "location_id": F.col("state_id"), "state_id": F.col("state_id"),
             "location_label": F.initcap("state_id"), "location_timezone": F.lit("UTC"),
             "weather_date": F.col("day"),
-            "temperature_2m_max": F.round(F.col("hi") / 1000, 4),
-            "temperature_2m_min": F.round(F.col("lo") / 1000, 4),
+            "temperature_2m_max": F.col("hi") / 1000,
+            "temperature_2m_min": F.col("lo") / 1000,
             "precipitation_sum": F.col("n"),
-            "wind_speed_10m_max": F.round(F.col("mean") / 1000, 4),
+            "wind_speed_10m_max": F.col("mean") / 1000,
             **self._stamps("weather"),
         }
         return self._staged(per_day, S.WEATHER_RAW, text)
@@ -172,12 +183,13 @@ class OrderTables:
         month = F.trunc("day", "month").alias("month")
         monthly = (
             self.dated_orders.where(F.col("o_orderpriority").isin(*PRIORITY_SERIES))
-            .groupBy("o_orderpriority", month).agg(F.avg("o_totalprice").alias("mean")))
+            .groupBy("o_orderpriority", month)
+            .agg(_cents_per(F.sum(_cents("o_totalprice")), F.count(F.lit(1))).alias("mean")))
         coded = {k: v[0] for k, v in PRIORITY_SERIES.items()}
         keyed = monthly.select(
             _coded(F.col("o_orderpriority"), coded).alias("series_id"), "month", "mean")
         named = reshape.stamp_from_registry(keyed, S.macro_registry(self.spark), "series_id")
-        value = F.round("mean", 2).cast("string")
+        value = F.col("mean").cast("string")
         text = {
             **{c: F.col(c) for c in ("series_id", "feature_name", "frequency", "units")},
             "series_label": F.col("label"), "observation_date": F.col("month"),
@@ -352,15 +364,26 @@ class OrderTables:
 
     def forecast_run(self, version: str, left_out: int, generated_at: str) -> DataFrame:
         newest = self.span.select("hi").scalar()
-        history = self.priced.where(F.col("date") <= F.date_sub(newest, left_out))
+        history = self.stored_sales.where(F.col("date") <= F.date_sub(newest, left_out))
         return recursion.with_run_metadata(
             recursion.forecast_expression(history, seasonal_naive), "seasonal_naive", version,
             S.DEFAULT_FEATURE_SET, generated_at)
 
+    @cached_property
+    def stored_sales(self) -> DataFrame:
+        """The fact without prices, stored: every forecast run reads it again."""
+        unpriced = self.sales.select(*S.GRAIN, "sales", F.lit(None).cast(S.MONEY).alias("sell_price"))
+        return self._stored("sales", unpriced)
+
     @cached_property
     def forecasts(self) -> DataFrame:
-        """Three stored forecast runs."""
-        runs = [self.forecast_run(*run) for run in FORECAST_RUNS]
+        """The stored forecast table: what monitoring, snapshots and pages read."""
+        return self._stored("forecasts", self.forecast_runs)
+
+    @cached_property
+    def forecast_runs(self) -> DataFrame:
+        """Three forecast runs over growing histories."""
+        runs = [self.forecast_run(*run) for run in FORECAST_BATCHES]
         out = runs[0]
         for run in runs[1:]:
             out = out.unionByName(run)

@@ -62,7 +62,8 @@ CTES = {
     "sales": "SELECT f.*, c.d, c.wm_yr_wk, c.n FROM fact f JOIN cal c USING (date)",
     "prices": """
         SELECT store_id, p_type AS item_id, c.wm_yr_wk,
-               CAST(round(avg(l_extendedprice / l_quantity), 2) AS DECIMAL(18,4)) AS sell_price
+               CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT))
+                 // sum(CAST(l_quantity AS BIGINT)) AS DECIMAL(18,4)) / 100 AS sell_price
         FROM lineitem JOIN stores ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey
         JOIN cal c ON c.date = CAST(l_shipdate AS DATE)
         WHERE l_returnflag <> 'R' GROUP BY ALL HAVING sell_price > 0""",
@@ -72,10 +73,11 @@ CTES = {
         FROM orders JOIN customer ON o_custkey = c_custkey
         JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "weather": """
-        SELECT state_id, day AS date, round(max(o_totalprice) / 1000, 4) AS temperature_2m_max,
-               round(min(o_totalprice) / 1000, 4) AS temperature_2m_min,
+        SELECT state_id, day AS date, max(o_totalprice) / 1000 AS temperature_2m_max,
+               min(o_totalprice) / 1000 AS temperature_2m_min,
                CAST(count(*) AS DOUBLE) AS precipitation_sum,
-               round(avg(o_totalprice) / 1000, 4) AS wind_speed_10m_max
+               CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) // count(*) AS DOUBLE) / 100 / 1000
+                 AS wind_speed_10m_max
         FROM ords GROUP BY ALL""",
     "series": """
         SELECT * FROM (VALUES
@@ -87,10 +89,11 @@ CTES = {
            'thousands')) s(priority, series_id, feature_name, series_label, units)""",
     "macro": """
         SELECT series_id, feature_name, series_label, units, month AS observation_date,
-               CASE WHEN month(month) <> 7 THEN CAST(round(mean, 2) AS DECIMAL(18,4)) END
+               CASE WHEN month(month) <> 7 THEN CAST(mean AS DECIMAL(18,4)) END
                  AS observation_value
         FROM (SELECT o_orderpriority, CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
-                     avg(o_totalprice) AS mean FROM orders GROUP BY ALL)
+                     CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) // count(*) AS DOUBLE) / 100
+                       AS mean FROM orders GROUP BY ALL)
         JOIN series ON priority = o_orderpriority""",
     "keywords": """
         SELECT * FROM (VALUES
@@ -194,7 +197,8 @@ CTES = {
                CASE WHEN n % 13 = 0 THEN lower(weekday) ELSE weekday END AS weekday, n FROM calraw""",
     "pricesraw": """
         SELECT store_id, p_type AS item_id, CAST(c.wm_yr_wk AS VARCHAR) AS wm_yr_wk,
-               round(avg(l_extendedprice / l_quantity), 2) AS sell_price
+               CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT))
+                 // sum(CAST(l_quantity AS BIGINT)) AS DOUBLE) / 100 AS sell_price
         FROM lineitem JOIN stores ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey
         JOIN cal c ON c.date = CAST(l_shipdate AS DATE) WHERE l_returnflag <> 'R' GROUP BY ALL""",
     "obs": """
@@ -466,7 +470,7 @@ def build() -> dict[str, str]:
         SELECT feature_set_name, model_name, windows, {d('a', 'avg_wmape')}, {d('s', 'std_wmape')},
                {d('m', 'worst_wmape')}, beats AS windows_beating_baselines,
                beats = windows AS beats_baselines,
-               CAST(row_number() OVER (ORDER BY a, feature_set_name, model_name) AS INTEGER) AS rank
+               CAST(row_number() OVER (ORDER BY round(a, 9), feature_set_name, model_name) AS INTEGER) AS rank
         FROM summary"""
     q["recursive_seasonal_naive"] = f"""
         SELECT store_id, item_id, {t('forecast_date', 'forecast_date')}, forecast_step,
