@@ -124,13 +124,11 @@ def _asof_window(t: OrderTables) -> DataFrame:
 
 
 def _modeling(t: OrderTables) -> DataFrame:
-    return features.complete_cases(t.priced_features)
-
-
-def _stored_modeling(t: OrderTables) -> DataFrame:
-    """Stored once: every fit of a backtest reads it again."""
-    frame = modeling_frame(t.priced, S.DEFAULT_FEATURE_SET)
-    return refresh_path(frame, scratch_path(t.spark, "modeling"))
+    """Complete cases, stored once: splits and every fit read them again."""
+    if "modeling" not in t.__dict__:
+        frame = modeling_frame(t.priced, S.DEFAULT_FEATURE_SET)
+        t.modeling = refresh_path(frame, scratch_path(t.spark, "modeling"))
+    return t.modeling
 
 
 def _first_window(t: OrderTables) -> tuple[DataFrame, DataFrame]:
@@ -155,7 +153,7 @@ def _bias(t: OrderTables) -> DataFrame:
 def _before_first_window(t: OrderTables) -> DataFrame:
     """Full history before the newest test window of the complete cases."""
     start = splits.split_bounds(_modeling(t)).where("window = 1").select("test_start").scalar()
-    return t.priced.where(F.col("date") < start)
+    return t.stored_priced.where(F.col("date") < start)
 
 
 def _rmsse(t: OrderTables) -> DataFrame:
@@ -164,7 +162,9 @@ def _rmsse(t: OrderTables) -> DataFrame:
 
 
 def _wrmsse(t: OrderTables) -> DataFrame:
-    per_series = _rmsse(t).where("rmsse is not null")
+    # per-series values feed both the weights and the mean
+    per_series = refresh_path(
+        _rmsse(t).where("rmsse is not null"), scratch_path(t.spark, "rmsse"))
     history = _before_first_window(t)
     start = splits.split_bounds(_modeling(t)).where("window = 1").select("test_start").scalar()
     recent = F.when(F.col("date") >= F.date_sub(start, 28), F.col("sales")).otherwise(0)
@@ -185,7 +185,7 @@ def _recursive_gbt(t: OrderTables) -> DataFrame:
 
 def _backtest_model(config: models.TreeConfig) -> Query:
     return _on(lambda t: backtest.backtest_model(
-        _stored_modeling(t), S.feature_columns(config.feature_set),
+        _modeling(t), S.feature_columns(config.feature_set),
         models.estimator_factory(config),
         splits.BacktestConfig(config.horizon_days, config.n_windows)), WINDOW)
 

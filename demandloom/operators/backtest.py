@@ -8,14 +8,16 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandloom import schemas as S
 from demandloom.functions import metrics as M
 from demandloom.operators.baselines import BASELINES, ExpressionForecaster
 from demandloom.operators.features import is_complete
-from demandloom.operators.splits import BacktestConfig, summarise_windows, train_test, with_window
+from demandloom.operators.splits import (
+    BacktestConfig, splits_summary, summarise_windows, train_test, window_number, with_window,
+)
 
 RESULT_COLUMNS = (
     "window", "train_start_date", "train_end_date", "test_start_date", "test_end_date",
@@ -52,12 +54,8 @@ def backtest_expression(
         F.min(day).alias("lo"), F.max(day).alias("hi"), F.count(F.lit(1)).alias("n"),
         M.wmape(actual, F.col("_p"), on_zero="null").alias("wmape"),
         M.mae(actual, F.col("_p")).alias("mae"), M.rmse(actual, F.col("_p")).alias("rmse"))
-    spark = modeling.sparkSession
-    summary = _guarded(summarise_windows(partial.select("window", "lo", "hi", "n"), spark, config))
-    scores = partial.where(F.col("window") <= config.n_windows).select(
-        "window", "wmape", "mae", "rmse")
     undefined = F.raise_error(F.lit("WMAPE is undefined: actuals sum to zero")).cast("double")
-    return summary.join(F.broadcast(scores), "window", "left").withColumn(
+    return _guarded(summarise_windows(partial, config, ("wmape", "mae", "rmse"))).withColumn(
         "wmape", F.coalesce("wmape", undefined)).select(*RESULT_COLUMNS)
 
 
@@ -91,28 +89,20 @@ def backtest_model(
     Give it a stored or cached frame; every fit reads it again.
     """
     numbered = with_window(modeling, config)
-    counts = {r["window"]: r["n"] for r in
-              numbered.groupBy("window").agg(F.count(F.lit(1)).alias("n")).collect()}
-    for w in range(1, config.n_windows + 1):
-        if not counts.get(w):
-            raise ValueError(f"backtest window {w} has an empty test set")
-        if not any(n for k, n in counts.items() if k > w):
-            raise ValueError(f"backtest window {w} has an empty training set")
+    # n_windows rows: bounds and counts of every window, from one pass
+    windows = {r["window"]: r for r in splits_summary(modeling, config).collect()}
+    for w, r in sorted(windows.items()):
+        for part in ("test", "train"):
+            if not r[f"{part}_rows"]:
+                raise ValueError(f"backtest window {w} has an empty {part}ing set")
 
     def one(window: int) -> tuple:
-        train, _ = train_test(numbered, window, config)
         scored = score_window(numbered, features, factory, window, config)
-        day = F.col(config.date_column).cast("date")
         actual, predicted = F.col(config.target_column), F.col("prediction")
-        trained = train.agg(
-            F.min(day).alias("train_start_date"), F.max(day).alias("train_end_date"),
-            F.count(F.lit(1)).alias("train_rows"))
-        tested = scored.agg(
-            F.min(day).alias("test_start_date"), F.max(day).alias("test_end_date"),
-            F.count(F.lit(1)).alias("test_rows"), M.wmape(actual, predicted).alias("wmape"),
-            M.mae(actual, predicted).alias("mae"), M.rmse(actual, predicted).alias("rmse"))
-        # Two one-row results side by side.
-        row = {**trained.first().asDict(), **tested.first().asDict(), "window": window}
+        scores = scored.agg(
+            M.wmape(actual, predicted).alias("wmape"), M.mae(actual, predicted).alias("mae"),
+            M.rmse(actual, predicted).alias("rmse")).first()
+        row = {**windows[window].asDict(), **scores.asDict()}
         return tuple(row[c] for c in RESULT_COLUMNS)
 
     with ThreadPool(min(parallelism, config.n_windows)) as pool:
@@ -156,11 +146,10 @@ def ablation_grid(
         err = F.col(f"p{i}") - F.col("y")
         sums += [F.sum(F.abs(err)).alias(f"abs{i}"), F.sum(err * err).alias(f"sq{i}")]
     daily = slim.groupBy("feature_set_name", "day").agg(*sums)
-    newest = daily.groupBy("feature_set_name").agg(F.max("day").alias("_newest"))
-    numbered = daily.join(F.broadcast(newest), "feature_set_name").withColumn(
-        "window", F.least(
-            F.floor(F.datediff("_newest", "day") / F.lit(config.horizon_days)) + 1,
-            F.lit(config.n_windows + 1)).cast("int"))
+    # a set has one row per calendar day here, so the window stays small
+    newest = F.max("day").over(Window.partitionBy("feature_set_name"))
+    numbered = daily.withColumn("_newest", newest).withColumn(
+        "window", window_number(F.col("day"), F.col("_newest"), config))
     per_window = (
         numbered.where(F.col("window") <= config.n_windows)
         .groupBy("feature_set_name", "window")
@@ -206,18 +195,17 @@ def rank_candidates(
     of its feature set.  The grid has one row per cell, so the rank is over a
     few dozen rows.
     """
-    floor = grid.where(F.col("model_name").isin(list(baselines))).groupBy(
-        "feature_set_name", "window").agg(F.min(metric).alias("_floor"))
+    per_window = Window.partitionBy("feature_set_name", "window")
+    best_baseline = F.min(F.when(F.col("model_name").isin(list(baselines)), F.col(metric)))
     summary = (
-        grid.join(floor, ["feature_set_name", "window"], "left")
+        grid.withColumn("_floor", best_baseline.over(per_window))
         .groupBy("feature_set_name", "model_name")
         .agg(F.count(F.lit(1)).alias("windows"), F.avg(metric).alias(f"avg_{metric}"),
              F.stddev_samp(metric).alias(f"std_{metric}"), F.max(metric).alias(f"worst_{metric}"),
              F.count_if(F.col(metric) < F.col("_floor")).alias("windows_beating_baselines")))
-    summary = summary.withColumn(
-        "beats_baselines", F.col("windows_beating_baselines") == F.col("windows"))
     # Averages equal to nine places tie; names decide then.
-    candidate = F.struct(
-        F.round(f"avg_{metric}", 9).alias("a"), "feature_set_name", "model_name")
-    order = summary.agg(F.sort_array(F.collect_list(candidate)).alias("order")).scalar()
-    return summary.withColumn("rank", F.array_position(order, candidate).cast("int"))
+    place = F.row_number().over(Window.orderBy(
+        F.round(f"avg_{metric}", 9).asc_nulls_last(), "feature_set_name", "model_name"))
+    return summary.withColumn(
+        "beats_baselines", F.col("windows_beating_baselines") == F.col("windows"),
+    ).withColumn("rank", place)

@@ -58,33 +58,32 @@ def hold_out(df: DataFrame, horizon_days: int = 28) -> tuple[DataFrame, DataFram
 
 
 def splits_summary(df: DataFrame, config: BacktestConfig = BacktestConfig()) -> DataFrame:
-    """Bounds and row counts per window, from one pass over the data.
-
-    Rows are reduced to one partial result per window number; only those
-    (n_windows + 1 rows) are repeated to the windows they train.
-    """
+    """Bounds and row counts per window, from one pass over the data."""
     day = F.col(config.date_column).cast("date")
     partial = (
         with_window(df.select(config.date_column), config).groupBy("window")
         .agg(F.min(day).alias("lo"), F.max(day).alias("hi"), F.count(F.lit(1)).alias("n")))
-    return summarise_windows(partial, df.sparkSession, config)
-
-
-def summarise_windows(partial: DataFrame, spark, config: BacktestConfig) -> DataFrame:
-    """Fold per-window-number (lo, hi, n) rows into train / test statistics."""
-    roles = F.when(
-        F.col("window") > 1, F.sequence(F.lit(1), F.col("window") - 1),
-    ).otherwise(F.array().cast("array<int>"))
-    train = (
-        partial.select("lo", "hi", "n", F.explode(roles).alias("window")).groupBy("window")
-        .agg(F.min("lo").alias("train_start_date"), F.max("hi").alias("train_end_date"),
-             F.sum("n").alias("train_rows")))
-    test = partial.where(F.col("window") <= config.n_windows).select(
-        "window", F.col("lo").alias("test_start_date"), F.col("hi").alias("test_end_date"),
-        F.col("n").alias("test_rows"))
-    windows = spark.range(1, config.n_windows + 1).select(F.col("id").cast("int").alias("window"))
-    return (
-        windows.join(F.broadcast(train), "window", "left").join(F.broadcast(test), "window", "left")
-        .select("window", "train_start_date", "train_end_date", "test_start_date",
-                "test_end_date", F.coalesce("train_rows", F.lit(0)).alias("train_rows"),
-                F.coalesce("test_rows", F.lit(0)).alias("test_rows")))
+    return summarise_windows(partial, config)
+
+
+def summarise_windows(partial: DataFrame, config: BacktestConfig, scores=()) -> DataFrame:
+    """Fold per-window-number rows (lo, hi, n, scores) into train / test statistics.
+
+    ``partial`` has at most n_windows + 1 rows.  They are gathered into one
+    array, so the pass that made them is not repeated for train and test.
+    """
+    gathered = partial.agg(F.collect_list(F.struct(*partial.columns)).alias("p"))
+    per_window = gathered.select(
+        "p", F.explode(F.sequence(F.lit(1), F.lit(config.n_windows))).alias("window"))
+    older = F.filter("p", lambda x: x["window"] > F.col("window"))
+    own = F.filter("p", lambda x: x["window"] == F.col("window"))
+    folded = per_window.select(
+        "window", older.alias("older"), F.get(own, F.lit(0)).alias("own"))
+    train_rows = F.aggregate("older", F.lit(0).cast("bigint"), lambda n, x: n + x["n"])
+    return folded.select(
+        "window",
+        F.array_min(F.transform("older", lambda x: x["lo"])).alias("train_start_date"),
+        F.array_max(F.transform("older", lambda x: x["hi"])).alias("train_end_date"),
+        F.col("own.lo").alias("test_start_date"), F.col("own.hi").alias("test_end_date"),
+        train_rows.alias("train_rows"), F.coalesce("own.n", F.lit(0)).alias("test_rows"),
+        *[F.col(f"own.{c}").alias(c) for c in scores])

@@ -58,10 +58,17 @@ def read_sell_prices(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_wide_sales(spark: SparkSession, path: str, max_columns: int = 20480) -> DataFrame:
-    """Wide daily sales: id columns plus one ``d_N`` column per day, all text."""
-    return _nulled(
+    """Wide daily sales: id columns plus one ``d_N`` column per day, all text.
+
+    Empty day cells are null already and blank ones become 0 in the melt, so
+    only the id columns need the blank rule; thousands of cell expressions
+    would be slower than the rest of the load.
+    """
+    wide = (
         spark.read.option("header", True).option("inferSchema", False)
         .option("maxColumns", max_columns).csv(path))
+    ids = [c for c in wide.columns if c in S.SALES_ID_COLUMNS]
+    return wide.withColumns({c: blank_to_null(F.col(c)) for c in ids})
 
 
 def read_weather_documents(spark: SparkSession, paths: str | list[str]) -> DataFrame:

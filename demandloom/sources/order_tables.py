@@ -74,39 +74,51 @@ class OrderTables:
 
     # -- dimensions -------------------------------------------------------------
 
-    @cached_property
-    def stores(self) -> DataFrame:
-        """Supplier -> (store, state)."""
-        return (
-            self.table("supplier").join(
-                self.nations, F.col("s_nationkey") == F.col("n_nationkey"))
-            .select("s_suppkey", "store_id", "state_id"))
+    def _placed(self, df: DataFrame, nation_key: str) -> DataFrame:
+        """Attach store and state through nation and region.
 
-    @cached_property
-    def nations(self) -> DataFrame:
+        Dimensions join one by one onto the fact, never with each other first:
+        each right side is then a table of known size, where the estimate for
+        joined dimensions is the product of theirs and rules out a broadcast.
+        """
         return (
-            self.table("nation").join(
-                self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-            .select("n_nationkey", F.col("n_name").alias("store_id"),
-                    F.col("r_name").alias("state_id")))
+            df.join(self.table("nation"), F.col(nation_key) == F.col("n_nationkey"))
+            .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+            .withColumnsRenamed({"n_name": "store_id", "r_name": "state_id"}))
 
     @cached_property
     def lines(self) -> DataFrame:
         """Line items with store and item; hot parts or suppliers are split by AQE."""
+        supplied = self.table("lineitem").where(F.col("l_shipdate").isNotNull()).join(
+            self.table("supplier").select("s_suppkey", "s_nationkey"),
+            F.col("l_suppkey") == F.col("s_suppkey"))
         return (
-            self.table("lineitem").where(F.col("l_shipdate").isNotNull())
-            .join(self.stores, F.col("l_suppkey") == F.col("s_suppkey"))
+            self._placed(supplied, "s_nationkey")
             .join(self.table("part").select("p_partkey", F.col("p_type").alias("item_id")),
                   F.col("l_partkey") == F.col("p_partkey"))
             .withColumn("date", F.col("l_shipdate").cast("date")))
 
     @cached_property
-    def span(self) -> DataFrame:
+    def days(self) -> DataFrame:
+        """Every day from the first to the last sale, numbered from 1; stored.
+
+        Stored because each use would otherwise scan the ship dates again.
+        """
         day = F.col("l_shipdate").cast("date")
-        return self.table("lineitem").agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
+        span = self.table("lineitem").agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
+        days = span.select(F.posexplode(F.sequence("lo", "hi")).alias("i", "day"))
+        return self._stored("days", days.select((F.col("i") + 1).alias("n"), "day"))
+
+    @property
+    def first_day(self) -> Column:
+        return self.days.agg(F.min("day")).scalar()
+
+    @property
+    def last_day(self) -> Column:
+        return self.days.agg(F.max("day")).scalar()
 
     def day_number(self, day: Column) -> Column:
-        return F.datediff(day, self.span.select("lo").scalar()) + 1
+        return F.datediff(day, self.first_day) + 1
 
     @staticmethod
     def week_of(day_number: Column) -> Column:
@@ -116,15 +128,14 @@ class OrderTables:
 
     @cached_property
     def calendar_raw(self) -> DataFrame:
-        days = self.span.select(F.posexplode(F.sequence("lo", "hi")).alias("i", "day"))
         text = {
-            "date": F.col("day"), "wm_yr_wk": self.week_of(F.col("i") + 1),
+            "date": F.col("day"), "wm_yr_wk": self.week_of(F.col("n")),
             "weekday": F.date_format("day", "EEEE"), "wday": F.pmod(F.weekday("day") + 2, 7) + 1,
             "month": F.month("day"), "year": F.year("day"),
-            "d": F.concat(F.lit("d_"), F.col("i") + 1),
+            "d": F.concat(F.lit("d_"), F.col("n")),
         }
         missing = F.lit(None).cast("string")
-        return days.select(*[
+        return self.days.select(*[
             text.get(c, missing).cast("string").alias(c) for c in S.CALENDAR_RAW.names])
 
     @cached_property
@@ -156,12 +167,11 @@ class OrderTables:
 
     @cached_property
     def weather_raw(self) -> DataFrame:
-        regions = self.nations.select("n_nationkey", "state_id")
+        ordered = self.dated_orders.join(
+            self.table("customer").select("c_custkey", "c_nationkey"),
+            F.col("o_custkey") == F.col("c_custkey"))
         per_day = (
-            self.dated_orders
-            .join(self.table("customer").select("c_custkey", "c_nationkey"),
-                  F.col("o_custkey") == F.col("c_custkey"))
-            .join(regions, F.col("c_nationkey") == F.col("n_nationkey"))
+            self._placed(ordered, "c_nationkey")
             .groupBy("state_id", "day")
             .agg(F.max("o_totalprice").alias("hi"), F.min("o_totalprice").alias("lo"),
                  F.count(F.lit(1)).alias("n"), F.sum(_cents("o_totalprice")).alias("cents"))
@@ -231,19 +241,26 @@ class OrderTables:
 
     # -- landed shapes ----------------------------------------------------------
 
-    @cached_property
-    def day_count(self) -> int:
-        """Number of calendar days (a one-row read; it names the wide columns)."""
-        lo, hi = self.span.first()
-        return (hi - lo).days + 1
-
     @cached_property
     def wide_sales(self) -> DataFrame:
-        """Wide layout: one text column per calendar day."""
-        days = [f"d_{n}" for n in range(1, self.day_count + 1)]
-        return (
-            self.sales_raw.groupBy(*S.SALES_ID_COLUMNS).pivot("d", days)
-            .agg(F.max(F.col("sales").cast("string"))))
+        """The landed wide layout: one text column per calendar day.
+
+        Spark writes it as CSV lines and reads it like any landed file.  A line
+        is as long as the calendar.
+        """
+        names = [f"d_{r.n}" for r in self.days.orderBy("n").collect()]
+        numbered = self.sales_raw.withColumn(
+            "n", F.substring_index("d", "_", -1).cast("int"))
+        series = numbered.select(*S.SALES_ID_COLUMNS).distinct()
+        every_day = series.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(len(names)))))
+        cells = every_day.join(
+            numbered.select("id", "n", "sales"), ["id", "n"], "left").select(
+            *S.SALES_ID_COLUMNS, "n", F.coalesce(F.col("sales").cast("string"), F.lit("")).alias("s"))
+        line = F.transform(F.sort_array(F.collect_list(F.struct("n", "s"))), lambda x: x["s"])
+        lines = cells.groupBy(*S.SALES_ID_COLUMNS).agg(F.array_join(line, ",").alias("cells"))
+        path = scratch_path(self.spark, "wide")
+        lines.select(F.concat_ws(",", *S.SALES_ID_COLUMNS, "cells").alias("value")).write.text(path)
+        return self.spark.read.schema(S.strings(*S.SALES_ID_COLUMNS, *names)).csv(path)
 
     @cached_property
     def weather_documents(self) -> DataFrame:
@@ -351,6 +368,11 @@ class OrderTables:
         return gold.feature_mart(
             self.sales, self.calendar, self.prices, *self.daily_externals)
 
+    @cached_property
+    def stored_priced(self) -> DataFrame:
+        """The priced fact as a stored table, for uses that read it repeatedly."""
+        return self._stored("priced", self.priced)
+
     @cached_property
     def features(self) -> DataFrame:
         return features.build_features(self.mart)
@@ -363,8 +385,8 @@ class OrderTables:
     # -- forecasts and audit ----------------------------------------------------
 
     def forecast_run(self, version: str, left_out: int, generated_at: str) -> DataFrame:
-        newest = self.span.select("hi").scalar()
-        history = self.stored_sales.where(F.col("date") <= F.date_sub(newest, left_out))
+        history = self.stored_sales.where(
+            F.col("date") <= F.date_sub(self.last_day, left_out))
         return recursion.with_run_metadata(
             recursion.forecast_expression(history, seasonal_naive), "seasonal_naive", version,
             S.DEFAULT_FEATURE_SET, generated_at)
