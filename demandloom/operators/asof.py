@@ -5,9 +5,9 @@ Two plans with the same result:
 * ``latest_on_each_day`` turns each observation into the days it is valid for
   and equi-joins those with the requested days.  No range predicate, no cross
   join; its intermediate result is as large as its output for a dense spine.
-* ``latest_at_or_before`` works for any orderable instant: distinct probe
-  instants and observations are merged and the last observation is carried
-  forward inside each key.
+* ``latest_at_or_before`` works for any instant: distinct probe instants and
+  observations are merged, and the last observation is carried forward inside
+  each key and time slice, then from slice to slice.
 """
 
 from __future__ import annotations
@@ -48,26 +48,38 @@ def latest_on_each_day(
 
 def latest_at_or_before(
     probes: DataFrame, observations: DataFrame, keys: Sequence[str], at: str, observed: str,
-    values: Sequence[str],
+    values: Sequence[str], slice_by: str = "month",
 ) -> DataFrame:
     """Attach the last observation at or before ``at`` to each probe row.
 
-    Only distinct (keys, at) instants enter the window, so repeated probes do
-    not pile up in a key; the result returns to the probe rows by an equi-join.
-    Probes without an earlier observation keep nulls.
+    Distinct (keys, at) instants and observations are cut into time slices, so
+    a hot key is spread over as many tasks as it has slices.  A probe takes the
+    last observation of its own slice, else the last one of the slices before,
+    which is found over one row per key and slice.  Probes without an earlier
+    observation keep nulls.
     """
     keys = list(keys)
     payload = F.struct(F.col(observed).alias(observed), *values)
+    cut = F.date_trunc(slice_by, F.col("_at").cast("timestamp"))
     instants = probes.select(*keys, F.col(at).alias("_at")).distinct().select(
         *keys, "_at", F.lit(1).alias("_kind"))
     seen = (
         observations.groupBy(*keys, F.col(observed).alias("_at"))
         .agg(F.max(payload).alias("_obs")).withColumn("_kind", F.lit(0)))
-    merged = seen.unionByName(instants, allowMissingColumns=True)
-    w = (Window.partitionBy(*keys).orderBy("_at", "_kind")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    carried = merged.withColumn("_obs", F.last("_obs", ignorenulls=True).over(w)).where("_kind = 1")
-    found = carried.select(
-        *keys, F.col("_at").alias(at), F.col(f"_obs.{observed}").alias(observed),
-        *[F.col(f"_obs.{v}").alias(v) for v in values])
+    merged = seen.unionByName(instants, allowMissingColumns=True).withColumn("_slice", cut)
+
+    inside = (Window.partitionBy(*keys, "_slice").orderBy("_at", "_kind")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    earlier = (Window.partitionBy(*keys).orderBy("_slice")
+               .rowsBetween(Window.unboundedPreceding, -1))
+    # observation structs start with their instant, so max is the last one
+    slices = merged.groupBy(*keys, "_slice").agg(F.max("_obs").alias("_last"))
+    carried = slices.select(
+        *keys, "_slice", F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
+    own = merged.withColumn("_own", F.last("_obs", ignorenulls=True).over(inside))
+    answered = own.where("_kind = 1").join(carried, [*keys, "_slice"], "left")
+    answer = F.coalesce("_own", "_carried")
+    found = answered.select(
+        *keys, F.col("_at").alias(at), answer[observed].alias(observed),
+        *[answer[v].alias(v) for v in values])
     return probes.join(found, [*keys, at], "left")

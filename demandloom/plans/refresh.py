@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from demandloom import schemas as S
 from demandloom.operators import contracts, gold, quality, reshape, silver
 from demandloom.operators.audit import QualityLog
-from demandloom.sinks.tables import refresh_path
+from demandloom.sinks.tables import refresh_path, write_mart
 from demandloom.sources import landing
 
 
@@ -137,7 +137,7 @@ def build_gold(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 def run_refresh(
     spark: SparkSession, files: Landed, lake: str, audit: QualityLog | None = None,
-    last_days: int | None = reshape.DEFAULT_LAST_DAYS,
+    last_days: int | None = reshape.DEFAULT_LAST_DAYS, files_per_day: int = 1,
 ) -> dict[str, DataFrame]:
     """Gate, stage, build and store Silver and Gold, then check the contracts."""
     if audit is not None:
@@ -148,7 +148,8 @@ def run_refresh(
 
     tables = build_silver(staging(spark, files, last_days), store)
     for name, df in build_gold(tables).items():
-        tables[name] = store(name, df)
+        tables[name] = (write_mart(df, f"{lake}/{name}", files_per_day)
+                        if name == "gold_feature_mart" else store(name, df))
     check_contracts(tables)
     return tables
 

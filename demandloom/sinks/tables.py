@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from demandloom import schemas as S
 
@@ -20,6 +21,20 @@ def refresh_path(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_mart(mart: DataFrame, path: str, files_per_day: int = 1) -> DataFrame:
+    """Replace the feature mart, partitioned by day, and read it back.
+
+    Recent-history extracts then list and read only their days.  Rows of a day
+    are spread over ``files_per_day`` tasks by series, so one heavy day is not
+    one task, and sorted by series inside each file.
+    """
+    spread = F.pmod(F.xxhash64(*S.SERIES_KEYS), F.lit(files_per_day))
+    (
+        mart.repartition("date", spread).sortWithinPartitions("date", *S.SERIES_KEYS)
+        .write.mode("overwrite").partitionBy("date").parquet(path))
+    return mart.sparkSession.read.schema(mart.schema).parquet(path).select(*mart.columns)
+
+
 def refresh_table(df: DataFrame, table: str, buckets: int | None = None,
                   bucket_by: tuple[str, ...] = S.SERIES_KEYS) -> DataFrame:
     """Replace a catalog table.
@@ -29,7 +44,6 @@ def refresh_table(df: DataFrame, table: str, buckets: int | None = None,
     """
     writer = df.write.mode("overwrite").format("parquet")
     if buckets:
-        writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
         # One writer task per bucket keeps the file count at `buckets`.
         writer = (df.repartition(buckets, *bucket_by).write.mode("overwrite").format("parquet")
                   .bucketBy(buckets, *bucket_by).sortBy(*bucket_by, "date"))

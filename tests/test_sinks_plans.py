@@ -165,6 +165,15 @@ def test_stored_dimensions_are_broadcast_by_size(lake):
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
 
 
+def test_recent_extract_prunes_days_of_the_stored_mart(lake):
+    _, built, _, _ = lake
+    mart = built["gold_feature_mart"]
+    recent = extract.recent(mart, 10)
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "date_sub" in plan
+    assert recent.count() == 4 * 10
+
+
 def test_failing_gate_stops_the_refresh(spark, tmp_path):
     landed.write(f"{tmp_path}/landing", days=20)
     path = landing.landing_path(f"{tmp_path}/landing", "retail_sales", landed.DAY, "sell_prices.csv")

@@ -179,6 +179,11 @@ def test_both_as_of_plans_match_brute_force(spark):
     rows = window.select("date", "f", "at", "v").collect()
     assert len(rows) == 2 * 3 * len(days)
     assert {tuple(r) for r in rows if r["at"] is not None} == want
+    for slice_by in ("day", "year"):
+        again = asof.latest_at_or_before(
+            probes, seen.where("v is not null"), ["f"], "date", "at", ["v"], slice_by)
+        rows = again.select("date", "f", "at", "v").collect()
+        assert {tuple(r) for r in rows if r["at"] is not None} == want
 
 
 def test_repeated_observations_keep_the_newest_ingest(spark):
