@@ -108,7 +108,7 @@ def _dedup(t: OrderTables) -> DataFrame:
 def _asof_window(t: OrderTables) -> DataFrame:
     """The window form of the as-of alignment; same rows as the daily form."""
     macro = t.macro.where("observation_value is not null")
-    days = t.sales.select("date").distinct()
+    days = t.sales_days
     per_feature = None
     for feature in S.MACRO_FEATURES:
         probes = days.withColumn("feature_name", F.lit(feature))
@@ -331,8 +331,7 @@ def queries() -> dict[str, Query]:
             silver.macro_series(reshape.flatten_macro(t.macro_documents)), MACRO_COLUMNS)),
         "normalise_keyword_files": _on(_keyword_files),
         "date_chunks": _on(_date_chunks),
-        "sales_date_range": _on(lambda t: t.sales.agg(
-            F.min("date").alias("min_date"), F.max("date").alias("max_date"))),
+        "sales_date_range": _on(lambda t: silver.sales_date_range(t.sales_raw, t.calendar)),
         "dedup_keep_last": _on(_dedup),
         # alignment and joins
         "asof_macro_daily": _on(lambda t: t.macro_aligned),
@@ -350,9 +349,9 @@ def queries() -> dict[str, Query]:
         "gold_training_with_weather": _on(lambda t: gold.training_daily_with_weather(
             silver.with_weather(t.sales, t.weather))),
         # extracts
-        "top_series_subset": _on(lambda t: extract.top_series_subset(t.mart, 20)),
-        "training_extract": _on(lambda t: extract.training_extract(t.mart, 100)),
-        "training_extract_all_series": _on(lambda t: extract.training_extract(t.mart, None)),
+        "top_series_subset": _on(lambda t: extract.top_series_subset(t.stored_mart, 20)),
+        "training_extract": _on(lambda t: extract.training_extract(t.stored_mart, 100)),
+        "training_extract_all_series": _on(lambda t: extract.training_extract(t.stored_mart, None)),
         "series_totals": _on(lambda t: extract.series_totals(t.sales)),
         # features
         "features_lag_rolling": _on(lambda t: _cols(

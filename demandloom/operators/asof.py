@@ -32,8 +32,8 @@ def latest_on_each_day(
     pick = F.max_by(value, F.struct(*( [tiebreak] if tiebreak else []), value))
     known = known.groupBy(feature, observed).agg(pick.alias(value))
 
-    span = days.agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
-    lo, hi = span.select("lo").scalar(), span.select("hi").scalar()
+    span = days.agg(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi"))).scalar()
+    lo, hi = span["lo"], span["hi"]
     following = F.lead(observed).over(Window.partitionBy(feature).orderBy(observed))
     valid = (
         known.withColumn("_to", F.coalesce(F.date_sub(following, 1), hi))

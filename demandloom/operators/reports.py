@@ -142,17 +142,20 @@ def null_profile(mart: DataFrame, columns: Sequence[str] = ("sell_price", *S.EXT
 def target_distribution(mart: DataFrame) -> DataFrame:
     """Mean, deviation and exact interpolated percentiles of sales.
 
-    Rows are first counted per distinct value, so the exact percentile works
-    on the small set of distinct sales figures.
+    Rows are first counted per distinct value, map-side combined; everything
+    else works on the small set of distinct sales figures.
     """
-    counted = mart.where(F.col("sales").isNotNull()).groupBy("sales").agg(
-        F.count(F.lit(1)).alias("n"))
-    exact = counted.agg(F.percentile("sales", [0.5, 0.9, 0.99], F.col("n")).alias("p"))
-    spread = mart.agg(F.avg("sales").alias("avg_sales"), F.stddev_samp("sales").alias("std_sales"))
-    p = exact.scalar()
+    x, n = F.col("x"), F.col("n")
+    counted = mart.where(F.col("sales").isNotNull()).groupBy(
+        F.col("sales").cast("double").alias("x")).agg(F.count(F.lit(1)).alias("n"))
+    total, first, second = F.sum(n), F.sum(x * n), F.sum(x * x * n)
+    spread = counted.agg(
+        (first / total).alias("avg_sales"),
+        F.when(total > 1, F.sqrt((second - first * first / total) / (total - 1))).alias("std_sales"),
+        F.percentile("x", [0.5, 0.9, 0.99], n).alias("p"))
+    names = ("median_sales", "p90_sales", "p99_sales")
     return spread.select(
-        "avg_sales", "std_sales", p[0].alias("median_sales"), p[1].alias("p90_sales"),
-        p[2].alias("p99_sales"))
+        "avg_sales", "std_sales", *[F.get("p", F.lit(i)).alias(c) for i, c in enumerate(names)])
 
 
 def daily_totals(mart: DataFrame) -> DataFrame:

@@ -71,6 +71,18 @@ def sales_dates(sales_fact: DataFrame) -> DataFrame:
     return sales_fact.select("date").distinct()
 
 
+def sales_date_range(long_raw: DataFrame, calendar_dim: DataFrame) -> DataFrame:
+    """First and last dated sales day in one row; no dated sales is an error.
+
+    Day codes are made distinct before the join, so it sees one row per day.
+    """
+    days = long_raw.select("d").distinct().join(calendar_dim.select("d", "date"), "d")
+    stop = F.raise_error(F.lit("no sales day has a calendar date")).cast("date")
+    return days.agg(
+        F.coalesce(F.min("date"), stop).alias("min_date"),
+        F.coalesce(F.max("date"), stop).alias("max_date"))
+
+
 def macro_daily_aligned(sales_fact: DataFrame, macro: DataFrame) -> DataFrame:
     """Latest known macro value on every sales day and feature."""
     return macro_on_days(sales_dates(sales_fact), macro)

@@ -328,13 +328,18 @@ class OrderTables:
     def trends(self) -> DataFrame:
         return silver.trends_interest(self.trends_raw)
 
+    @cached_property
+    def sales_days(self) -> DataFrame:
+        """Days with sales, stored: at most one row per calendar day."""
+        return self._stored("sales_days", silver.sales_dates(self.sales))
+
     @cached_property
     def macro_aligned(self) -> DataFrame:
-        return silver.macro_daily_aligned(self.sales, self.macro)
+        return silver.macro_daily_aligned(self.sales_days, self.macro)
 
     @cached_property
     def trends_aligned(self) -> DataFrame:
-        return silver.trends_daily_aligned(self.sales, self.trends)
+        return silver.trends_daily_aligned(self.sales_days, self.trends)
 
     @cached_property
     def priced(self) -> DataFrame:
@@ -368,6 +373,11 @@ class OrderTables:
         return gold.feature_mart(
             self.sales, self.calendar, self.prices, *self.daily_externals)
 
+    @cached_property
+    def stored_mart(self) -> DataFrame:
+        """The mart as a stored table: extracts read it for bounds, ranks and rows."""
+        return self._stored("mart", self.mart)
+
     @cached_property
     def stored_priced(self) -> DataFrame:
         """The priced fact as a stored table, for uses that read it repeatedly."""

@@ -120,6 +120,15 @@ def test_sales_need_a_calendar_day(spark):
     assert [r.sales for r in silver.sales(raw, cal).collect()] == [5]
 
 
+def test_sales_date_range(spark):
+    cal = spark.createDataFrame(
+        [("d_1", dt.date(2024, 1, 1)), ("d_2", dt.date(2024, 1, 2))], "d string, date date")
+    raw = spark.createDataFrame([("d_2",), ("d_2",), ("d_7",)], "d string")
+    assert tuple(silver.sales_date_range(raw, cal).first()) == (dt.date(2024, 1, 2),) * 2
+    with pytest.raises(PySparkException, match="no sales day"):
+        silver.sales_date_range(raw.where("d = 'd_7'"), cal).collect()
+
+
 def test_date_chunks(spark):
     def chunks(start, end, n=180):
         b = spark.createDataFrame([(dt.date.fromisoformat(start), dt.date.fromisoformat(end))],

@@ -147,3 +147,15 @@ def test_ranking_applies_the_selection_rules(spark):
     assert got["good"].rank == 1 and got["good"].beats_baselines
     assert got["shaky"].windows_beating_baselines == 1 and not got["shaky"].beats_baselines
     assert math.isclose(got["shaky"].worst_wmape, 0.8)
+
+
+def test_model_grid_has_one_row_per_cell(spark):
+    rows = mart_rows([("CA_1", "A")], 130, lambda i: float(i % 9 + 1), lambda i: 2.0)
+    frame = features.build_features(spark.createDataFrame(rows, SCHEMA)).cache()
+    sets = ("calendar_lag_rolling_baseline", "baseline_plus_price")
+    grid = backtest.ablation_with_models(
+        frame, {"linear": lambda: LinearRegression(labelCol="sales")}, sets,
+        splits.BacktestConfig(horizon_days=14, n_windows=2))
+    assert {(r.feature_set_name, r.model_name, r.window, r.test_rows) for r in grid.collect()} == {
+        (s, "linear", w, 14) for s in sets for w in (1, 2)}
+    assert backtest.rank_candidates(grid).count() == 2
