@@ -40,7 +40,7 @@ def rmse(actual: Column, predicted: Column) -> Column:
 
 
 def bias(actual: Column, predicted: Column, on_zero: str = "error") -> Column:
-    """Signed relative error; the reference only names it as a secondary metric."""
+    """Signed relative error, a secondary metric without a fixed definition elsewhere."""
     return _ratio(F.sum(_error(actual, predicted)), F.sum(actual.cast("double")), "bias", on_zero)
 
 
