@@ -7,6 +7,7 @@ places, dates are text and lists are joined, so values compare exactly.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable, Sequence
@@ -312,7 +313,22 @@ def _labels(t: OrderTables) -> DataFrame:
         X.int_text(F.col("forecast_row_count")).alias("rows_label"))
 
 
+def _training_data():
+    """The query module of the training-data operators, if they are there at all.
+
+    A missing folder is looked for, not an import error, so a fault inside them shows.
+    """
+    if all(map(importlib.util.find_spec, ("demandloom.llm", "corpus_pipeline"))):
+        return importlib.import_module("demandloom.llm.queries")
+    return None
+
+
 def queries() -> dict[str, Query]:
+    more = _training_data()
+    return _retail_queries() | (more.queries() if more else {})
+
+
+def _retail_queries() -> dict[str, Query]:
     key = ("store_id", "item_id", "date")
     q: dict[str, Query] = {
         # Silver
@@ -475,4 +491,5 @@ def _modeling_rows(t: OrderTables, name: str, columns: list[str], plain: bool) -
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.build()
+    more = _training_data()
+    return oracle_queries.build() | (more.oracle_sql() if more else {})
