@@ -6,7 +6,7 @@ with a smaller id; all words under repeated windows go, so overlapping windows
 merge into maximal removal intervals.
 
 How the windows are counted
-    A task hashes about 16 MB of whole texts (a chunk).  Within the chunk only
+    A task hashes about 12 MB of whole texts (a chunk).  Within the chunk only
     the windows of the smallest id stand for their value; the others are known to
     be repeated at once.  So a passage that a third of all texts share leaves a
     chunk as one entry.  Entries travel to buckets of the value, packed: sorted
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from demandloom.llm import tokens as T
 from demandloom.llm.common import narrow, slices, stage
 
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 12 << 20
 #: Text bytes per bucket of values; about a million windows of usual words.
 BUCKET_BYTES = 8 << 20
 
@@ -240,8 +240,9 @@ def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id",
     """
     spans = removal_spans(docs, window, id_col, text_col)
     texts = narrow(docs, id_col, text_col)
+    # The same join at every size, so what it needs can be told from a small input.
     joined = texts.join(
-        spans, F.coalesce(texts["doc_id"], F.lit(-(1 << 63))) == spans["doc_id"], "left"
+        spans.hint("merge"), F.coalesce(texts["doc_id"], F.lit(-(1 << 63))) == spans["doc_id"], "left"
     ).select(texts["doc_id"], "text", "starts", "ends")
     return joined.mapInArrow(
         _cut, "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string")

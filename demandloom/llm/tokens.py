@@ -81,8 +81,13 @@ class Words:
         return mix((sums[self.end] - sums[self.start]) * down[self.start])
 
 
-def scan(texts: pa.Array, lower: bool = False) -> Words:
-    """Words of an Arrow string array without nulls."""
+#: Bytes inside plain words: ASCII letters and digits, and all of other characters.
+PLAIN = np.zeros(256, bool)
+PLAIN[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+
+
+def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of an Arrow string array without nulls, and where each text begins."""
     wide = pa.types.is_large_string(texts.type)
     _, offsets, data = texts.buffers()
     kind = np.int64 if wide else np.int32
@@ -91,10 +96,20 @@ def scan(texts: pa.Array, lower: bool = False) -> Words:
         raw = np.zeros(0, np.uint8)
     else:
         raw = np.frombuffer(data, np.uint8)[bounds[0]:bounds[-1]]
-    bounds = bounds - bounds[0]
+    return raw, bounds - bounds[0]
+
+
+def lower_ascii(raw: np.ndarray) -> np.ndarray:
+    return raw + (((raw >= 65) & (raw <= 90)).view(np.uint8) << 5)
+
+
+def scan(texts: pa.Array, lower: bool = False, solid: np.ndarray | None = None) -> Words:
+    """Words of an Arrow string array without nulls; ``solid`` is a table of the
+    bytes that make words, where these are not all but ASCII white space."""
+    raw, bounds = text_bytes(texts)
     if lower:
-        raw = raw + (((raw >= 65) & (raw <= 90)).view(np.uint8) << 5)
-    solid = (raw != 32) & ((raw < 9) | (raw > 13))
+        raw = lower_ascii(raw)
+    solid = solid[raw] if solid is not None else (raw != 32) & ((raw < 9) | (raw > 13))
     edge = np.zeros(len(raw) + 1, bool)
     edge[0] = edge[-1] = True
     np.not_equal(solid[1:], solid[:-1], out=edge[1:-1])
