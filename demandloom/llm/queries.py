@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandloom.llm import substring_dedup
+from demandloom.llm import decontaminate, ngram_join, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,16 +19,26 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.similar_groups(_table(spark, sf, "documents"), size=3, similarity=0.9)
+
+
 def op3_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return substring_dedup.remove_repeats(_table(spark, sf, "documents"), window=50).select(
         "doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     import corpus_pipeline
 
     return {
+        "op2_ngram_jaccard": op2_ngram_jaccard,
         "op3_substring_dedup": op3_substring_dedup,
+        "op10_decontamination": op10_decontamination,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -56,5 +66,32 @@ FROM words LEFT JOIN kept USING (doc_id)
 """
 
 
+OP2_SQL = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, coalesce({_WORDS.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}, []) AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i + 2], ' ') FOR i IN range(1, len(w) - 1)]) END AS s
+  FROM words),
+sizes AS (SELECT doc_id, len(s) AS n FROM sets),
+items AS (SELECT doc_id, unnest(s) AS x FROM sets),
+rare AS (SELECT x FROM items GROUP BY x HAVING count(*) > 1),
+shared AS (SELECT doc_id, x FROM items SEMI JOIN rare USING (x)),
+common AS (
+  SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS i
+  FROM shared p JOIN shared q ON p.x = q.x AND p.doc_id < q.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * i >= 90 * (x.n + y.n - i)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT a AS doc_id, a AS r FROM links UNION SELECT b, b FROM links
+  UNION SELECT b.b, reach.r FROM reach JOIN both_ways b ON b.a = reach.doc_id)
+SELECT doc_id, n::BIGINT AS n_shingles, coalesce(least(doc_id, m), doc_id) AS component_id
+FROM sizes LEFT JOIN (SELECT doc_id, min(r) AS m FROM reach GROUP BY doc_id) USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_substring_dedup": OP3_SQL}
+    return {"op2_ngram_jaccard": OP2_SQL, "op3_substring_dedup": OP3_SQL}
