@@ -9,8 +9,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from demandloom.llm import decontaminate, ngram_join, substring_dedup
+from demandloom.llm import (
+    decontaminate, html_text, language_id, mixing, ngram_join, quality, substring_dedup, token_counts, topk_search,
+    url_filter,
+)
+from demandloom.llm.common import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +24,11 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_exact_topk(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = topk_search.whole_vectors(_table(spark, sf, "embeddings"), scale=64)
+    return topk_search.top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
 def op2_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join.similar_groups(_table(spark, sf, "documents"), size=3, similarity=0.9)
 
@@ -28,6 +38,52 @@ def op3_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op4_mixing_weights(spark: SparkSession, sf: str) -> DataFrame:
+    """Targets between the present shares and equal ones for source and language;
+    topics keep their shares."""
+    measured = stage(mixing.measure(_table(spark, sf, "documents")), "mixing-measured")
+    return mixing.mix(measured, mixing.tempered(mixing.shares(measured, "source")),
+                      mixing.tempered(mixing.shares(measured, "lang")), mixing.shares(measured, "topic"))
+
+
+def op5_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    measured = stage(quality.measure(_table(spark, sf, "documents")), "quality-measures")
+    scorer = quality.train(measured, _table(spark, sf, "labels"), ~held_out)
+    return quality.score(measured, scorer).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+#: (verdict, rule) pairs of the URL query.
+URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"),
+             ("block", "com/de/"))
+
+
+def op6_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return url_filter.filter_urls(_table(spark, sf, "pages"), URL_RULES)
+
+
+def op7_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return html_text.main_text(_table(spark, sf, "pages"))
+
+
+def op8_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    learning = language_id.learning_fold()
+    model = language_id.learn(docs.where(learning))
+    return language_id.identify(docs, model).select(
+        "doc_id", F.coalesce(~learning, F.lit(False)).alias("held_out"), "lang_pred", "score", "languages", "shares")
+
+
+def op9_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.count_tokens(
+        _table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json")).select(
+        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
+
+
 def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
 
@@ -36,8 +92,15 @@ def queries() -> dict[str, Query]:
     import corpus_pipeline
 
     return {
+        "op1_exact_topk": op1_exact_topk,
         "op2_ngram_jaccard": op2_ngram_jaccard,
         "op3_substring_dedup": op3_substring_dedup,
+        "op4_mixing_weights": op4_mixing_weights,
+        "op5_quality_classifier": op5_quality_classifier,
+        "op6_url_filter": op6_url_filter,
+        "op7_html_extraction": op7_html_extraction,
+        "op8_language_id": op8_language_id,
+        "op9_token_counts": op9_token_counts,
         "op10_decontamination": op10_decontamination,
         "pipeline": corpus_pipeline.run,
     }
@@ -66,6 +129,20 @@ FROM words LEFT JOIN kept USING (doc_id)
 """
 
 
+OP1_SQL = """
+WITH v AS (
+  SELECT vec_id, [floor(64 * x::DOUBLE)::BIGINT FOR x IN embedding] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, v.vec_id,
+         list_sum([a[1] * a[2] FOR a IN list_zip(q.e, v.e)])::BIGINT AS score
+  FROM v q JOIN v ON q.vec_id <> v.vec_id AND q.vec_id % 20 = 0)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 20
+"""
+
 OP2_SQL = f"""
 WITH RECURSIVE words AS (
   SELECT doc_id, coalesce({_WORDS.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}, []) AS w
@@ -94,4 +171,4 @@ FROM sizes LEFT JOIN (SELECT doc_id, min(r) AS m FROM reach GROUP BY doc_id) USI
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_ngram_jaccard": OP2_SQL, "op3_substring_dedup": OP3_SQL}
+    return {"op1_exact_topk": OP1_SQL, "op2_ngram_jaccard": OP2_SQL, "op3_substring_dedup": OP3_SQL}
