@@ -5,23 +5,55 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.llm import substring_dedup
+from demandloom.llm import decontaminate, language_id, mixing, ngram_join, substring_dedup
 from demandloom.llm.common import stage
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without a language, or without a main one, go; a null lang is filled."""
+    model = language_id.learn(docs.where(language_id.learning_fold()))
+    return language_id.keep_known(docs, model, least=0.5)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts linked by five-word shingles at a similarity of 0.8 the least id stays."""
+    groups = ngram_join.similar_groups(docs, size=5, similarity=0.8)
+    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(first.hint("merge"), F.col("doc_id") == F.col("kept_id"), "left_semi")
+
+
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated passages leave the texts; a text that holds nothing else goes."""
     left = substring_dedup.remove_repeats(docs, window=50).where(
-        "n_removed = 0 or n_removed < n_words")
-    left = left.select("doc_id", F.when(F.col("n_removed") > 0, F.col("kept_text")).alias("kept_text"))
-    changed = left.where("kept_text is not null")
-    return docs.join(left.select("doc_id", "kept_text"), "doc_id").select(
-        "doc_id", F.coalesce("kept_text", "text").alias("text"), "lang", "source",
-        F.when(F.col("kept_text").isNull(), F.col("n_chars")).otherwise(
-            F.length("kept_text").cast("long")).alias("n_chars"))
+        "n_removed = 0 or n_removed < n_words").select(
+        F.col("doc_id").alias("left_id"), "n_removed", F.when(F.col("n_removed") > 0, F.col("kept_text")).alias("kept"))
+    changed = F.col("n_removed") > 0
+    return docs.join(left.hint("merge"), F.col("doc_id") == F.col("left_id")).select(
+        "doc_id", F.when(changed, F.col("kept")).otherwise(F.col("text")).alias("text"), "lang", "source",
+        F.when(changed, F.length("kept").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"))
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts that hold a benchmark item, within a fifth of its words in edits, go."""
+    return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def to_target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A sample whose tokens follow the target shares of source, language and topic."""
+    measured = mixing.measure(docs, keep_text=True)
+    counts = stage(measured.drop("text"), "mixing-measured")
+    return mixing.mix(measured, mixing.tempered(mixing.shares(counts, "source")),
+                      mixing.tempered(mixing.shares(counts, "lang")), mixing.shares(counts, "topic")).where(
+        "sampled").drop("sampled")
 
 
-STAGES = [("substring_dedup", cut_repeats)]
+STAGES = [
+    ("language_id", known_language),
+    ("ngram_jaccard_join", one_of_each_group),
+    ("substring_dedup", cut_repeats),
+    ("decontamination", without_benchmark),
+    ("mixing", to_target_weights),
+]
 
 ORACLE_SQL = None
 
