@@ -25,7 +25,7 @@ from demandloom.llm.common import narrow, slices, stage
 
 #: Rows of each kind that the network is fitted on, at most (in expectation).
 POSITIVES, UNLABELLED = 20_000, 40_000
-HIDDEN, EPOCHS, BATCH, RATE, DECAY = 24, 40, 1024, 5e-3, 1e-4
+HIDDEN, EPOCHS, LEAST_STEPS, BATCH, RATE, DECAY = 24, 40, 2000, 512, 5e-3, 1e-4
 
 MEASURES = ("log_words", "word_length", "long_words", "capital_words", "upper", "digits", "accents", "marks",
             "commas", "exclaimed", "marked_ends", "lone_marks", "repeats", "repeats_near", "distinct", "lines",
@@ -110,10 +110,10 @@ def fit(positives: np.ndarray, unlabelled: np.ndarray, prior: float, seed: int =
     p, u = scorer.prepare(positives), scorer.prepare(unlabelled)
     first = [np.zeros_like(x) for x in scorer.layers]
     second = [np.zeros_like(x) for x in scorer.layers]
-    step = 0
-    for epoch in range(EPOCHS):
+    step, steps = 0, max(1, len(u) // BATCH)
+    epochs = max(EPOCHS, LEAST_STEPS // steps)
+    for epoch in range(epochs):
         order_u, order_p = rng.permutation(len(u)), rng.permutation(len(p))
-        steps = max(1, len(u) // BATCH)
         for i in range(steps):
             xu = u[order_u[i::steps]]
             xp = p[order_p[i % max(1, len(p) // BATCH)::max(1, len(p) // BATCH)]]
@@ -134,7 +134,7 @@ def fit(positives: np.ndarray, unlabelled: np.ndarray, prior: float, seed: int =
             grads = (x.T @ back + DECAY * scorer.layers[0], back.sum(axis=0),
                      hidden.T @ slope + DECAY * scorer.layers[2], np.array([slope.sum()]))
             step += 1
-            rate = RATE * (1 - epoch / EPOCHS) + 1e-4
+            rate = RATE * (1 - epoch / epochs) + 1e-4
             for value, g, m, v in zip(scorer.layers, grads, first, second):
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)

@@ -40,11 +40,12 @@ CHUNK_BYTES = 12 << 20
 #: Text bytes per bucket of values; about a million windows of usual words.
 BUCKET_BYTES = 8 << 20
 
-PACKED = ("bucket long, chunk long, hashes binary, windows binary, ids binary, ends binary, n int")
-SPANS = "doc_id long, starts array<int>, ends array<int>"
+PACKED = ("bucket long, chunk long, hashes binary, windows binary, ids binary, marks binary, ends binary, n int")
+SPANS = "doc_id long, mark long, starts array<int>, ends array<int>"
 
 _ARROW = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("hashes", pa.binary()),
-                    ("windows", pa.binary()), ("ids", pa.binary()), ("ends", pa.binary()),
+                    ("windows", pa.binary()), ("ids", pa.binary()),
+                    ("marks", pa.binary()), ("ends", pa.binary()),
                     ("n", pa.int32())])
 
 
@@ -77,7 +78,7 @@ def window_hashes(words: T.Words, window: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _chunk_rows(batch: pa.RecordBatch, chunk: int, window: int, buckets: int) -> Iterator[dict]:
-    ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ids, marks = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in (0, 2))
     parts, runs = [], []
     for part in slices(iter([batch])):  # numpy work in pieces that fit the processor's cache
         h, n = window_hashes(T.scan(part.column(1)), window)
@@ -99,7 +100,7 @@ def _chunk_rows(batch: pa.RecordBatch, chunk: int, window: int, buckets: int) ->
     used = run > 0
     # The chunk's own row: its texts and the windows already known to be repeated.
     yield {"bucket": buckets + chunk, "chunk": chunk, "hashes": None,
-           "windows": local.astype(np.uint32).tobytes(), "ids": ids[used].tobytes(),
+           "windows": local.astype(np.uint32).tobytes(), "ids": ids[used].tobytes(), "marks": marks[used].tobytes(),
            "ends": end[used].astype(np.uint32).tobytes(), "n": len(local)}
     # Of the others only the smallest id's windows travel: all of them, as a text may
     # hold one several times.
@@ -112,7 +113,7 @@ def _chunk_rows(batch: pa.RecordBatch, chunk: int, window: int, buckets: int) ->
         present = np.unique(doc[w])
         yield {"bucket": b, "chunk": chunk, "hashes": pack(v),
                "windows": w.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :_width(len(doc))].tobytes(),
-               "ids": ids[present].tobytes(), "ends": end[present].astype(np.uint32).tobytes(),
+               "ids": ids[present].tobytes(), "marks": None, "ends": end[present].astype(np.uint32).tobytes(),
                "n": len(v)}
 
 
@@ -167,7 +168,7 @@ def _repeated(table: pa.Table) -> pa.Table:
     by = np.argsort(row, kind="stable")
     cut = np.searchsorted(row[by], np.arange(len(chunks) + 1))
     out = [{"chunk": int(chunks[i]), "hashes": None, "windows": np.sort(w).tobytes(),
-            "ids": None, "ends": None, "n": len(w)}
+            "ids": None, "marks": None, "ends": None, "n": len(w)}
            for i in range(len(chunks)) if len(w := window[by[cut[i]:cut[i + 1]]])]
     return pa.Table.from_pylist(out, _ARROW.remove(0))
 
@@ -187,6 +188,7 @@ def _intervals(table: pa.Table, window: int) -> pa.Table:
     cut = np.flatnonzero(np.diff(owner, prepend=-1, append=-1)) if len(owner) else np.zeros(1, np.int64)
     return pa.table({
         "doc_id": pa.array(ids[owner[cut[:-1]]], pa.int64()),
+        "mark": pa.array(np.frombuffer(own["marks"], np.int64)[owner[cut[:-1]]], pa.int64()),
         "starts": pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(starts, pa.int32())),
         "ends": pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(stops, pa.int32()))})
 
@@ -197,17 +199,21 @@ def removal_spans(docs: DataFrame, window: int = 50, id_col: str = "doc_id",
 
     Null and empty texts, and texts shorter than a window, have none.  Rows that
     share an id are judged as one text: neither makes the other repeated.  A null
-    id takes part as the smallest id of all.  Columns: doc_id, starts, ends.
+    id takes part as the smallest id of all.  Columns: doc_id, mark (a hash of the
+    text, which tells rows of one id apart), starts, ends; equal rows appear once.
     """
-    texts = narrow(docs, id_col, text_col).withColumn(
-        "doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))))
+    texts = _marked(narrow(docs, id_col, text_col)).select("key", "text", "mark")
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // BUCKET_BYTES))
     packed = texts.mapInArrow(lambda b: _emit(b, window, buckets), PACKED)
     found = packed.groupBy("bucket").applyInArrow(
-        _repeated, "chunk long, hashes binary, windows binary, ids binary, ends binary, n int")
+        _repeated, "chunk long, hashes binary, windows binary, ids binary, marks binary, ends binary, n int")
     spans = found.groupBy("chunk").applyInArrow(lambda t: _intervals(t, window), SPANS)
-    return stage(spans, "repeated-spans")
+    return stage(spans.dropDuplicates(["doc_id", "mark"]), "repeated-spans")
+
+
+def _marked(texts: DataFrame) -> DataFrame:
+    return texts.withColumns({"key": F.coalesce("doc_id", F.lit(-(1 << 63))), "mark": F.xxhash64("text")})
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,10 +245,9 @@ def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id",
     null text counts as empty.  See ``removal_spans`` for ties and nulls.
     """
     spans = removal_spans(docs, window, id_col, text_col)
-    texts = narrow(docs, id_col, text_col)
+    texts = _marked(narrow(docs, id_col, text_col))
     # The same join at every size, so what it needs can be told from a small input.
-    joined = texts.join(
-        spans.hint("merge"), F.coalesce(texts["doc_id"], F.lit(-(1 << 63))) == spans["doc_id"], "left"
-    ).select(texts["doc_id"], "text", "starts", "ends")
+    joined = texts.join(spans.hint("merge"), (texts["key"] == spans["doc_id"]) & (texts["mark"] == spans["mark"]),
+                        "left").select(texts["doc_id"], "text", "starts", "ends")
     return joined.mapInArrow(
         _cut, "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string")
