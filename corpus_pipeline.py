@@ -12,7 +12,7 @@ from demandloom.llm.common import stage
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without a language, or without a main one, go; a null lang is filled."""
     model = language_id.learn(docs.where(language_id.learning_fold()))
-    return language_id.keep_known(docs, model, least=0.5)
+    return language_id.keep_known(docs, model, least=0.3)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
