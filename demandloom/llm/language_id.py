@@ -103,41 +103,48 @@ def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Mo
     return Model(names, np.log(full / full.sum(axis=1, keepdims=True)))
 
 
-def _proportions(likely: np.ndarray, doc: np.ndarray, n: int, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """EM over words: (proportions, log-likelihood) per text; ``allowed`` has a row per text."""
-    share = allowed / np.maximum(allowed.sum(axis=1, keepdims=True), 1)
-    words = np.maximum(np.bincount(doc, minlength=n), 1)
+def _proportions(likely: np.ndarray, counts: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """EM over words: (proportions, log-likelihood) per text of ``counts`` words (at
+    least one each, one text after another); ``allowed`` has a row per text."""
+    share = allowed / allowed.sum(axis=1, keepdims=True)
+    heads = np.cumsum(counts) - counts
     for _ in range(ROUNDS):
-        part = share[doc] * likely
+        part = np.repeat(share, counts, axis=0) * likely
         part /= np.maximum(part.sum(axis=1, keepdims=True), 1e-300)
-        share = np.stack([np.bincount(doc, part[:, k], n) for k in range(part.shape[1])], axis=1) / words[:, None]
-    total = np.log(np.maximum((share[doc] * likely).sum(axis=1), 1e-300))
-    return share, np.bincount(doc, total, n)
+        share = np.add.reduceat(part, heads, axis=0) / counts[:, None]
+    total = np.log(np.maximum((np.repeat(share, counts, axis=0) * likely).sum(axis=1), 1e-300))
+    return share, np.add.reduceat(total, heads)
 
 
 def infer(texts: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray]:
     """Proportions (a row per text) of the chosen language sets, and whether any word spoke."""
     n, width = len(texts), len(model.names)
     words, slot = trigrams(texts)
-    doc = words.doc()
-    if not width or not len(doc):
-        return np.zeros((n, width)), np.zeros(n, bool)
-    logs = np.stack([np.add.reduceat(row[slot], words.start) if len(words.start) else row[:0]
-                     for row in _masked(model, slot, words)], axis=1)
+    spoke = words.counts > 0
+    out = np.zeros((n, width))
+    if not width or not len(words.start):
+        return out, np.zeros(n, bool)
+    logs = np.stack([np.add.reduceat(row[slot], words.start) for row in _masked(model, slot, words)], axis=1)
     length = np.maximum(words.end - words.start, 1)[:, None]
     logs *= np.minimum(1.0, WORD_LIMIT / length)
     likely = np.exp(logs - logs.max(axis=1, keepdims=True))
-    share, _ = _proportions(likely, doc, n, np.ones((n, width)))
-    rank = np.argsort(np.argsort(-share, axis=1, kind="stable"), axis=1)
-    cost = 0.5 * np.log(np.maximum(words.counts, 2))
-    best, chosen = np.full(n, -np.inf), share
-    for size in range(1, min(width, 4) + 1):
-        tried, value = _proportions(likely, doc, n, (rank < size).astype(float))
-        value = value - cost * size
-        better = value > best
-        best = np.where(better, value, best)
+    counts = words.counts[spoke]
+    cost = 0.5 * np.log(np.maximum(counts, 2))
+    chosen, value = _proportions(likely, counts, np.ones((len(counts), width)))
+    best = value - cost * width
+    rank = np.argsort(np.argsort(-chosen, axis=1, kind="stable"), axis=1)
+    for size in range(min(width - 1, 3), 0, -1):
+        on = (rank < size).astype(float)
+        if size == 1:  # nothing to infer
+            alone = np.log(np.maximum((np.repeat(on, counts, axis=0) * likely).sum(axis=1), 1e-300))
+            tried, value = on, np.add.reduceat(alone, np.cumsum(counts) - counts)
+        else:
+            tried, value = _proportions(likely, counts, on)
+        better = value - cost * size >= best
+        best = np.where(better, value - cost * size, best)
         chosen = np.where(better[:, None], tried, chosen)
-    return chosen, words.counts > 0
+    out[spoke] = chosen
+    return out, spoke
 
 
 def _masked(model: Model, slot: np.ndarray, words: T.Words) -> Iterator[np.ndarray]:
