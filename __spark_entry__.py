@@ -11,9 +11,11 @@ import importlib.util
 import os
 import sys
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.ml.regression import LinearRegression  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
@@ -36,11 +38,10 @@ from demandloom.sources.order_tables import OrderTables  # noqa: E402
 SMALLEST = "/root/testdata/sf0.001"
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Few and shallow trees keep the registered model queries short; the training
-# settings proper are in operators.models.
-SMALL_BOOSTING = models.TreeConfig(
-    "gradient_boosted_trees", trees=5, max_depth=4, learning_rate=0.3, n_windows=2)
-SMALL_FOREST = models.TreeConfig("random_forest", trees=10, max_depth=5, n_windows=2)
+# The configured depth, features and windows, with fewer trees: README has the times
+# measured at the configured number of trees.
+SMALL_BOOSTING = replace(models.GRADIENT_BOOSTING, trees=20, learning_rate=0.3)
+SMALL_FOREST = replace(models.RANDOM_FOREST, trees=20)
 
 
 def present(df: DataFrame, rename: dict[str, str] | None = None) -> DataFrame:
@@ -127,8 +128,7 @@ def _asof_window(t: OrderTables) -> DataFrame:
 def _modeling(t: OrderTables) -> DataFrame:
     """Complete cases, stored once: splits and every fit read them again."""
     if "modeling" not in t.__dict__:
-        frame = modeling_frame(t.priced, S.DEFAULT_FEATURE_SET)
-        t.modeling = refresh_path(frame, scratch_path(t.spark, "modeling"))
+        t.modeling = t._stored("modeling", modeling_frame(t.unpriced, S.DEFAULT_FEATURE_SET))
     return t.modeling
 
 
@@ -154,7 +154,7 @@ def _bias(t: OrderTables) -> DataFrame:
 def _before_first_window(t: OrderTables) -> DataFrame:
     """Full history before the newest test window of the complete cases."""
     start = splits.split_bounds(_modeling(t)).where("window = 1").select("test_start").scalar()
-    return t.stored_priced.where(F.col("date") < start)
+    return t.stored_sales.where(F.col("date") < start)
 
 
 def _rmsse(t: OrderTables) -> DataFrame:
@@ -164,31 +164,48 @@ def _rmsse(t: OrderTables) -> DataFrame:
 
 def _wrmsse(t: OrderTables) -> DataFrame:
     # per-series values feed both the weights and the mean
-    per_series = refresh_path(
-        _rmsse(t).where("rmsse is not null"), scratch_path(t.spark, "rmsse"))
+    every = refresh_path(_rmsse(t), scratch_path(t.spark, "rmsse"))
+    per_series = every.where("rmsse is not null")
     history = _before_first_window(t)
     start = splits.split_bounds(_modeling(t)).where("window = 1").select("test_start").scalar()
     recent = F.when(F.col("date") >= F.date_sub(start, 28), F.col("sales")).otherwise(0)
     totals = history.groupBy(*S.SERIES_KEYS).agg(F.sum(recent).alias("weight"))
     weights = totals.join(per_series.select(*S.SERIES_KEYS), list(S.SERIES_KEYS), "left_semi")
-    return M.wrmsse(per_series, weights)
+    undefined = every.agg(F.count_if(F.col("rmsse").isNull())).scalar()
+    return M.wrmsse(per_series, weights).withColumn("undefined_series", undefined)
 
 
 def _recursive(forecaster: baselines.ExpressionForecaster) -> Query:
-    return _on(lambda t: recursion.forecast_expression(t.priced, forecaster))
+    return _on(lambda t: recursion.forecast_expression(t.unpriced, forecaster))
 
 
 def _recursive_gbt(t: OrderTables) -> DataFrame:
     model = models.fit(_modeling(t), SMALL_BOOSTING)
     return recursion.forecast_model(
-        t.priced, model, S.feature_columns(SMALL_BOOSTING.feature_set))
+        t.unpriced, model, S.feature_columns(SMALL_BOOSTING.feature_set))
+
+
+def _linear() -> LinearRegression:
+    return LinearRegression(labelCol="sales", solver="normal")
+
+
+def _backtest_linear(t: OrderTables) -> DataFrame:
+    return backtest.backtest_model(_modeling(t), ["lag_7"], _linear)
+
+
+def _recursive_linear(t: OrderTables) -> DataFrame:
+    rows = _modeling(t).select("lag_7", F.col("sales").cast("double").alias("sales"))
+    model = backtest.assembled(_linear(), ["lag_7"]).fit(rows)
+    rows = recursion.forecast_model(t.unpriced, model, ["lag_7"])
+    # An unknown lag makes the line's value NaN.
+    return rows.withColumn("prediction", F.when(~F.isnan("prediction"), F.col("prediction")))
 
 
 def _backtest_model(config: models.TreeConfig) -> Query:
     return _on(lambda t: backtest.backtest_model(
         _modeling(t), S.feature_columns(config.feature_set),
         models.estimator_factory(config),
-        splits.BacktestConfig(config.horizon_days, config.n_windows)), WINDOW)
+        splits.BacktestConfig(config.horizon_days, config.n_windows), parallelism=config.n_windows), WINDOW)
 
 
 def _importance(t: OrderTables) -> DataFrame:
@@ -214,10 +231,20 @@ def _snapshot_metadata(t: OrderTables) -> DataFrame:
 
 
 def _audit_state(t: OrderTables) -> DataFrame:
-    state = audit.latest_state(t.run_events)
-    message = audit.clipped_message(F.col("message"))
-    return state.select("run_id", "source_name", "status", "row_value",
-                        F.length(message).alias("message_length"), message.alias("message"))
+    return audit.latest_state(t.run_events).select(
+        "run_id", "source_name", "status", "row_value",
+        F.length("message").alias("message_length"), "message")
+
+
+def _flagged_prices(t: OrderTables) -> DataFrame:
+    week = t.week_of(t.day_number(F.col("date"))).alias("wm_yr_wk")
+    return t.lines.select("store_id", "item_id", week, "l_returnflag").distinct()
+
+
+def _net_sales(t: OrderTables) -> DataFrame:
+    units = F.col("l_quantity").cast("bigint")
+    net = F.sum(F.when(F.col("l_returnflag") == "R", -units).otherwise(units))
+    return t.lines.groupBy("store_id", "item_id", "date").agg(net.alias("sales"))
 
 
 def _day_number() -> F.Column:
@@ -295,7 +322,16 @@ def _trends_report(t: OrderTables) -> DataFrame:
 def _column_contracts(t: OrderTables) -> DataFrame:
     tables = {
         "silver_calendar": t.calendar, "silver_sell_prices": t.prices, "silver_sales": t.sales,
+        "silver_sales_with_prices": t.priced, "silver_weather_daily": t.weather,
+        "silver_sales_with_weather": silver.with_weather(t.sales, t.weather),
+        "silver_macro_series": t.macro, "silver_macro_daily_aligned": t.macro_aligned,
+        "silver_trends_interest": t.trends, "silver_trends_daily_aligned": t.trends_aligned,
+        "silver_sales_with_external_features": t.external,
         "gold_training_daily": gold.training_daily(t.priced),
+        "gold_training_daily_with_weather": gold.training_daily_with_weather(
+            silver.with_weather(t.sales, t.weather)),
+        "gold_feature_mart": t.stored_mart,
+        "forecast_run_monitoring": monitoring.run_monitoring(t.forecasts),
         "latest_forecast_freshness": t.freshness,
     }
     out = None
@@ -339,8 +375,8 @@ def _retail_queries() -> dict[str, Query]:
         "silver_trends": _on(lambda t: _cols(t.trends, TRENDS_COLUMNS)),
         "silver_macro_series": _on(lambda t: _cols(t.macro, MACRO_COLUMNS)),
         # reshaping and sources
-        "wide_to_long_sales": _on(lambda t: reshape.wide_sales_to_long(t.wide_sales, None)),
-        "wide_to_long_last_90": _on(lambda t: reshape.wide_sales_to_long(t.wide_sales)),
+        "wide_to_long_sales": _on(lambda t: reshape.wide_sales_to_long(t.wide_sales)),
+        "wide_to_long_last_90": _on(lambda t: reshape.wide_sales_to_long(t.wide_sales, 90)),
         "flatten_weather_documents": _on(lambda t: _cols(
             silver.weather_daily(reshape.flatten_weather(t.weather_documents)), WEATHER_COLUMNS)),
         "flatten_macro_documents": _on(lambda t: _cols(
@@ -371,8 +407,8 @@ def _retail_queries() -> dict[str, Query]:
         "series_totals": _on(lambda t: extract.series_totals(t.sales)),
         # features
         "features_lag_rolling": _on(lambda t: _cols(
-            t.priced_features, (*key, "sales", *S.LAG_FEATURES, *S.ROLLING_FEATURES))),
-        "features_calendar": _on(lambda t: _cols(t.priced_features, (*key, *S.CALENDAR_FEATURES))),
+            t.sales_features, (*key, "sales", *S.LAG_FEATURES, *S.ROLLING_FEATURES))),
+        "features_calendar": _on(lambda t: _cols(t.sales_features, (*key, *S.CALENDAR_FEATURES))),
         "features_price": _on(lambda t: _cols(
             t.priced_features, (*key, "sell_price", *reversed(S.PRICE_FEATURES)))),
         "last_n_history": _on(lambda t: _cols(features.last_rows(t.sales), (*key, "sales"))),
@@ -391,6 +427,8 @@ def _retail_queries() -> dict[str, Query]:
         "ablation_grid": _on(lambda t: backtest.ablation_grid(t.features), WINDOW),
         "ablation_ranking": _on(
             lambda t: backtest.rank_candidates(backtest.ablation_grid(t.features))),
+        "backtest_linear": _on(_backtest_linear, WINDOW),
+        "recursive_linear": _on(_recursive_linear),
         "backtest_gbt": _backtest_model(SMALL_BOOSTING),
         "backtest_random_forest": _backtest_model(SMALL_FOREST),
         "feature_importance": _on(_importance),
@@ -428,20 +466,26 @@ def _retail_queries() -> dict[str, Query]:
         "contract_duplicate_orders": _on(lambda t: contracts.duplicate_keys(
             t.table("lineitem"), ("l_orderkey", "l_linenumber"))),
         "contract_sales_non_negative": _on(lambda t: _cols(
-            contracts.sales_non_negative(t.priced), (*key, "sales"))),
+            contracts.sales_non_negative(t.sales), (*key, "sales"))),
+        # The same contracts where they fail: raw lines, weekly prices told apart by
+        # return flag, returned units counted as negative.
+        "contract_grain_faults": _on(lambda t: contracts.grain_unique(t.lines)),
+        "contract_price_key_faults": _on(lambda t: contracts.price_key_unique(_flagged_prices(t))),
+        "contract_sales_faults": _on(lambda t: _cols(
+            contracts.sales_non_negative(_net_sales(t)), (*key, "sales"))),
         "contract_price_coverage": _on(lambda t: contracts.price_coverage(t.priced, 0.1)),
         "contract_price_key_unique": _on(lambda t: contracts.price_key_unique(t.prices)),
         "contract_columns": _on(_column_contracts),
         # profiles of the mart
-        "eda_profile": _on(lambda t: reports.mart_profile(t.priced)),
-        "eda_target_profile": _on(lambda t: reports.target_profile(t.priced)),
+        "eda_profile": _on(lambda t: reports.mart_profile(t.sales)),
+        "eda_target_profile": _on(lambda t: reports.target_profile(t.sales)),
         "eda_null_profile": _on(lambda t: reports.null_profile(t.mart)),
-        "eda_distribution": _on(lambda t: reports.target_distribution(t.priced)),
-        "eda_daily_totals": _on(lambda t: reports.daily_totals(t.priced)),
+        "eda_distribution": _on(lambda t: reports.target_distribution(t.sales)),
+        "eda_daily_totals": _on(lambda t: reports.daily_totals(t.sales)),
         "eda_store_sparsity": _on(
             lambda t: reports.store_sparsity(reshape.wide_sales_to_long(t.wide_sales))),
-        "eda_series_per_store": _on(lambda t: reports.series_per_store(t.priced)),
-        "eda_grain": _on(lambda t: reports.grain_check(t.priced)),
+        "eda_series_per_store": _on(lambda t: reports.series_per_store(t.sales)),
+        "eda_grain": _on(lambda t: reports.grain_check(t.sales)),
         "eda_correlation": _on(lambda t: reports.target_correlation(t.mart)),
         # dashboard
         "kpi_summary": _on(lambda t: reports.kpi_summary(_latest(t))),

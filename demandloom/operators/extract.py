@@ -9,8 +9,6 @@ from demandloom import schemas as S
 
 DEFAULT_HISTORY_DAYS = 365
 DEFAULT_SERIES = 500
-# A broadcast of N keys is bounded by N itself.
-BROADCAST_KEYS = 100_000
 
 
 def recent(df: DataFrame, days: int | None, date_col: str = "date") -> DataFrame:
@@ -31,10 +29,8 @@ def top_series(df: DataFrame, n: int) -> DataFrame:
 
 
 def top_series_subset(df: DataFrame, n: int = 20) -> DataFrame:
-    """All rows of the n best-selling series."""
+    """All rows of the n best-selling series; the keys are broadcast if Spark finds them small."""
     chosen = top_series(df, n).select(*S.SERIES_KEYS)
-    if n <= BROADCAST_KEYS:
-        chosen = F.broadcast(chosen)
     return df.join(chosen, list(S.SERIES_KEYS), "left_semi")
 
 

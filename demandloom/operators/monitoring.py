@@ -33,13 +33,20 @@ def fetch_freshness(freshness: DataFrame) -> DataFrame:
     return freshness.orderBy(F.desc_nulls_first("generated_at"))
 
 
-def fetch_run_monitoring(monitoring: DataFrame, limit: int = 50) -> DataFrame:
+def fetch_run_monitoring(monitoring: DataFrame, limit: int | None = 50) -> DataFrame:
     """Newest runs first; the other run keys break ties."""
+    if limit is None:
+        return monitoring
     return monitoring.orderBy(F.desc_nulls_first("generated_at"), *RUN_KEYS[1:]).limit(limit)
 
 
-def fetch_forecast_rows(forecasts: DataFrame, limit: int = 500) -> DataFrame:
-    """Newest batch first, then by day; a distributed top-k, not a sort."""
+def fetch_forecast_rows(forecasts: DataFrame, limit: int | None = 500) -> DataFrame:
+    """Newest batch first, then by day; a distributed top-k, not a sort.
+
+    Without a limit, the whole latest batch.
+    """
+    if limit is None:
+        return latest_batch(forecasts)
     return forecasts.orderBy(
         F.desc_nulls_first("generated_at"), "forecast_date", "store_id", "item_id",
         *RUN_KEYS[1:]).limit(limit)

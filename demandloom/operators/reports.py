@@ -37,6 +37,8 @@ def kpi_summary(forecasts: DataFrame) -> DataFrame:
     """Headline numbers; all zero for an empty selection."""
     total = F.coalesce(F.sum("prediction"), F.lit(0.0))
     days = F.count_distinct("forecast_date")
+    forecasts = forecasts.groupBy("store_id", "item_id", "forecast_date").agg(
+        F.sum("prediction").alias("prediction"))
     return forecasts.agg(
         total.alias("total_forecast"),
         F.when(days > 0, total / days).otherwise(0.0).alias("average_daily_forecast"),
@@ -116,12 +118,20 @@ def mart_profile(mart: DataFrame, exact: bool = True, rsd: float = 0.01) -> Data
         key = F.struct(*cols) if len(cols) > 1 else F.col(cols[0])
         return F.approx_count_distinct(F.xxhash64(key), rsd)
 
+    keys = (*S.SERIES_KEYS, "dept_id", "cat_id", "state_id")
+    if exact:
+        # One row per series first, combined map-side: the distinct counts then
+        # multiply rows of that small table, not of the fact.
+        mart = mart.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("n"), F.min("date").alias("lo"), F.max("date").alias("hi"))
+        rows, lo, hi = F.coalesce(F.sum("n"), F.lit(0)), F.min("lo"), F.max("hi")
+    else:
+        rows, lo, hi = F.count(F.lit(1)), F.min("date"), F.max("date")
     return mart.agg(
-        F.count(F.lit(1)).alias("row_count"), distinct(*S.SERIES_KEYS).alias("series_count"),
+        rows.alias("row_count"), distinct(*S.SERIES_KEYS).alias("series_count"),
         distinct("item_id").alias("item_count"), distinct("dept_id").alias("dept_count"),
         distinct("cat_id").alias("cat_count"), distinct("store_id").alias("store_count"),
-        distinct("state_id").alias("state_count"), F.min("date").alias("min_date"),
-        F.max("date").alias("max_date"))
+        distinct("state_id").alias("state_count"), lo.alias("min_date"), hi.alias("max_date"))
 
 
 def target_profile(mart: DataFrame) -> DataFrame:
@@ -193,6 +203,7 @@ def target_correlation(mart: DataFrame, columns: Sequence[str] = (
     return wide.select(F.inline(pairs)).orderBy(F.desc_nulls_last("correlation"), "feature")
 
 
-def sample_rows(df: DataFrame, n: int = 50_000) -> DataFrame:
-    """A bounded look at a table."""
-    return df.limit(n)
+def sample_rows(df: DataFrame, one_in: int = 100, keys: Sequence[str] = S.SERIES_KEYS) -> DataFrame:
+    """About one row in ``one_in``: whole series, chosen by a hash of their keys, so
+    every run shows the same rows."""
+    return df.where(F.pmod(F.crc32(F.concat_ws("|", *keys).cast("binary")), F.lit(one_in)) == 0)

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from demandloom import schemas as S
 from demandloom.functions.scalar import to_double
 
-DEFAULT_LAST_DAYS = 90
 _DAY_COLUMN = re.compile(r"d_\d+")  # fixed pattern of the day columns
 
 
@@ -23,10 +22,10 @@ def day_columns(columns: Sequence[str], strict: bool = False) -> list[str]:
     return [c for c in columns if c.startswith("d_")]
 
 
-def wide_sales_to_long(wide: DataFrame, last_days: int | None = DEFAULT_LAST_DAYS) -> DataFrame:
+def wide_sales_to_long(wide: DataFrame, last_days: int | None = None) -> DataFrame:
     """One row per (series row, day); unreadable sales count as 0, decimals are cut.
 
-    Dropping day columns before the melt prunes them at the scan.  The melt is
+    All days, unless ``last_days`` asks for the newest ones only.  Dropping day columns before the melt prunes them at the scan.  The melt is
     an explode of one array: with thousands of day columns that runs an order
     of magnitude faster than ``unpivot``, which expands one projection per
     column, and one SQL expression spares a driver call per column.
@@ -108,16 +107,17 @@ def stamp(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
 
 
 def stamp_from_registry(df: DataFrame, registry: DataFrame, on: str) -> DataFrame:
-    """Attach registry metadata; a registry has a handful of fixed rows."""
+    """Attach registry metadata; Spark broadcasts the registry if it is small."""
     extra = [c for c in registry.columns if c == on or c not in df.columns]
-    return df.join(F.broadcast(registry.select(*extra)), on, "left")
+    return df.join(registry.select(*extra), on, "left")
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Last row per key by an explicit order.
 
     ``max_by`` combines map-side, so a hot key is one row per task before the
-    shuffle; a ranking window would move and sort all its rows in one task.
+    shuffle.  Over a struct it is a sort-based aggregation: each map task sorts
+    its rows by key first.
     """
     rest = [c for c in df.columns if c not in keys]
     last = F.max_by(F.struct(*rest), F.struct(*order)).alias("_last")

@@ -47,7 +47,13 @@ def train_test(df: DataFrame, window: int, config: BacktestConfig = BacktestConf
     """Train and test rows of one window."""
     if not 1 <= window <= config.n_windows:
         raise ValueError(f"window must be within 1..{config.n_windows}")
-    numbered = df if "window" in df.columns else with_window(df, config)
+    if "window" not in df.columns:
+        # Bounds on the day itself reach the scan and prune files or partitions.
+        day, h = F.col(config.date_column), config.horizon_days
+        newest = df.agg(F.max(config.date_column).cast("date")).scalar()
+        start, end = F.date_sub(newest, window * h - 1), F.date_sub(newest, (window - 1) * h)
+        return df.where(day < start), df.where(day.between(start, end))
+    numbered = df
     return (numbered.where(F.col("window") > window).drop("window"),
             numbered.where(F.col("window") == window).drop("window"))
 

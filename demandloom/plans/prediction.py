@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from demandloom import schemas as S
 from demandloom.operators import models, monitoring, recursion
@@ -36,13 +37,18 @@ def predict(
 
 
 def export_snapshot(forecasts: DataFrame, root: str, run_id: str, cache: str | None = None,
-                    monitoring_limit: int = 500, row_limit: int = 100_000) -> None:
-    """Freshness, monitoring and recent rows of the forecast table, plus metadata."""
+                    monitoring_limit: int | None = None, row_limit: int | None = None) -> None:
+    """Freshness, monitoring and the latest batch of the forecast table, plus metadata.
+
+    Limits are the caller's choice; ``truncated`` in the metadata tells whether the
+    published rows are fewer than the batch.
+    """
     runs = monitoring.run_monitoring(forecasts)
     freshness = monitoring.fetch_freshness(monitoring.latest_freshness(forecasts))
     recent_runs = monitoring.fetch_run_monitoring(runs, monitoring_limit)
     rows = monitoring.fetch_forecast_rows(forecasts, row_limit)
-    metadata = monitoring.snapshot_metadata(freshness, recent_runs, rows, run_id)
+    metadata = monitoring.snapshot_metadata(freshness, recent_runs, rows, run_id).withColumn(
+        "truncated", F.col("forecast_row_count") > rows.agg(F.count(F.lit(1))).scalar())
     snapshots.publish(
         {snapshots.FRESHNESS: freshness, snapshots.MONITORING: recent_runs, snapshots.ROWS: rows},
         metadata, root, run_id, cache)

@@ -86,7 +86,7 @@ def run_gates(spark: SparkSession, files: Landed, audit: QualityLog) -> None:
 
 
 def staging(spark: SparkSession, files: Landed,
-            last_days: int | None = reshape.DEFAULT_LAST_DAYS) -> dict[str, DataFrame]:
+            last_days: int | None = None) -> dict[str, DataFrame]:
     """All-text staging frames."""
     return {
         "calendar": landing.read_calendar(spark, files.retail("calendar.csv")),
@@ -137,7 +137,7 @@ def build_gold(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 def run_refresh(
     spark: SparkSession, files: Landed, lake: str, audit: QualityLog | None = None,
-    last_days: int | None = reshape.DEFAULT_LAST_DAYS, files_per_day: int = 1,
+    last_days: int | None = None,
 ) -> dict[str, DataFrame]:
     """Gate, stage, build and store Silver and Gold, then check the contracts."""
     if audit is not None:
@@ -148,7 +148,7 @@ def run_refresh(
 
     tables = build_silver(staging(spark, files, last_days), store)
     for name, df in build_gold(tables).items():
-        tables[name] = (write_mart(df, f"{lake}/{name}", files_per_day)
+        tables[name] = (write_mart(df, f"{lake}/{name}")
                         if name == "gold_feature_mart" else store(name, df))
     check_contracts(tables)
     return tables

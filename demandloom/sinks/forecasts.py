@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -76,20 +77,23 @@ class ForecastTable:
     def overwrite(self, batch: DataFrame) -> None:
         # Stage once: the batch may be an expensive recursion, and its bounds
         # are needed before the write.
+        # A row without a day has no partition: it stops the write before any change.
         staged_path = scratch_path(self.spark, "forecast")
-        contract_columns(batch).write.parquet(staged_path)
+        undated = F.raise_error(F.lit("a forecast row has no forecast_date")).cast("date")
+        contract_columns(batch).withColumn(
+            "forecast_date", F.coalesce("forecast_date", undated)).write.parquet(staged_path)
         staged = self.spark.read.schema(S.FORECAST_TABLE).parquet(staged_path)
-        incoming = {str(r[0]) for r in staged.select("forecast_date").distinct().collect()}
+        incoming = {r[0] for r in staged.select("forecast_date").distinct().collect()}
         if not incoming:
             raise ValueError("the forecast batch is empty")
+        # The hint lets Spark split a day by its size.
         (
-            staged.repartition("forecast_date", F.pmod(F.xxhash64(*S.SERIES_KEYS), F.lit(16)))
-            .sortWithinPartitions("forecast_date", *S.SERIES_KEYS)
+            staged.hint("rebalance", "forecast_date")
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("forecast_date").parquet(self.path))
         lo, hi = min(incoming), max(incoming)
         root, fs = self._fs()
-        for day in self.days():
+        for day in map(date.fromisoformat, self.days()):
             if lo <= day <= hi and day not in incoming:
                 fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(
                     root, f"forecast_date={day}"), True)

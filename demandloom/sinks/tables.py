@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from demandloom import schemas as S
 
@@ -21,17 +20,14 @@ def refresh_path(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_mart(mart: DataFrame, path: str, files_per_day: int = 1) -> DataFrame:
+def write_mart(mart: DataFrame, path: str) -> DataFrame:
     """Replace the feature mart, partitioned by day, and read it back.
 
-    Recent-history extracts then list and read only their days.  Rows of a day
-    are spread over ``files_per_day`` tasks by series, so one heavy day is not
-    one task, and sorted by series inside each file.
+    Recent-history extracts then list and read only their days.  The rebalance
+    hint lets Spark split a day by its size, so one heavy day is not one task.
     """
-    spread = F.pmod(F.xxhash64(*S.SERIES_KEYS), F.lit(files_per_day))
     (
-        mart.repartition("date", spread).sortWithinPartitions("date", *S.SERIES_KEYS)
-        .write.mode("overwrite").partitionBy("date").parquet(path))
+        mart.hint("rebalance", "date").write.mode("overwrite").partitionBy("date").parquet(path))
     return mart.sparkSession.read.schema(mart.schema).parquet(path).select(*mart.columns)
 
 
@@ -68,7 +64,3 @@ def write_extract(df: DataFrame, path: str, rows_per_file: int | None = None) ->
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def ensure_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")

@@ -11,28 +11,35 @@ from __future__ import annotations
 from functools import cached_property
 from multiprocessing.pool import ThreadPool
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from demandloom import schemas as S
-from demandloom.operators import features, gold, monitoring, recursion, reshape, silver
+from demandloom.operators import audit, features, gold, monitoring, recursion, reshape, silver
 from demandloom.operators.baselines import seasonal_naive
 from demandloom.session import scratch_path
-from demandloom.sinks.tables import refresh_path
+from demandloom.sinks.tables import refresh_path, write_mart
 
 FIRST_WEEK = 11101
 INGEST_DATE = "2024-01-31"
+# Total mappings: the fifth priority and segment share the fourth series and keyword.
 PRIORITY_SERIES = dict(zip(
-    ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"), S.MACRO_SERIES))
+    ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"),
+    (*S.MACRO_SERIES, S.MACRO_SERIES[-1])))
 SEGMENT_KEYWORDS = dict(zip(
-    ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"), S.TRENDS_KEYWORDS))
+    ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"),
+    (*S.TRENDS_KEYWORDS, S.TRENDS_KEYWORDS[-1])))
+# Every sixth week lands without price texts, so that missing prices occur.
+UNPRICED_WEEKS = 6
 # (model version, days of history left out, generated_at) of three stored runs
 FORECAST_BATCHES = (
     ("1", 56, "2024-01-01 04:00:00"), ("2", 28, "2024-01-08 04:00:00"),
     ("3", 0, "2024-01-15 04:00:00"))
 
 _SCHEMAS: dict[str, StructType] = {}
+# Stored tables by session, folder and name: queries over one folder share them.
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def _coded(column: Column, codes: dict[str, str]) -> Column:
@@ -52,11 +59,12 @@ def _cents_per(cents: Column, n: Column) -> Column:
 class OrderTables:
     """Frames over one folder of parquet tables.
 
-    Frames are lazy, except that the three daily external tables are written
-    to the shared folder once per instance when the mart needs them, as a
-    warehouse build would.  Read back, they have a known size: Spark then
-    broadcasts them while they are small, and the fact is not shuffled for
-    them; beyond the threshold it joins them by shuffle.
+    Frames are lazy, except that the daily aggregate of the lines and the three
+    daily external tables are written to the shared folder once per session and
+    folder, as a warehouse build would; the given tables must not change
+    meanwhile.  Read back, they have a known size: Spark then broadcasts them
+    while they are small, and the fact is not shuffled for them; beyond the
+    threshold it joins them by shuffle.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -99,13 +107,21 @@ class OrderTables:
             .withColumn("date", F.col("l_shipdate").cast("date")))
 
     @cached_property
-    def days(self) -> DataFrame:
-        """Every day from the first to the last sale, numbered from 1; stored.
+    def daily(self) -> DataFrame:
+        """Units and cents per (store, item, day), stored: the only scan of the lines.
 
-        Stored because each use would otherwise scan the ship dates again.
+        Raw lines combine map-side to the grain; sales, weekly prices and the span
+        of days all come from here.
         """
-        day = F.col("l_shipdate").cast("date")
-        span = self.table("lineitem").agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
+        return self._stored("daily", self.lines.groupBy("item_id", "store_id", "state_id", "date").agg(
+            F.sum("l_quantity").cast("bigint").alias("sales"),
+            F.sum(F.col("l_quantity").cast("bigint")).alias("units"),
+            F.sum(_cents("l_extendedprice")).alias("cents")))
+
+    @cached_property
+    def days(self) -> DataFrame:
+        """Every day from the first to the last sale, numbered from 1; stored."""
+        span = self.daily.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
         days = span.select(F.posexplode(F.sequence("lo", "hi")).alias("i", "day"))
         return self._stored("days", days.select((F.col("i") + 1).alias("n"), "day"))
 
@@ -140,10 +156,8 @@ class OrderTables:
 
     @cached_property
     def sales_raw(self) -> DataFrame:
-        """Units per (store, item, day): the raw lines combine map-side to the grain."""
-        daily = self.lines.groupBy("item_id", "store_id", "state_id", "date").agg(
-            F.sum("l_quantity").cast("bigint").alias("sales"))
-        return daily.select(
+        """Units per (store, item, day)."""
+        return self.daily.select(
             F.concat_ws("_", "item_id", "store_id").alias("id"), "item_id",
             F.concat("item_id", F.lit("_1")).alias("dept_id"), F.col("item_id").alias("cat_id"),
             "store_id", "state_id",
@@ -151,13 +165,13 @@ class OrderTables:
 
     @cached_property
     def prices_raw(self) -> DataFrame:
-        week = self.week_of(self.day_number(F.col("date"))).cast("string").alias("wm_yr_wk")
-        units = F.sum(F.col("l_quantity").cast("bigint"))
-        return (
-            self.lines.where(F.col("l_returnflag") != "R")
-            .groupBy("store_id", "item_id", week)
-            .agg(_cents_per(F.sum(_cents("l_extendedprice")), units).cast("string")
-                 .alias("sell_price")))
+        """Weekly mean price of all lines; some weeks have no price text."""
+        week = self.week_of(self.day_number(F.col("date"))).alias("week")
+        weekly = self.daily.groupBy("store_id", "item_id", week).agg(
+            _cents_per(F.sum("cents"), F.sum("units")).cast("string").alias("text"))
+        return weekly.select(
+            "store_id", "item_id", F.col("week").cast("string").alias("wm_yr_wk"),
+            F.when(F.col("week") % UNPRICED_WEEKS != 0, F.col("text")).alias("sell_price"))
 
     @cached_property
     def dated_orders(self) -> DataFrame:
@@ -191,13 +205,10 @@ class OrderTables:
     @cached_property
     def macro_raw(self) -> DataFrame:
         month = F.trunc("day", "month").alias("month")
-        monthly = (
-            self.dated_orders.where(F.col("o_orderpriority").isin(*PRIORITY_SERIES))
-            .groupBy("o_orderpriority", month)
-            .agg(_cents_per(F.sum(_cents("o_totalprice")), F.count(F.lit(1))).alias("mean")))
         coded = {k: v[0] for k, v in PRIORITY_SERIES.items()}
-        keyed = monthly.select(
-            _coded(F.col("o_orderpriority"), coded).alias("series_id"), "month", "mean")
+        keyed = self.dated_orders.groupBy(
+            _coded(F.col("o_orderpriority"), coded).alias("series_id"), month).agg(
+            _cents_per(F.sum(_cents("o_totalprice")), F.count(F.lit(1))).alias("mean"))
         named = reshape.stamp_from_registry(keyed, S.macro_registry(self.spark), "series_id")
         value = F.col("mean").cast("string")
         text = {
@@ -211,19 +222,20 @@ class OrderTables:
 
     @cached_property
     def trends_raw(self) -> DataFrame:
+        coded = {k: v[0] for k, v in SEGMENT_KEYWORDS.items()}
         daily = (
             self.dated_orders
             .join(self.table("customer").select("c_custkey", "c_mktsegment"),
                   F.col("o_custkey") == F.col("c_custkey"))
-            .where(F.col("c_mktsegment").isin(*SEGMENT_KEYWORDS))
-            .groupBy("c_mktsegment", "day").agg(F.count(F.lit(1)).alias("n")))
-        coded = {k: v[0] for k, v in SEGMENT_KEYWORDS.items()}
-        keyed = daily.select(
-            _coded(F.col("c_mktsegment"), coded).alias("keyword"), "day", "n")
+            .groupBy(_coded(F.col("c_mktsegment"), coded).alias("keyword"), "day")
+            .agg(F.count(F.lit(1)).alias("n")))
+        # An index from 0 to 100 of the keyword's busiest day; a keyword has a row per day.
+        busiest = F.max("n").over(Window.partitionBy("keyword"))
+        keyed = daily.select("keyword", "day", F.floor(F.col("n") * 100 / busiest).alias("n"))
         named = reshape.stamp_from_registry(keyed, S.trends_registry(self.spark), "keyword")
         text = {
             **{c: F.col(c) for c in ("keyword", "feature_name", "label", "geo")},
-            "trend_date": F.col("day"), "interest_value": F.least("n", F.lit(100)),
+            "trend_date": F.col("day"), "interest_value": F.col("n"),
             **self._stamps("trends"),
         }
         return self._staged(named, S.TRENDS_RAW, text)
@@ -345,8 +357,17 @@ class OrderTables:
     def priced(self) -> DataFrame:
         return silver.with_prices(self.sales, self.calendar, self.prices)
 
+    @cached_property
+    def unpriced(self) -> DataFrame:
+        """The fact with an empty price, for features that need none: no price join."""
+        return self.sales.select(
+            *S.SALES_ID_COLUMNS, "d", "date", "sales", F.lit(None).cast(S.MONEY).alias("sell_price"))
+
     def _stored(self, name: str, df: DataFrame) -> DataFrame:
-        return refresh_path(df, scratch_path(self.spark, name))
+        key = (self.spark.sparkContext.applicationId, self.root, name)
+        if key not in _STORED:
+            _STORED[key] = refresh_path(df, scratch_path(self.spark, name))
+        return _STORED[key]
 
     @cached_property
     def daily_externals(self) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -375,8 +396,11 @@ class OrderTables:
 
     @cached_property
     def stored_mart(self) -> DataFrame:
-        """The mart as a stored table: extracts read it for bounds, ranks and rows."""
-        return self._stored("mart", self.mart)
+        """The mart stored by day: extracts read it for bounds, ranks and recent days."""
+        key = (self.spark.sparkContext.applicationId, self.root, "mart")
+        if key not in _STORED:
+            _STORED[key] = write_mart(self.mart, scratch_path(self.spark, "mart"))
+        return _STORED[key]
 
     @cached_property
     def stored_priced(self) -> DataFrame:
@@ -387,6 +411,11 @@ class OrderTables:
     def features(self) -> DataFrame:
         return features.build_features(self.mart)
 
+    @cached_property
+    def sales_features(self) -> DataFrame:
+        """Features of the fact alone: calendar, lags and rolling means."""
+        return features.build_features(self.unpriced)
+
     @cached_property
     def priced_features(self) -> DataFrame:
         """Features of the priced fact, for the sets without external columns."""
@@ -444,5 +473,7 @@ class OrderTables:
         return e.select(
             F.col("user_id").cast("string").alias("run_id"),
             F.col("event_type").alias("source_name"), status.alias("status"),
-            F.col("value").alias("row_value"), F.repeat("props", F.lit(600)).alias("message"),
+            F.col("value").alias("row_value"),
+            # Clipped before the fold, so that long messages are not shuffled.
+            audit.clipped_message(F.repeat("props", F.lit(600))).alias("message"),
             F.struct("ts", "event_id").alias("event_ts"))

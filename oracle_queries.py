@@ -66,7 +66,7 @@ CTES = {
                  // sum(CAST(l_quantity AS BIGINT)) AS DECIMAL(18,4)) / 100 AS sell_price
         FROM lineitem JOIN stores ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey
         JOIN cal c ON c.date = CAST(l_shipdate AS DATE)
-        WHERE l_returnflag <> 'R' GROUP BY ALL HAVING sell_price > 0""",
+        WHERE c.wm_yr_wk % 6 <> 0 GROUP BY ALL HAVING sell_price > 0""",
     "ords": """
         SELECT CAST(o_orderdate AS DATE) AS day, o_totalprice, o_orderpriority, c_mktsegment,
                r_name AS state_id
@@ -86,15 +86,17 @@ CTES = {
           ('2-HIGH', 'UNRATE', 'unemployment_rate', 'Unemployment Rate', 'percent'),
           ('3-MEDIUM', 'FEDFUNDS', 'federal_funds_rate', 'Effective Federal Funds Rate', 'percent'),
           ('4-NOT SPECIFIED', 'PAYEMS', 'nonfarm_payrolls', 'All Employees, Total Nonfarm',
+           'thousands'),
+          ('5-LOW', 'PAYEMS', 'nonfarm_payrolls', 'All Employees, Total Nonfarm',
            'thousands')) s(priority, series_id, feature_name, series_label, units)""",
     "macro": """
         SELECT series_id, feature_name, series_label, units, month AS observation_date,
                CASE WHEN month(month) <> 7 THEN CAST(mean AS DECIMAL(18,4)) END
                  AS observation_value
-        FROM (SELECT o_orderpriority, CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
+        FROM (SELECT series_id, feature_name, series_label, units,
+                     CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
                      CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) // count(*) AS DOUBLE) / 100
-                       AS mean FROM orders GROUP BY ALL)
-        JOIN series ON priority = o_orderpriority""",
+                       AS mean FROM orders JOIN series ON priority = o_orderpriority GROUP BY ALL)""",
     "keywords": """
         SELECT * FROM (VALUES
           ('AUTOMOBILE', 'walmart', 'trends_walmart', 'Search interest for Walmart'),
@@ -102,11 +104,14 @@ CTES = {
           ('FURNITURE', 'discount store', 'trends_discount_store',
            'Search interest for discount store'),
           ('HOUSEHOLD', 'cleaning supplies', 'trends_cleaning_supplies',
+           'Search interest for cleaning supplies'),
+          ('MACHINERY', 'cleaning supplies', 'trends_cleaning_supplies',
            'Search interest for cleaning supplies')) k(segment, keyword, feature_name, label)""",
     "trends": """
-        SELECT keyword, feature_name, label, day AS trend_date,
-               CAST(least(count(*), 100) AS INTEGER) AS interest_value
-        FROM ords JOIN keywords ON segment = c_mktsegment GROUP BY ALL""",
+        SELECT keyword, feature_name, label, trend_date,
+               CAST(n * 100 // max(n) OVER (PARTITION BY keyword) AS INTEGER) AS interest_value
+        FROM (SELECT keyword, feature_name, label, day AS trend_date, count(*) AS n
+              FROM ords JOIN keywords ON segment = c_mktsegment GROUP BY ALL)""",
     "salesdates": "SELECT DISTINCT date FROM sales",
     "macroday": """
         SELECT date, feature_name, source_observation_date, observation_value FROM (
@@ -157,6 +162,12 @@ CTES = {
         SELECT w AS window_no, hi - CAST((w - 1) * 28 + 27 AS INTEGER) AS test_start,
                hi - CAST((w - 1) * 28 AS INTEGER) AS test_end
         FROM (SELECT max(date) AS hi FROM modeling), range(1, 6) r(w)""",
+    "lines_fit": """
+        SELECT window_no, regr_slope(sales, lag_7) AS slope, regr_intercept(sales, lag_7) AS intercept
+        FROM windows JOIN modeling ON date < test_start GROUP BY window_no""",
+    "whole_fit": """
+        SELECT regr_slope(sales, lag_7) AS slope, regr_intercept(sales, lag_7) AS intercept
+        FROM modeling""",
     "fc_hist": """
         SELECT v, store_id, item_id, date, sales,
                row_number() OVER (PARTITION BY v, store_id, item_id ORDER BY date DESC) AS rn,
@@ -197,10 +208,11 @@ CTES = {
                CASE WHEN n % 13 = 0 THEN lower(weekday) ELSE weekday END AS weekday, n FROM calraw""",
     "pricesraw": """
         SELECT store_id, p_type AS item_id, CAST(c.wm_yr_wk AS VARCHAR) AS wm_yr_wk,
-               CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT))
-                 // sum(CAST(l_quantity AS BIGINT)) AS DOUBLE) / 100 AS sell_price
+               CASE WHEN c.wm_yr_wk % 6 <> 0 THEN
+                 CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT))
+                   // sum(CAST(l_quantity AS BIGINT)) AS DOUBLE) / 100 END AS sell_price
         FROM lineitem JOIN stores ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey
-        JOIN cal c ON c.date = CAST(l_shipdate AS DATE) WHERE l_returnflag <> 'R' GROUP BY ALL""",
+        JOIN cal c ON c.date = CAST(l_shipdate AS DATE) GROUP BY store_id, p_type, c.wm_yr_wk""",
     "obs": """
         SELECT series_id, observation_date,
                CASE WHEN series_id = 'UNRATE' AND month(observation_date) = 3 THEN '' ELSE 'x' END
@@ -284,7 +296,7 @@ MONITORING = ("generated_at", "model_name", "model_version", "feature_set_name",
               "forecast_series_count")
 
 
-def _backtest(prediction: str) -> str:
+def _backtest(prediction: str, windows: str = "windows") -> str:
     return f"""
         SELECT CAST(window_no AS INTEGER) AS window_no,
           (SELECT CAST(min(date) AS VARCHAR) FROM modeling WHERE date < test_start)
@@ -296,7 +308,7 @@ def _backtest(prediction: str) -> str:
           count(*) AS test_rows, {d(f'sum(abs({prediction} - sales)) / sum(sales)', 'wmape')},
           {d(f'avg(abs({prediction} - sales))', 'mae')},
           {d(f'sqrt(avg(({prediction} - sales) ** 2))', 'rmse')}
-        FROM windows JOIN modeling ON date BETWEEN test_start AND test_end
+        FROM {windows} JOIN modeling ON date BETWEEN test_start AND test_end
         GROUP BY window_no, test_start"""
 
 
@@ -450,7 +462,8 @@ def build() -> dict[str, str]:
         SELECT store_id, item_id, test_rows, train_rows, {d('scale', 'scale')},
                {d('rmsse', 'rmsse')} FROM rmsse"""
     q["metrics_wrmsse"] = f"""
-        SELECT count(*) AS series_count, {d('sum(rmsse * weight) / sum(weight)', 'wrmsse')}
+        SELECT count(*) AS series_count, {d('sum(rmsse * weight) / sum(weight)', 'wrmsse')},
+               (SELECT count(*) FROM rmsse WHERE rmsse IS NULL) AS undefined_series
         FROM rmsse JOIN (
           SELECT store_id, item_id, sum(CASE WHEN date >= test_start - 28 AND date < test_start
                                         THEN sales ELSE 0 END) AS weight
@@ -479,6 +492,10 @@ def build() -> dict[str, str]:
     q["recursive_rolling_mean"] = _recursive(
         "CASE WHEN len(h) >= 7 THEN (h[-7] + h[-6] + h[-5] + h[-4] + h[-3] + h[-2] + h[-1]) / 7 END")
 
+    q["backtest_linear"] = _backtest(
+        "(intercept + slope * lag_7)", "(SELECT * FROM windows JOIN lines_fit USING (window_no))")
+    q["recursive_linear"] = _recursive(
+        "((SELECT intercept FROM whole_fit) + (SELECT slope FROM whole_fit) * h[-7])")
     q["forecast_rows"] = f"{FORECAST_ROWS} FROM forecasts"
     q["forecast_horizon_overwrite"] = f"""
         , old AS (SELECT * FROM forecasts WHERE model_version <> '3'),
@@ -512,12 +529,10 @@ def build() -> dict[str, str]:
                substr(repeat(props, 600), 1, 5000) AS message
         FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
 
-    q["dq_calendar"] = """
-        SELECT count(*) AS rows, 14 AS cols, '' AS missing_required_columns, 0 AS pk_nulls,
-               TRUE AS pk_unique, 0 AS date_nulls, 0 AS date_parse_failures,
-               0 AS weekday_invalid_count, 0 AS wm_yr_wk_nulls,
-               TRUE AS date_monotonic_non_decreasing, TRUE AS passed FROM calraw"""
-    q["dq_calendar_faults"] = """
+    calendar_check = """
+        SELECT *, pk_nulls + date_nulls + date_parse_failures + weekday_invalid_count
+                  + wm_yr_wk_nulls = 0 AND pk_unique
+                  AND coalesce(date_monotonic_non_decreasing, TRUE) AS passed FROM (
         SELECT count(*) AS rows, 14 AS cols, '' AS missing_required_columns,
                count(*) FILTER (d IS NULL) AS pk_nulls,
                count(DISTINCT d) = count(*) AS pk_unique, count(*) FILTER (date IS NULL) AS date_nulls,
@@ -525,9 +540,12 @@ def build() -> dict[str, str]:
                count(*) FILTER (weekday NOT IN ('Monday', 'Tuesday', 'Wednesday', 'Thursday',
                  'Friday', 'Saturday', 'Sunday')) AS weekday_invalid_count,
                count(*) FILTER (wm_yr_wk IS NULL) AS wm_yr_wk_nulls,
-               CASE WHEN count(*) FILTER (try_cast(date AS DATE) IS NULL) = 0 THEN TRUE END
-                 AS date_monotonic_non_decreasing,
-               FALSE AS passed FROM dirtycal"""
+               CASE WHEN count(*) FILTER (try_cast(date AS DATE) IS NULL) = 0 THEN
+                 count(*) FILTER (try_cast(date AS DATE) < before) = 0 END
+                 AS date_monotonic_non_decreasing
+        FROM (SELECT *, try_cast(lag(date) OVER (ORDER BY n) AS DATE) AS before FROM {}))"""
+    q["dq_calendar"] = calendar_check.format("calraw")
+    q["dq_calendar_faults"] = calendar_check.format("dirtycal")
     q["dq_calendar_order"] = """
         SELECT count(*) AS rows, coalesce(count(*) FILTER (date < before), 0) = 0
                AS date_monotonic_non_decreasing
@@ -542,7 +560,9 @@ def build() -> dict[str, str]:
                count(*) FILTER (price IS NULL) AS sell_price_nulls,
                count(*) FILTER (try_cast(price AS DOUBLE) IS NULL) AS sell_price_non_numeric,
                count(*) FILTER (try_cast(price AS DOUBLE) <= 0) AS sell_price_non_positive"""
-    q["dq_sell_prices"] = price_check + """, TRUE AS passed
+    q["dq_sell_prices"] = price_check + """,
+               sell_price_nulls + sell_price_non_numeric + sell_price_non_positive + pk_any_nulls = 0
+                 AND pk_unique AS passed
         FROM (SELECT *, CAST(sell_price AS VARCHAR) AS price FROM pricesraw)"""
     q["dq_sell_prices_faults"] = price_check + """, FALSE AS passed
         FROM (SELECT store_id, item_id,
@@ -555,12 +575,12 @@ def build() -> dict[str, str]:
         SELECT (SELECT count(DISTINCT id) FROM fact) AS rows,
                6 + (SELECT max(n) FROM cal) AS cols, '' AS missing_required_columns, 0 AS pk_nulls,
                TRUE AS pk_unique, (SELECT max(n) FROM cal) AS d_column_count,
-               10 AS d_columns_sampled,
-               10 * (SELECT count(DISTINCT id) FROM fact)
-                 - (SELECT count(*) FROM sales WHERE n <= 10) AS d_non_numeric_in_sample,
-               0 AS d_negative_in_sample,
-               10 * (SELECT count(DISTINCT id) FROM fact)
-                 = (SELECT count(*) FROM sales WHERE n <= 10) AS passed"""
+               (SELECT max(n) FROM cal) AS d_columns_sampled,
+               (SELECT max(n) FROM cal) * (SELECT count(DISTINCT id) FROM fact)
+                 - (SELECT count(*) FROM sales) AS d_non_numeric_in_sample,
+               (SELECT count(*) FROM sales WHERE sales < 0) AS d_negative_in_sample,
+               (SELECT max(n) FROM cal) * (SELECT count(DISTINCT id) FROM fact)
+                 = (SELECT count(*) FROM sales) AS passed"""
     q["dq_macro"] = """
         SELECT series_id, '' AS missing_top_level_keys, '' AS missing_series_metadata_keys,
                '' AS missing_ingestion_metadata_keys, observation_count,
@@ -581,9 +601,15 @@ def build() -> dict[str, str]:
                  AS passed
         FROM weather GROUP BY state_id"""
     q["dq_trends"] = """
-        SELECT keyword, count(*) AS rows, '' AS missing_required_columns, 0 AS date_nulls,
-               0 AS keyword_nulls, 0 AS feature_name_nulls, keyword AS interest_column_name,
-               0 AS interest_nulls, 0 AS interest_negative_count, TRUE AS passed
+        SELECT keyword, count(*) AS rows, '' AS missing_required_columns,
+               count(*) FILTER (trend_date IS NULL) AS date_nulls,
+               count(*) FILTER (keyword IS NULL) AS keyword_nulls,
+               count(*) FILTER (feature_name IS NULL) AS feature_name_nulls,
+               keyword AS interest_column_name,
+               count(*) FILTER (interest_value IS NULL) AS interest_nulls,
+               count(*) FILTER (interest_value < 0) AS interest_negative_count,
+               count(*) FILTER (trend_date IS NULL OR keyword IS NULL OR feature_name IS NULL
+                 OR interest_value IS NULL OR interest_value < 0) = 0 AS passed
         FROM trends GROUP BY keyword"""
 
     q["contract_grain_unique"] = f"""
@@ -594,6 +620,19 @@ def build() -> dict[str, str]:
         GROUP BY ALL HAVING count(*) > 1"""
     q["contract_sales_non_negative"] = f"""
         SELECT store_id, item_id, {t('date', 'date')}, sales FROM priced WHERE sales < 0"""
+    lines = """FROM lineitem JOIN stores ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey
+        JOIN cal c ON c.date = CAST(l_shipdate AS DATE)"""
+    q["contract_grain_faults"] = f"""
+        SELECT store_id, p_type AS item_id, {t('date', 'date')}, count(*) AS row_count {lines}
+        GROUP BY store_id, p_type, date HAVING count(*) > 1"""
+    q["contract_price_key_faults"] = f"""
+        SELECT store_id, p_type AS item_id, wm_yr_wk, count(DISTINCT l_returnflag) AS n {lines}
+        GROUP BY store_id, p_type, wm_yr_wk HAVING count(DISTINCT l_returnflag) > 1"""
+    q["contract_sales_faults"] = f"""
+        SELECT store_id, p_type AS item_id, {t('date', 'date')},
+               CAST(sum(CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END
+                        * CAST(l_quantity AS BIGINT)) AS BIGINT) AS sales {lines}
+        GROUP BY store_id, p_type, date HAVING sales < 0"""
     q["contract_price_coverage"] = f"""
         SELECT count(*) AS total_rows, count(*) FILTER (sell_price IS NULL) AS null_prices,
                {d('avg(CAST(sell_price IS NULL AS INTEGER))', 'null_share')} FROM priced
@@ -609,6 +648,22 @@ def build() -> dict[str, str]:
         _not_null("prices", "silver_sell_prices",
                   ("store_id", "item_id", "wm_yr_wk", "sell_price")),
         _not_null("sales", "silver_sales", (*IDS.split(", "), "d", "date", "sales")),
+        _not_null("priced", "silver_sales_with_prices",
+                  ("id", "item_id", "store_id", "d", "date", "wm_yr_wk", "sales")),
+        _not_null("(SELECT state_id AS location_id, state_id, date AS weather_date FROM weather)",
+                  "silver_weather_daily", ("location_id", "state_id", "weather_date")),
+        _not_null("mart", "silver_sales_with_weather",
+                  ("id", "item_id", "store_id", "state_id", "d", "date", "sales")),
+        _not_null("macro", "silver_macro_series", ("series_id", "feature_name", "observation_date")),
+        _not_null("macroday", "silver_macro_daily_aligned", ("date", "feature_name")),
+        _not_null("trends", "silver_trends_interest", ("feature_name", "trend_date")),
+        _not_null("(SELECT * FROM trends JOIN salesdates ON date = trend_date)",
+                  "silver_trends_daily_aligned", ("date", "feature_name")),
+        _not_null("mart", "silver_sales_with_external_features",
+                  ("id", "item_id", "store_id", "state_id", "d", "date", "sales")),
+        _not_null("mart", "gold_training_daily_with_weather", ("store_id", "item_id", "date", "sales")),
+        _not_null("mart", "gold_feature_mart", ("id", "item_id", "store_id", "date", "sales")),
+        _not_null("monitoring", "forecast_run_monitoring", MONITORING),
         _not_null("priced", "gold_training_daily",
                   ("store_id", "item_id", "date", "wm_yr_wk", "sales")),
         _not_null("freshness", "latest_forecast_freshness",
@@ -642,7 +697,7 @@ def build() -> dict[str, str]:
                {d('100.0 * count(*) FILTER (sales = 0) / count(*)', 'zero_sales_pct')}
         FROM (SELECT s.store_id, coalesce(f.sales, 0) AS sales
               FROM (SELECT DISTINCT store_id, item_id FROM fact) s
-              CROSS JOIN (SELECT date FROM cal WHERE n > (SELECT max(n) FROM cal) - 90) c
+              CROSS JOIN (SELECT date FROM cal) c
               LEFT JOIN fact f ON f.store_id = s.store_id AND f.item_id = s.item_id
                 AND f.date = c.date) GROUP BY store_id"""
     q["eda_series_per_store"] = """

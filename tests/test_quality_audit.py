@@ -86,8 +86,8 @@ def test_sell_price_rules(spark):
 def test_wide_sales_rules(spark):
     ids = "id string, item_id string, dept_id string, cat_id string, store_id string, state_id string"
 
-    def run(schema, *rows):
-        return quality.wide_sales_checks(spark.createDataFrame(list(rows), schema)).first()
+    def run(schema, *rows, sample=None):
+        return quality.wide_sales_checks(spark.createDataFrame(list(rows), schema), sample).first()
 
     meta = ("a", "i", "e", "c", "s", "t")
     assert run(ids + ", d_1 string, d_x string", (*meta, "3", "x")).passed
@@ -96,7 +96,10 @@ def test_wide_sales_rules(spark):
     none = run(ids, meta)
     assert none.d_column_count == 0 and none.d_non_numeric_in_sample is None and not none.passed
     many = ids + "".join(f", d_{i} string" for i in range(12))
-    assert run(many, (*meta, *["1"] * 10, "x", "-1")).passed  # only ten are sampled
+    row = (*meta, *["1"] * 10, "x", "-1")
+    every = run(many, row)
+    assert (every.d_non_numeric_in_sample, every.d_negative_in_sample, every.passed) == (1, 1, False)
+    assert run(many, row, sample=10).passed
 
 
 META = {"source_name": "s", "provider": "p", "schema_version": "v1", "ingest_date": "2024-01-01"}

@@ -67,7 +67,9 @@ def test_profiles(spark):
     assert n.null_sell_price == 100 and n.null_trends_walmart == 0
     c = [r.feature for r in reports.target_correlation(mart, ("sell_price",)).collect()]
     assert c == ["sell_price"]
-    assert reports.sample_rows(mart, 7).count() == 7
+    chosen = {(r.store_id, r.item_id) for r in reports.sample_rows(mart, 2).collect()}
+    again = {(r.store_id, r.item_id) for r in reports.sample_rows(mart.orderBy(F.rand()), 2).collect()}
+    assert chosen == again and reports.sample_rows(mart, 1).count() == 100
     assert reports.target_profile(mart).first().zero_sales_rows == 10
 
 

@@ -57,6 +57,21 @@ def test_untouched_partitions_keep_their_files(spark, tmp_path):
     assert before == set(glob.glob(f"{tmp_path}/forecasts/forecast_date=2024-06-01/*.parquet"))
 
 
+def test_undated_rows_stop_the_overwrite_before_any_change(spark, tmp_path):
+    table = ForecastTable(spark, str(tmp_path / "forecasts"))
+    days = [dt.date(2024, 1, n) for n in range(1, 11)]
+    full = [(d, 1, "S", "I", 1.0, "m", "1", "f", dt.datetime(2024, 1, 1)) for d in days]
+    table.overwrite(spark.createDataFrame(full, S.FORECAST_TABLE))
+    bad = [(days[2], 1, "S", "I", 2.0, "m", "2", "f", dt.datetime(2024, 1, 2)),
+           (None, 2, "S", "I", 2.0, "m", "2", "f", dt.datetime(2024, 1, 2))]
+    with pytest.raises(Exception, match="no forecast_date"):
+        table.overwrite(spark.createDataFrame(bad, S.FORECAST_TABLE))
+    assert table.read().count() == 10 and {r.prediction for r in table.read().collect()} == {1.0}
+    for _ in range(2):  # the same batch twice
+        table.overwrite(spark.createDataFrame(bad[:1], S.FORECAST_TABLE))
+        assert sorted(r.prediction for r in table.read().collect()) == [1.0] * 9 + [2.0]
+
+
 def test_empty_batch_is_an_error(spark, tmp_path):
     table = ForecastTable(spark, str(tmp_path / "forecasts"))
     with pytest.raises(ValueError, match="empty"):

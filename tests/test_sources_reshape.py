@@ -48,7 +48,8 @@ def test_reordered_header_fails(spark, tmp_path):
 def test_wide_sales_unpivot(spark, root, tmp_path):
     wide = landing.read_wide_sales(spark, retail(root, "sales_train_validation.csv"))
     assert reshape.wide_sales_to_long(wide, None).count() == 4 * 150
-    long = reshape.wide_sales_to_long(wide)
+    assert reshape.wide_sales_to_long(wide).count() == 4 * 150
+    long = reshape.wide_sales_to_long(wide, 90)
     assert long.count() == 4 * 90 and long.select("d").distinct().count() == 90
     assert long.where("d = 'd_60'").count() == 0
     odd = tmp_path / "odd.csv"
