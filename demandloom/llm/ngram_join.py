@@ -9,7 +9,10 @@ Candidates
     shingles.  The coordinates of a point are cut into d + 1 parts (d for the
     largest set of a size class), so a linked pair has the same counts in one
     part at least.  Sets with the same counts in a part form a leaf block of the
-    index; whatever is not in one block cannot be linked.
+    index; whatever is not in one block cannot be linked.  Parts are matched by a
+    64-bit key.  A task sends one set for each key of a chunk of texts, packed by
+    bucket of the key; the other members that the chunk knows go the direct way, so
+    a key that a third of all sets have is one entry per chunk.
 Within a block
     The least member is compared with all others.  What that leaves in different
     components goes through an R-tree of the block's points: rectangles of
@@ -32,12 +35,14 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.llm import tokens as T
 from demandloom.llm.common import narrow, slices, stage
 from demandloom.llm.components import components
+from demandloom.llm.packing import bucket_bounds, pack, unpack
 
 #: Coordinates of a point, and of a part of the finer count vector.
 GROUPS, PART_GROUPS = 64, 4096
@@ -46,7 +51,13 @@ CLASS_RATIO = Fraction(13, 10)
 #: Members of a tile of a block, points of a rectangle.
 TILE, LEAF = 1024, 16
 
-SIGNED = ("doc_id long, n_shingles long, set_a long, set_b long, point binary, keys array<long>")
+#: Text bytes per chunk that a task works on, and per bucket of part keys.
+CHUNK_BYTES, BUCKET_BYTES = 12 << 20, 8 << 20
+
+SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, point binary"
+KEYED = "bucket long, keys binary, owners binary, sets binary, n int"
+_KEYED = pa.schema([("bucket", pa.int64()), ("keys", pa.binary()), ("owners", pa.binary()), ("sets", pa.binary()),
+                    ("n", pa.int32())])
 
 
 def size_classes(similarity: Fraction, top: int) -> list[tuple[int, int, int]]:
@@ -103,23 +114,79 @@ def text_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     return T.distinct(*T.shingles(words, words.hashes(), size))
 
 
-def _sign(batches: Iterator[pa.RecordBatch], size: int, similarity: Fraction) -> Iterator[pa.RecordBatch]:
+def set_sums(doc: np.ndarray, value: np.ndarray, n: int, salt: np.uint64) -> np.ndarray:
+    """A hash of each text's set that does not depend on order."""
+    sums = np.zeros(n, np.uint64)
+    np.add.at(sums, doc, T.mix(value ^ salt))
+    return sums
+
+
+def _sign(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         n = batch.num_rows
         doc, value = text_sets(batch.column(1), size)
         sizes = np.bincount(doc, minlength=n)
         point = np.bincount(doc * GROUPS + (value >> np.uint64(58)).astype(np.int64), minlength=n * GROUPS)
-        sums = np.zeros((2, n), np.uint64)
-        np.add.at(sums[0], doc, T.mix(value ^ T.BASE))
-        np.add.at(sums[1], doc, T.mix(value ^ T.WINDOW_BASE))
-        owner, keys = part_keys(doc, value, sizes, similarity)
-        offsets = np.searchsorted(owner, np.arange(n + 1)).astype(np.int32)
-        points = point.astype("<u4").reshape(n, GROUPS)
+        sums = [set_sums(doc, value, n, salt) for salt in (T.BASE, T.WINDOW_BASE)]
+        points = [p.astype("u1" if p.max(initial=0) < 256 else "<u4") for p in point.reshape(n, GROUPS)]
         yield pa.RecordBatch.from_pydict({
             "doc_id": batch.column(0), "n_shingles": pa.array(sizes, pa.int64()),
             "set_a": pa.array(sums[0].view(np.int64)), "set_b": pa.array(sums[1].view(np.int64)),
-            "point": pa.array([p.tobytes() for p in points], pa.binary()),
-            "keys": pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.view(np.int64)))})
+            "point": pa.array([p.tobytes() for p in points], pa.binary())})
+
+
+def _chunk_keys(batch: pa.RecordBatch, size: int, similarity: Fraction) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (key, set) pairs of a chunk, ordered by key, then set."""
+    keys, sets = [], []
+    for part in slices(iter([batch])):
+        doc, value = text_sets(part.column(1), size)
+        owner, key = part_keys(doc, value, np.bincount(doc, minlength=part.num_rows), similarity)
+        keys.append(key)
+        sets.append(set_sums(doc, value, part.num_rows, T.BASE)[owner])
+    return T.distinct(np.concatenate(keys), np.concatenate(sets))
+
+
+def _emit_keys(batches: Iterator[pa.RecordBatch], size: int, similarity: Fraction,
+               buckets: int) -> Iterator[pa.RecordBatch]:
+    task = TaskContext.get().partitionId() if TaskContext.get() else 0
+    for number, batch in enumerate(slices(batches, CHUNK_BYTES)):
+        key, owner = _chunk_keys(batch, size, similarity)
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
+        times = np.diff(np.append(np.flatnonzero(new), len(key)))
+        shared = np.repeat(times > 1, times)
+        rows = [{"bucket": buckets + (task << 24) + number, "keys": key[shared].tobytes(), "owners": None,
+                 "sets": owner[shared].tobytes(), "n": int(shared.sum())}]
+        key, owner = key[new], owner[new]
+        cut = np.searchsorted(key, bucket_bounds(buckets))
+        for b in range(buckets):
+            k, o = key[cut[b]:cut[b + 1]], owner[cut[b]:cut[b + 1]]
+            if len(k):
+                sets, at = np.unique(o, return_inverse=True)
+                kind = np.uint16 if len(sets) <= 1 << 16 else np.uint32
+                rows.append({"bucket": b, "keys": pack(k), "owners": at.astype(kind).tobytes(),
+                             "sets": sets.tobytes(), "n": len(k)})
+        for i in range(0, len(rows), 64):
+            yield pa.RecordBatch.from_pylist(rows[i:i + 64], _KEYED)
+
+
+def _blocks(table: pa.Table) -> pa.Table:
+    """(key, set) of the keys that several sets of a bucket have; a chunk's own finds as they are."""
+    key, owner = [], []
+    for r in table.to_pylist():
+        sets = np.frombuffer(r["sets"], np.uint64)
+        if r["owners"] is None:
+            key.append(np.frombuffer(r["keys"], np.uint64))
+            owner.append(sets)
+        else:
+            kind = np.uint16 if len(r["owners"]) == 2 * r["n"] else np.uint32
+            key.append(unpack(r["keys"], r["n"]))
+            owner.append(sets[np.frombuffer(r["owners"], kind)])
+    key, owner = T.distinct(np.concatenate(key), np.concatenate(owner))
+    several = np.zeros(len(key), bool)
+    several[1:] |= key[1:] == key[:-1]
+    several[:-1] |= key[1:] == key[:-1]
+    return pa.table({"block": pa.array(key[several].view(np.int64)), "set": pa.array(owner[several].view(np.int64))})
 
 
 def enough(overlap: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, similarity: Fraction) -> np.ndarray:
@@ -128,7 +195,13 @@ def enough(overlap: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, similarity: Fr
 
 
 def _points(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(-1, GROUPS).astype(np.int64)
+    """Points as rows of numbers; counts under 256 are kept as bytes."""
+    rows = column.to_pylist()
+    out = np.zeros((len(rows), GROUPS), np.int64)
+    for kind in ("u1", "<u4"):
+        on = [i for i, r in enumerate(rows) if len(r) == GROUPS * np.dtype(kind).itemsize]
+        out[on] = np.frombuffer(b"".join(rows[i] for i in on), kind).reshape(-1, GROUPS)
+    return out
 
 
 def _bound(batches: Iterator[pa.RecordBatch], similarity: Fraction) -> Iterator[pa.RecordBatch]:
@@ -218,20 +291,20 @@ def similar_groups(docs: DataFrame, size: int = 5, similarity: float | Fraction
     similarity = Fraction(str(similarity)) if isinstance(similarity, float) else Fraction(similarity)
     no_id = F.lit(-(1 << 63))
     texts = narrow(docs, id_col, text_col).withColumn("doc_id", F.coalesce("doc_id", no_id))
-    signed = stage(texts.mapInArrow(lambda b: _sign(b, size, similarity), SIGNED), "ngram-signed")
+    signed = stage(texts.mapInArrow(lambda b: _sign(b, size), SIGNED), "ngram-signed")
     by_set = ["set_a", "set_b", "n_shingles"]
     sets = stage(signed.where("n_shingles > 0").groupBy(*by_set).agg(
         F.min("doc_id").alias("id"), F.first("point").alias("point")), "ngram-sets")
 
     # Leaf blocks: sets with the same counts in a part.
-    first = signed.select("doc_id", *by_set, "keys").join(
-        sets.select(*[F.col(c).alias(f"{c}_") for c in by_set], "id"),
-        (F.col("doc_id") == F.col("id")) & (F.col("set_a") == F.col("set_a_"))
-        & (F.col("set_b") == F.col("set_b_")) & (F.col("n_shingles") == F.col("n_shingles_")))
-    keyed = first.select("id", F.explode(F.array_distinct("keys")).alias("key"))
-    blocks = keyed.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead < last")
-    blocks = stage(blocks.select(F.col("key").alias("block"), "lead"), "ngram-blocks")
-    members = stage(keyed.join(blocks, F.col("key") == F.col("block")).where("id > lead").select(
+    amount = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(1, -(-amount // BUCKET_BYTES))
+    found = texts.mapInArrow(lambda b: _emit_keys(b, size, similarity, buckets), KEYED).groupBy(
+        "bucket").applyInArrow(_blocks, "block long, set long")
+    in_blocks = stage(found.join(sets.select("set_a", "id"), F.col("set") == F.col("set_a")).select(
+        "block", "id").distinct(), "ngram-in-blocks")
+    leads = in_blocks.groupBy("block").agg(F.min("id").alias("lead")).select(F.col("block").alias("of"), "lead")
+    members = stage(in_blocks.join(leads, F.col("block") == F.col("of")).where("id > lead").select(
         "block", "lead", "id"), "ngram-members")
 
     points = sets.select("id", F.col("n_shingles").alias("n"), "point")

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from demandloom.llm import tokens as T
 from demandloom.llm.common import narrow, slices, stage
+from demandloom.llm.packing import bucket_bounds, pack, unpack
 
 CHUNK_BYTES = 12 << 20
 #: Text bytes per bucket of values; about a million windows of usual words.
@@ -49,25 +50,6 @@ _ARROW = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("hashes", pa
                     ("n", pa.int32())])
 
 
-def pack(values: np.ndarray) -> bytes:
-    """Sorted 64-bit values as differences of six bytes, or of eight if one is too
-    large for that; the first difference is the first value."""
-    steps = np.diff(values, prepend=np.uint64(0))
-    wide = steps[1:].max(initial=0) >> np.uint64(48)
-    head = values[:1].tobytes()
-    raw = steps[1:].view(np.uint8).reshape(-1, 8)
-    return head + (raw if wide else raw[:, :6]).tobytes()
-
-
-def unpack(data: bytes, n: int) -> np.ndarray:
-    raw = np.zeros((n, 8), np.uint8)
-    raw[0] = np.frombuffer(data, np.uint8, 8)
-    if n > 1:
-        body = np.frombuffer(data, np.uint8, offset=8).reshape(n - 1, -1)
-        raw[1:, :body.shape[1]] = body
-    return np.cumsum(raw.view(np.uint64).ravel(), dtype=np.uint64)
-
-
 def window_hashes(words: T.Words, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all windows of a slice, text after text, and their number per text."""
     runs = np.maximum(words.counts - window + 1, 0)
@@ -105,7 +87,7 @@ def _chunk_rows(batch: pa.RecordBatch, chunk: int, window: int, buckets: int) ->
     # Of the others only the smallest id's windows travel: all of them, as a text may
     # hold one several times.
     value, at = value[owner == least], at[owner == least]
-    cut = np.searchsorted(value, _bounds(buckets))
+    cut = np.searchsorted(value, bucket_bounds(buckets))
     for b in range(buckets):
         v, w = value[cut[b]:cut[b + 1]], at[cut[b]:cut[b + 1]]
         if not len(v):
@@ -121,12 +103,6 @@ def _width(n_windows: int) -> int:
     return 3 if n_windows <= 1 << 24 else 4
 
 
-def _bounds(buckets: int) -> np.ndarray:
-    """First value of each bucket, and an end beyond all values but the last."""
-    step = (1 << 64) // buckets
-    return np.array([i * step for i in range(buckets)] + [(1 << 64) - 1], np.uint64)
-
-
 def _emit(batches: Iterator[pa.RecordBatch], window: int, buckets: int) -> Iterator[pa.RecordBatch]:
     task = TaskContext.get().partitionId() if TaskContext.get() else 0
     for number, batch in enumerate(slices(batches, CHUNK_BYTES)):

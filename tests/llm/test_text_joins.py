@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from demandloom.llm import components, decontaminate, ngram_join, substring_dedup
+from demandloom.llm import components, decontaminate, ngram_join, packing, substring_dedup
 from demandloom.llm import tokens as T
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -84,7 +84,7 @@ def test_repeats_edges(spark):
 def test_packed_values_round_trip():
     for values in ([5], [0, 0, 1 << 63, (1 << 64) - 1], list(range(7, 5000, 3))):
         v = np.array(values, np.uint64)
-        assert (substring_dedup.unpack(substring_dedup.pack(v), len(v)) == v).all()
+        assert (packing.unpack(packing.pack(v), len(v)) == v).all()
 
 
 def groups_by_hand(rows, size, similarity):
