@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Vectors of a stripe, queries of a block, vectors bounded at a time.
-STRIPE, QUERY_BLOCK, STEP = 16_384, 2_048, 1_024
+STRIPE, QUERY_BLOCK, STEP = 16_384, 1_024, 1_024
 #: Segments of each level, coarse to fine.
 LEVELS = (4, 16)
 
@@ -73,11 +73,19 @@ def segment_statistics(x: np.ndarray, segments: int) -> np.ndarray:
     return np.stack(parts, axis=1) if parts else np.zeros((len(x), 1))
 
 
-def _exact(q: np.ndarray, v: np.ndarray, qi: np.ndarray, vi: np.ndarray, top: float) -> np.ndarray:
-    """Inner products of pairs of rows in whole numbers."""
-    if top < 2 ** 53:  # doubles hold all sums exactly
-        return np.einsum("ij,ij->i", q[qi].astype(float), v[vi].astype(float)).astype(np.int64)
-    return np.einsum("ij,ij->i", q[qi], v[vi])
+#: Pairs of rows that are gathered at a time.
+PAIRS = 1 << 15
+
+
+def _products(a: np.ndarray, b: np.ndarray, ai: np.ndarray, bi: np.ndarray) -> np.ndarray:
+    """Inner products of pairs of rows: of all rows if most pairs are asked for, else
+    of pairs gathered piece by piece, so that memory stays bounded."""
+    if len(ai) * 4 > len(a) * len(b):
+        return (a @ b.T)[ai, bi]
+    out = np.empty(len(ai), a.dtype)
+    for k in range(0, len(ai), PAIRS):
+        out[k:k + PAIRS] = np.einsum("ij,ij->i", a[ai[k:k + PAIRS]], b[bi[k:k + PAIRS]])
+    return out
 
 
 def search_block(qids: np.ndarray, q: np.ndarray, vids: np.ndarray, v: np.ndarray, k: int) -> Iterator[tuple]:
@@ -86,6 +94,9 @@ def search_block(qids: np.ndarray, q: np.ndarray, vids: np.ndarray, v: np.ndarra
     top = float(np.abs(q).max(initial=0)) * float(np.abs(v).max(initial=0)) * max(width, 1)
     levels = [s for s in LEVELS if s <= width] or [1]
     qs = [segment_statistics(q.astype(float), s) for s in levels]
+    # Doubles hold all sums exactly below 2**53, and multiply faster.
+    whole = np.float64 if top < 2 ** 53 else np.int64
+    q = q.astype(whole)
     slack = 1e-9 * (top + 1)
     best = np.full((nq, 0), -np.inf)
     kept: list[tuple[np.ndarray, ...]] = []
@@ -94,21 +105,15 @@ def search_block(qids: np.ndarray, q: np.ndarray, vids: np.ndarray, v: np.ndarra
     for first in range(0, len(v), STEP):
         at = order[first:first + STEP]
         bar = best.min(axis=1) if best.shape[1] == k else np.full(nq, -np.inf)
-        alive = None
-        for stats, segments in zip(qs, levels):
-            vs = segment_statistics(v[at].astype(float), segments)
-            if alive is None:
-                qi, vi = np.nonzero(stats @ vs.T >= (bar - slack)[:, None])
-                alive = True
-            elif len(qi) * 4 > nq * len(at):  # most are left: one product is cheaper
-                keep = (stats @ vs.T)[qi, vi] >= (bar - slack)[qi]
-                qi, vi = qi[keep], vi[keep]
-            else:
-                keep = np.einsum("ij,ij->i", stats[qi], vs[vi]) >= (bar - slack)[qi]
-                qi, vi = qi[keep], vi[keep]
+        some = v[at].astype(float)
+        qi, vi = np.nonzero(qs[0] @ segment_statistics(some, levels[0]).T >= (bar - slack)[:, None])
+        for stats, segments in zip(qs[1:], levels[1:]):
+            keep = _products(stats, segment_statistics(some, segments), qi, vi) >= (bar - slack)[qi]
+            qi, vi = qi[keep], vi[keep]
         own = qids[qi] != vids[at[vi]]
-        qi, vi = qi[own], at[vi[own]]
-        score = _exact(q, v, qi, vi, top)
+        qi, vi = qi[own], vi[own]
+        score = _products(q, v[at].astype(whole), qi, vi).astype(np.int64)
+        vi = at[vi]
         good = score >= bar[qi]
         kept.append((qi[good], vi[good], score[good]))
         qi, vi, score = (np.concatenate(x) for x in zip(*kept))
