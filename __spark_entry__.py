@@ -28,11 +28,14 @@ from demandloom.operators import (  # noqa: E402
     asof, audit, backtest, baselines, contracts, extract, features, gold, models, monitoring,
     quality, recursion, reports, reshape, silver, splits,
 )
+from demandloom.plans import prediction, refresh  # noqa: E402
 from demandloom.plans.training import modeling_frame  # noqa: E402
 from demandloom.session import scratch_path  # noqa: E402
-from demandloom.sinks.forecasts import overwrite_horizon  # noqa: E402
-from demandloom.sinks.tables import refresh_path  # noqa: E402
-from demandloom.sources import landing  # noqa: E402
+from demandloom.sinks import snapshots as published  # noqa: E402
+from demandloom.sinks.forecasts import ForecastTable, overwrite_horizon  # noqa: E402
+from demandloom.sinks.tables import refresh_path, write_extract  # noqa: E402
+from demandloom.sources import landing, snapshots  # noqa: E402
+from demandloom.sources.order_landing import land  # noqa: E402
 from demandloom.sources.order_tables import OrderTables  # noqa: E402
 
 SMALLEST = "/root/testdata/sf0.001"
@@ -122,6 +125,53 @@ def _asof_window(t: OrderTables) -> DataFrame:
         "observation_value")
 
 
+# -- round trips through landed files and sinks -------------------------------
+
+
+def _landed(name: str, columns: Sequence[str] | None = None) -> Query:
+    """A Silver table built from the landed files."""
+    def build(t: OrderTables) -> DataFrame:
+        table = refresh.build_silver(refresh.staging(t.spark, land(t)))[name]
+        return table.select(*columns) if columns else table
+    return _on(build)
+
+
+def _landed_gates(t: OrderTables) -> DataFrame:
+    out = None
+    for name, report in refresh.quality_reports(t.spark, land(t)).items():
+        part = report.select(F.lit(name).alias("dataset"), "passed")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _table_roundtrip(t: OrderTables) -> DataFrame:
+    """Three batches through the forecast sink, each overwriting its horizon."""
+    table = ForecastTable(t.spark, scratch_path(t.spark, "forecast-table"))
+    for version in ("1", "2", "3"):
+        table.overwrite(t.forecasts.where(F.col("model_version") == version))
+    return table.read()
+
+
+def _snapshot_roundtrip(t: OrderTables) -> DataFrame:
+    root = scratch_path(t.spark, "snapshot")
+    prediction.export_snapshot(t.forecasts, root, "20240131T040500Z")
+    rows, label = snapshots.read_with_fallback(
+        t.spark, f"{published.latest_path(root, t.spark)}/{published.ROWS}", None, S.FORECAST_TABLE)
+    return rows.withColumn("read_from", F.lit(label))
+
+
+def _extract_roundtrip(t: OrderTables) -> DataFrame:
+    path = scratch_path(t.spark, "extract")
+    write_extract(extract.training_extract(t.stored_mart, None), path, rows_per_file=25_000)
+    return landing.read_extract(t.spark, path)
+
+
+def _mart_roundtrip(t: OrderTables) -> DataFrame:
+    path = scratch_path(t.spark, "loaded-mart")
+    t.stored_mart.write.parquet(path)
+    return landing.load_mart(t.spark, path)
+
+
 # -- models -------------------------------------------------------------------
 
 
@@ -385,6 +435,18 @@ def _retail_queries() -> dict[str, Query]:
         "date_chunks": _on(_date_chunks),
         "sales_date_range": _on(lambda t: silver.sales_date_range(t.sales_raw, t.calendar)),
         "dedup_keep_last": _on(_dedup),
+        # landed files and sinks, there and back
+        "landed_silver_calendar": _landed("silver_calendar"),
+        "landed_silver_prices": _landed("silver_sell_prices"),
+        "landed_silver_sales": _landed("silver_sales"),
+        "landed_silver_weather": _landed("silver_weather_daily", WEATHER_COLUMNS),
+        "landed_silver_macro_series": _landed("silver_macro_series", MACRO_COLUMNS),
+        "landed_silver_trends": _landed("silver_trends_interest", TRENDS_COLUMNS),
+        "landed_gates": _on(_landed_gates),
+        "forecast_table_roundtrip": _on(_table_roundtrip),
+        "snapshot_roundtrip": _on(_snapshot_roundtrip),
+        "extract_roundtrip": _on(_extract_roundtrip),
+        "mart_roundtrip": _on(_mart_roundtrip),
         # alignment and joins
         "asof_macro_daily": _on(lambda t: t.macro_aligned),
         "asof_macro_window": _on(_asof_window),

@@ -1,10 +1,15 @@
-"""Publish dashboard snapshots: versioned history first, then latest."""
+"""Publish dashboard snapshots: versioned history, and a pointer to the latest run."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+_POINTER = "run_id string, published_at string"
 
 # Dataset names inside a snapshot.
 FRESHNESS, MONITORING, ROWS, METADATA = (
@@ -15,10 +20,26 @@ def history_path(root: str, run_id: str) -> str:
     return f"{root.rstrip('/')}/history/{run_id}"
 
 
-def latest_path(root: str) -> str:
+def pointer_path(root: str) -> str:
     return f"{root.rstrip('/')}/latest"
 
 
+def latest_path(root: str, spark: SparkSession) -> str:
+    """Folder of the newest published run, or of none: the pointer names it.
+
+    Each publication adds one line to the pointer's folder; the last run by its
+    time of publication counts.
+    """
+    try:
+        rows = spark.read.schema(_POINTER).json(pointer_path(root))
+        newest = rows.orderBy(F.desc("published_at"), F.desc("run_id")).head()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        newest = None
+    return history_path(root, newest["run_id"]) if newest else f"{history_path(root, 'none')}"
+
+
 def _write(frames: Mapping[str, DataFrame], metadata: DataFrame, base: str) -> None:
     for name, df in frames.items():
         df.write.mode("overwrite").parquet(f"{base}/{name}")
@@ -28,17 +49,17 @@ def _write(frames: Mapping[str, DataFrame], metadata: DataFrame, base: str) -> N
 
 def publish(frames: Mapping[str, DataFrame], metadata: DataFrame, root: str, run_id: str,
             cache: str | None = None) -> None:
-    """Cache, then history, then latest.
+    """History first, then the cache as a copy of it, then the pointer to the new run.
 
-    Latest is copied from the stored history, so the queries run once per
-    target that is not a copy, and a failed run never touches latest.
+    The queries run once.  Readers see the whole previous run or the whole new one:
+    the pointer is a single small file, written last, and a failed run never gets there.
     """
     spark = metadata.sparkSession
     target = history_path(root, run_id)
     _write(frames, metadata, target)
-    stored = {name: spark.read.schema(df.schema).parquet(f"{target}/{name}")
-              for name, df in frames.items()}
-    stored_metadata = spark.read.schema(metadata.schema).json(f"{target}/{METADATA}")
     if cache:
-        _write(stored, stored_metadata, cache)
-    _write(stored, stored_metadata, latest_path(root))
+        stored = {name: spark.read.schema(df.schema).parquet(f"{target}/{name}")
+                  for name, df in frames.items()}
+        _write(stored, spark.read.schema(metadata.schema).json(f"{target}/{METADATA}"), cache)
+    now = datetime.now(timezone.utc).isoformat()
+    spark.createDataFrame([(run_id, now)], _POINTER).coalesce(1).write.mode("append").json(pointer_path(root))

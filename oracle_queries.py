@@ -361,6 +361,24 @@ def build() -> dict[str, str]:
             FROM (SELECT DISTINCT {IDS} FROM fact) s CROSS JOIN (SELECT d, date, n FROM cal) c
             LEFT JOIN fact f ON f.store_id = s.store_id AND f.item_id = s.item_id
               AND f.date = c.date WHERE {keep}"""
+    q["landed_silver_calendar"], q["landed_silver_prices"] = q["silver_calendar"], q["silver_prices"]
+    q["landed_silver_weather"], q["landed_silver_trends"] = q["silver_weather"], q["silver_trends"]
+    q["landed_silver_macro_series"] = q["silver_macro_series"]
+    q["landed_silver_sales"] = f"""
+        SELECT s.*, c.d, {t('c.date', 'date')}, CAST(coalesce(f.sales, 0) AS INTEGER) AS sales
+        FROM (SELECT DISTINCT {IDS} FROM fact) s CROSS JOIN (SELECT d, date FROM cal) c
+        LEFT JOIN fact f ON f.store_id = s.store_id AND f.item_id = s.item_id AND f.date = c.date"""
+    q["landed_gates"] = """
+        SELECT 'calendar' AS dataset, count(*) = count(DISTINCT d) AS passed FROM calraw
+        UNION ALL SELECT 'sell_prices', count(*) FILTER (sell_price IS NULL OR sell_price <= 0) = 0
+          FROM pricesraw
+        UNION ALL SELECT 'sales_train_validation', (SELECT max(n) FROM cal)
+          * (SELECT count(DISTINCT id) FROM fact) = (SELECT count(*) FROM sales)
+        UNION ALL SELECT 'weather_daily', count(*) FILTER (precipitation_sum < 0
+          OR wind_speed_10m_max < 0) = 0 FROM weather
+        UNION ALL SELECT 'macro_series', count(*) FILTER (observation_date IS NULL) = 0 FROM macro
+        UNION ALL SELECT 'trends_interest_over_time', count(*) FILTER (interest_value IS NULL
+          OR interest_value < 0) = 0 FROM trends"""
     q["flatten_weather_documents"] = q["silver_weather"]
     q["flatten_macro_documents"] = q["silver_macro_series"]
     q["normalise_keyword_files"] = q["silver_trends"]
@@ -410,6 +428,7 @@ def build() -> dict[str, str]:
         {top('bounded', 100)}"""
     q["training_extract_all_series"] = f"""
         {MART_ROWS} FROM mart WHERE date > (SELECT max(date) - 365 FROM mart)"""
+    q["extract_roundtrip"], q["mart_roundtrip"] = q["training_extract_all_series"], f"{MART_ROWS} FROM mart"
     q["series_totals"] = """
         SELECT store_id, item_id, CAST(sum(sales) AS BIGINT) AS total_sales FROM sales GROUP BY ALL"""
 
@@ -504,6 +523,12 @@ def build() -> dict[str, str]:
           SELECT * FROM old WHERE forecast_date NOT BETWEEN (SELECT min(forecast_date) FROM new)
             AND (SELECT max(forecast_date) FROM new)
           UNION ALL SELECT * FROM new)"""
+    q["forecast_table_roundtrip"] = f"""
+        , ends AS (SELECT model_version AS v, min(forecast_date) AS lo, max(forecast_date) AS hi
+                   FROM forecasts GROUP BY ALL)
+        {FORECAST_ROWS} FROM forecasts f WHERE NOT EXISTS (
+          SELECT 1 FROM ends WHERE v > f.model_version AND forecast_date BETWEEN lo AND hi)"""
+    q["snapshot_roundtrip"] = f"{FORECAST_ROWS}, 'latest' AS read_from FROM latest"
     q["forecast_run_monitoring"] = f"SELECT {_columns(MONITORING, (), RUN_TEXTS)} FROM monitoring"
     q["forecast_freshness"] = f"""
         SELECT {_columns([*MONITORING, 'forecast_horizon_days'], (), RUN_TEXTS)} FROM freshness"""

@@ -124,7 +124,7 @@ def test_publish_and_read_back(spark, tmp_path):
     root, cache = str(tmp_path / "snap"), str(tmp_path / "cache")
     forecasts = batch(spark, span(1, 5), 2.0).unionByName(batch(spark, span(1, 5), 3.0, item="B"))
     prediction.export_snapshot(forecasts, root, "20240601T040000Z", cache)
-    base = publish.latest_path(root)
+    base = publish.latest_path(root, spark)
     fresh, label = snapshots.read_with_fallback(
         spark, f"{base}/{publish.FRESHNESS}", cache, snapshots.FRESHNESS_SCHEMA)
     row = fresh.first()
