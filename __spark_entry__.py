@@ -225,6 +225,21 @@ def _wrmsse(t: OrderTables) -> DataFrame:
     return M.wrmsse(per_series, weights).withColumn("undefined_series", undefined)
 
 
+def _backtest_wrmsse(t: OrderTables) -> DataFrame:
+    """WRMSSE of the closed-form forecasters in every window of the complete cases."""
+    frame = _modeling(t)
+    lags = {c: F.col(c) for c in frame.columns}
+    scored = frame.select(*S.GRAIN, "sales", F.explode(F.array(*[
+        F.struct(F.lit(name).alias("model_name"), f(lags).cast("double").alias("prediction"))
+        for name, f in baselines.BASELINES.items()])).alias("m")).select(*S.GRAIN, "sales", "m.*")
+    return backtest.window_wrmsse(scored, t.stored_sales, frame.agg(F.max("date")).scalar())
+
+
+def _ranking_wrmsse(t: OrderTables) -> DataFrame:
+    grid = _backtest_wrmsse(t).withColumn("feature_set_name", F.lit(S.DEFAULT_FEATURE_SET))
+    return backtest.rank_candidates(grid, metric="wrmsse")
+
+
 def _recursive(forecaster: baselines.ExpressionForecaster) -> Query:
     return _on(lambda t: recursion.forecast_expression(t.unpriced, forecaster))
 
@@ -489,6 +504,8 @@ def _retail_queries() -> dict[str, Query]:
         "ablation_grid": _on(lambda t: backtest.ablation_grid(t.features), WINDOW),
         "ablation_ranking": _on(
             lambda t: backtest.rank_candidates(backtest.ablation_grid(t.features))),
+        "backtest_wrmsse": _on(_backtest_wrmsse, WINDOW),
+        "ranking_wrmsse": _on(_ranking_wrmsse),
         "backtest_linear": _on(_backtest_linear, WINDOW),
         "recursive_linear": _on(_recursive_linear),
         "backtest_gbt": _backtest_model(SMALL_BOOSTING),

@@ -113,6 +113,52 @@ def backtest_model(
               "wmape double, mae double, rmse double")
 
 
+def window_wrmsse(
+    scored: DataFrame, history: DataFrame, newest: Column, config: BacktestConfig = BacktestConfig(),
+) -> DataFrame:
+    """(model_name, window, series_count, undefined_series, wrmsse), the primary metric.
+
+    ``scored`` has model_name, the series keys, day, actual and prediction of any
+    rows; those of the test windows count.  Scale and weight come from ``history``
+    before each window: its mean squared first difference, and the sales of the
+    last horizon before the window.  One pass sums the history by series and
+    window number; a series has at most n_windows + 2 of these sums, and a window
+    folds the older ones.  A series with fewer than two rows or no scale is counted
+    as undefined and takes no part in the mean.
+    """
+    n, h, keys = config.n_windows, config.horizon_days, list(S.SERIES_KEYS)
+    day, target = F.col(config.date_column), F.col(config.target_column).cast("double")
+
+    def number(top: int) -> Column:
+        return F.least(F.floor(F.datediff(newest, day) / h) + 1, F.lit(top)).cast("int")
+
+    step = target - F.lag(target).over(Window.partitionBy(*keys).orderBy(day))
+    parts = history.select(*keys, number(n + 2).alias("part"), target.alias("y"), (step * step).alias("sq")).groupBy(
+        *keys, "part").agg(F.sum("sq").alias("sq"), F.count("sq").alias("steps"), F.count(F.lit(1)).alias("rows"),
+                           F.sum("y").alias("y"))
+    per_series = parts.groupBy(*keys).agg(F.collect_list(F.struct("part", "sq", "steps", "rows", "y")).alias("p"))
+
+    def total(field: str, of) -> Column:
+        return F.aggregate(F.filter("p", of), F.lit(0.0), lambda a, x: a + F.coalesce(x[field].cast("double"), F.lit(0.0)))
+
+    def older(x: Column) -> Column:
+        return x["part"] > F.col("window")
+
+    known = per_series.select(*keys, "p", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("window")).select(
+        *keys, "window", (total("sq", older) / F.nullif(total("steps", older), F.lit(0.0))).alias("scale"),
+        total("rows", older).alias("rows"),
+        total("y", lambda x: x["part"] == F.col("window") + 1).alias("weight"))
+    error = F.col("prediction").cast("double") - target
+    mse = scored.withColumn("window", number(n + 1)).where(F.col("window").between(1, n)).groupBy(
+        "model_name", "window", *keys).agg(F.avg(error * error).alias("mse"))
+    value = F.when((F.col("rows") >= 2) & (F.col("scale") > 0), F.sqrt(F.col("mse") / F.col("scale")))
+    joined = mse.join(known, [*keys, "window"], "left").withColumn("rmsse", value)
+    weight = F.sum(F.when(F.col("rmsse").isNotNull(), F.col("weight")))
+    return joined.groupBy("model_name", "window").agg(
+        F.count("rmsse").alias("series_count"), F.count_if(F.col("rmsse").isNull()).alias("undefined_series"),
+        (F.sum(F.col("rmsse") * F.col("weight")) / F.nullif(weight, F.lit(0.0))).alias("wrmsse"))
+
+
 def mean_metrics(result: DataFrame) -> DataFrame:
     """Averages over the windows of one backtest."""
     return result.agg(

@@ -162,6 +162,24 @@ CTES = {
         SELECT w AS window_no, hi - CAST((w - 1) * 28 + 27 AS INTEGER) AS test_start,
                hi - CAST((w - 1) * 28 AS INTEGER) AS test_end
         FROM (SELECT max(date) AS hi FROM modeling), range(1, 6) r(w)""",
+    "wrmsse": """
+        SELECT model_name, window_no, count(rmsse) AS series_count,
+               count(*) FILTER (rmsse IS NULL) AS undefined_series,
+               sum(rmsse * weight) / sum(weight) FILTER (rmsse IS NOT NULL) AS wrmsse
+        FROM (SELECT model_name, window_no, weight,
+                     CASE WHEN train_rows >= 2 AND scale > 0 THEN sqrt(mse / scale) END AS rmsse
+              FROM (SELECT window_no, store_id, item_id, m.model_name, avg((m.p - sales) ** 2) AS mse
+                    FROM (SELECT *, unnest([{'model_name': 'naive_lag_1', 'p': lag_1},
+                                            {'model_name': 'seasonal_naive_lag_7', 'p': lag_7},
+                                            {'model_name': 'rolling_mean_7', 'p': rolling_mean_7}]) AS m
+                          FROM modeling) JOIN windows ON date BETWEEN test_start AND test_end GROUP BY ALL)
+              LEFT JOIN (
+                SELECT window_no, store_id, item_id, count(*) AS train_rows, avg(step ** 2) AS scale,
+                       coalesce(sum(sales) FILTER (date >= test_start - 28), 0) AS weight
+                FROM (SELECT *, CAST(sales AS DOUBLE) - lag(sales) OVER (
+                        PARTITION BY store_id, item_id ORDER BY date) AS step FROM sales), windows
+                WHERE date < test_start GROUP BY ALL) USING (window_no, store_id, item_id))
+        GROUP BY ALL""",
     "lines_fit": """
         SELECT window_no, regr_slope(sales, lag_7) AS slope, regr_intercept(sales, lag_7) AS intercept
         FROM windows JOIN modeling ON date < test_start GROUP BY window_no""",
@@ -504,6 +522,22 @@ def build() -> dict[str, str]:
                beats = windows AS beats_baselines,
                CAST(row_number() OVER (ORDER BY round(a, 9), feature_set_name, model_name) AS INTEGER) AS rank
         FROM summary"""
+    q["backtest_wrmsse"] = f"""
+        SELECT model_name, CAST(window_no AS INTEGER) AS window_no, series_count, undefined_series,
+               {d('wrmsse', 'wrmsse')} FROM wrmsse"""
+    q["ranking_wrmsse"] = f"""
+        , summary AS (
+          SELECT model_name, count(*) AS windows, avg(wrmsse) AS a, stddev_samp(wrmsse) AS s,
+                 max(wrmsse) AS m, count(*) FILTER (wrmsse < low) AS beats
+          FROM wrmsse LEFT JOIN (
+            SELECT window_no, min(wrmsse) AS low FROM wrmsse
+            WHERE model_name IN ('seasonal_naive_lag_7', 'rolling_mean_7') GROUP BY ALL) b
+          USING (window_no) GROUP BY ALL)
+        SELECT 'calendar_lag_rolling_baseline' AS feature_set_name, model_name, windows,
+               {d('a', 'avg_wrmsse')}, {d('s', 'std_wrmsse')}, {d('m', 'worst_wrmsse')},
+               beats AS windows_beating_baselines, beats = windows AS beats_baselines,
+               CAST(row_number() OVER (ORDER BY round(a, 9), model_name) AS INTEGER) AS rank
+        FROM summary"""
     q["recursive_seasonal_naive"] = f"""
         SELECT store_id, item_id, {t('forecast_date', 'forecast_date')}, forecast_step,
                {d('prediction', 'prediction')} FROM latest"""

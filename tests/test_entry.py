@@ -19,7 +19,10 @@ SPREAD = (
     "training_extract", "features_price", "modeling_dataset_full_feature_set",
     "rolling_splits_summary", "metrics_rmsse", "ablation_ranking", "recursive_rolling_mean",
     "forecast_horizon_overwrite", "dq_calendar_faults", "dq_suite_rollup", "dq_weather",
-    "eda_distribution", "daily_trend_dod", "audit_latest_state",
+    "eda_distribution", "daily_trend_dod", "audit_latest_state", "backtest_linear", "backtest_wrmsse",
+    "ranking_wrmsse", "recursive_linear", "contract_columns", "contract_grain_faults", "contract_sales_faults",
+    "contract_price_key_faults", "dq_sales_wide", "eda_store_sparsity", "eda_profile", "landed_gates",
+    "landed_silver_sales", "forecast_table_roundtrip", "snapshot_roundtrip", "metrics_wrmsse",
 )
 pytestmark = pytest.mark.skipif(not os.path.isdir(ROOT), reason="no test tables")
 
