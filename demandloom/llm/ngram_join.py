@@ -14,8 +14,8 @@ Candidates
     bucket of the key; the other members that the chunk knows go the direct way, so
     a key that a third of all sets have is one entry per chunk.
 Within a block
-    The least member is compared with all others.  What that leaves in different
-    components goes through an R-tree of the block's points: rectangles of
+    Each set is compared with the least set that it shares a block with.  What that
+    leaves in different components goes through an R-tree of the block's points: rectangles of
     similar points, whose summed minima discard whole rectangles of pairs, then
     single pairs.  Blocks with many members are dealt out as pairs of tiles.
 Verification
@@ -304,20 +304,19 @@ def similar_groups(docs: DataFrame, size: int = 5, similarity: float | Fraction
     in_blocks = stage(found.join(sets.select("set_a", "id"), F.col("set") == F.col("set_a")).select(
         "block", "id").distinct(), "ngram-in-blocks")
     leads = in_blocks.groupBy("block").agg(F.min("id").alias("lead")).select(F.col("block").alias("of"), "lead")
-    members = stage(in_blocks.join(leads, F.col("block") == F.col("of")).where("id > lead").select(
-        "block", "lead", "id"), "ngram-members")
 
     points = sets.select("id", F.col("n_shingles").alias("n"), "point")
     side = lambda x: points.select(
         F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("point").alias(f"p{x}"))
-    probes = members.select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
+    probes = in_blocks.join(leads, F.col("block") == F.col("of")).groupBy(F.col("id").alias("b")).agg(
+        F.min("lead").alias("a")).where("a < b")
     probes = probes.join(side("a"), "a").join(side("b"), "b").mapInArrow(
         lambda b: _bound(b, similarity), "a long, b long")
     edges = stage(_linked(probes, texts, size, similarity), "ngram-edges")
 
     # What the least members did not bring together.
     known = stage(components(edges), "ngram-known")
-    placed = members.join(known, F.col("id") == F.col("node"), "left").select(
+    placed = in_blocks.join(known, F.col("id") == F.col("node"), "left").select(
         "block", "id", F.coalesce("component", "id").alias("comp"))
     open_blocks = stage(placed.groupBy("block").agg(
         F.count(F.lit(1)).alias("m"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where(
