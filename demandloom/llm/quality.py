@@ -162,10 +162,10 @@ def train(measured: DataFrame, labels: DataFrame, learn: Column, label_col: str
 
     Positives are rows with label 1, unlabelled those without a label.  The prior
     is the share of 1 among all labelled learning rows, kept within 0.01 and 0.99;
-    labels of 0 serve nothing else.
+    labels of 0 serve nothing else.  Of several labels of one id the highest counts.
     """
-    marks = labels.where(F.col(label_col).isNotNull()).select(
-        F.col("doc_id").alias("labelled"), F.col(label_col).cast("int").alias("label")).dropDuplicates(["labelled"])
+    marks = labels.where(F.col(label_col).isNotNull()).groupBy(F.col("doc_id").alias("labelled")).agg(
+        F.max(F.col(label_col).cast("int")).alias("label"))
     rows = measured.where(learn).join(marks.hint("merge"), F.col("doc_id") == F.col("labelled"), "left").select(
         "doc_id", "x", "label")
     rows = stage(rows, "quality-rows")
