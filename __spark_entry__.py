@@ -481,6 +481,8 @@ def _retail_queries() -> dict[str, Query]:
         "top_series_subset": _on(lambda t: extract.top_series_subset(t.stored_mart, 20)),
         "training_extract": _on(lambda t: extract.training_extract(t.stored_mart, 100)),
         "training_extract_all_series": _on(lambda t: extract.training_extract(t.stored_mart, None)),
+        "series_key_counts": _on(lambda t: t.sales.groupBy(
+            X.key_text("store_id", "item_id").alias("series_key")).agg(F.count(F.lit(1)).alias("n"))),
         "series_totals": _on(lambda t: extract.series_totals(t.sales)),
         # features
         "features_lag_rolling": _on(lambda t: _cols(

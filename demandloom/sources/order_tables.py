@@ -402,11 +402,6 @@ class OrderTables:
             _STORED[key] = write_mart(self.mart, scratch_path(self.spark, "mart"))
         return _STORED[key]
 
-    @cached_property
-    def stored_priced(self) -> DataFrame:
-        """The priced fact as a stored table, for uses that read it repeatedly."""
-        return self._stored("priced", self.priced)
-
     @cached_property
     def features(self) -> DataFrame:
         return features.build_features(self.mart)

@@ -447,6 +447,8 @@ def build() -> dict[str, str]:
     q["training_extract_all_series"] = f"""
         {MART_ROWS} FROM mart WHERE date > (SELECT max(date) - 365 FROM mart)"""
     q["extract_roundtrip"], q["mart_roundtrip"] = q["training_extract_all_series"], f"{MART_ROWS} FROM mart"
+    q["series_key_counts"] = """
+        SELECT store_id || '|' || item_id AS series_key, count(*) AS n FROM sales GROUP BY ALL"""
     q["series_totals"] = """
         SELECT store_id, item_id, CAST(sum(sales) AS BIGINT) AS total_sales FROM sales GROUP BY ALL"""
 
