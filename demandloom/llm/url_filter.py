@@ -7,7 +7,6 @@ URLs that no rule fits.  All of it is DataFrame operations and Spark's own trees
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
