@@ -8,14 +8,14 @@ Candidates
     A pair of similarity s differs in at most d = (1 - s) / (1 + s) * (|x| + |y|)
     shingles.  The coordinates of a point are cut into d + 1 parts (d for the
     largest set of a size class), so a linked pair has the same counts in one
-    part at least.  Sets with the same counts in a part form a leaf block of the
+    part at least (in several, as there are some parts to spare).  Sets with the same counts in a part form a leaf block of the
     index; whatever is not in one block cannot be linked.  Parts are matched by a
     64-bit key.  A task sends one set for each key of a chunk of texts, packed by
     bucket of the key; the other members that the chunk knows go the direct way, so
     a key that a third of all sets have is one entry per chunk.
 Within a block
-    Each set is compared with the least set that it shares a block with.  What that
-    leaves in different components goes through an R-tree of the block's points: rectangles of
+    Each set is compared with one other first: of the least members of its blocks the
+    one it shares most blocks with.  What that leaves in different components goes through an R-tree of the block's points: rectangles of
     similar points, whose summed minima discard whole rectangles of pairs, then
     single pairs.  Blocks with many members are dealt out as pairs of tiles.
 Verification
@@ -60,24 +60,35 @@ _KEYED = pa.schema([("bucket", pa.int64()), ("keys", pa.binary()), ("owners", pa
                     ("n", pa.int32())])
 
 
-def size_classes(similarity: Fraction, top: int) -> list[tuple[int, int, int]]:
-    """(least size, largest size, parts) of the classes up to size ``top``."""
+def size_classes(similarity: Fraction, top: int) -> list[tuple[int, int, int, int]]:
+    """(least size, largest size, parts, spare parts) of the classes up to size ``top``.
+
+    Of ``parts`` at most parts - spare - 1 can differ between linked sets, so at
+    least spare + 1 are alike.
+    """
     ratio, share = max(CLASS_RATIO, 1 / similarity), 2 * (1 - similarity) / (1 + similarity)
     out, low = [], 1
     while low <= top / similarity:
         after = max(low + 1, int(low * ratio))
-        out.append((low, after - 1, int(share * (after - 1)) + 1))
+        differ = int(share * (after - 1))
+        spare = 3 + differ * 8 // 100
+        out.append((low, after - 1, differ + 1 + spare, spare))
         low = after
     return out
 
 
 def part_keys(doc: np.ndarray, value: np.ndarray, sizes: np.ndarray,
               similarity: Fraction) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, key) of every part of every text, in the class of its size and
-    in those of larger sets that it could be linked with."""
+    """(text number, key) of the parts of every text, in the class of its size and in
+    those of larger sets that it could be linked with.
+
+    Empty parts say nothing and are left out, unless a set has more of them than
+    there are spare parts: linked sets whose parts alike are all empty both have
+    that many, so none is missed.
+    """
     classes = size_classes(similarity, int(sizes.max(initial=1)))
     low = np.array([c[0] for c in classes])
-    parts = np.array([c[2] for c in classes])
+    parts, spare = (np.array([c[k] for c in classes]) for k in (2, 3))
     own = np.searchsorted(low, sizes, "right") - 1
     docs, keys, step = [], [], 0
     reach = np.array([-(-low_c * similarity.numerator // similarity.denominator) for low_c in low.tolist()])
@@ -95,11 +106,15 @@ def part_keys(doc: np.ndarray, value: np.ndarray, sizes: np.ndarray,
         group = part * np.uint64(PART_GROUPS) + (v >> np.uint64(44)) % np.uint64(PART_GROUPS)
         sums = np.zeros(int(width.sum()), np.uint64)
         np.add.at(sums, first[d] + part.astype(np.int64), T.mix(group + np.uint64(1)))
+        filled = np.zeros(len(sums), bool)
+        filled[first[d] + part.astype(np.int64)] = True
         owner = np.repeat(np.arange(len(sizes)), width)
+        empty = np.bincount(owner[~filled], minlength=len(sizes))
+        filled |= (empty > spare[np.minimum(cls, len(classes) - 1)])[owner]
         place = (np.arange(len(sums)) - first[owner]).astype(np.uint64)
         salt = T.mix((np.where(on, cls, 0)[owner].astype(np.uint64) << np.uint64(32)) + place)
-        docs.append(owner)
-        keys.append(T.mix(sums ^ salt))
+        docs.append(owner[filled])
+        keys.append(T.mix(sums ^ salt)[filled])
         step += 1
     if not docs:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
@@ -308,8 +323,10 @@ def similar_groups(docs: DataFrame, size: int = 5, similarity: float | Fraction
     points = sets.select("id", F.col("n_shingles").alias("n"), "point")
     side = lambda x: points.select(
         F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("point").alias(f"p{x}"))
-    probes = in_blocks.join(leads, F.col("block") == F.col("of")).groupBy(F.col("id").alias("b")).agg(
-        F.min("lead").alias("a")).where("a < b")
+    shared = in_blocks.join(leads, F.col("block") == F.col("of")).where("lead < id").groupBy("id", "lead").agg(
+        F.count(F.lit(1)).alias("n"))
+    probes = shared.groupBy(F.col("id").alias("b")).agg(
+        F.max_by("lead", F.struct("n", -F.col("lead"))).alias("a"))
     probes = probes.join(side("a"), "a").join(side("b"), "b").mapInArrow(
         lambda b: _bound(b, similarity), "a long, b long")
     edges = stage(_linked(probes, texts, size, similarity), "ngram-edges")
