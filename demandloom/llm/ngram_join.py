@@ -7,17 +7,19 @@ minima of two points bound the overlap of their sets from above.
 Candidates
     A pair of similarity s differs in at most d = (1 - s) / (1 + s) * (|x| + |y|)
     shingles.  The coordinates of a point are cut into d + 1 parts (d for the
-    largest set of a size class), so a linked pair has the same counts in one
-    part at least (in several, as there are some parts to spare).  Sets with the same counts in a part form a leaf block of the
-    index; whatever is not in one block cannot be linked.  Parts are matched by a
-    64-bit key.  A task sends one set for each key of a chunk of texts, packed by
+    largest set of a size class) and some to spare, so a linked pair has the same
+    counts in several parts.  Sets with the same counts in a part that is not empty
+    form a leaf block of the index; whatever is not in one block cannot be linked
+    (``part_keys`` says what becomes of empty parts).  Parts are matched by a 64-bit
+    key.  A task sends one set for each key of a chunk of texts, packed by
     bucket of the key; the other members that the chunk knows go the direct way, so
     a key that a third of all sets have is one entry per chunk.
 Within a block
     Each set is compared with one other first: of the least members of its blocks the
-    one it shares most blocks with.  What that leaves in different components goes through an R-tree of the block's points: rectangles of
-    similar points, whose summed minima discard whole rectangles of pairs, then
-    single pairs.  Blocks with many members are dealt out as pairs of tiles.
+    one it shares most blocks with.  What that leaves in different components goes
+    through an R-tree of the block's points: rectangles of similar points, whose
+    summed minima discard whole rectangles of pairs, then single pairs.  Blocks with
+    many members are dealt out as pairs of tiles.
 Verification
     Surviving pairs are compared by their whole texts.
 
