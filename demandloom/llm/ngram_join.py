@@ -47,7 +47,7 @@ from demandloom.llm.components import components
 from demandloom.llm.packing import bucket_bounds, pack, unpack
 
 #: Coordinates of a point, and of a part of the finer count vector.
-GROUPS, PART_GROUPS = 64, 4096
+GROUPS, PART_GROUPS = 256, 4096
 #: Ratio of the bounds of a size class.
 CLASS_RATIO = Fraction(13, 10)
 #: Members of a tile of a block, points of a rectangle.
@@ -143,7 +143,7 @@ def _sign(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
         n = batch.num_rows
         doc, value = text_sets(batch.column(1), size)
         sizes = np.bincount(doc, minlength=n)
-        point = np.bincount(doc * GROUPS + (value >> np.uint64(58)).astype(np.int64), minlength=n * GROUPS)
+        point = np.bincount(doc * GROUPS + (value >> np.uint64(56)).astype(np.int64), minlength=n * GROUPS)
         sums = [set_sums(doc, value, n, salt) for salt in (T.BASE, T.WINDOW_BASE)]
         points = [p.astype("u1" if p.max(initial=0) < 256 else "<u4") for p in point.reshape(n, GROUPS)]
         yield pa.RecordBatch.from_pydict({
@@ -214,7 +214,8 @@ def enough(overlap: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, similarity: Fr
 def _points(column: pa.Array) -> np.ndarray:
     """Points as rows of numbers; counts under 256 are kept as bytes."""
     rows = column.to_pylist()
-    out = np.zeros((len(rows), GROUPS), np.int64)
+    small = all(len(r) == GROUPS for r in rows)
+    out = np.zeros((len(rows), GROUPS), np.uint16 if small else np.int64)
     for kind in ("u1", "<u4"):
         on = [i for i, r in enumerate(rows) if len(r) == GROUPS * np.dtype(kind).itemsize]
         out[on] = np.frombuffer(b"".join(rows[i] for i in on), kind).reshape(-1, GROUPS)
@@ -225,7 +226,7 @@ def _bound(batches: Iterator[pa.RecordBatch], similarity: Fraction) -> Iterator[
     for batch in batches:
         if batch.num_rows:
             get = lambda c: batch.column(batch.schema.get_field_index(c))
-            overlap = np.minimum(_points(get("pa")), _points(get("pb"))).sum(axis=1)
+            overlap = np.minimum(_points(get("pa")), _points(get("pb"))).sum(axis=1, dtype=np.int64)
             keep = enough(overlap, get("na").to_numpy(), get("nb").to_numpy(), similarity)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
@@ -260,14 +261,14 @@ def rtree_pairs(points: np.ndarray, sizes: np.ndarray, side: np.ndarray,
     least = np.minimum.reduceat(sizes[order], heads)
     for k, head in enumerate(heads):
         mine = order[head:head + LEAF]
-        near = np.flatnonzero(enough(np.minimum(tops[k], tops[k:]).sum(axis=1), least[k], least[k:], similarity)) + k
+        near = np.flatnonzero(enough(np.minimum(tops[k], tops[k:]).sum(axis=1, dtype=np.int64), least[k], least[k:], similarity)) + k
         if not len(near):
             continue
         other = np.concatenate([order[heads[x]:heads[x] + LEAF] for x in near])
         i, j = np.repeat(mine, len(other)), np.tile(other, len(mine))
         use = (((side[i] != 1) & (side[j] != 0)) | ((side[i] != 0) & (side[j] != 1))) & (i != j)
         i, j = i[use], j[use]
-        keep = enough(np.minimum(points[i], points[j]).sum(axis=1), sizes[i], sizes[j], similarity)
+        keep = enough(np.minimum(points[i], points[j]).sum(axis=1, dtype=np.int64), sizes[i], sizes[j], similarity)
         yield i[keep], j[keep]
 
 
