@@ -9,7 +9,9 @@
 
 Within the chosen elements, parts that are never the article are left out: menus,
 asides, forms, scripts, and elements whose class or id says advert, comments,
-sharing and the like.
+sharing and the like.  Such a mark on html, body, or on a form or wrapper that is
+the page itself does not count; where marks would leave next to nothing of a page with
+paragraphs, none but the elements that are never the article count.
 """
 
 from __future__ import annotations
@@ -44,11 +46,26 @@ BESIDE = frozenset(
     "widget toolbar pagination pager login signup search copyright disclaimer masthead complementary "
     "contentinfo".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>?|[^<]+|<", re.S)
-_ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?|\"[^\"]*\"|'[^']*'")
+#: First words of classes that tell a state of the page, as in has-sidebar.
+STATES = frozenset("has no with without".split())
+#: A marked container with more than HALF of the page's worth and its heading or main part, or with nearly ALL of
+#: the worth, is the page itself and not a part beside the article.
+HALF, ALL = 0.5, 0.9
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _DIGITS = re.compile(r"\d+")
 
 
+def _worth(text: str, linked: int) -> float:
+    return max(0.0, len(text) - 2.0 * linked) * (1.0 if len(text) >= 40 else 0.3)
+
+
+def _marks(name: str) -> bool:
+    """Whether a word of a class, id or role marks a part beside the article."""
+    parts = [p.lower() for p in _PART.findall(name)]
+    return bool(parts) and parts[0] not in STATES and not BESIDE.isdisjoint(parts)
+
+
 class Page:
     """Containers of one page in order, and its blocks of text with their container."""
 
@@ -56,8 +73,12 @@ class Page:
         self.paths: list[str] = [""]
         self.parent: list[int] = [-1]
         self.beside: list[bool] = [False]
+        self.never: list[bool] = [False]
+        self.marked: list[bool] = [False]  # by a class, id, role, hidden, or a form: own marks only
+        self.heads: set[int] = {0}  # containers of an h1 and main elements
         self.blocks: list[tuple[int, str, int]] = []  # container, text, characters in links
         self._read(source)
+        self._settle()
 
     def _read(self, source: str) -> None:
         stack: list[tuple[str, int]] = [("", 0)]
@@ -95,6 +116,8 @@ class Page:
                 continue
             close_block()
             if name not in CONTAINERS:
+                if name == "h1":
+                    self.heads.add(stack[-1][1])
                 continue
             if m.group(1):
                 for k in range(len(stack) - 1, 0, -1):
@@ -106,28 +129,53 @@ class Page:
         close_block()
 
     def _open(self, parent: int, name: str, attributes: str) -> int:
-        label, beside = name, self.beside[parent] or name in NEVER
-        if attributes.strip():
-            for key, *values in _ATTR.findall(attributes):
-                value, key = "".join(values), key.lower()
-                if key in ("class", "id", "role"):
-                    if key == "class" and value.split():
-                        label = f"{name}.{_DIGITS.sub('#', value.split()[0].lower())}"
-                    beside = beside or not BESIDE.isdisjoint(p.lower() for p in _PART.findall(value))
-                elif key == "hidden" or value == "true":
-                    beside = True
+        label, marked, seen = name, name == "form", set()
+        for key, *values in _ATTR.findall(attributes):
+            value, key = "".join(values), key.lower()
+            if key in seen:  # the first of equal names holds
+                continue
+            seen.add(key)
+            if key in ("class", "id", "role"):
+                if key == "class" and value.split():
+                    label = f"{name}.{_DIGITS.sub('#', value.split()[0].lower())}"
+                marked = marked or any(map(_marks, value.split()))
+            elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
+                marked = True
         self.paths.append(f"{self.paths[parent]}/{label}")
         self.parent.append(parent)
-        self.beside.append(beside)
+        self.marked.append(marked and name not in ("html", "body"))
+        self.never.append(self.never[parent] or (name in NEVER and name != "form"))
+        if name == "main":
+            self.heads.add(len(self.paths) - 1)
         return len(self.paths) - 1
 
+    def _settle(self) -> None:
+        """Which containers lie beside the article: marks of a container that is the page itself do not count."""
+        n = len(self.paths)
+        worth, paragraphs, heads = [0.0] * n, False, [box in self.heads for box in range(n)]
+        for box, text, linked in self.blocks:
+            if not self.never[box]:
+                worth[box] += (value := _worth(text, linked))
+                paragraphs = paragraphs or (len(text) >= 40 and value > 0)
+        own = list(worth)
+        for box in range(n - 1, 0, -1):
+            worth[self.parent[box]] += worth[box]
+            heads[self.parent[box]] = heads[self.parent[box]] or (heads[box] and not self.never[box])
+        self.beside = [False] * n
+        for box in range(1, n):
+            page = worth[box] > (HALF if heads[box] else ALL) * worth[0]
+            self.beside[box] = self.beside[self.parent[box]] or self.never[box] or (self.marked[box] and not page)
+        left = sum(v for v, beside in zip(own, self.beside) if not beside)
+        if paragraphs and left < (1 - ALL) * worth[0]:
+            self.beside = list(self.never)
+
     def best(self) -> tuple[int, float]:
         """The container with the highest score (the first of equal ones), and the score."""
         score: dict[int, float] = defaultdict(float)
         for box, text, linked in self.blocks:
             if self.beside[box]:
                 continue
-            worth = max(0.0, len(text) - 2.0 * linked) * (1.0 if len(text) >= 40 else 0.3)
+            worth = _worth(text, linked)
             score[box] += worth
             if self.parent[box] >= 0:
                 score[self.parent[box]] += worth / 2

@@ -208,6 +208,19 @@ def test_main_text_by_host_path(spark):
     assert html_text.main_text(pages.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("page", [
+    "<html class='no-cookie'><body class='has-sidebar'>{}</body></html>", "<body id='search-page'>{}</body>",
+    "<body><div data-id='ad-5'>{}</div></body>", "<body><div style='overflow:hidden' title='class=ad'>{}</div></body>",
+    "<body><form action=/x id=aspnetForm>{}</form></body>", "<body><div class='layout-widget'>{}</div></body>",
+    "<body><div class='sidebar-page'><div id=cookies>{}</div></div></body>", "<body><div class=with-comments>{}</div></body>",
+    "<body><p>Home</p><div class='widget a'>{}</div></body>"])
+def test_loose_marks_do_not_empty_a_page(page):
+    text = "A paragraph which is long enough to count as text of the article."
+    parts = (f"<div class=text><p>{text}</p><p>{text}</p></div><div class='ad-box'>Buy</div>"
+             "<section id=comments><p>Reader says hello to everyone and this is long.</p></section><div hidden>x</div>")
+    assert html_text.Page(page.format(parts)).extract(None) == f"{text} {text}"
+
+
 # -- language ------------------------------------------------------------------
 
 
