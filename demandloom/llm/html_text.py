@@ -1,11 +1,16 @@
 """Main text of web pages by paths that the pages of a host agree on.
 
 1. Each page's containers are scored by the paragraph text they hold (their own in
-   full, their children's by half), less links; the best one is the page's vote.
+   full, what is n levels below by a 2**n-th), less links; the best one is the page's
+   vote.
 2. A vote names a generalised path: the tags from the root with their first class,
-   digits as "#".  Spark adds the votes up per host; the heaviest path wins.
-3. Each page is extracted again from the elements at its host's winning path; a
-   page that has none falls back to its own best container.
+   digits as "#".  Spark adds the votes up per host; the heaviest path and all with a
+   tenth of the host's votes are kept.
+3. Each page is extracted again from the elements at its host's paths.  Its own best
+   container is added if those hold little beside it.
+4. From there the extraction climbs: the text of ancestors, and of other containers
+   below them, belongs to the article where it has paragraphs or an h1 or h2 and is
+   not mostly links.
 
 Within the chosen elements, parts that are never the article are left out: menus,
 asides, forms, scripts, and elements whose class or id says advert, comments,
@@ -19,7 +24,7 @@ from __future__ import annotations
 import html
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -52,6 +57,8 @@ STATES = frozenset("has no with without".split())
 #: A marked container with more than HALF of the page's worth and its heading or main part, or with nearly ALL of
 #: the worth, is the page itself and not a part beside the article.
 HALF, ALL = 0.5, 0.9
+#: A host's paths are those with at least one vote in so many.
+SHARE = 10
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _DIGITS = re.compile(r"\d+")
 
@@ -75,7 +82,9 @@ class Page:
         self.beside: list[bool] = [False]
         self.never: list[bool] = [False]
         self.marked: list[bool] = [False]  # by a class, id, role, hidden, or a form: own marks only
+        self.tags: list[str] = [""]
         self.heads: set[int] = {0}  # containers of an h1 and main elements
+        self.titles: set[int] = set()  # blocks that are an h1 or h2
         self.blocks: list[tuple[int, str, int]] = []  # container, text, characters in links
         self._read(source)
         self._settle()
@@ -83,13 +92,15 @@ class Page:
     def _read(self, source: str) -> None:
         stack: list[tuple[str, int]] = [("", 0)]
         words: list[str] = []
-        linked, in_link, at, end = 0, False, 0, len(source)
+        linked, in_link, in_title, at, end = 0, False, False, 0, len(source)
 
         def close_block() -> None:
             nonlocal linked
             if words:
                 text = " ".join(html.unescape("".join(words)).split())
                 if text:
+                    if in_title:
+                        self.titles.add(len(self.blocks))
                     self.blocks.append((stack[-1][1], text, linked))
                 words.clear()
             linked = 0
@@ -115,8 +126,9 @@ class Page:
                     in_link = not m.group(1)
                 continue
             close_block()
+            in_title = not m.group(1) and name in ("h1", "h2")
             if name not in CONTAINERS:
-                if name == "h1":
+                if name == "h1" and not m.group(1):
                     self.heads.add(stack[-1][1])
                 continue
             if m.group(1):
@@ -141,6 +153,7 @@ class Page:
                 marked = marked or any(map(_marks, value.split()))
             elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
                 marked = True
+        self.tags.append(name)
         self.paths.append(f"{self.paths[parent]}/{label}")
         self.parent.append(parent)
         self.marked.append(marked and name not in ("html", "body"))
@@ -176,21 +189,63 @@ class Page:
             if self.beside[box]:
                 continue
             worth = _worth(text, linked)
-            score[box] += worth
-            if self.parent[box] >= 0:
-                score[self.parent[box]] += worth / 2
+            while box >= 0 and worth >= 1:
+                score[box] += worth
+                box, worth = self.parent[box], worth / 2
         return min(((box, v) for box, v in score.items()), key=lambda x: (-x[1], x[0]), default=(0, 0.0))
 
-    def text(self, chosen: set[int]) -> str:
-        """Blocks below the chosen containers, without what lies beside the article."""
+    def _inside(self, chosen: set[int]) -> list[bool]:
         inside = [False] * len(self.paths)
         for box, parent in enumerate(self.parent):
             inside[box] = box in chosen or (parent >= 0 and inside[parent])
-        return " ".join(t for box, t, _ in self.blocks if inside[box] and not self.beside[box])
+        return inside
 
-    def extract(self, path: str | None) -> str:
-        chosen = {box for box, p in enumerate(self.paths) if p == path and not self.beside[box]} if path else set()
-        return (chosen and self.text(chosen)) or self.text({self.best()[0]})
+    def text(self, chosen: set[int]) -> str:
+        """Blocks of the article around the chosen containers, without what lies beside it.
+
+        All blocks below the chosen ones; and from above them, where it has paragraphs or titles and is not mostly
+        links: an ancestor's own blocks, and those of whole branches that hold no chosen one.
+        """
+        inside = self._inside(chosen)
+        above = {0} - chosen
+        for box in chosen:
+            while (box := self.parent[box]) >= 0:
+                above.add(box)
+        # The branch of a container outside: the ancestor whose own text it is, or its ancestor just below one.
+        branch, length, linked = list(range(len(self.paths))), defaultdict(int), defaultdict(int)
+        good, titled = set(), False
+        sections = [False] * len(self.paths)
+        for box, parent in enumerate(self.parent):
+            if box not in above and parent >= 0 and parent not in above:
+                branch[box] = branch[parent]
+            sections[box] = self.tags[box] in ("article", "main", "section") or (parent >= 0 and sections[parent])
+        for k, (box, text, links) in enumerate(self.blocks):
+            if self.beside[box]:
+                continue
+            if k in self.titles and (inside[box] or self.tags[branch[box]] != "header"):
+                titled = True
+            if not inside[box]:
+                length[branch[box]] += len(text)
+                linked[branch[box]] += links
+                if k in self.titles or (len(text) >= 40 and 3 * links <= len(text)):
+                    good.add(branch[box])
+        for box in list(good):
+            banner = self.tags[box] == "header" and not sections[box] and titled
+            if banner or 3 * linked[box] > length[box]:
+                good.discard(box)
+        return " ".join(t for box, t, _ in self.blocks
+                        if not self.beside[box] and (inside[box] or branch[box] in good))
+
+    def extract(self, paths: Container[str] | None) -> str:
+        """The article's text by the paths of the page's host."""
+        best, score = self.best()
+        chosen = {box for box, p in enumerate(self.paths) if p in (paths or ()) and not self.beside[box]}
+        if chosen:
+            inside = self._inside(chosen)
+            held = sum(_worth(t, n) for box, t, n in self.blocks if inside[box] and not self.beside[box])
+            if 4 * held >= score and (text := self.text(chosen)):
+                return text
+        return self.text(chosen | {best})
 
 
 def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,7 +272,7 @@ def _ballot(votes: dict[tuple[str, str], float]) -> pa.RecordBatch:
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, text_col="html"):
         get = lambda c: batch.column(batch.schema.get_field_index(c))
-        text = [Page(s).extract(p) for s, p in zip(get("html").to_pylist(), get("path").to_pylist())]
+        text = [Page(s).extract(p) for s, p in zip(get("html").to_pylist(), get("paths").to_pylist())]
         yield pa.RecordBatch.from_pydict({
             "page_id": get("page_id"), "url": get("url"), "text": pa.array(text, pa.string()),
             "n_chars": pa.array(map(len, text), pa.int64())})
@@ -230,11 +285,16 @@ def host_of(url: str) -> Column:
 
 
 def winning_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, path): of each host the path with most votes, the first by name of equal ones."""
+    """(host, paths): of each host the path with most votes, the first by name of equal ones, and all others with at
+    least a ``SHARE``-th of its votes."""
     rows = pages.select(host_of(url_col).alias("host"), F.col(html_col).cast("string").alias("html"))
     votes = rows.mapInArrow(_vote, "host string, path string, votes long")
-    total = votes.groupBy("host", "path").agg(F.sum("votes").alias("votes"))
-    return total.groupBy("host").agg(F.min_by("path", F.struct(-F.col("votes"), "path")).alias("path"))
+    total = stage(votes.groupBy("host", "path").agg(F.sum("votes").alias("votes")), "host-votes")
+    hosts = total.groupBy(F.col("host").alias("of")).agg(
+        F.sum("votes").alias("all_votes"), F.min_by("path", F.struct(-F.col("votes"), "path")).alias("first"))
+    kept = total.join(hosts, F.col("host") == F.col("of")).where(
+        (F.col("path") == F.col("first")) | (F.col("votes") * SHARE >= F.col("all_votes")))
+    return kept.groupBy("host").agg(F.sort_array(F.collect_list("path")).alias("paths"))  # at most SHARE + 1
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -247,5 +307,5 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     paths = stage(winning_paths(pages, url_col, html_col), "host-paths")
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                         F.col(html_col).cast("string").alias("html"), host_of(url_col).alias("page_host"))
-    joined = rows.join(paths, F.col("page_host") == F.col("host"), "left").select("page_id", "url", "html", "path")
+    joined = rows.join(paths, F.col("page_host") == F.col("host"), "left").select("page_id", "url", "html", "paths")
     return joined.mapInArrow(_extract, "page_id long, url string, text string, n_chars long")

@@ -221,6 +221,34 @@ def test_loose_marks_do_not_empty_a_page(page):
     assert html_text.Page(page.format(parts)).extract(None) == f"{text} {text}"
 
 
+LONG, LEAD = "The long body of the article has many sentences that count. " * 9, "A lead of some length opens the page here."
+FRAME = ("<body><header><a href=/>Home</a> Site</header><nav><a href=/>Menu</a></nav>{}<div class=more><a href=/a>{}</a>"
+         "</div><aside>Aside</aside><footer>Imprint</footer></body>").format("{}", "Another page that is linked from here. " * 3)
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<article><h1>Title</h1><p>{lead}</p><div class=body>{long}</div></article>", "Title {lead} {long}"),
+    ("<article><h1>Title</h1><p>{lead}</p><div class=ad>Buy</div><div class=body>{long}</div></article>", "Title {lead} {long}"),
+    ("<div class=intro><p>{lead}</p></div><div class=text><p>{long}</p></div>", "{lead} {long}"),
+    ("<div id=w><h1>Title</h1><div class=a><div class=b><div><p>{lead}</p></div><div><div><p>{long}</p></div></div></div>"
+     "</div></div>", "Title {lead} {long}")])
+def test_whole_articles_of_nested_and_split_layouts(page, want):
+    want = " ".join(want.format(lead=LEAD, long=LONG).split())
+    one = html_text.Page(FRAME.format(page.format(lead=LEAD, long=LONG)))
+    assert one.extract(None) == want and one.extract([one.paths[one.best()[0]]]) == want
+
+
+def test_hosts_with_two_templates(spark):
+    """The second template has an element at the first one's path, too."""
+    first = FRAME.format(f"<div class=main><p>{LONG}</p></div>")
+    second = FRAME.format(f"<div class=main><p>{LEAD}</p></div><div class=story><p>{LONG}</p></div>")
+    rows = [(i, "http://h.x/", second if i % 5 == 0 else first) for i in range(40)]
+    got = {r.page_id: r.text for r in html_text.main_text(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == (f"{LEAD} {LONG}" if i % 5 == 0 else LONG).strip() for i in range(40))
+    assert len(html_text.winning_paths(spark.createDataFrame(rows, "page_id long, url string, html string")).first().paths) == 2
+
+
 # -- language ------------------------------------------------------------------
 
 
