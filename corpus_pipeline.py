@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandloom.llm import decontaminate, language_id, mixing, ngram_join, substring_dedup
-from demandloom.llm.common import stage
+from demandloom.llm.common import row_key, stage
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,25 +16,33 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts linked by five-word shingles at a similarity of 0.8 the least id stays."""
-    groups = ngram_join.similar_groups(docs, size=5, similarity=0.8)
-    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(first.hint("merge"), F.col("doc_id") == F.col("kept_id"), "left_semi")
+    """Of texts linked by five-word shingles at a similarity of 0.8 the least id stays.
+
+    One row of each group stays.  Rows are told apart by all their columns: those of
+    one id and different texts are judged one by one, equal rows are one text.  No id
+    is less than any id; of equal ids the one with the least row key stays.
+    """
+    keyed = docs.withColumn("row_key", row_key(docs.columns))
+    groups = ngram_join.similar_groups(keyed, size=5, similarity=0.8, id_col="row_key").select(
+        F.col("doc_id").alias("key"), "component_id")
+    first = keyed.select("row_key", "doc_id").join(groups, F.col("row_key") == F.col("key")).groupBy(
+        "component_id").agg(F.min(F.struct("doc_id", "row_key"))["row_key"].alias("kept_key"))
+    kept = keyed.join(first.select("kept_key").hint("merge"), F.col("row_key") == F.col("kept_key"), "left_semi")
+    return kept.dropDuplicates(["row_key"]).drop("row_key")
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated passages leave the texts; a text that holds nothing else goes."""
-    left = substring_dedup.remove_repeats(docs, window=50).where(
-        "n_removed = 0 or n_removed < n_words").select(
-        F.col("doc_id").alias("left_id"), "n_removed", F.when(F.col("n_removed") > 0, F.col("kept_text")).alias("kept"))
-    changed = F.col("n_removed") > 0
-    return docs.join(left.hint("merge"), F.col("doc_id") == F.col("left_id")).select(
-        "doc_id", F.when(changed, F.col("kept")).otherwise(F.col("text")).alias("text"), "lang", "source",
-        F.when(changed, F.length("kept").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"))
+    """Repeated passages leave the texts; a text that holds nothing else goes.
+
+    Each row is cut by its own text; see ``substring_dedup.cut_rows`` for rows of one
+    id and rows without an id.
+    """
+    n_chars = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return substring_dedup.cut_rows(docs, window=50).withColumn("n_chars", n_chars).select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts that hold a benchmark item, within a fifth of its words in edits, go."""
+    """Texts that hold a benchmark item, within a fifth of its words in edits, go, each row by its own text."""
     return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 

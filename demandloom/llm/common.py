@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.session import scratch_path
@@ -30,6 +30,11 @@ def narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.col(text_col).cast("string").alias("text"))
 
 
+def row_key(columns: list[str]) -> Column:
+    """A 64-bit hash of the columns that tells rows of one id, and rows without an id, apart; nulls count."""
+    return F.xxhash64(*[c for name in columns for c in (F.isnull(name), F.col(name))])
+
+
 def slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES,
            text_col: str = "text") -> Iterator[pa.RecordBatch]:
     """Batches of whole rows with about ``limit`` bytes of text at most.

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.llm import tokens as T
-from demandloom.llm.common import narrow, slices
+from demandloom.llm.common import narrow, row_key, slices
 
 #: Bytes of items in one pass; more items make more passes over the texts.
 BLOCK_BYTES = 16 << 20
@@ -267,7 +267,12 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = 0.8, rec
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """``docs`` without the texts that hold an item; columns as they are."""
-    id_col = options.get("id_col", "doc_id")
-    found = contaminated(docs, items, **options).select(F.col("doc_id").alias("found_id")).distinct()
-    return docs.join(found, docs[id_col] == found["found_id"], "left_anti")
+    """``docs`` without the texts that hold an item; columns as they are.
+
+    Every row is judged by its own text: rows of one id and rows without an id do not
+    share a verdict.
+    """
+    key = row_key([options.pop("id_col", "doc_id"), options.get("text_col", "text")])
+    found = contaminated(docs.withColumn("row_key", key), items, id_col="row_key", **options)
+    found = found.select(F.col("doc_id").alias("found_key")).distinct()
+    return docs.withColumn("row_key", key).join(found, F.col("row_key") == F.col("found_key"), "left_anti").drop("row_key")

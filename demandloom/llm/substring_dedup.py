@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.llm import tokens as T
-from demandloom.llm.common import narrow, slices, stage
+from demandloom.llm.common import narrow, row_key, slices, stage
 from demandloom.llm.packing import bucket_bounds, pack, unpack
 
 CHUNK_BYTES = 12 << 20
@@ -213,6 +213,37 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from out.to_batches()
 
 
+def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows with what is left of their texts; those of which nothing is left go."""
+    for batch in batches:
+        left = pa.Table.from_batches(list(_cut(iter([batch]))))
+        gone, total = (left.column(c).to_numpy() for c in ("n_removed", "n_words"))
+        kept = left.column("kept_text").to_pylist()
+        at = batch.schema.get_field_index("text")
+        texts = [k if n else t for t, k, n in zip(batch.column(at).to_pylist(), kept, gone)]
+        rows = pa.Table.from_batches([batch.set_column(at, "text", pa.array(texts, pa.string()))])
+        rows = rows.append_column("n_removed", pa.array(gone, pa.int64())).drop_columns(["doc_id", "starts", "ends"])
+        yield from rows.filter(pa.array((gone == 0) | (gone < total))).to_batches()
+
+
+def cut_rows(docs: DataFrame, window: int = 50) -> DataFrame:
+    """``docs`` (doc_id, text and others) without repeated passages, and n_removed; texts that hold nothing else go.
+
+    Each row is cut by its own text.  Rows of one id are one document: neither makes
+    the other repeated.  Rows without an id are documents of their own, told apart by
+    their columns, and come before all ids.
+    """
+    own = F.lit(-(1 << 62)) - F.pmod(row_key(docs.columns), F.lit((1 << 62) - 1))
+    keyed = docs.withColumn("row_id", F.coalesce(F.col("doc_id").cast("long"), own))
+    spans = removal_spans(keyed, window, "row_id").select("doc_id", F.col("mark").alias("of"), "starts", "ends")
+    keyed = keyed.withColumnsRenamed({"doc_id": "own_id"}).withColumn("mark", F.xxhash64("text"))
+    joined = keyed.join(spans.hint("merge"), (F.col("row_id") == F.col("doc_id")) & (F.col("mark") == F.col("of")),
+                        "left").drop("row_id", "mark", "of")
+    types = {f.name: f.dataType.simpleString() for f in docs.schema}
+    schema = ", ".join(f"`{'own_id' if c == 'doc_id' else c}` {t}" for c, t in types.items())
+    return joined.mapInArrow(_cut_rows, schema + ", n_removed long").withColumnRenamed("own_id", "doc_id")
+
+
 def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """What is left of each text: doc_id, n_words, n_removed, kept_text, kept_sha256.

@@ -245,3 +245,39 @@ def test_words_match_the_pattern():
     got = [bytes(w.data[a:b]).decode() for a, b in zip(w.start, w.end)]
     assert got == [x for t in texts for x in WORD.findall(t)]
     assert w.counts.tolist() == [len(WORD.findall(t)) for t in texts]
+
+
+def test_pipeline_stages_with_null_and_repeated_ids(spark):
+    """One row of each group stays, and each row is cut and judged by its own text."""
+    import corpus_pipeline as P
+
+    text = lambda c, n=60: " ".join(f"{c}{i}" for i in range(n))
+    rows = [(None, text("a")), (3, text("a")), (4, text("a") + " x"),  # a group with a null id
+            (None, text("b")), (None, text("c")), (None, None), (None, ""),  # null ids, not linked
+            (5, text("d")), (5, text("d")), (5, text("e")), (6, text("e")), (7, None), (8, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", None if t is None else len(t)) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = P.one_of_each_group(spark, docs, "")
+    assert got.columns == docs.columns
+    key = lambda r: (str(r[0]), str(r[1]))
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=key) == sorted([
+        (None, text("a")), (None, text("b")), (None, text("c")), (None, None), (None, ""), (5, text("d")),
+        (5, text("e")), (7, None), (8, "")], key=key)
+
+    rows = [(None, text("a") + " tail"), (1, "head " + text("a")), (2, text("b")), (2, text("b")), (2, text("c") + " z"),
+            (3, text("c") + " y"), (4, text("b")), (None, None), (5, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", None if t is None else len(t)) for i, t in rows], docs.schema)
+    got = P.cut_repeats(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted(((r.doc_id, r.text, r.n_chars) for r in got.collect()), key=key) == sorted([
+        (None, text("a") + " tail", len(text("a")) + 5), (1, "head", 4), (2, text("b"), len(text("b"))),
+        (2, text("b"), len(text("b"))), (2, text("c") + " z", len(text("c")) + 2), (3, "y", 1), (None, None, None),
+        (5, "", 0)], key=key)
+    two = spark.createDataFrame([(None, text("a") + " p", "en", "s", 1), (None, text("a") + " q", "en", "s", 1)], docs.schema)
+    assert sorted(len(r.text.split()) for r in P.cut_repeats(spark, two, "").collect()) == [1, 61]
+
+    bench = spark.createDataFrame([(1, text("a", 20))], "item_id long, text string")
+    docs = spark.createDataFrame([(None, text("a", 30)), (None, text("b")), (1, text("a")), (1, text("c"))],
+                                 "doc_id long, text string")
+    left = decontaminate.decontaminate(docs, bench)
+    assert left.columns == docs.columns and {(r.doc_id, r.text) for r in left.collect()} == {(None, text("b")), (1, text("c"))}
