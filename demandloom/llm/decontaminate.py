@@ -1,28 +1,21 @@
-"""Benchmark passages inside texts: CGK embedding, bit-sampling LSH, edit distance.
+"""Benchmark passages inside texts: shared runs of words, then word edit distance.
 
 Texts and items are sequences of plain words (runs of ASCII letters, digits and
 other characters beyond ASCII; A-Z in lower case).  An item of m words occurs in a
 text if some passage of it is within ``(1 - similarity) * m`` word edits.
 
-1. The CGK walk turns a sequence into one three times as long: at each step it
-   copies the current word and moves on if a hash of step and word says so.  After
-   an edit two walks soon meet again, so edit distance becomes Hamming distance.
-2. Bit-sampling: a table hashes a few sampled steps of a walk.  Item-sized windows
-   and items that agree in a table are candidates.  The number of tables comes from
-   the target recall and the agreement measured on items with the allowed number
-   of random edits.
-3. Candidates are verified by the exact edit distance of the item to the best
-   passage around the window.
-
-Windows are embedded where they can matter only: a passage within k edits shares
-at least m - q + 1 - k * q runs of q words with its item, so windows that have
-fewer runs in common with every item of their size are left out, which loses
-nothing.
+1. A passage within k edits shares at least m - q + 1 - k * q runs of q words with
+   its item, all within m + k words.  Places of a text that have fewer runs in common
+   with an item are left out, which loses nothing: q is 3, or less where an item of
+   the block would not have to share a run of 3.
+2. All other places are verified by the exact edit distance of the item to the best
+   passage around them.
+
+So every occurrence is found, whatever the lengths of the items are.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,8 +29,8 @@ from demandloom.llm.common import narrow, row_key, slices
 
 #: Bytes of items in one pass; more items make more passes over the texts.
 BLOCK_BYTES = 16 << 20
-#: Words of a run, sampled steps of a table, tables that share a walk, most tables.
-RUN, SAMPLED, SHARE, MOST_TABLES = 3, 2, 8, 64
+#: Words of a run, at most.
+RUN = 3
 
 PAIRS = "doc_id long, item_id long, first_word int, edits int"
 _ARROW = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("first_word", pa.int32()),
@@ -45,7 +38,8 @@ _ARROW = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("first_wor
 
 
 def cgk(seqs: np.ndarray, walk: int) -> np.ndarray:
-    """The embedding of each row of words: three times as many steps, 0 past the end."""
+    """The CGK embedding of each row of words: three times as many steps, 0 past the end.  The search is exact and does
+    without it."""
     n, m = seqs.shape
     padded = np.concatenate([seqs, np.zeros((n, 1), np.uint64)], axis=1)
     at, rows = np.zeros(n, np.int64), np.arange(n)
@@ -58,23 +52,6 @@ def cgk(seqs: np.ndarray, walk: int) -> np.ndarray:
     return out
 
 
-def sampled_steps(m: int, table: int) -> np.ndarray:
-    """Steps of the walk that a table looks at: early ones, as late ones may be past the end."""
-    return np.sort(np.random.default_rng(table * 1009 + m).choice(max(2 * m - 2, SAMPLED), SAMPLED, replace=False))
-
-
-def table_keys(seqs: np.ndarray, tables: int) -> np.ndarray:
-    """Keys of all sequences in all tables: one row per table."""
-    n, m = seqs.shape
-    out = np.zeros((tables, n), np.uint64)
-    for t in range(tables):
-        if t % SHARE == 0:
-            walked = cgk(seqs, t // SHARE)
-        for column in walked[:, sampled_steps(m, t)].T:
-            out[t] = T.mix(out[t] * T.BASE + column)
-    return out
-
-
 def best_passage(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     """(edits, end) of the passage of ``text`` nearest to ``item``, by Sellers' recurrence."""
     row = np.zeros(len(text) + 1, np.int64)
@@ -102,65 +79,34 @@ class Index:
     first: np.ndarray  # owners[first[r]:first[r + 1]] are the items with run r
     owners: np.ndarray
     least: np.ndarray  # runs that a passage shares with each item at least
-    tables: dict[int, list[dict[int, list[int]]]]  # by words of an item
     similarity: float
+    run: int  # words of a run
 
 
-def _agreement(items: list[np.ndarray], similarity: float) -> float:
-    """Measured chance that a sampled step of an edited item equals the item's."""
-    rng, same = np.random.default_rng(5), []
-    for item in items[:64]:
-        m = len(item)
-        copies = np.tile(item, (16, 1))
-        for c in copies:
-            for _ in range(allowed(m, similarity)):
-                i, kind = rng.integers(m), rng.integers(3)
-                if kind == 0:
-                    c[i] = rng.integers(1, 1 << 62)
-                elif kind == 1:
-                    c[i:-1] = c[i + 1:].copy()
-                else:
-                    c[i + 1:] = c[i:-1].copy()
-                    c[i] = rng.integers(1, 1 << 62)
-        a, b = cgk(item[None, :], 0)[0], cgk(copies, 0)
-        same.append((a == b)[:, :max(2 * m - 2, SAMPLED)].mean())
-    return float(np.mean(same)) if same else 1.0
-
-
-def build_index(rows: list[tuple[int, str]], similarity: float, recall: float, min_words: int) -> Index:
+def build_index(rows: list[tuple[int, str]], similarity: float, min_words: int) -> Index:
     texts = pa.array([t for _, t in rows], pa.string())
     w = T.scan(texts, lower=True, solid=T.PLAIN)
     h = w.hashes()
     words = [h[a:b] for a, b in zip(w.first[:-1], w.first[1:])]
     keep = [i for i, x in enumerate(words) if len(x) >= min_words]
     words, ids = [words[i] for i in keep], np.array([rows[i][0] for i in keep], np.int64)
-    hit = max(1e-3, _agreement(words, similarity) ** SAMPLED)
-    tables = min(MOST_TABLES, max(1, math.ceil(math.log(1 - recall) / math.log(1 - min(hit, 0.999)))))
-    by_size: dict[int, list[int]] = {}
-    for i, x in enumerate(words):
-        by_size.setdefault(len(x), []).append(i)
-    index = {}
-    for m, members in by_size.items():
-        keys = table_keys(np.stack([words[i] for i in members]), tables)
-        index[m] = [{} for _ in range(tables)]
-        for slots, row in zip(index[m], keys.tolist()):
-            for key, i in zip(row, members):
-                slots.setdefault(key, []).append(i)
-    owner, run = T.distinct(np.repeat(np.arange(len(words)), [max(len(x) - RUN + 1, 0) for x in words]),
-                            np.concatenate([np.zeros(0, np.uint64), *map(_runs, words)]))
+    size = np.array([len(x) for x in words], np.int64)
+    edits = np.array([allowed(m, similarity) for m in size], np.int64)
+    q = next((q for q in range(RUN, 1, -1) if (size - q + 1 - edits * q >= 1).all()), 1)
+    owner, run = T.distinct(np.repeat(np.arange(len(words)), np.maximum(size - q + 1, 0)),
+                            np.concatenate([np.zeros(0, np.uint64), *(_runs(x, q) for x in words)]))
     order = np.argsort(run, kind="stable")
     runs, first = np.unique(run[order], return_index=True)
-    least = [max(1, len(x) - RUN + 1 - allowed(len(x), similarity) * RUN) for x in words]
-    return Index(ids, words, runs, np.append(first, len(run)), owner[order], np.array(least, np.int64),
-                 index, similarity)
+    least = np.maximum(1, size - q + 1 - edits * q)
+    return Index(ids, words, runs, np.append(first, len(run)), owner[order], least, similarity, q)
 
 
-def _runs(words: np.ndarray) -> np.ndarray:
-    if len(words) < RUN:
+def _runs(words: np.ndarray, size: int) -> np.ndarray:
+    if len(words) < size:
         return np.zeros(0, np.uint64)
-    value = np.zeros(len(words) - RUN + 1, np.uint64)
-    for k in range(RUN):
-        value = value * T.WINDOW_BASE + words[k:len(words) - RUN + 1 + k]
+    value = np.zeros(len(words) - size + 1, np.uint64)
+    for k in range(size):
+        value = value * T.WINDOW_BASE + words[k:len(words) - size + 1 + k]
     return T.mix(value)
 
 
@@ -177,8 +123,8 @@ def _lookup(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return out
 
 
-def window_starts(runs: np.ndarray, n_words: int, index: Index) -> dict[int, np.ndarray]:
-    """First words of the windows to embed, by size: those with enough runs of an item.
+def places(runs: np.ndarray, index: Index) -> list[tuple[int, int, int]]:
+    """(item, start, end): the parts of a text that have enough runs of an item, those that overlap joined.
 
     ``runs[i]`` is the number of the known run at word i of a text, or -1.
     """
@@ -187,37 +133,33 @@ def window_starts(runs: np.ndarray, n_words: int, index: Index) -> dict[int, np.
     place = np.repeat(at, count)
     offset = np.arange(len(place)) - np.repeat(np.cumsum(count) - count, count)
     item = index.owners[np.repeat(index.first[runs[at]], count) + offset]
-    found: dict[int, list[np.ndarray]] = {}
-    for i in np.flatnonzero(np.bincount(item, minlength=len(index.words)) >= index.least):
-        m, least, mine = len(index.words[i]), int(index.least[i]), place[item == i]
+    some = np.bincount(item, minlength=len(index.words)) >= index.least
+    item, place = item[some[item]], place[some[item]]
+    order = np.argsort(item, kind="stable")
+    item, place = item[order], place[order]
+    out = []
+    for mine in np.split(np.arange(len(item)), np.flatnonzero(np.diff(item)) + 1) if len(item) else ():
+        i, here = int(item[mine[0]]), place[mine]
+        m, least = len(index.words[i]), int(index.least[i])
         k = allowed(m, index.similarity)
-        first, last = mine[:len(mine) - least + 1], mine[least - 1:]
-        low, high = np.maximum(last - (m + k - RUN), 0), first
-        spans = [np.arange(a, b + 1) for a, b in zip(low, high) if a <= b]
-        if spans:
-            found.setdefault(m, []).extend(spans)
-    return {m: np.unique(np.concatenate(x)) for m, x in found.items()}
+        first, last = here[:len(here) - least + 1], here[least - 1:]
+        # A passage of up to m + k words that holds all runs from first to last.
+        near = last - first + index.run <= m + k
+        low, high = np.maximum(last[near] + index.run - (m + k), 0), first[near] + m + k
+        if len(low):
+            new = np.append(True, low[1:] > high[:-1])
+            out += [(i, int(a), int(b)) for a, b in zip(low[new], high[np.append(new[1:], True)])]
+    return out
 
 
 def search_text(words: np.ndarray, runs: np.ndarray, index: Index) -> list[tuple[int, int, int]]:
     """(item's number, first word, edits) of the items that occur in one text."""
     found: dict[int, tuple[int, int]] = {}
-    for m, starts in window_starts(runs, len(words), index).items():
-        k, tables = allowed(m, index.similarity), index.tables[m]
-        for piece in range(0, len(starts), 4096):
-            some = starts[piece:piece + 4096]
-            seqs = np.concatenate([words, np.zeros(m, np.uint64)])[some[:, None] + np.arange(m)]
-            tried = set()
-            for slots, keys in zip(tables, table_keys(seqs, len(tables))):
-                for at, key in zip(some.tolist(), keys.tolist()):
-                    for item in slots.get(key, ()):
-                        if (at, item) in tried or (item in found and found[item][1] == 0):
-                            continue
-                        tried.add((at, item))
-                        low = max(0, at - k)
-                        edits, end = best_passage(index.words[item], words[low:at + m + 2 * k])
-                        if edits <= k and (item not in found or edits < found[item][1]):
-                            found[item] = (max(0, low + end - m), edits)
+    for item, low, high in places(runs, index):
+        m = len(index.words[item])
+        edits, end = best_passage(index.words[item], words[low:high])
+        if edits <= allowed(m, index.similarity) and (item not in found or edits < found[item][1]):
+            found[item] = (max(0, low + end - m), edits)
     return [(item, first, edits) for item, (first, edits) in found.items()]
 
 
@@ -227,8 +169,8 @@ def _search(batches: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.Reco
         w = T.scan(batch.column(1), lower=True, solid=T.PLAIN)
         h = w.hashes()
         runs = np.full(len(h), -1, np.int64)
-        runs[:max(len(h) - RUN + 1, 0)] = _lookup(_runs(h), index.runs)
-        for k in range(1, RUN):  # runs across two texts are none
+        runs[:max(len(h) - index.run + 1, 0)] = _lookup(_runs(h, index.run), index.runs)
+        for k in range(1, index.run):  # runs across two texts are none
             ends = w.first[1:] - k
             runs[ends[ends >= w.first[:-1]]] = -1
         known = np.concatenate([[0], np.cumsum(runs >= 0)])
@@ -241,9 +183,9 @@ def _search(batches: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.Reco
             yield pa.RecordBatch.from_pylist(out, _ARROW)
 
 
-def contaminated(docs: DataFrame, items: DataFrame, similarity: float = 0.8, recall: float = 0.999,
-                 min_words: int = 6, id_col: str = "doc_id", text_col: str = "text",
-                 item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, similarity: float = 0.8, min_words: int = 6,
+                 id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
+                 item_text_col: str = "text") -> DataFrame:
     """(doc_id, item_id, first_word, edits): which items occur in which texts.
 
     One row per text and item, with the best passage found.  Null and empty texts
@@ -260,7 +202,7 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = 0.8, rec
     for b in range(blocks):
         rows = bench.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)) == b).collect()
         index = spark.sparkContext.broadcast(build_index(
-            sorted((r.doc_id if r.doc_id is not None else -1, r.text) for r in rows), similarity, recall, min_words))
+            sorted((r.doc_id if r.doc_id is not None else -1, r.text) for r in rows), similarity, min_words))
         part = texts.mapInArrow(lambda x, i=index: _search(x, i.value), PAIRS)
         out = part if out is None else out.unionByName(part)
     return out

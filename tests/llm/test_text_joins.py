@@ -231,6 +231,40 @@ def test_benchmark_items_are_found(spark):
     assert decontaminate.contaminated(frame(spark, []), bench).count() == 0
 
 
+def test_long_items_beside_short_ones_are_found(spark):
+    """Every passage with the allowed number of edits is found, whatever the lengths of the other items."""
+    rng = random.Random(8)
+    word = lambda: f"t{rng.randrange(5000)}"
+    items = [(i, [word() for _ in range(8 if i < 70 else 15 if i < 80 else 60 if i < 90 else 120)]) for i in range(100)]
+    rows, want = [], set()
+    for d in range(600):
+        i, part = items[d % 100][0], list(items[d % 100][1])
+        for _ in range(decontaminate.allowed(len(part), 0.8)):
+            k, kind = rng.randrange(len(part)), rng.randrange(3)
+            part[k:k + (kind < 2)] = [word()] if kind else []
+        rows.append((d, " ".join([word() for _ in range(rng.randrange(90))] + part + [word() for _ in range(50)])))
+        want.add((d, i))
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(frame(spark, rows), bench).collect()}
+    assert got == want
+
+
+@pytest.mark.parametrize("similarity", [0.8, 0.6])
+def test_benchmark_items_match_brute_force(spark, similarity):
+    rng = random.Random(9)
+    vocabulary = [f"v{i}" for i in range(4)]
+    items = [(i, [rng.choice(vocabulary) for _ in range(rng.randint(6, 15))]) for i in range(12)]
+    rows = [(d, [rng.choice(vocabulary) for _ in range(rng.randint(0, 60))]) for d in range(60)]
+    number = {v: i for i, v in enumerate(vocabulary)}
+    coded = lambda w: np.array([number[x] for x in w], np.int64)
+    want = {(d, i): best for d, w in rows for i, x in items
+            if (best := decontaminate.best_passage(coded(x), coded(w))[0]) <= decontaminate.allowed(len(x), similarity)}
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    docs = frame(spark, [(d, " ".join(w)) for d, w in rows])
+    got = {(r.doc_id, r.item_id): r.edits for r in decontaminate.contaminated(docs, bench, similarity=similarity).collect()}
+    assert got == want and got
+
+
 def test_cgk_keeps_equal_sequences_and_prefixes():
     x = np.arange(1, 31, dtype=np.uint64)[None, :]
     y = x.copy()
