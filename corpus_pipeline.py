@@ -47,12 +47,10 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def to_target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose tokens follow the target shares of source, language and topic."""
+    """A sample of half the tokens, by the target shares of source, language and topic; scarce cells are kept whole."""
     measured = mixing.measure(docs, keep_text=True)
     counts = stage(measured.drop("text"), "mixing-measured")
-    return mixing.mix(measured, mixing.tempered(mixing.shares(counts, "source")),
-                      mixing.tempered(mixing.shares(counts, "lang")), mixing.shares(counts, "topic")).where(
-        "sampled").drop("sampled")
+    return mixing.mix_all(measured, counts).where("sampled").drop("sampled")
 
 
 STAGES = [

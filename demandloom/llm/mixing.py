@@ -8,6 +8,10 @@ Cells are counted in Spark over all documents.  Their number is bounded by the
 targets: values without a target share one cell each ("other"), so the table that
 is raked on the driver has at most (sources + 1) * (languages + 1) * (topics + 1)
 rows whatever the corpus holds.
+
+``mix_all`` has a target for every source.  A round of raking needs one pass over the
+sources, each with its cells of language and topic; it runs on the driver up to
+``MOST_CELLS`` cells and in Spark beyond.
 """
 
 from __future__ import annotations
@@ -20,13 +24,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.llm import tokens as T
-from demandloom.llm.common import slices
+from demandloom.llm.common import slices, stage
 
 OTHER = "(other)"
 #: Surface topics that ``measure`` knows, in the order of their tests.
 TOPICS = ("blank", "table", "symbols", "shouting", "repeats", "short", "prose")
 #: Most cells that targets may make; what is raked on the driver and joined by broadcast.
 MOST_CELLS = 200_000
+#: Part of all tokens that ``mix_all`` keeps in expectation.
+BUDGET_SHARE = 0.5
+#: Languages with a target of their own; rounds of raking over all sources, and the change of a factor that ends them.
+MOST_LANGS, ROUNDS, CLOSE = 4096, 100, 1e-7
 
 
 def _measure(batches: Iterator[pa.RecordBatch], drop: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
@@ -152,8 +160,15 @@ def mix(measured: DataFrame, sources: Mapping[str, float], langs: Mapping[str, f
         rows, "s string, l string, t string, weight double, probability double")
     joined = keyed.join(F.broadcast(table), [  # at most MOST_CELLS rows
         F.col("cell_source") == F.col("s"), F.col("cell_lang") == F.col("l"), F.col("cell_topic") == F.col("t")], "left")
-    draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(1 << 53)) / float(1 << 53)
-    return joined.select(*measured.columns, F.coalesce("weight", F.lit(0.0)).alias("weight"),
+    return _sampled(joined, measured.columns, seed)
+
+
+def _sampled(joined: DataFrame, columns: list[str], seed: int) -> DataFrame:
+    """Rows without an id are drawn by their other columns, so that they do not share one draw."""
+    by_row = F.xxhash64(*[F.col(c) for c in columns], F.lit(seed))
+    drawn = F.when(F.col("doc_id").isNull(), by_row).otherwise(F.xxhash64(F.col("doc_id"), F.lit(seed)))
+    draw = F.pmod(drawn, F.lit(1 << 53)) / float(1 << 53)
+    return joined.select(*columns, F.coalesce("weight", F.lit(0.0)).alias("weight"),
                          F.coalesce("probability", F.lit(0.0)).alias("probability")).withColumn(
         "sampled", draw < F.col("probability"))
 
@@ -166,3 +181,107 @@ def shares(measured: DataFrame, col: str, most: int = 256) -> dict[str, float]:
     if total > sum(top.values()):
         top[OTHER] = total - sum(top.values())
     return {k: v / total for k, v in top.items()} if total else {}
+
+
+def _factors(batch: pa.RecordBatch, g: np.ndarray, power: float) -> tuple[np.ndarray, ...]:
+    """(source's number, place, tokens, weight) of each cell of the batch's sources."""
+    place, n = (batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in (1, 2))
+    size = np.diff(batch.column(1).offsets.to_numpy())
+    row = np.repeat(np.arange(len(size)), size)
+    now = np.bincount(row, n * g[place], len(size))
+    want = np.bincount(row, n, len(size)) ** power
+    factor = np.divide(want, now, out=np.zeros_like(now), where=now > 0)
+    return row, place, n, factor[row] * g[place]
+
+
+def _sums(values: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"at": pa.array(range(len(values)), pa.int32()), "value": pa.array(values, pa.float64())})
+
+
+def _places(batches: Iterator[pa.RecordBatch], g: np.ndarray, power: float) -> Iterator[pa.RecordBatch]:
+    """Weighted tokens of each place, sources fitted to their targets."""
+    for batch in batches:
+        _, place, n, weight = _factors(batch, g, power)
+        yield _sums(np.bincount(place, n * weight, len(g)))
+
+
+def _kept(batches: Iterator[pa.RecordBatch], g: np.ndarray, power: float, tries: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Expected tokens at each try of the factor between weight and probability."""
+    for batch in batches:
+        _, _, n, weight = _factors(batch, g, power)
+        yield _sums(np.array([(np.minimum(1.0, c * weight) * n).sum() for c in tries]))
+
+
+def _cells(batches: Iterator[pa.RecordBatch], g: np.ndarray, power: float, names: list[tuple[str, str]], scale: float,
+           c: float) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        row, place, _, weight = _factors(batch, g, power)
+        yield pa.RecordBatch.from_pydict({
+            "s": batch.column(0).take(pa.array(row)), "l": pa.array([names[i][0] for i in place], pa.string()),
+            "t": pa.array([names[i][1] for i in place], pa.string()), "weight": pa.array(weight * scale),
+            "probability": pa.array(np.minimum(1.0, c * weight))})
+
+
+def mix_all(measured: DataFrame, counts: DataFrame | None = None, power: float = 0.5, budget_share: float = BUDGET_SHARE,
+            seed: int = 17) -> DataFrame:
+    """Like ``mix``, with a target for every source and language there is: its share of tokens to the ``power``;
+    topics keep their shares.  Cells too scarce for their weight are kept whole, the others share the rest of the
+    budget.  ``counts`` are the measured rows without their texts, if they are stored; they are read several times."""
+    counts = measured if counts is None else counts
+    targets = [tempered(shares(counts, "lang", MOST_LANGS), power), shares(counts, "topic")]
+    langs, topics = (sorted({*t, OTHER}) for t in targets)
+    names = [(a, b) for a in langs for b in topics]
+    keys = {"cell_source": F.coalesce("source", F.lit(OTHER)), "cell_lang": _bucket("lang", targets[0]),
+            "cell_topic": _bucket("topic", targets[1])}
+    number = lambda c, x: F.array_position(F.array(*map(F.lit, x)), F.col(c)) - 1
+    cells = counts.withColumns(keys).groupBy(*keys).agg(F.sum("n_tokens").alias("n")).where("n > 0").select(
+        "cell_source", (number("cell_lang", langs) * len(topics) + number("cell_topic", topics)).cast("int").alias("place"),
+        "n")
+    cell = F.collect_list(F.struct("place", "n"))
+    sources = stage(cells.groupBy(F.col("cell_source").alias("s")).agg(cell.alias("c")).select(
+        "s", "c.place", "c.n"), "mixing-sources")
+    n_cells, total = sources.agg(F.sum(F.size("n")), F.sum(F.aggregate("n", F.lit(0).cast("long"), lambda a, b: a + b))).first()
+    small = (n_cells or 0) <= MOST_CELLS
+    local = sources.toArrow().combine_chunks().to_batches() if small else None
+
+    def over(work, size: int) -> np.ndarray:
+        out = np.zeros(size)
+        if small:
+            for b in work(iter(local)):
+                out += b.column(1).to_numpy()
+        else:
+            for r in sources.mapInArrow(work, "at int, value double").groupBy("at").agg(F.sum("value")).collect():
+                out[r[0]] = r[1]  # one row per place or try
+        return out
+
+    g = np.ones(len(names))
+    want = [np.array([t.get(k, 0.0) for k in x]) for t, x in zip(targets, (langs, topics))]
+    for _ in range(ROUNDS):
+        now = over(lambda b, g=g: _places(b, g, power), len(names))
+        fitted = rake(now.reshape(len(langs), len(topics)), want).ravel()
+        step = np.divide(fitted, now, out=np.ones_like(now), where=now > 0)
+        g = g * step
+        if np.abs(step - 1).max(initial=0) < CLOSE:
+            break
+    weighed, budget = max(now.sum(), 1e-300), budget_share * (total or 0)
+    scale = (total or 0) / weighed
+    low, high = 1e-9 * scale, 1e9 * scale
+    for _ in range(5 if total else 0):
+        tries = np.geomspace(low, high, 257)
+        at = int(np.searchsorted(over(lambda b, x=tries: _kept(b, g, power, x), len(tries)), budget))
+        low, high = tries[max(at - 1, 0)], tries[min(at, len(tries) - 1)]
+    table = sources.mapInArrow(lambda b: _cells(b, g, power, names, scale, high),
+                               "s string, l string, t string, weight double, probability double")
+    joined = measured.withColumns(keys).join(F.broadcast(table) if small else table, [  # at most MOST_CELLS rows
+        F.col("cell_source") == F.col("s"), F.col("cell_lang") == F.col("l"), F.col("cell_topic") == F.col("t")], "left")
+    return _sampled(joined, measured.columns, seed)
+
+
+def achieved(mixed: DataFrame) -> DataFrame:
+    """(axis, value, tokens, wanted, kept): of each source, language and topic its tokens, those its target weight
+    gives, and those sampled.  The kept share of the corpus is the sum of kept by that of tokens on one axis."""
+    axes = F.explode(F.array(*[F.struct(F.lit(c).alias("axis"), F.coalesce(c, F.lit(OTHER)).alias("value"))
+                               for c in ("source", "lang", "topic")]))
+    return mixed.select(axes.alias("x"), "n_tokens", "weight", "sampled").groupBy("x.axis", "x.value").agg(
+        F.sum("n_tokens").alias("tokens"), F.sum(F.col("n_tokens") * F.col("weight")).alias("wanted"),
+        F.sum(F.when(F.col("sampled"), F.col("n_tokens")).otherwise(0)).alias("kept"))

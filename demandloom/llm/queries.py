@@ -40,10 +40,9 @@ def op3_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 def op4_mixing_weights(spark: SparkSession, sf: str) -> DataFrame:
     """Targets between the present shares and equal ones for source and language;
-    topics keep their shares."""
+    topics keep their shares; half of the tokens are kept."""
     measured = stage(mixing.measure(_table(spark, sf, "documents")), "mixing-measured")
-    return mixing.mix(measured, mixing.tempered(mixing.shares(measured, "source")),
-                      mixing.tempered(mixing.shares(measured, "lang")), mixing.shares(measured, "topic"))
+    return mixing.mix_all(measured)
 
 
 def op5_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:

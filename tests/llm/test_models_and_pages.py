@@ -107,6 +107,31 @@ def test_mix_edges(spark):
     assert [(r.n_tokens, r.sampled) for r in out] == [(0, False)] * 3
 
 
+@pytest.mark.parametrize("most", [200_000, 0])
+def test_mix_all_keeps_half_beside_scarce_cells(spark, monkeypatch, most):
+    """All of many sources have their own target; a scarce one does not set the rate of the corpus."""
+    monkeypatch.setattr(mixing, "MOST_CELLS", most)
+    monkeypatch.setattr(mixing, "ROUNDS", 12)
+    rows = [(i, "s%d" % (i % 300), ["en", "de"][i % 7 > 4], "prose", 100 + i % 3) for i in range(6000)]
+    rows += [(6000, "rare", "xx", "prose", 1), (None, "s1", "en", "prose", 100), (None, "s1", None, None, 101),
+             (7000, None, "en", "table", 5), (7001, "s1", "en", "prose", 0)]
+    measured = spark.createDataFrame(rows, "doc_id long, source string, lang string, topic string, n_tokens long")
+    mixed = mixing.mix_all(measured)
+    assert mixed.columns == [*measured.columns, "weight", "probability", "sampled"]
+    out = mixed.collect()
+    total = sum(r.n_tokens for r in out)
+    assert len(out) == len(rows)
+    assert math.isclose(sum(r.probability * r.n_tokens for r in out), total / 2, rel_tol=1e-6)
+    assert [r.sampled for r in out if r.source == "rare"] == [True]
+    shares = {}
+    for r in out:
+        shares[r.source] = shares.get(r.source, 0) + r.weight * r.n_tokens / total
+    assert 0.8 < shares["s299"] / shares["s0"] < 1.25 and len(shares) == 302
+    kept = {r.value: r.kept / r.tokens for r in mixing.achieved(mixed).where("axis = 'lang'").collect()}
+    assert 0.4 < kept["en"] < 0.6 and kept["xx"] == 1.0
+    assert mixing.mix_all(measured.limit(0)).collect() == []
+
+
 # -- quality -------------------------------------------------------------------
 
 
