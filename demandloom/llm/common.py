@@ -39,7 +39,8 @@ def slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES,
            text_col: str = "text") -> Iterator[pa.RecordBatch]:
     """Batches of whole rows with about ``limit`` bytes of text at most.
 
-    Small batches are joined, large ones cut.  A null text becomes "".
+    Small batches are joined, large ones cut; a text beyond the limit comes alone.  So no batch that this gives is cut
+    again by the same limit.  A null text becomes "".
     """
     held: list[pa.RecordBatch] = []
     size = 0
@@ -53,6 +54,9 @@ def slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES,
         first = 0
         while first < batch.num_rows:
             before = ends[first - 1] if first else 0
+            if held and ends[first] - before > limit - size:
+                yield _joined(held)
+                held, size = [], 0
             last = max(first + 1, int(ends.searchsorted(before + limit - size, "right")))
             held.append(batch.slice(first, last - first))
             size += int(ends[last - 1] - before)

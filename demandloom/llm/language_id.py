@@ -13,7 +13,6 @@ logarithm of the number of words for each language, is the text's.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,7 +33,6 @@ WORD_LIMIT = 12.0
 UNKNOWN = "und"
 _LETTERS = np.zeros(256, bool)
 _LETTERS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
-_LETTER = re.compile(r"[^\W\d_]")
 
 PREDICTED = "doc_id long, lang_pred string, score double, languages array<string>, shares array<double>"
 
@@ -161,7 +159,7 @@ def _predict(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Rec
     for batch in slices(batches):
         texts = batch.column(1)
         share, spoke = infer(texts, model)
-        any_letter = np.array([_LETTER.search(t) is not None for t in texts.to_pylist()], bool)
+        any_letter = np.array([any(map(str.isalpha, t)) for t in texts.to_pylist()], bool)
         known = any_letter & (len(model.names) > 0)
         out = []
         for i in range(batch.num_rows):
@@ -192,17 +190,20 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 def _keep(batches: Iterator[pa.RecordBatch], model: Model, least: float) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
-        verdict = next(_predict(iter([batch.select(["doc_id", "text"])]), model))
+        verdict = pa.Table.from_batches(_predict(iter([batch.select(["doc_id", "text"])]), model)).combine_chunks()
         lang = verdict.column("lang_pred")
         sure = pc.and_(pc.not_equal(lang, UNKNOWN), pc.greater_equal(verdict.column("score"), least))
         at = batch.schema.get_field_index("lang")
-        yield batch.set_column(at, "lang", pc.coalesce(batch.column(at), lang)).filter(sure)
+        filled = pa.Table.from_batches([batch]).set_column(at, "lang", pc.coalesce(batch.column(at), lang))
+        yield from filled.filter(sure).to_batches()
 
 
 def keep_known(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     """Rows of ``docs`` (columns doc_id, text and lang, and others) whose language is
     known: not ``und``, and with a share of ``least`` in the text.  A null lang is
-    filled with the prediction.  Rows pass through the tasks without a shuffle."""
+    filled with the prediction.  Every row is judged by its own text: null ids and
+    repeated rows come out as they went in.  Rows pass through the tasks without a
+    shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return docs.mapInArrow(lambda b: _keep(b, shared.value, least), docs.schema)
 

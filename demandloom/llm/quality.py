@@ -58,7 +58,7 @@ def measures(texts: pa.Array) -> np.ndarray:
         of_bytes(upper), of_bytes((raw >= 48) & (raw <= 57)), of_bytes(raw >= 128), of_bytes(mark),
         of_bytes(raw == 44), of_words(last == 33), of_words(~plain_end & ~np.isin(last, np.frombuffer(b".,;:!?", np.uint8))),
         of_words((size == 1) & ~plain_end), of_words(again), of_words(near), kinds / np.maximum(count, 1),
-        np.minimum(of_bytes(raw == 10) * 20, 2), of_words(last == 46), of_words(size <= 3) * (letter.any() if n else 1),
+        np.minimum(of_bytes(raw == 10) * 20, 2), of_words(last == 46), of_words(size <= 3) * (np.bincount(owner[letter], minlength=n) > 0),
     ], axis=1).astype(np.float32)
 
 

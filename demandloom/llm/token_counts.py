@@ -56,20 +56,11 @@ def _grouped(batch: pa.RecordBatch, by_text: bool) -> tuple[np.ndarray, ...]:
     return doc[heads], value[heads], np.diff(np.append(heads, len(doc))), order[heads], words
 
 
-def _strings(words: T.Words, at: np.ndarray) -> pa.Array:
-    """The words at some places, as an Arrow array."""
-    size = words.end[at] - words.start[at]
-    offsets = np.concatenate([[0], np.cumsum(size)])
-    spread = np.repeat(words.start[at] - offsets[:-1], size) + np.arange(offsets[-1])
-    return pa.Array.from_buffers(pa.large_string(), len(at), [
-        None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(words.data[spread])]).cast(pa.string())
-
-
 def _list(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, CHUNK_BYTES):
         _, value, freq, at, words = _grouped(batch, by_text=False)
         yield pa.RecordBatch.from_pydict({
-            "piece": _strings(words, at), "hash": pa.array(value.view(np.int64)), "freq": pa.array(freq, pa.int64())})
+            "piece": T.strings(words, at), "hash": pa.array(value.view(np.int64)), "freq": pa.array(freq, pa.int64())})
 
 
 def _count_pieces(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
@@ -100,7 +91,7 @@ def _add_up(batches: Iterator[pa.RecordBatch], table: tuple[np.ndarray, np.ndarr
         yield pa.RecordBatch.from_pydict({
             "row": pa.array(task + row + np.arange(n)), "doc_id": batch.column(0),
             "n_bytes": pa.array(size, pa.int64()), "known": pa.array(sums.astype(np.int64)),
-            "rare": pa.ListArray.from_arrays(pa.array(offsets), _strings(words, at[rest])),
+            "rare": pa.ListArray.from_arrays(pa.array(offsets), T.strings(words, at[rest])),
             "times": pa.ListArray.from_arrays(pa.array(offsets), pa.array(freq[rest], pa.int32()))})
         row += n
 

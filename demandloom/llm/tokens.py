@@ -6,6 +6,7 @@ return) in the UTF-8 form of a text, which is the same as the run of characters.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -71,15 +72,29 @@ class Words:
         """Number of the text of each word."""
         return np.repeat(np.arange(len(self.first) - 1, dtype=np.int64), self.counts)
 
-    def hashes(self, seed: int = 0) -> np.ndarray:
-        """A 64-bit Rabin-Karp value of each word, mixed."""
-        if not len(self.start):
-            return np.zeros(0, np.uint64)
-        base = BASE ^ np.uint64(seed << 1)
-        sums = prefix_sums(self.data.astype(np.uint64) + np.uint64(1), base)
-        _, down = powers(base, len(self.data))
-        return mix((sums[self.end] - sums[self.start]) * down[self.start])
-
+    def hashes(self) -> np.ndarray:
+        """A 64-bit value of each word: its length and its eight-byte blocks, mixed in one by one."""
+        size = self.end - self.start
+        value = mix(size.astype(np.uint64) ^ BASE)
+        padded = np.concatenate([self.data, np.zeros(8, np.uint8)])
+        blocks = np.ndarray((len(self.data) + 1,), "<u8", padded, 0, (1,))
+        live = np.flatnonzero(size <= LONG_WORD)
+        for at in range(0, LONG_WORD, 8):
+            live = live[size[live] > at]
+            if not len(live):
+                break
+            block = blocks[self.start[live] + at] & _HEAD[np.minimum(size[live] - at, 8)]
+            value[live] = mix(value[live] * WINDOW_BASE + block)
+        for i in np.flatnonzero(size > LONG_WORD):
+            digest = hashlib.blake2b(self.data[self.start[i]:self.end[i]], digest_size=8).digest()
+            value[i] = int.from_bytes(digest, "little")
+        return value
+
+
+#: Words of more bytes are hashed by a library digest.
+LONG_WORD = 1024
+#: Masks of the first 0 to 8 bytes of a block.
+_HEAD = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 #: Bytes inside plain words: ASCII letters and digits, and all of other characters.
 PLAIN = np.zeros(256, bool)
@@ -151,3 +166,12 @@ def distinct(doc: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray
     new = np.ones(len(doc), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])
     return doc[new], value[new]
+
+
+def strings(words: Words, at: np.ndarray) -> pa.Array:
+    """The words at some places, as an Arrow array."""
+    size = words.end[at] - words.start[at]
+    offsets = np.concatenate([[0], np.cumsum(size)])
+    spread = np.repeat(words.start[at] - offsets[:-1], size) + np.arange(offsets[-1])
+    return pa.Array.from_buffers(pa.large_string(), len(at), [
+        None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(words.data[spread])]).cast(pa.string())
