@@ -284,7 +284,7 @@ def _tile_pairs(table: pa.Table, similarity: Fraction) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def _linked(pairs: DataFrame, texts: DataFrame, size: int, similarity: Fraction) -> DataFrame:
+def linked_pairs(pairs: DataFrame, texts: DataFrame, size: int, similarity: Fraction) -> DataFrame:
     """Of candidate pairs (a, b): the linked ones."""
     pairs = stage(pairs, "ngram-pairs")
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
@@ -332,7 +332,7 @@ def similar_groups(docs: DataFrame, size: int = 5, similarity: float | Fraction
         F.max_by("lead", F.struct("n", -F.col("lead"))).alias("a"))
     probes = probes.join(side("a"), "a").join(side("b"), "b").mapInArrow(
         lambda b: _bound(b, similarity), "a long, b long")
-    edges = stage(_linked(probes, texts, size, similarity), "ngram-edges")
+    edges = stage(linked_pairs(probes, texts, size, similarity), "ngram-edges")
 
     # What the least members did not bring together.
     known = stage(components(edges), "ngram-known")
@@ -350,7 +350,7 @@ def similar_groups(docs: DataFrame, size: int = 5, similarity: float | Fraction
             F.col("tile") < F.col("other"), 0).otherwise(1).alias("side"))
     rest = dealt.groupBy("block", "t0", "t1").applyInArrow(
         lambda t: _tile_pairs(t, similarity), "a long, b long").distinct()
-    more = _linked(rest, texts, size, similarity)
+    more = linked_pairs(rest, texts, size, similarity)
     linked = components(edges.unionByName(more))
 
     place = sets.join(linked, F.col("id") == F.col("node"), "left").select(
