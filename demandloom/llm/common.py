@@ -30,6 +30,14 @@ def narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.col(text_col).cast("string").alias("text"))
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, lengthened until none of the columns has it in any case."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def row_key(columns: list[str]) -> Column:
     """A 64-bit hash of the columns that tells rows of one id, and rows without an id, apart; nulls count."""
     return F.xxhash64(*[c for name in columns for c in (F.isnull(name), F.col(name))])

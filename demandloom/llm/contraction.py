@@ -11,13 +11,14 @@ already need none.  So
    are left.  So no pair of different components is left out.
 
 A block that holds a third of all members is dealt out by member for every join and aggregation (partial counts
-before the shuffle, tiles of at most ``TILE`` members).
+before the shuffle, tiles of at most ``TILE`` members).  Small blocks are worked on many at a time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,8 +26,10 @@ from pyspark.sql import functions as F
 from demandloom.llm.common import stage
 from demandloom.llm.components import components
 
-#: Rounds of comparisons between representatives, members of a tile.
-ROUNDS, TILE = 4, 1024
+#: Rounds of comparisons between representatives at most; a round that links fewer of its pairs ends them.
+ROUNDS, LEAST_GAIN = 6, 0.05
+#: Members of a tile, rows that a task works on together, pairs that it looks at together.
+TILE, WORK_ROWS, PAIRS = 1024, 1 << 14, 1 << 18
 
 Verify = Callable[[DataFrame], DataFrame]
 
@@ -94,6 +97,49 @@ def _tiles(members: DataFrame) -> DataFrame:
         "block", "id", "comp", "cell.t0", "cell.t1", "cell.side")
 
 
+def tile_order(table: pa.Table) -> tuple[pa.Table, np.ndarray]:
+    """A table of tiles, those of one tile together, side 1 before 0; and where each tile starts, with the end."""
+    columns = [table.column(c).to_numpy() for c in ("block", "t0", "t1")]
+    order = np.lexsort([-table.column("side").to_numpy(), *reversed(columns)])
+    new = np.ones(len(order), bool)
+    new[1:] = np.any([c[order][1:] != c[order][:-1] for c in columns], axis=0)
+    return table.take(pa.array(order)), np.append(np.flatnonzero(new), len(order))
+
+
+def crossing_pairs(starts: np.ndarray, side: np.ndarray, comp: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows (i, j) of one tile whose sides meet and whose components differ; about ``PAIRS`` at a time."""
+    rows = np.arange(len(side))
+    tile = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    ones = np.add.reduceat((side == 1).astype(np.int64), starts[:-1]) if len(side) else rows
+    # Side 1 meets what follows it on side 0 or 2, side 2 what follows, side 0 nothing that follows.
+    first = np.where(side == 1, (starts[:-1] + ones)[tile], rows + 1)
+    count = np.where(side == 0, 0, starts[1:][tile] - first)
+    ends = np.cumsum(count)
+    at = 0
+    while at < len(rows):
+        last = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS, "right")))
+        i = np.repeat(rows[at:last], count[at:last])
+        j = np.arange(len(i)) - np.repeat(ends[at:last] - count[at:last] - (ends[at - 1] if at else 0), count[at:last]) + first[i]
+        use = comp[i] != comp[j]
+        yield i[use], j[use]
+        at = last
+
+
+def found_pairs(found: list[tuple[np.ndarray, ...]], ids: np.ndarray, comp: np.ndarray) -> pa.Table:
+    """Rows (i, j, score) as pairs (a, b, ca, cb, score) of ids and components, each once."""
+    parts = []
+    for i, j, score in found:
+        flip = ids[i] > ids[j]
+        i, j = np.where(flip, j, i), np.where(flip, i, j)
+        parts.append(np.stack([ids[i], ids[j], np.minimum(comp[i], comp[j]), np.maximum(comp[i], comp[j]), score]))
+    out = np.concatenate(parts, axis=1) if parts else np.zeros((5, 0), np.int64)
+    order = np.lexsort(out[1::-1])
+    out = out[:, order]
+    new = np.ones(len(order), bool)
+    new[1:] = np.any(out[:2, 1:] != out[:2, :-1], axis=0)
+    return pa.table({c: pa.array(x, pa.int64()) for c, x in zip(("a", "b", "ca", "cb", "score"), out[:, new])})
+
+
 def connect(blocks: DataFrame, verify: Verify, features: DataFrame, tile_pairs: Callable[[pa.Table], pa.Table],
             probe: Callable[[DataFrame], DataFrame] = lambda pairs: pairs, first: Column | None = None) -> DataFrame:
     """(node, component) of all members with a link to another one.
@@ -101,7 +147,8 @@ def connect(blocks: DataFrame, verify: Verify, features: DataFrame, tile_pairs:
     ``blocks`` (block, id) are staged rows without repeats.  ``verify`` gives the linked ones of pairs (a, b), with a
     and b.  ``probe`` may drop pairs that cannot be linked; ``first`` is a condition on the n blocks shared with a
     lead.  ``features`` (id and more) are joined to the members that ``tile_pairs`` gets: block, t0, t1, id, comp,
-    side and the features; it returns candidate pairs (a, b, ca, cb, score).  No candidate may be left out.
+    side and the features, of several tiles; it returns candidate pairs (``found_pairs``) among those that
+    ``crossing_pairs`` gives.  No candidate may be left out.
     """
     pairs = leads(blocks)
     pairs = (pairs if first is None else pairs.where(first)).select("a", "b")
@@ -116,12 +163,14 @@ def connect(blocks: DataFrame, verify: Verify, features: DataFrame, tile_pairs:
         if salt and not pairs.limit(1).count():
             break
         linked = _linked_parts(pairs, verify(probe(pairs.select("a", "b"))))
-        if not linked.limit(1).count():
-            break
         merges = linked if merges is None else merges.unionByName(linked)
         members = stage(_open(_merged(members.select("block", "id", "comp"), linked)), "contraction-open")
-    rest = _tiles(members).join(features, "id").groupBy("block", "t0", "t1").applyInArrow(
-        tile_pairs, "a long, b long, ca long, cb long, score long")
+        if linked.count() < LEAST_GAIN * pairs.count():
+            break
+    dealt = _tiles(members)
+    work = max(1, -(-dealt.count() // WORK_ROWS))
+    rest = dealt.withColumn("work", F.pmod(F.xxhash64("block", "t0", "t1"), F.lit(work))).join(features, "id").groupBy(
+        "work").applyInArrow(tile_pairs, "a long, b long, ca long, cb long, score long")
     rest = stage(rest.dropDuplicates(["a", "b"]), "contraction-rest")
     for last in (False, True):
         tried = rest

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.llm import tokens as T
-from demandloom.llm.common import narrow, row_key, slices
+from demandloom.llm.common import free_name, narrow, row_key, slices
 
 #: Bytes of items in one pass; more items make more passes over the texts.
 BLOCK_BYTES = 16 << 20
@@ -215,6 +215,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     share a verdict.
     """
     key = row_key([options.pop("id_col", "doc_id"), options.get("text_col", "text")])
-    found = contaminated(docs.withColumn("row_key", key), items, id_col="row_key", **options)
-    found = found.select(F.col("doc_id").alias("found_key")).distinct()
-    return docs.withColumn("row_key", key).join(found, F.col("row_key") == F.col("found_key"), "left_anti").drop("row_key")
+    mine = free_name(docs.columns, "row_key")
+    theirs = free_name([*docs.columns, mine], "found_key")
+    keyed = docs.withColumn(mine, key)
+    found = contaminated(keyed, items, id_col=mine, **options).select(F.col("doc_id").alias(theirs)).distinct()
+    return keyed.join(found, F.col(mine) == F.col(theirs), "left_anti").drop(mine)

@@ -24,14 +24,14 @@ from pyspark.sql import functions as F
 from demandloom.llm import contraction
 from demandloom.llm import tokens as T
 from demandloom.llm.common import narrow, slices, stage
-from demandloom.llm.ngram_join import enough, linked_pairs, set_sums, text_sets
+from demandloom.llm.ngram_join import enough, linked_pairs, points_of, set_points, set_sums, text_sets
 
 #: Minhashes of a half key, half keys of a collection.
 HALF, SIDE = 3, 12
 #: Rows of keys that a task hands on at a time.
 KEY_ROWS = 1 << 16
 
-SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, halves binary"
+SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, halves binary, point binary"
 _STEPS = np.arange(1, 2 * SIDE * HALF + 1, dtype=np.uint64)
 #: An odd multiplier and a mask for each minhash.
 _ODD, _MASK = T.mix(_STEPS * T.BASE) | np.uint64(1), T.mix(_STEPS * T.WINDOW_BASE)
@@ -70,7 +70,8 @@ def _sign(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
         yield pa.RecordBatch.from_pydict({
             "doc_id": batch.column(0), "n_shingles": pa.array(np.bincount(doc, minlength=n), pa.int64()),
             "set_a": pa.array(sums[0].view(np.int64)), "set_b": pa.array(sums[1].view(np.int64)),
-            "halves": pa.array([h.tobytes() for h in half_keys(doc, value, n)], pa.binary())})
+            "halves": pa.array([h.tobytes() for h in half_keys(doc, value, n)], pa.binary()),
+            "point": set_points(doc, value, n)})
 
 
 def _halves(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -88,31 +89,30 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _tile_pairs(table: pa.Table, similarity: Fraction) -> pa.Table:
-    """Pairs of different components whose sizes allow a link, each in the first of its common tables only."""
+    """Pairs of different components, each in the first of its common tables only.
+
+    What cannot be linked by the sizes of the sets, or by the summed minima of their group counts (a bound of the
+    overlap from above), is left out.
+    """
+    table, starts = contraction.tile_order(table)
     ids, comp, side, n = (table.column(c).to_numpy() for c in ("id", "comp", "side", "n"))
-    halves = _halves(table.column("halves"))
-    block = np.uint64(table.column("block")[0].as_py() & ((1 << 64) - 1))
+    points = points_of(table.column("point").combine_chunks())
+    block, halves = table.column("block").to_numpy().view(np.uint64), _halves(table.column("halves"))
     found = []
-    for i in range(len(ids)):
-        if side[i] == 1:
-            continue
-        use = (comp != comp[i]) & (side != 0) & enough(np.minimum(n, n[i]), n, np.full(len(n), n[i]), similarity)
-        if side[i] == 2:
-            use[:i + 1] = False
-        j = np.flatnonzero(use)
-        if not len(j):
-            continue
-        same = halves[j] == halves[i]
+    for i, j in contraction.crossing_pairs(starts, side, comp):
+        use = enough(np.minimum(n[i], n[j]), n[i], n[j], similarity)
+        i, j = i[use], j[use]
+        same = halves[i] == halves[j]
         first, second = same[:, :SIDE].argmax(axis=1), same[:, SIDE:].argmax(axis=1)
         number = (first * SIDE + second).astype(np.uint64)
-        key = T.mix(halves[i, first] * T.BASE + T.mix(halves[i, SIDE + second] + number))
-        j = j[key == block]
-        score = same.sum(axis=1)[key == block]
-        flip = ids[j] < ids[i]
-        found.append(np.stack([np.where(flip, ids[j], ids[i]), np.where(flip, ids[i], ids[j]),
-                               np.minimum(comp[i], comp[j]), np.maximum(comp[i], comp[j]), score]))
-    out = np.concatenate(found, axis=1) if found else np.zeros((5, 0), np.int64)
-    return pa.table({c: pa.array(x, pa.int64()) for c, x in zip(("a", "b", "ca", "cb", "score"), out)})
+        here = T.mix(halves[i, first] * T.BASE + T.mix(halves[i, SIDE + second] + number)) == block[i]
+        i, j = i[here], j[here]
+        for k in range(0, len(i), 1 << 14):
+            x, y = i[k:k + (1 << 14)], j[k:k + (1 << 14)]
+            score = np.minimum(points[x], points[y]).sum(axis=1, dtype=np.int64)
+            use = enough(score, n[x], n[y], similarity)
+            found.append((x[use], y[use], score[use]))
+    return contraction.found_pairs(found, ids, comp)
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, similarity: float | Fraction = Fraction(85, 100),
@@ -131,14 +131,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float | Fraction
     signed = stage(texts.mapInArrow(lambda b: _sign(b, size), SIGNED), "minhash-signed")
     by_set = ["set_a", "set_b", "n_shingles"]
     sets = stage(signed.where("n_shingles > 0").groupBy(*by_set).agg(
-        F.min("doc_id").alias("id"), F.first("halves").alias("halves")), "minhash-sets")
+        F.min("doc_id").alias("id"), F.first("halves").alias("halves"),
+        F.first("point").alias("point")), "minhash-sets")
 
     keyed = sets.select("id", "halves").mapInArrow(_keys, "block long, id long")
     several = keyed.groupBy("block").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x < y").select(
         F.col("block").alias("of"))
     # One id can stand for two sets (rows of one id); it is in a block once.
     blocks = stage(keyed.join(several, F.col("block") == F.col("of"), "left_semi").distinct(), "minhash-blocks")
-    features = sets.select("id", F.col("n_shingles").alias("n"), "halves")
+    features = sets.select("id", F.col("n_shingles").alias("n"), "halves", "point")
     linked = contraction.connect(
         blocks, lambda pairs: linked_pairs(pairs, texts, size, similarity), features,
         lambda t: _tile_pairs(t, similarity))

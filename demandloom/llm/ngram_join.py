@@ -16,10 +16,11 @@ Candidates
     a key that a third of all sets have is one entry per chunk.
 Within a block
     Each set is compared with one other first: of the least members of its blocks the
-    one it shares most blocks with.  What that leaves in different components goes
-    through an R-tree of the block's points: rectangles of similar points, whose
-    summed minima discard whole rectangles of pairs, then single pairs.  Blocks with
-    many members are dealt out as pairs of tiles.
+    one it shares most blocks with; then representatives of components in rounds
+    (``contraction``).  What that leaves in different components goes through an R-tree
+    of the block's points: rectangles of similar points, whose summed minima discard
+    whole rectangles of pairs, then single pairs.  Blocks with many members are dealt
+    out as tiles.
 Verification
     Surviving pairs are compared by their whole texts.
 
@@ -41,17 +42,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from demandloom.llm import contraction
 from demandloom.llm import tokens as T
 from demandloom.llm.common import narrow, slices, stage
-from demandloom.llm.components import components
 from demandloom.llm.packing import bucket_bounds, pack, unpack
 
 #: Coordinates of a point, and of a part of the finer count vector.
 GROUPS, PART_GROUPS = 256, 4096
 #: Ratio of the bounds of a size class.
 CLASS_RATIO = Fraction(13, 10)
-#: Members of a tile of a block, points of a rectangle.
-TILE, LEAF = 1024, 16
+#: Points of a rectangle, and of a tile that needs no R-tree.
+LEAF, SMALL = 16, 64
 
 #: Text bytes per chunk that a task works on, and per bucket of part keys.
 CHUNK_BYTES, BUCKET_BYTES = 12 << 20, 8 << 20
@@ -138,18 +139,23 @@ def set_sums(doc: np.ndarray, value: np.ndarray, n: int, salt: np.uint64) -> np.
     return sums
 
 
+def set_points(doc: np.ndarray, value: np.ndarray, n: int) -> pa.Array:
+    """How many shingles of each text fall into each of ``GROUPS`` groups; counts under 256 are kept as bytes."""
+    point = np.bincount(doc * GROUPS + (value >> np.uint64(56)).astype(np.int64), minlength=n * GROUPS)
+    return pa.array([p.astype("u1" if p.max(initial=0) < 256 else "<u4").tobytes() for p in point.reshape(n, GROUPS)],
+                    pa.binary())
+
+
 def _sign(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         n = batch.num_rows
         doc, value = text_sets(batch.column(1), size)
         sizes = np.bincount(doc, minlength=n)
-        point = np.bincount(doc * GROUPS + (value >> np.uint64(56)).astype(np.int64), minlength=n * GROUPS)
         sums = [set_sums(doc, value, n, salt) for salt in (T.BASE, T.WINDOW_BASE)]
-        points = [p.astype("u1" if p.max(initial=0) < 256 else "<u4") for p in point.reshape(n, GROUPS)]
         yield pa.RecordBatch.from_pydict({
             "doc_id": batch.column(0), "n_shingles": pa.array(sizes, pa.int64()),
             "set_a": pa.array(sums[0].view(np.int64)), "set_b": pa.array(sums[1].view(np.int64)),
-            "point": pa.array([p.tobytes() for p in points], pa.binary())})
+            "point": set_points(doc, value, n)})
 
 
 def _chunk_keys(batch: pa.RecordBatch, size: int, similarity: Fraction) -> tuple[np.ndarray, np.ndarray]:
@@ -211,7 +217,7 @@ def enough(overlap: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, similarity: Fr
     return overlap * similarity.denominator >= similarity.numerator * (n_a + n_b - overlap)
 
 
-def _points(column: pa.Array) -> np.ndarray:
+def points_of(column: pa.Array) -> np.ndarray:
     """Points as rows of numbers; counts under 256 are kept as bytes."""
     rows = column.to_pylist()
     small = all(len(r) == GROUPS for r in rows)
@@ -226,7 +232,7 @@ def _bound(batches: Iterator[pa.RecordBatch], similarity: Fraction) -> Iterator[
     for batch in batches:
         if batch.num_rows:
             get = lambda c: batch.column(batch.schema.get_field_index(c))
-            overlap = np.minimum(_points(get("pa")), _points(get("pb"))).sum(axis=1, dtype=np.int64)
+            overlap = np.minimum(points_of(get("pa")), points_of(get("pb"))).sum(axis=1, dtype=np.int64)
             keep = enough(overlap, get("na").to_numpy(), get("nb").to_numpy(), similarity)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
@@ -273,15 +279,37 @@ def rtree_pairs(points: np.ndarray, sizes: np.ndarray, side: np.ndarray,
 
 
 def _tile_pairs(table: pa.Table, similarity: Fraction) -> pa.Table:
-    ids, comp = table.column("id").to_numpy(), table.column("comp").to_numpy()
-    points = _points(table.column("point").combine_chunks())
-    found = set()
-    for i, j in rtree_pairs(points, table.column("n").to_numpy(), table.column("side").to_numpy(), similarity):
-        other = comp[i] != comp[j]
-        a, b = np.minimum(ids[i], ids[j])[other], np.maximum(ids[i], ids[j])[other]
-        found.update(zip(a.tolist(), b.tolist()))
-    a, b = zip(*sorted(found)) if found else ((), ())
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    """Pairs of different components that the points of their tile allow, with the bound of their overlap.
+
+    Tiles of a few rectangles are compared point by point, larger ones through the R-tree.
+    """
+    table, starts = contraction.tile_order(table)
+    ids, comp, side, n = (table.column(c).to_numpy() for c in ("id", "comp", "side", "n"))
+    points = points_of(table.column("point").combine_chunks())
+    found = []
+
+    def keep(i: np.ndarray, j: np.ndarray) -> None:
+        use = enough(np.minimum(n[i], n[j]), n[i], n[j], similarity) & (comp[i] != comp[j])
+        i, j = i[use], j[use]
+        score = np.minimum(points[i], points[j]).sum(axis=1, dtype=np.int64)
+        use = enough(score, n[i], n[j], similarity)
+        found.append((i[use], j[use], score[use]))
+
+    large = np.diff(starts) > SMALL
+    for t in np.flatnonzero(large):
+        part = slice(starts[t], starts[t + 1])
+        for i, j in rtree_pairs(points[part], n[part], side[part], similarity):
+            keep(starts[t] + i, starts[t] + j)
+    if large.any():
+        rows = np.flatnonzero(~np.repeat(large, np.diff(starts)))
+        starts = np.append(0, np.cumsum(np.diff(starts)[~large]))
+    else:
+        rows = np.arange(len(ids))
+    if len(rows):
+        for i, j in contraction.crossing_pairs(starts, side[rows], comp[rows]):
+            for k in range(0, len(i), 1 << 14):
+                keep(rows[i[k:k + (1 << 14)]], rows[j[k:k + (1 << 14)]])
+    return contraction.found_pairs(found, ids, comp)
 
 
 def linked_pairs(pairs: DataFrame, texts: DataFrame, size: int, similarity: Fraction) -> DataFrame:
@@ -291,7 +319,8 @@ def linked_pairs(pairs: DataFrame, texts: DataFrame, size: int, similarity: Frac
     used = stage(texts.join(ids.hint("merge"), texts["doc_id"] == ids["id"]).select("id", "text"), "ngram-texts")
     left = used.select(F.col("id").alias("a"), F.col("text").alias("ta"))
     right = used.select(F.col("id").alias("b"), F.col("text").alias("tb"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
+    # The text of b first: of the pairs with a lead each has its own b, so each text is moved once.
+    both = pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb")
     return both.mapInArrow(lambda x: _verify(x, size, similarity), "a long, b long")
 
 
@@ -321,37 +350,14 @@ def similar_groups(docs: DataFrame, size: int = 5, similarity: float | Fraction
         "bucket").applyInArrow(_blocks, "block long, set long")
     in_blocks = stage(found.join(sets.select("set_a", "id"), F.col("set") == F.col("set_a")).select(
         "block", "id").distinct(), "ngram-in-blocks")
-    leads = in_blocks.groupBy("block").agg(F.min("id").alias("lead")).select(F.col("block").alias("of"), "lead")
-
     points = sets.select("id", F.col("n_shingles").alias("n"), "point")
     side = lambda x: points.select(
         F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("point").alias(f"p{x}"))
-    shared = in_blocks.join(leads, F.col("block") == F.col("of")).where("lead < id").groupBy("id", "lead").agg(
-        F.count(F.lit(1)).alias("n"))
-    probes = shared.groupBy(F.col("id").alias("b")).agg(
-        F.max_by("lead", F.struct("n", -F.col("lead"))).alias("a"))
-    probes = probes.join(side("a"), "a").join(side("b"), "b").mapInArrow(
-        lambda b: _bound(b, similarity), "a long, b long")
-    edges = stage(linked_pairs(probes, texts, size, similarity), "ngram-edges")
-
-    # What the least members did not bring together.
-    known = stage(components(edges), "ngram-known")
-    placed = in_blocks.join(known, F.col("id") == F.col("node"), "left").select(
-        "block", "id", F.coalesce("component", "id").alias("comp"))
-    open_blocks = stage(placed.groupBy("block").agg(
-        F.count(F.lit(1)).alias("m"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where(
-            "c0 < c1").select(F.col("block").alias("open"), F.ceil(F.col("m") / TILE).alias("tiles")), "ngram-open")
-    dealt = placed.join(open_blocks, F.col("block") == F.col("open")).join(points, "id").withColumn(
-        "tile", F.pmod(F.xxhash64("id"), "tiles")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
-    dealt = dealt.select(
-        "block", F.least("tile", "other").alias("t0"), F.greatest("tile", "other").alias("t1"), "id", "comp",
-        "n", "point", F.when(F.col("tile") == F.col("other"), 2).when(
-            F.col("tile") < F.col("other"), 0).otherwise(1).alias("side"))
-    rest = dealt.groupBy("block", "t0", "t1").applyInArrow(
-        lambda t: _tile_pairs(t, similarity), "a long, b long").distinct()
-    more = linked_pairs(rest, texts, size, similarity)
-    linked = components(edges.unionByName(more))
+    linked = contraction.connect(
+        in_blocks, lambda pairs: linked_pairs(pairs, texts, size, similarity), points,
+        lambda t: _tile_pairs(t, similarity),
+        probe=lambda pairs: pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(
+            lambda b: _bound(b, similarity), "a long, b long"))
 
     place = sets.join(linked, F.col("id") == F.col("node"), "left").select(
         *by_set, F.coalesce("component", "id").alias("component_id"))

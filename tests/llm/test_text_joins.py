@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from demandloom.llm import components, decontaminate, ngram_join, packing, substring_dedup
+from demandloom.llm import components, contraction, decontaminate, ngram_join, packing, substring_dedup
 from demandloom.llm import tokens as T
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -126,7 +126,7 @@ def test_groups_hot_block_in_tiles(spark, monkeypatch):
         for k in rng.sample(range(60), 3):
             words[k] = f"n{rng.randrange(5)}"
         rows.append((i, " ".join(words)))
-    monkeypatch.setattr(ngram_join, "TILE", 4)
+    monkeypatch.setattr(contraction, "TILE", 4)
     got = ngram_join.similar_groups(frame(spark, rows), 1, 0.9)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == groups_by_hand(rows, 1, Fraction(9, 10))
 
