@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandloom.llm import decontaminate, language_id, mixing, ngram_join, substring_dedup
-from demandloom.llm.common import row_key, stage
+from demandloom.llm.common import free_name, row_key, stage
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,13 +22,16 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     one id and different texts are judged one by one, equal rows are one text.  No id
     is less than any id; of equal ids the one with the least row key stays.
     """
-    keyed = docs.withColumn("row_key", row_key(docs.columns))
-    groups = ngram_join.similar_groups(keyed, size=5, similarity=0.8, id_col="row_key").select(
+    own = free_name(docs.columns, "row_key")
+    kept_key = free_name([*docs.columns, own], "kept_key")
+    keyed = docs.withColumn(own, row_key(docs.columns))
+    groups = ngram_join.similar_groups(keyed, size=5, similarity=0.8, id_col=own).select(
         F.col("doc_id").alias("key"), "component_id")
-    first = keyed.select("row_key", "doc_id").join(groups, F.col("row_key") == F.col("key")).groupBy(
-        "component_id").agg(F.min(F.struct("doc_id", "row_key"))["row_key"].alias("kept_key"))
-    kept = keyed.join(first.select("kept_key").hint("merge"), F.col("row_key") == F.col("kept_key"), "left_semi")
-    return kept.dropDuplicates(["row_key"]).drop("row_key")
+    rows = keyed.select(F.col(own).alias("mine"), F.col("doc_id").alias("id"))
+    first = rows.join(groups, F.col("mine") == F.col("key")).groupBy("component_id").agg(
+        F.min(F.struct("id", "mine"))["mine"].alias(kept_key))
+    kept = keyed.join(first.select(kept_key).hint("merge"), F.col(own) == F.col(kept_key), "left_semi")
+    return kept.dropDuplicates([own]).drop(own)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,8 +40,9 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Each row is cut by its own text; see ``substring_dedup.cut_rows`` for rows of one
     id and rows without an id.
     """
-    n_chars = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return substring_dedup.cut_rows(docs, window=50).withColumn("n_chars", n_chars).select(*docs.columns)
+    removed = free_name(docs.columns, "n_removed")
+    n_chars = F.when(F.col(removed) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return substring_dedup.cut_rows(docs, 50, removed).withColumn("n_chars", n_chars).select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +51,10 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def to_target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample of half the tokens, by the target shares of source, language and topic; scarce cells are kept whole."""
+    """A sample of half the tokens, by the target shares of source, language and topic; scarce cells are kept whole.
+
+    Only doc_id, text, lang and source go on, with what ``mixing`` adds to them.
+    """
     measured = mixing.measure(docs, keep_text=True)
     counts = stage(measured.drop("text"), "mixing-measured")
     return mixing.mix_all(measured, counts).where("sampled").drop("sampled")
