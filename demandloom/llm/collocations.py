@@ -77,9 +77,9 @@ def _one_list(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
-def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _encode(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[pa.RecordBatch]:
     task, number = TaskContext.get().partitionId() << 24 if TaskContext.get() else 0, 0
-    for batch in slices(batches, CHUNK_BYTES):
+    for batch in slices(batches, chunk_bytes):
         langs = batch.column(batch.schema.get_field_index("lang")).to_numpy(zero_copy_only=False)
         for lang in sorted(set(langs)):
             texts = batch.column(batch.schema.get_field_index("text")).filter(pa.array(langs == lang))
@@ -234,14 +234,14 @@ def _count(key: tuple, chunk: pa.Table, found: pa.Table, longest: int, buckets:
                      "n_words": pa.array(size[first], pa.int32()), "a": pa.array(times, pa.int64())})
 
 
-def _candidate_counts(docs: DataFrame, support: int, longest: int, lang_col: str,
-                      text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _candidate_counts(docs: DataFrame, support: int, longest: int, lang_col: str, text_col: str,
+                      chunk_bytes: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(lang, n), the frequent words (lang, phrase, a) and the counts of all candidates (lang, phrase, n_words, a)."""
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                         F.col(text_col).cast("string").alias("text"))
     amount = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-amount // BUCKET_BYTES))
-    encoded = stage(texts.mapInArrow(_encode, ENCODED), "phrase-chunks")
+    encoded = stage(texts.mapInArrow(lambda b: _encode(b, chunk_bytes), ENCODED), "phrase-chunks")
     shares = encoded.groupBy("lang", "shard").agg(F.sum("n").alias("n"))
     totals = stage(shares.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
     # support * n / total, rounded up, in whole numbers.
@@ -266,7 +266,7 @@ def _words_of(text: Column, first: Column, size: Column) -> Column:
 
 
 def collocations(docs: DataFrame, support: int = 100, longest: int = 5, most: int = 2000, factor: int = 1000,
-                 closeness: int = 100, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+                 closeness: int = 100, lang_col: str = "lang", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """The ``most`` best phrases of each language: lang, rank, phrase, a, l, r, n, score.
 
     A phrase of at least ``support`` occurrences, cut after its first k words, scores
@@ -276,7 +276,7 @@ def collocations(docs: DataFrame, support: int = 100, longest: int = 5, most: in
     byte order.  A null language is ``und``, a null text empty.  Repeated rows count as often as they occur; no rows,
     or none with enough words, give no phrases.  Other columns are ignored.
     """
-    totals, words, counted = _candidate_counts(docs, support, longest, lang_col, text_col)
+    totals, words, counted = _candidate_counts(docs, support, longest, lang_col, text_col, chunk_bytes)
     found = stage(counted.where(F.col("a") >= support), "phrase-found")
     known = stage(words.select("lang", "phrase", "a").unionByName(found.select("lang", "phrase", "a")), "phrase-parts")
 

@@ -29,7 +29,6 @@ from demandloom.llm.common import stage
 
 #: Children of a node, and levels of a superblock (4,096 leaves).
 FAN, LEVELS = 16, 3
-BLOCK = FAN ** LEVELS
 
 NODES = "grp string, pos long, n long, node string"
 PATHS = "grp string, pos long, lefts array<string>, rights array<string>"
@@ -118,34 +117,31 @@ def placed(rows: DataFrame, order: list) -> DataFrame:
         "grp", (F.col("base") + F.col("at")).alias("pos"), "n", "doc_id", "leaf", "tampered")
 
 
-def _block() -> Column:
-    return F.floor(F.col("pos") / BLOCK).cast("long").alias("block")
+def _block(deep: int) -> Column:
+    return F.floor(F.col("pos") / FAN ** deep).cast("long").alias("block")
 
 
-def _depth(n: int) -> int:
-    return min(LEVELS, levels_of(n))
-
-
-def _reduce(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+def _reduce(key: tuple, rows: pd.DataFrame, deep: int) -> pd.DataFrame:
     rows = rows.sort_values("pos")
     n = int(rows["n"].iloc[0])
-    top = reduce_block(rows["node"].tolist(), _depth(n))[-1]
-    return pd.DataFrame({"grp": [key[0]], "pos": [key[1]], "n": [-(-n // BLOCK)], "node": top})
+    top = reduce_block(rows["node"].tolist(), min(deep, levels_of(n)))[-1]
+    return pd.DataFrame({"grp": [key[0]], "pos": [key[1]], "n": [-(-n // FAN ** deep)], "node": top})
 
 
-def rounds(nodes: DataFrame) -> list[DataFrame]:
+def rounds(nodes: DataFrame, deep: int = LEVELS) -> list[DataFrame]:
     """The nodes of each round (grp, pos, n, node); groups of one node go no further."""
     out = [nodes]
     while out[-1].where("n > 1").limit(1).count():
-        out.append(stage(out[-1].where("n > 1").groupBy("grp", _block()).applyInPandas(_reduce, NODES), "merkle-nodes"))
+        out.append(stage(out[-1].where("n > 1").groupBy("grp", _block(deep)).applyInPandas(
+            lambda k, rows: _reduce(k, rows, deep), NODES), "merkle-nodes"))
     return out
 
 
-def _extend(key: tuple, rows: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
+def _extend(rows: pd.DataFrame, outer: pd.DataFrame, deep: int) -> pd.DataFrame:
     if not len(rows):
         return pd.DataFrame({"grp": [], "pos": [], "lefts": [], "rights": []})
     rows = rows.sort_values("pos")
-    levels = reduce_block(rows["node"].tolist(), _depth(int(rows["n"].iloc[0])))
+    levels = reduce_block(rows["node"].tolist(), min(deep, levels_of(int(rows["n"].iloc[0]))))
     above = outer.iloc[0]
     paths = [siblings(levels, i) for i in range(len(rows))]
     return pd.DataFrame({
@@ -159,25 +155,25 @@ def _outer(nodes: DataFrame) -> DataFrame:
     return nodes.select(F.concat("grp").alias("of"), (F.col("pos") + 0).alias("block"), *rest)
 
 
-def paths(levels: list[DataFrame], tops: DataFrame) -> DataFrame:
+def paths(levels: list[DataFrame], tops: DataFrame, deep: int = LEVELS) -> DataFrame:
     """Outer siblings of every node of the first of ``levels``; ``tops`` has those of the groups' last nodes."""
     below = None
     for nodes in reversed(levels):
         alone = nodes.where("n = 1").select("grp", "pos").join(tops, "grp").select("grp", "pos", "lefts", "rights")
         if below is not None:
-            more = nodes.where("n > 1").groupBy("grp", _block()).cogroup(
-                _outer(below).groupBy("of", "block")).applyInPandas(_extend, PATHS)
+            more = nodes.where("n > 1").groupBy("grp", _block(deep)).cogroup(
+                _outer(below).groupBy("of", "block")).applyInPandas(lambda a, b: _extend(a, b, deep), PATHS)
             alone = alone.unionByName(more)
         below = alone
     return below
 
 
-def _prove(key: tuple, rows: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
+def _prove(rows: pd.DataFrame, outer: pd.DataFrame, deep: int) -> pd.DataFrame:
     if not len(rows):
         return pd.DataFrame({c.split()[0]: [] for c in PROVED.split(", ")})
     rows = rows.sort_values("pos")
     leaves = rows["leaf"].tolist()
-    levels = reduce_block(leaves, _depth(int(rows["n"].iloc[0])))
+    levels = reduce_block(leaves, min(deep, levels_of(int(rows["n"].iloc[0]))))
     above = outer.iloc[0]
     proofs, folded = [], []
     for i, changed in enumerate(rows["tampered"]):
@@ -192,13 +188,13 @@ def _prove(key: tuple, rows: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
 
 def manifest(docs: DataFrame, tampered: Column | None = None, columns: tuple[str, ...] = (
         "doc_id", "source", "lang", "n_chars", "text"), id_col: str = "doc_id", group_col: str = "source",
-        text_col: str = "text") -> DataFrame:
+        text_col: str = "text", deep: int = LEVELS) -> DataFrame:
     """(doc_id, leaf, subroot, root, proof_sha256, folded_root, verified) of every row.
 
     Rows are hashed over ``columns``; groups are the values of ``group_col``, null before all others, those by
     bytes.  Where ``tampered`` holds, A-Z of the text are lowered before folding, so a proof fails if that changes the
     text.  Null ids come before all ids; rows of one id are ordered by their leaves, and equal rows are leaves of
-    their own.  Other columns are ignored.  No rows give no rows.
+    their own.  Other columns are ignored.  No rows give no rows.  Superblocks have ``FAN ** deep`` nodes.
     """
     lower = F.translate(F.col(text_col).cast("string"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     changed = [lower if c == text_col else F.col(c) for c in columns]
@@ -211,7 +207,7 @@ def manifest(docs: DataFrame, tampered: Column | None = None, columns: tuple[str
     names = leaves.select("grp", "name")
     leaves = stage(placed(leaves, [F.col("name").asc_nulls_first(), F.col("doc_id").asc_nulls_first(), "leaf"]),
                    "merkle-placed")
-    levels = rounds(leaves.select("grp", "pos", "n", F.col("leaf").alias("node")))
+    levels = rounds(leaves.select("grp", "pos", "n", F.col("leaf").alias("node")), deep)
     subroots = levels[0].where("n = 1")
     for nodes in levels[1:]:
         subroots = subroots.unionByName(nodes.where("n = 1"))
@@ -223,16 +219,17 @@ def manifest(docs: DataFrame, tampered: Column | None = None, columns: tuple[str
         F.col("grp").alias("tampered"))
     top = stage(placed(named, [F.col("name").asc_nulls_first()]).select(
         "grp", "pos", "n", F.col("leaf").alias("node"), F.col("tampered").alias("of")), "merkle-top")
-    top_levels = rounds(top.select("grp", "pos", "n", "node"))
+    top_levels = rounds(top.select("grp", "pos", "n", "node"), deep)
     no_steps = F.array().cast("array<string>")
     root = top_levels[-1].where("n = 1").select("grp", F.col("node").alias("root"))
-    top_paths = paths(top_levels, root.select("grp", no_steps.alias("lefts"), no_steps.alias("rights")))
+    top_paths = paths(top_levels, root.select("grp", no_steps.alias("lefts"), no_steps.alias("rights")), deep)
     tops = stage(top.join(top_paths, ["grp", "pos"]).join(root, "grp").select(
         F.col("of").alias("grp"), "lefts", "rights", F.col("node").alias("subroot"), "root"), "merkle-tops")
 
     # Outer nodes of each superblock of leaves.
     outer = leaves.where("n = 1").select("grp", "pos").join(tops.select("grp", "lefts", "rights"), "grp")
     if len(levels) > 1:
-        outer = outer.unionByName(paths(levels[1:], tops.select("grp", "lefts", "rights")))
+        outer = outer.unionByName(paths(levels[1:], tops.select("grp", "lefts", "rights"), deep))
     outer = _outer(outer.join(tops.select("grp", "subroot", "root"), "grp"))
-    return leaves.groupBy("grp", _block()).cogroup(outer.groupBy("of", "block")).applyInPandas(_prove, PROVED)
+    return leaves.groupBy("grp", _block(deep)).cogroup(outer.groupBy("of", "block")).applyInPandas(
+        lambda a, b: _prove(a, b, deep), PROVED)
