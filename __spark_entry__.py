@@ -25,8 +25,8 @@ from demandloom import schemas as S  # noqa: E402
 from demandloom.functions import metrics as M  # noqa: E402
 from demandloom.functions import scalar as X  # noqa: E402
 from demandloom.operators import (  # noqa: E402
-    asof, audit, backtest, baselines, contracts, extract, features, gold, models, monitoring,
-    quality, recursion, reports, reshape, silver, splits,
+    asof, audit, backtest, baselines, boosting, contracts, extract, features, forest, gold, models, monitoring,
+    quality, recursion, reports, reshape, silver, splits, stability,
 )
 from demandloom.plans import prediction, refresh  # noqa: E402
 from demandloom.plans.training import modeling_frame  # noqa: E402
@@ -244,10 +244,37 @@ def _recursive(forecaster: baselines.ExpressionForecaster) -> Query:
     return _on(lambda t: recursion.forecast_expression(t.unpriced, forecaster))
 
 
+def _ranking_stability(t: OrderTables) -> DataFrame:
+    """The closed-form forecasters by WRMSSE, with the middle 95 % of their gap to the best baseline."""
+    frame = _modeling(t)
+    lags = {c: F.col(c) for c in frame.columns}
+    scored = frame.select(*S.GRAIN, "sales", F.explode(F.array(*[
+        F.struct(F.lit(name).alias("model_name"), f(lags).cast("double").alias("prediction"))
+        for name, f in baselines.BASELINES.items()])).alias("m")).select(*S.GRAIN, "sales", "m.*")
+    per_series = backtest.window_rmsse(scored, t.stored_sales, frame.agg(F.max("date")).scalar())
+    return stability.rank_stable(per_series, ("seasonal_naive_lag_7", "rolling_mean_7"))
+
+
 def _recursive_gbt(t: OrderTables) -> DataFrame:
+    """Boosted trees as one expression: 28 steps in one fold."""
     model = models.fit(_modeling(t), SMALL_BOOSTING)
-    return recursion.forecast_model(
-        t.unpriced, model, S.feature_columns(SMALL_BOOSTING.feature_set))
+    trees = forest.from_model(model, S.feature_columns(SMALL_BOOSTING.feature_set))
+    return recursion.forecast_expression(t.unpriced, trees.predict)
+
+
+#: Edges of the small leaf-wise model, which has a SQL twin.
+LEAFWISE_EDGES = (1, 2, 5, 10, 20, 30, 40)
+
+
+def _recursive_leafwise(t: OrderTables) -> DataFrame:
+    config = boosting.LeafwiseConfig(trees=2, leaves=2, learning_rate=0.5, least_rows=1)
+    trees = boosting.fit_leafwise(_modeling(t), ["lag_1", "lag_7"], "sales", config,
+                                  {"lag_1": LEAFWISE_EDGES, "lag_7": LEAFWISE_EDGES})
+    return recursion.forecast_expression(t.unpriced, trees.predict)
+
+
+def _backtest_linear_wrmsse(t: OrderTables) -> DataFrame:
+    return backtest.backtest_model(_modeling(t), ["lag_7"], _linear, history=t.stored_sales)
 
 
 def _linear() -> LinearRegression:
@@ -518,6 +545,9 @@ def _retail_queries() -> dict[str, Query]:
         "recursive_seasonal_naive": _recursive(baselines.seasonal_naive),
         "recursive_rolling_mean": _recursive(baselines.rolling_mean),
         "recursive_gbt": _on(_recursive_gbt),
+        "recursive_leafwise": _on(_recursive_leafwise),
+        "ranking_stability": _on(_ranking_stability),
+        "backtest_linear_wrmsse": _on(_backtest_linear_wrmsse, WINDOW),
         "forecast_rows": _on(lambda t: t.forecast_runs),
         "forecast_horizon_overwrite": _on(_horizon),
         "forecast_run_monitoring": _on(lambda t: monitoring.run_monitoring(t.forecasts)),

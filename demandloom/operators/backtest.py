@@ -18,6 +18,8 @@ from demandloom.operators.features import is_complete
 from demandloom.operators.splits import (
     BacktestConfig, splits_summary, summarise_windows, train_test, window_number, with_window,
 )
+from demandloom.session import scratch_path
+from demandloom.sinks.tables import refresh_path
 
 RESULT_COLUMNS = (
     "window", "train_start_date", "train_end_date", "test_start_date", "test_end_date",
@@ -82,12 +84,15 @@ def score_window(
 
 def backtest_model(
     modeling: DataFrame, features: Sequence[str], factory: Callable[[], Estimator],
-    config: BacktestConfig = BacktestConfig(), parallelism: int = 1,
+    config: BacktestConfig = BacktestConfig(), parallelism: int = 1, history: DataFrame | None = None,
 ) -> DataFrame:
     """One row per window for an estimator: a distributed fit per window.
 
-    Give it a stored or cached frame; every fit reads it again.
+    Give it a stored or cached frame; every fit reads it again.  With ``history`` (grain and sales), the scored
+    rows of all windows are stored, and the primary metric is one more column, ``wrmsse``.
     """
+    spark = modeling.sparkSession
+    stored = scratch_path(spark, "scored") if history is not None else None
     numbered = with_window(modeling, config)
     # n_windows rows: bounds and counts of every window, from one pass
     windows = {r["window"]: r for r in splits_summary(modeling, config).collect()}
@@ -98,6 +103,8 @@ def backtest_model(
 
     def one(window: int) -> tuple:
         scored = score_window(numbered, features, factory, window, config)
+        if stored:
+            scored = refresh_path(scored, f"{stored}/window-{window}")
         actual, predicted = F.col(config.target_column), F.col("prediction")
         scores = scored.agg(
             M.wmape(actual, predicted).alias("wmape"), M.mae(actual, predicted).alias("mae"),
@@ -107,24 +114,29 @@ def backtest_model(
 
     with ThreadPool(min(parallelism, config.n_windows)) as pool:
         rows = pool.map(one, range(1, config.n_windows + 1))
-    return modeling.sparkSession.createDataFrame(
+    result = spark.createDataFrame(
         rows, "window int, train_start_date date, train_end_date date, test_start_date date, "
               "test_end_date date, train_rows bigint, test_rows bigint, "
               "wmape double, mae double, rmse double")
+    if not stored:
+        return result
+    scored = spark.read.parquet(*[f"{stored}/window-{w}" for w in windows]).withColumn("model_name", F.lit("model"))
+    newest = max(r["test_end_date"] for r in windows.values())
+    primary = window_wrmsse(scored, history, F.lit(newest), config).select(F.col("window").alias("of"), "wrmsse")
+    return result.join(primary, F.col("window") == F.col("of"), "left").drop("of")
 
 
-def window_wrmsse(
+def window_rmsse(
     scored: DataFrame, history: DataFrame, newest: Column, config: BacktestConfig = BacktestConfig(),
 ) -> DataFrame:
-    """(model_name, window, series_count, undefined_series, wrmsse), the primary metric.
+    """(model_name, window, series keys, rmsse, weight) of every series scored in a window.
 
     ``scored`` has model_name, the series keys, day, actual and prediction of any
     rows; those of the test windows count.  Scale and weight come from ``history``
     before each window: its mean squared first difference, and the sales of the
     last horizon before the window.  One pass sums the history by series and
     window number; a series has at most n_windows + 2 of these sums, and a window
-    folds the older ones.  A series with fewer than two rows or no scale is counted
-    as undefined and takes no part in the mean.
+    folds the older ones.  A series with fewer than two rows or no scale has a null rmsse.
     """
     n, h, keys = config.n_windows, config.horizon_days, list(S.SERIES_KEYS)
     day, target = F.col(config.date_column), F.col(config.target_column).cast("double")
@@ -152,7 +164,17 @@ def window_wrmsse(
     mse = scored.withColumn("window", number(n + 1)).where(F.col("window").between(1, n)).groupBy(
         "model_name", "window", *keys).agg(F.avg(error * error).alias("mse"))
     value = F.when((F.col("rows") >= 2) & (F.col("scale") > 0), F.sqrt(F.col("mse") / F.col("scale")))
-    joined = mse.join(known, [*keys, "window"], "left").withColumn("rmsse", value)
+    return mse.join(known, [*keys, "window"], "left").select("model_name", "window", *keys, value.alias("rmsse"), "weight")
+
+
+def window_wrmsse(
+    scored: DataFrame, history: DataFrame, newest: Column, config: BacktestConfig = BacktestConfig(),
+) -> DataFrame:
+    """(model_name, window, series_count, undefined_series, wrmsse), the primary metric.
+
+    See ``window_rmsse``; a series without a value is counted as undefined and takes no part in the mean.
+    """
+    joined = window_rmsse(scored, history, newest, config)
     weight = F.sum(F.when(F.col("rmsse").isNotNull(), F.col("weight")))
     return joined.groupBy("model_name", "window").agg(
         F.count("rmsse").alias("series_count"), F.count_if(F.col("rmsse").isNull()).alias("undefined_series"),
@@ -161,8 +183,9 @@ def window_wrmsse(
 
 def mean_metrics(result: DataFrame) -> DataFrame:
     """Averages over the windows of one backtest."""
+    primary = [F.avg("wrmsse").alias("avg_wrmsse")] if "wrmsse" in result.columns else []
     return result.agg(
-        F.avg("wmape").alias("avg_wmape"), F.avg("mae").alias("avg_mae"),
+        *primary, F.avg("wmape").alias("avg_wmape"), F.avg("mae").alias("avg_mae"),
         F.avg("rmse").alias("avg_rmse"), F.count(F.lit(1)).alias("backtest_windows"))
 
 

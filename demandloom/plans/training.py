@@ -44,7 +44,8 @@ def train(spark: SparkSession, extract: DataFrame, config: models.TreeConfig, mo
         modeling_frame(extract, config.feature_set), scratch_path(spark, "modeling"))
     windows = backtest.backtest_model(
         modeling, columns, models.estimator_factory(config),
-        BacktestConfig(config.horizon_days, config.n_windows), parallelism)
+        BacktestConfig(config.horizon_days, config.n_windows), parallelism,
+        history=extract.select(*S.GRAIN, "sales"))
     model = models.fit(modeling, config)
     version = models.save_model(model, model_root, config.name)
     settings = {**asdict(config), "feature_count": len(columns),

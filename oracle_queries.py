@@ -180,6 +180,20 @@ CTES = {
                         PARTITION BY store_id, item_id ORDER BY date) AS step FROM sales), windows
                 WHERE date < test_start GROUP BY ALL) USING (window_no, store_id, item_id))
         GROUP BY ALL""",
+    "series_scale": """
+        SELECT window_no, store_id, item_id, count(*) AS train_rows, avg(step ** 2) AS scale,
+               coalesce(sum(sales) FILTER (date >= test_start - 28), 0) AS weight
+        FROM (SELECT *, CAST(sales AS DOUBLE) - lag(sales) OVER (
+                PARTITION BY store_id, item_id ORDER BY date) AS step FROM sales), windows
+        WHERE date < test_start GROUP BY ALL""",
+    "series_rmsse": """
+        SELECT model_name, window_no, store_id, item_id, sqrt(mse / scale) AS rmsse, weight
+        FROM (SELECT window_no, store_id, item_id, m.model_name, avg((m.p - sales) ** 2) AS mse
+              FROM (SELECT *, unnest([{'model_name': 'naive_lag_1', 'p': lag_1},
+                                      {'model_name': 'seasonal_naive_lag_7', 'p': lag_7},
+                                      {'model_name': 'rolling_mean_7', 'p': rolling_mean_7}]) AS m
+                    FROM modeling) JOIN windows ON date BETWEEN test_start AND test_end GROUP BY ALL)
+        JOIN series_scale USING (window_no, store_id, item_id) WHERE train_rows >= 2 AND scale > 0""",
     "lines_fit": """
         SELECT window_no, regr_slope(sales, lag_7) AS slope, regr_intercept(sales, lag_7) AS intercept
         FROM windows JOIN modeling ON date < test_start GROUP BY window_no""",
@@ -347,6 +361,31 @@ def _recursive(model: str) -> str:
                step AS forecast_step, {d('p', 'prediction')} FROM steps WHERE step > 0"""
 
 
+#: Chances that a Poisson(1) number is at most 0, 1, ... 7.
+POISSON = (0.367879441, 0.735758882, 0.919698603, 0.981011843, 0.996340153, 0.999405815, 0.999916759, 0.999989751)
+
+
+def _leafwise() -> str:
+    """Two boosted trees of two leaves each, by trying every split, and the recursion with them."""
+    parts, score = "", "b"
+    for k in (1, 2):
+        prior = "" if k == 1 else "".join(f", tree{i}" for i in range(1, k))
+        parts += f"""
+        , slopes{k} AS (SELECT lag_1, lag_7, {score} - sales AS g FROM modeling, base{prior}),
+        sides{k} AS (
+          SELECT f, e, count(*) FILTER (x <= e) AS nl, count(*) FILTER (x > e) AS nr,
+                 sum(g) FILTER (x <= e) AS gl, sum(g) FILTER (x > e) AS gr
+          FROM (SELECT 1 AS f, lag_1 AS x, g FROM slopes{k} UNION ALL SELECT 2, lag_7, g FROM slopes{k}),
+               (VALUES (1), (2), (5), (10), (20), (30), (40)) edges(e) GROUP BY ALL),
+        tree{k} AS (
+          SELECT f AS f{k}, e AS e{k}, -gl / nl AS l{k}, -gr / nr AS r{k} FROM sides{k} WHERE nl > 0 AND nr > 0
+          ORDER BY round(gl * gl / nl + gr * gr / nr - (gl + gr) ** 2 / (nl + nr), 6) DESC, f, e LIMIT 1)"""
+        score += f" + 0.5 * CASE WHEN CASE f{k} WHEN 1 THEN lag_1 ELSE lag_7 END <= e{k} THEN l{k} ELSE r{k} END"
+    model = score.replace("lag_1", "h[-1]").replace("lag_7", "h[-7]")
+    recursion = _recursive(f"(SELECT {model} FROM base, tree1, tree2)")
+    return f", base AS (SELECT avg(CAST(sales AS DOUBLE)) AS b FROM modeling){parts}{recursion}"
+
+
 def _not_null(table: str, name: str, columns) -> str:
     return " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, '{c}' AS column_name, 'not_null' AS test_name, "
@@ -551,6 +590,46 @@ def build() -> dict[str, str]:
         "(intercept + slope * lag_7)", "(SELECT * FROM windows JOIN lines_fit USING (window_no))")
     q["recursive_linear"] = _recursive(
         "((SELECT intercept FROM whole_fit) + (SELECT slope FROM whole_fit) * h[-7])")
+    line = "(intercept + slope * lag_7)"
+    q["backtest_linear_wrmsse"] = f"""
+        , fitted AS (SELECT * FROM windows JOIN lines_fit USING (window_no)),
+        primary_metric AS (
+          SELECT window_no, sum(sqrt(mse / scale) * weight) / sum(weight) AS w FROM (
+            SELECT window_no, store_id, item_id, avg(({line} - sales) ** 2) AS mse
+            FROM fitted JOIN modeling ON date BETWEEN test_start AND test_end GROUP BY ALL)
+          JOIN series_scale USING (window_no, store_id, item_id) WHERE train_rows >= 2 AND scale > 0 GROUP BY ALL)
+        SELECT b.*, {d('w', 'wrmsse')} FROM ({_backtest(line, 'fitted')}) b JOIN primary_metric USING (window_no)"""
+    q["recursive_leafwise"] = _leafwise()
+    draws = " + ".join(f"CAST(u >= {c} AS INTEGER)" for c in POISSON)
+    q["ranking_stability"] = f"""
+        , draws AS (
+          SELECT store_id, item_id, b, {draws} AS k FROM (
+            SELECT store_id, item_id, b,
+                   CAST('0x' || substr(md5(store_id || '|' || item_id || '|' || b), 1, 8) AS BIGINT) / 4294967296.0 AS u
+            FROM (SELECT DISTINCT store_id, item_id FROM series_rmsse), range(0, 40) r(b))
+          UNION ALL SELECT DISTINCT store_id, item_id, -1, 1 FROM series_rmsse),
+        means AS (
+          SELECT model_name, b, window_no, sum(k * weight * rmsse) / sum(k * weight) AS w
+          FROM series_rmsse JOIN draws USING (store_id, item_id) WHERE k > 0 GROUP BY ALL),
+        averages AS (SELECT model_name, b, avg(w) AS a FROM means GROUP BY ALL),
+        best AS (
+          SELECT m.model_name, b, m.a, r.model_name AS rival, r.a AS rival_a
+          FROM averages m JOIN averages r USING (b)
+          WHERE r.model_name <> m.model_name AND r.model_name IN ('seasonal_naive_lag_7', 'rolling_mean_7')
+          QUALIFY row_number() OVER (PARTITION BY m.model_name, b ORDER BY r.a, r.model_name) = 1),
+        losses AS (
+          SELECT t.model_name, max(x.w / y.w - 1) AS worst
+          FROM best t JOIN means x ON x.model_name = t.model_name AND x.b = -1
+          JOIN means y ON y.model_name = t.rival AND y.b = -1 AND y.window_no = x.window_no WHERE t.b = -1 GROUP BY ALL),
+        summary AS (
+          SELECT model_name, max(a) FILTER (b < 0) AS a, max(a - rival_a) FILTER (b < 0) AS gap,
+                 quantile_cont(a - rival_a, 0.025) FILTER (b >= 0) AS low,
+                 quantile_cont(a - rival_a, 0.975) FILTER (b >= 0) AS high FROM best GROUP BY ALL)
+        SELECT model_name, {d('a', 'avg_wrmsse')}, {d('gap', 'gap')}, {d('low', 'gap_low')}, {d('high', 'gap_high')},
+               {d('worst', 'worst_window')}, high < 0 AS separated, worst < 0.1 AS stable,
+               CAST(row_number() OVER (ORDER BY CAST(NOT (high < 0 AND worst < 0.1) AS INTEGER), round(a, 9), model_name)
+                    AS INTEGER) AS rank
+        FROM summary JOIN losses USING (model_name)"""
     q["forecast_rows"] = f"{FORECAST_ROWS} FROM forecasts"
     q["forecast_horizon_overwrite"] = f"""
         , old AS (SELECT * FROM forecasts WHERE model_version <> '3'),
