@@ -118,9 +118,10 @@ def lower_ascii(raw: np.ndarray) -> np.ndarray:
     return raw + (((raw >= 65) & (raw <= 90)).view(np.uint8) << 5)
 
 
-def scan(texts: pa.Array, lower: bool = False, solid: np.ndarray | None = None) -> Words:
+def scan(texts: pa.Array, lower: bool = False, solid: np.ndarray | None = None, single: bool = False) -> Words:
     """Words of an Arrow string array without nulls; ``solid`` is a table of the
-    bytes that make words, where these are not all but ASCII white space."""
+    bytes that make words, where these are not all but ASCII white space.  With
+    ``single``, each character of scripts without spaces is a word."""
     raw, bounds = text_bytes(texts)
     if lower:
         raw = lower_ascii(raw)
@@ -129,6 +130,10 @@ def scan(texts: pa.Array, lower: bool = False, solid: np.ndarray | None = None)
     edge[0] = edge[-1] = True
     np.not_equal(solid[1:], solid[:-1], out=edge[1:-1])
     edge[bounds] = True
+    if single:  # three bytes, U+3000 to U+D7FF: kana, ideographs, hangul
+        lead = np.flatnonzero((raw >= 0xE3) & (raw <= 0xED))
+        edge[lead] = True
+        edge[np.minimum(lead + 3, len(raw))] = True
     cuts = np.flatnonzero(edge)
     if len(raw):
         inside = solid[cuts[:-1]]

@@ -265,6 +265,31 @@ def test_benchmark_items_match_brute_force(spark, similarity):
     assert got == want and got
 
 
+@pytest.mark.parametrize("m", [6, 8, 15, 38, 60, 120, 200])
+def test_tables_reach_the_recall_of_their_length(m):
+    """New edited copies, at the most edits, in item-sized windows without a shift."""
+    rng = np.random.default_rng(m + 77)
+    items = [rng.integers(1, 1 << 62, m).astype(np.uint64) for _ in range(8)]
+    sampled, tables = decontaminate.tables_needed(items, 0.8, 1.0)
+    if not tables:
+        assert m > 100  # every place is verified
+        return
+    other = [rng.integers(1, 1 << 62, m).astype(np.uint64) for _ in range(8)]
+    copies = np.concatenate([decontaminate.edited(x, decontaminate.allowed(m, 0.8), 250, rng) for x in other])
+    keys = np.repeat(decontaminate.table_keys(np.stack(other), sampled, tables), 250, axis=1)
+    assert (decontaminate.table_keys(copies, sampled, tables) == keys).any(axis=0).mean() >= 0.99
+
+
+def test_short_and_unspaced_items_are_found(spark):
+    story = "昔々ある所にお爺さんとお婆さんが住んでいましたお爺さんは山へ柴刈りに"
+    bench = spark.createDataFrame([(1, story), (2, "Quick brown fox"), (3, "Zyzzyva"), (4, " .,; "), (5, "")],
+                                  "item_id long, text string")
+    rows = [(1, "前書き。" + story + "続き"), (2, story[:10] + "川" + story[11:]), (3, "a quick, BROWN fox!"),
+            (4, "quick brown dog"), (5, "zyzzyva"), (6, story[:12]), (7, "zyzzyvas")]
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(frame(spark, rows), bench).collect()}
+    assert got == {(1, 1), (2, 1), (3, 2), (5, 3)}
+
+
 def test_cgk_keeps_equal_sequences_and_prefixes():
     x = np.arange(1, 31, dtype=np.uint64)[None, :]
     y = x.copy()
