@@ -15,11 +15,18 @@ from demandloom.session import scratch_path
 SLICE_BYTES = 4 << 20
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, release: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there,
-    and losing an executor costs no more than the tasks it was running."""
+    and losing an executor costs no more than the tasks it was running.
+
+    With ``release``, the shuffle files that only the written plan needed go at once.
+    Spark drops them when the driver collects garbage, which a short driver program
+    with large shuffles does too seldom.
+    """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    if release:
+        df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -79,9 +79,10 @@ def _tiles(members: DataFrame) -> DataFrame:
     """Members dealt to tasks (block, t0, t1): those of the main component by tiles, the others to all of these
     tiles and to pairs of tiles of their own.  side: 0 and 1 meet each other, 2 meets all."""
     count = lambda n: F.greatest(F.lit(1), F.ceil(n / TILE)).cast("long")
+    others = F.col("members") - F.col("main_members")
     placed = members.select(
         "block", "id", "comp", (F.col("comp") == F.col("main")).alias("big"),
-        count(F.col("main_members")).alias("big_tiles"), count(F.col("members") - F.col("main_members")).alias("tiles"))
+        count(F.col("main_members")).alias("big_tiles"), count(others).alias("tiles"), (others == 1).alias("alone"))
     tile = F.pmod(F.xxhash64("id"), F.when(F.col("big"), F.col("big_tiles")).otherwise(F.col("tiles")))
     cell = lambda t0, t1, side: F.struct(t0.cast("long").alias("t0"), t1.cast("long").alias("t1"),
                                          side.cast("int").alias("side"))
@@ -92,7 +93,7 @@ def _tiles(members: DataFrame) -> DataFrame:
         F.least(F.col("tile"), k), F.greatest(F.col("tile"), k),
         F.when(F.col("tile") == k, 2).when(F.col("tile") < k, 0).otherwise(1)))
     of_main = each(F.col("tiles"), lambda k: cell(-1 - F.col("tile"), k, F.lit(0)))
-    cells = F.when(F.col("big"), of_main).otherwise(F.concat(meets_main, meets_own))
+    cells = F.when(F.col("big"), of_main).when(F.col("alone"), meets_main).otherwise(F.concat(meets_main, meets_own))
     return placed.withColumn("tile", tile).select("block", "id", "comp", F.explode(cells).alias("cell")).select(
         "block", "id", "comp", "cell.t0", "cell.t1", "cell.side")
 
@@ -152,11 +153,11 @@ def connect(blocks: DataFrame, verify: Verify, features: DataFrame, tile_pairs:
     """
     pairs = leads(blocks)
     pairs = (pairs if first is None else pairs.where(first)).select("a", "b")
-    edges = stage(verify(stage(probe(pairs), "contraction-leads")), "contraction-edges")
+    edges = stage(verify(stage(probe(pairs), "contraction-leads", True)), "contraction-edges", True)
     known = components(edges).select(F.col("node").alias("of_id"), "component")
     placed = blocks.join(known, F.col("id") == F.col("of_id"), "left").select(
         "block", "id", F.coalesce("component", "id").alias("comp"))
-    members = stage(_open(placed), "contraction-open")
+    members = stage(_open(placed), "contraction-open", True)
     merges = None
     for salt in range(ROUNDS):
         pairs = stage(_representatives(members, salt), "contraction-pairs")
@@ -164,14 +165,14 @@ def connect(blocks: DataFrame, verify: Verify, features: DataFrame, tile_pairs:
             break
         linked = _linked_parts(pairs, verify(probe(pairs.select("a", "b"))))
         merges = linked if merges is None else merges.unionByName(linked)
-        members = stage(_open(_merged(members.select("block", "id", "comp"), linked)), "contraction-open")
+        members = stage(_open(_merged(members.select("block", "id", "comp"), linked)), "contraction-open", True)
         if linked.count() < LEAST_GAIN * pairs.count():
             break
     dealt = _tiles(members)
     work = max(1, -(-dealt.count() // WORK_ROWS))
     rest = dealt.withColumn("work", F.pmod(F.xxhash64("block", "t0", "t1"), F.lit(work))).join(features, "id").groupBy(
         "work").applyInArrow(tile_pairs, "a long, b long, ca long, cb long, score long")
-    rest = stage(rest.dropDuplicates(["a", "b"]), "contraction-rest")
+    rest = stage(rest.dropDuplicates(["a", "b"]), "contraction-rest", True)
     for last in (False, True):
         tried = rest
         if not last:

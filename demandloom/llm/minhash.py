@@ -138,7 +138,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float | Fraction
     several = keyed.groupBy("block").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x < y").select(
         F.col("block").alias("of"))
     # One id can stand for two sets (rows of one id); it is in a block once.
-    blocks = stage(keyed.join(several, F.col("block") == F.col("of"), "left_semi").distinct(), "minhash-blocks")
+    blocks = stage(keyed.join(several, F.col("block") == F.col("of"), "left_semi").distinct(), "minhash-blocks", True)
     features = sets.select("id", F.col("n_shingles").alias("n"), "halves", "point")
     linked = contraction.connect(
         blocks, lambda pairs: linked_pairs(pairs, texts, size, similarity), features,

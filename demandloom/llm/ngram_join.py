@@ -140,10 +140,12 @@ def set_sums(doc: np.ndarray, value: np.ndarray, n: int, salt: np.uint64) -> np.
 
 
 def set_points(doc: np.ndarray, value: np.ndarray, n: int) -> pa.Array:
-    """How many shingles of each text fall into each of ``GROUPS`` groups; counts under 256 are kept as bytes."""
-    point = np.bincount(doc * GROUPS + (value >> np.uint64(56)).astype(np.int64), minlength=n * GROUPS)
-    return pa.array([p.astype("u1" if p.max(initial=0) < 256 else "<u4").tobytes() for p in point.reshape(n, GROUPS)],
-                    pa.binary())
+    """How many shingles of each text fall into each of ``GROUPS`` groups; small counts take half a byte or a byte."""
+    point = np.bincount(doc * GROUPS + (value >> np.uint64(56)).astype(np.int64), minlength=n * GROUPS).reshape(n, GROUPS)
+    most = point.max(axis=1, initial=0)
+    halves = (point[:, ::2] | (point[:, 1::2] << 4)).astype("u1")
+    return pa.array([halves[i].tobytes() if most[i] < 16 else point[i].astype("u1" if most[i] < 256 else "<u4").tobytes()
+                     for i in range(n)], pa.binary())
 
 
 def _sign(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -218,13 +220,19 @@ def enough(overlap: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, similarity: Fr
 
 
 def points_of(column: pa.Array) -> np.ndarray:
-    """Points as rows of numbers; counts under 256 are kept as bytes."""
+    """Points as rows of numbers."""
     rows = column.to_pylist()
-    small = all(len(r) == GROUPS for r in rows)
-    out = np.zeros((len(rows), GROUPS), np.uint16 if small else np.int64)
-    for kind in ("u1", "<u4"):
-        on = [i for i, r in enumerate(rows) if len(r) == GROUPS * np.dtype(kind).itemsize]
-        out[on] = np.frombuffer(b"".join(rows[i] for i in on), kind).reshape(-1, GROUPS)
+    size = np.array([len(r) for r in rows])
+    out = np.zeros((len(rows), GROUPS), np.int64 if (size > GROUPS).any() else np.uint16)
+    for kind, width in (("u1", GROUPS // 2), ("u1", GROUPS), ("<u4", 4 * GROUPS)):
+        on = np.flatnonzero(size == width)
+        if not len(on):
+            continue
+        found = np.frombuffer(b"".join(rows[i] for i in on), kind).reshape(len(on), -1)
+        if width == GROUPS // 2:
+            out[on, ::2], out[on, 1::2] = found & 15, found >> 4
+        else:
+            out[on] = found
     return out
 
 
@@ -349,7 +357,7 @@ def similar_groups(docs: DataFrame, size: int = 5, similarity: float | Fraction
     found = texts.mapInArrow(lambda b: _emit_keys(b, size, similarity, buckets), KEYED).groupBy(
         "bucket").applyInArrow(_blocks, "block long, set long")
     in_blocks = stage(found.join(sets.select("set_a", "id"), F.col("set") == F.col("set_a")).select(
-        "block", "id").distinct(), "ngram-in-blocks")
+        "block", "id").distinct(), "ngram-in-blocks", True)
     points = sets.select("id", F.col("n_shingles").alias("n"), "point")
     side = lambda x: points.select(
         F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("point").alias(f"p{x}"))
