@@ -12,6 +12,7 @@ import os
 import sys
 from collections.abc import Callable, Sequence
 from dataclasses import replace
+from datetime import date, datetime
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -25,12 +26,13 @@ from demandloom import schemas as S  # noqa: E402
 from demandloom.functions import metrics as M  # noqa: E402
 from demandloom.functions import scalar as X  # noqa: E402
 from demandloom.operators import (  # noqa: E402
-    asof, audit, backtest, baselines, boosting, contracts, extract, features, forest, gold, models, monitoring,
-    quality, recursion, reports, reshape, silver, splits, stability,
+    asof, audit, backtest, baselines, boosting, contracts, extract, features, forest, gold, linear_grid, models,
+    monitoring, order_stats, quality, recursion, reports, reshape, silver, splits, stability,
 )
 from demandloom.plans import prediction, refresh  # noqa: E402
 from demandloom.plans.training import modeling_frame  # noqa: E402
 from demandloom.session import scratch_path  # noqa: E402
+from demandloom.sinks import manifest  # noqa: E402
 from demandloom.sinks import snapshots as published  # noqa: E402
 from demandloom.sinks.forecasts import ForecastTable, overwrite_horizon  # noqa: E402
 from demandloom.sinks.tables import refresh_path, write_extract  # noqa: E402
@@ -166,6 +168,15 @@ def _extract_roundtrip(t: OrderTables) -> DataFrame:
     return landing.read_extract(t.spark, path)
 
 
+def _extract_manifest(t: OrderTables) -> DataFrame:
+    """Rows of some stores from a verified extract, and the rows its manifest counts."""
+    path = scratch_path(t.spark, "extract-manifest")
+    rows = manifest.write_extract_with_manifest(
+        extract.training_extract(t.stored_mart, None), path, rows_per_file=25_000)
+    found = manifest.read_verified(t.spark, path, {"store_id": ("NATION_1", "NATION_2")})
+    return found.withColumn("manifest_rows", rows.agg(F.sum("rows")).scalar())
+
+
 def _mart_roundtrip(t: OrderTables) -> DataFrame:
     path = scratch_path(t.spark, "loaded-mart")
     t.stored_mart.write.parquet(path)
@@ -293,6 +304,32 @@ def _recursive_linear(t: OrderTables) -> DataFrame:
     return rows.withColumn("prediction", F.when(~F.isnan("prediction"), F.col("prediction")))
 
 
+def _predicted_batch(t: OrderTables) -> DataFrame:
+    """The prediction plan with the newest of two stored versions, through the forecast table."""
+    rows = _modeling(t).select("lag_7", "lag_28", F.col("sales").cast("double").alias("sales"))
+    root = scratch_path(t.spark, "models")
+    for column in ("lag_28", "lag_7"):
+        models.save_model(backtest.assembled(_linear(), [column]).fit(rows), root, "linear")
+    table = ForecastTable(t.spark, scratch_path(t.spark, "predicted"))
+    prediction.predict(t.spark, t.unpriced, root, "linear", table, datetime(2024, 1, 31, 4, 5))
+    return table.read().select(
+        "store_id", "item_id", "forecast_date", "forecast_step",
+        F.when(~F.isnan("prediction"), F.col("prediction")).alias("prediction"), "model_version")
+
+
+def _linear_grid(t: OrderTables) -> DataFrame:
+    stored = t._stored("sales-features", t.sales_features)
+    return linear_grid.ablation_linear(stored, {
+        "lag_7": ("lag_7",), "lag_28": ("lag_28",), "rolling_mean_28": ("rolling_mean_28",),
+        "lag_7_and_rolling_mean_28": ("lag_7", "rolling_mean_28")})
+
+
+def _linear_sets(t: OrderTables) -> DataFrame:
+    """All six feature sets; no SQL, as DuckDB solves no systems of equations."""
+    return linear_grid.ablation_linear(
+        t._stored("mart-features", t.features), {n: S.feature_columns(n) for n in S.FEATURE_SETS})
+
+
 def _backtest_model(config: models.TreeConfig) -> Query:
     return _on(lambda t: backtest.backtest_model(
         _modeling(t), S.feature_columns(config.feature_set),
@@ -328,6 +365,21 @@ def _audit_state(t: OrderTables) -> DataFrame:
         F.length("message").alias("message_length"), "message")
 
 
+def _compacted_audit(t: OrderTables) -> DataFrame:
+    """The same state through a log that is compacted twice while events arrive."""
+    events = t.run_events.select("*", F.col("event_ts.ts").cast("timestamp").alias("at")).drop(
+        "event_ts").withColumnRenamed("at", "event_ts")
+    log = audit.EventLog(t.spark, scratch_path(t.spark, "audit"), events.schema)
+    early = F.col("event_ts") < F.lit("2024-01-12").cast("timestamp")
+    log.append(events.where(early))
+    log.compact(date(2024, 1, 10))
+    log.append(events.where(~early))
+    log.compact(date(2024, 1, 20))
+    return log.state().select(
+        "run_id", "source_name", "status", "row_value",
+        F.length("message").alias("message_length"), "message")
+
+
 def _flagged_prices(t: OrderTables) -> DataFrame:
     week = t.week_of(t.day_number(F.col("date"))).alias("wm_yr_wk")
     return t.lines.select("store_id", "item_id", week, "l_returnflag").distinct()
@@ -363,6 +415,30 @@ def _calendar_order(t: OrderTables) -> DataFrame:
         "date_monotonic_non_decreasing", verdict)
 
 
+def _calendar_file_order(t: OrderTables) -> DataFrame:
+    """The calendar landed as three files of unequal length, and with the last days first."""
+    n = _day_number()
+    part = F.when(n <= 200, 1).when(n <= 1000, 2).otherwise(3)
+    out = None
+    for layout, of in (("in_order", part), ("last_days_first", 4 - part)):
+        root = scratch_path(t.spark, "calendar-files")
+        folders = [f"{root}/{k}" for k in (1, 2, 3)]
+        for k, folder in enumerate(folders, 1):
+            t.calendar_raw.where(of == k).repartition(1).sortWithinPartitions(n).write.option(
+                "header", True).csv(folder)
+        report = quality.tagged(
+            quality.calendar_checks(landing.read_headed_csv(t.spark, folders)), {"layout": layout})
+        out = report if out is None else out.unionByName(report)
+    return out.select("layout", "rows", "date_monotonic_non_decreasing", "passed")
+
+
+def _sampled(t: OrderTables) -> DataFrame:
+    rows = t.stored_sales.select(*S.GRAIN, "sales")
+    whole = order_stats.sample_n(rows, 1000).withColumn("part", F.lit("all"))
+    return whole.unionByName(
+        order_stats.sample_n(rows, 20, strata=("store_id",)).withColumn("part", F.lit("store")))
+
+
 def _dirty_prices(t: OrderTables) -> DataFrame:
     week = F.col("wm_yr_wk").cast("int")
     return t.prices_raw.withColumns({
@@ -489,6 +565,7 @@ def _retail_queries() -> dict[str, Query]:
         "snapshot_roundtrip": _on(_snapshot_roundtrip),
         "extract_roundtrip": _on(_extract_roundtrip),
         "mart_roundtrip": _on(_mart_roundtrip),
+        "extract_manifest": _on(_extract_manifest),
         # alignment and joins
         "asof_macro_daily": _on(lambda t: t.macro_aligned),
         "asof_macro_window": _on(_asof_window),
@@ -537,6 +614,9 @@ def _retail_queries() -> dict[str, Query]:
         "ranking_wrmsse": _on(_ranking_wrmsse),
         "backtest_linear": _on(_backtest_linear, WINDOW),
         "recursive_linear": _on(_recursive_linear),
+        "predicted_batch": _on(_predicted_batch),
+        "ablation_linear": _on(_linear_grid, WINDOW),
+        "ablation_linear_sets": _on(_linear_sets, WINDOW),
         "backtest_gbt": _backtest_model(SMALL_BOOSTING),
         "backtest_random_forest": _backtest_model(SMALL_FOREST),
         "feature_importance": _on(_importance),
@@ -559,11 +639,13 @@ def _retail_queries() -> dict[str, Query]:
         # audit
         "latest_successful_ingest": _on(lambda t: landing.latest_successful_run(t.ingestion_runs)),
         "audit_latest_state": _on(_audit_state),
+        "audit_compacted_state": _on(_compacted_audit),
         # quality and contracts
         "dq_calendar": _on(lambda t: quality.calendar_checks(t.calendar_raw, _day_number())),
         "dq_calendar_faults": _on(
             lambda t: quality.calendar_checks(_dirty_calendar(t), _day_number())),
         "dq_calendar_order": _on(_calendar_order),
+        "dq_calendar_file_order": _on(_calendar_file_order),
         "dq_sell_prices": _on(lambda t: quality.sell_price_checks(t.prices_raw)),
         "dq_sell_prices_faults": _on(lambda t: quality.sell_price_checks(_dirty_prices(t))),
         "dq_sales_wide": _on(lambda t: quality.wide_sales_checks(t.wide_sales)),
@@ -592,6 +674,9 @@ def _retail_queries() -> dict[str, Query]:
         "eda_target_profile": _on(lambda t: reports.target_profile(t.sales)),
         "eda_null_profile": _on(lambda t: reports.null_profile(t.mart)),
         "eda_distribution": _on(lambda t: reports.target_distribution(t.sales)),
+        "eda_distribution_external": _on(lambda t: order_stats.exact_distribution(
+            t.stored_mart, ("sell_price", *S.WEATHER_MEASURES))),
+        "sample_exact_rows": _on(_sampled),
         "eda_daily_totals": _on(lambda t: reports.daily_totals(t.sales)),
         "eda_store_sparsity": _on(
             lambda t: reports.store_sparsity(reshape.wide_sales_to_long(t.wide_sales))),

@@ -2,21 +2,27 @@
 
 A run is a STARTED event followed by at most one closing event; its state is
 the latest event.  Appends never rewrite files, and the state query combines
-map-side.
+map-side.  A log is a base (one row per run, the fold of all events up to a day)
+and a tail of event days after it; both are cut into buckets of runs, so closing
+a run reads one bucket.
 """
 
 from __future__ import annotations
 
 import uuid
-from datetime import datetime, timezone
+import zlib
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from demandloom import schemas as S
+from demandloom.sinks import versions
 
 MESSAGE_LIMIT = 5000
+BUCKETS = 16
 
 
 def clipped_message(column) -> F.Column:
@@ -24,15 +30,21 @@ def clipped_message(column) -> F.Column:
     return F.substring(F.coalesce(column, F.lit("")), 1, MESSAGE_LIMIT)
 
 
-def latest_state(events: DataFrame, run_id: str = "run_id", at: str = "event_ts") -> DataFrame:
-    """One row per run: its latest event, with identity columns from its start."""
+def latest_state(events: DataFrame, run_id: str = "run_id", at: str = "event_ts",
+                 keep_at: bool = False) -> DataFrame:
+    """One row per run: its latest event, with identity columns from its start.
+
+    With ``keep_at`` the rows are events again: folding them with later events
+    gives the state that folding all events gives.
+    """
     rest = [c for c in events.columns if c not in (run_id, at)]
     started = [c for c in ("source_name", "ingest_date", "schema_version", "dataset_name",
                            "suite_name", "started_at") if c in rest]
     latest = F.max_by(F.struct(*rest), at).alias("_e")
     known = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col(at))).alias(f"_s_{c}") for c in started]
-    folded = events.groupBy(run_id).agg(latest, *known)
-    return folded.select(run_id, *[
+    newest = [F.max(at).alias(at)] if keep_at else []
+    folded = events.groupBy(run_id).agg(latest, *known, *newest)
+    return folded.select(run_id, *([at] if keep_at else []), *[
         F.coalesce(f"_e.{c}", f"_s_{c}").alias(c) if c in started else F.col(f"_e.{c}").alias(c)
         for c in rest])
 
@@ -43,40 +55,117 @@ def with_duration(state: DataFrame) -> DataFrame:
         "run_duration_seconds", F.timestamp_diff("SECOND", F.col("started_at"), F.col("ended_at")))
 
 
-class _Log:
+class EventLog:
+    """Events of any schema with a run id and ``event_ts``."""
+
     schema = None
     run_id = "run_id"
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | None = None):
         self.spark, self.path = spark, path
+        self.schema = schema or self.schema
 
-    def events(self) -> DataFrame:
+    @property
+    def _tail_path(self) -> str:
+        return f"{self.path}/tail"
+
+    @property
+    def _base_path(self) -> str:
+        return f"{self.path}/base"
+
+    def _through(self) -> date | None:
+        """Last day the newest base holds; a base is numbered by that day."""
+        found = versions.versions(self.spark, self._base_path)
+        return datetime.strptime(str(found[-1]), "%Y%m%d").date() if found else None
+
+    def _read(self, path: str, *partitions: T.StructField) -> DataFrame:
+        schema = T.StructType([*self.schema.fields, *partitions, T.StructField("bucket", T.IntegerType())])
         try:
-            return self.spark.read.schema(self.schema).parquet(self.path)
+            return self.spark.read.schema(schema).parquet(path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], self.schema)
+            return self.spark.createDataFrame([], schema)
+
+    def _tail(self, after: date | None) -> DataFrame:
+        rows = self._read(self._tail_path, T.StructField("day", T.DateType()))
+        return rows.where(F.col("day") > F.lit(after)) if after else rows
+
+    def _bucketed(self) -> DataFrame:
+        through = self._through()
+        tail = self._tail(through).drop("day")
+        if not through:
+            return tail
+        base = self._read(versions.version_path(self._base_path, _number(through)))
+        return base.unionByName(tail)
+
+    def events(self) -> DataFrame:
+        """The events to fold: one per run up to the base's day, all after it."""
+        return self._bucketed().select(*self.schema.names)
 
     def state(self) -> DataFrame:
         return latest_state(self.events(), self.run_id)
 
+    def append(self, events: DataFrame) -> None:
+        """Add events by their UTC day; one that is late goes to the first day after the base."""
+        through = self._through()
+        day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("event_ts").cast("timestamp")) / 86400).cast("int"))
+        if through:
+            day = F.greatest(day, F.lit(through + timedelta(days=1)))
+        bucket = F.pmod(F.crc32(F.col(self.run_id).cast("binary")), F.lit(BUCKETS)).cast("int")
+        (
+            events.select(*self.schema.names, day.alias("day"), bucket.alias("bucket"))
+            .write.mode("append").partitionBy("day", "bucket").parquet(self._tail_path))
+
     def _append(self, **values) -> None:
         now = values.pop("now", None) or datetime.now(timezone.utc)
         row = {**dict.fromkeys(self.schema.names), **values, "event_ts": now}
-        self.spark.createDataFrame(
-            [tuple(row[n] for n in self.schema.names)], self.schema,
-        ).write.mode("append").parquet(self.path)
+        self.append(self.spark.createDataFrame(
+            [tuple(row[n] for n in self.schema.names)], self.schema).coalesce(1))
+
+    def compact(self, through: date) -> None:
+        """Fold everything up to a finished UTC day into a new base.
+
+        One file per bucket.  What the base before the last one and its readers
+        needed is removed; a compaction that dies leaves the old base in place.
+        """
+        if through >= datetime.now(timezone.utc).date():
+            raise ValueError("only finished days can be compacted")
+        before = self._through()
+        if before and through <= before:
+            return
+        tail = self._tail(before).where(F.col("day") <= F.lit(through)).drop("day")
+        if before:
+            tail = self._read(versions.version_path(self._base_path, _number(before))).unionByName(tail)
+        bucket = F.pmod(F.crc32(F.col(self.run_id).cast("binary")), F.lit(BUCKETS)).cast("int")
+        folded = latest_state(tail.drop("bucket"), self.run_id, keep_at=True)
+        staged = versions.staging_path(self._base_path)
+        (
+            folded.select(*self.schema.names, bucket.alias("bucket")).repartition(BUCKETS, "bucket")
+            .write.partitionBy("bucket").parquet(staged))
+        if not versions.publish_as(self.spark, staged, self._base_path, _number(through)):
+            versions.remove(self.spark, staged)
+            return
+        for old in versions.versions(self.spark, self._base_path)[:-2]:
+            versions.remove(self.spark, versions.version_path(self._base_path, old))
+        for name in versions.folder_names(self.spark, self._tail_path) if before else []:
+            if name.startswith("day=") and date.fromisoformat(name[4:]) <= before:
+                versions.remove(self.spark, f"{self._tail_path}/{name}")
 
     def _started(self, run_id: str):
-        row = self.events().where(
-            (F.col(self.run_id) == run_id) & (F.col("status") == "STARTED")).head()
+        own = F.col("bucket") == zlib.crc32(run_id.encode()) % BUCKETS
+        row = self._bucketed().where(
+            own & (F.col(self.run_id) == run_id) & F.col("started_at").isNotNull()).head()
         if row is None:
             raise LookupError(f"audit run not found: {run_id}")
         return row
 
 
-class IngestionLog(_Log):
+def _number(day: date) -> int:
+    return int(day.strftime("%Y%m%d"))
+
+
+class IngestionLog(EventLog):
     """STARTED -> SUCCEEDED | FAILED."""
 
     schema = S.INGESTION_RUNS
@@ -103,7 +192,7 @@ class IngestionLog(_Log):
                      error_message=(message or "")[:MESSAGE_LIMIT])
 
 
-class QualityLog(_Log):
+class QualityLog(EventLog):
     """STARTED -> PASSED | FAILED."""
 
     schema = S.DQ_RUNS

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 
 from demandloom import schemas as S
 from demandloom.operators.backtest import assembled
+from demandloom.sinks import versions
 
 
 @dataclass(frozen=True)
@@ -69,34 +69,28 @@ def feature_importance(model: PipelineModel, features: Sequence[str]) -> DataFra
 
 # -- versioned folders ------------------------------------------------------
 
-_VERSION = re.compile(r"version=(\d+)")
-
-
-def _filesystem(spark: SparkSession, path: str):
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath, jpath.getFileSystem(spark._jsc.hadoopConfiguration())
-
 
 def model_versions(spark: SparkSession, root: str, name: str) -> list[int]:
-    """Version numbers of a model, ascending."""
-    path, fs = _filesystem(spark, f"{root}/{name}")
-    if not fs.exists(path):
-        return []
-    found = (_VERSION.fullmatch(s.getPath().getName()) for s in fs.listStatus(path))
-    return sorted(int(m.group(1)) for m in found if m)
+    """Version numbers of a model, ascending; unfinished ones have no number yet."""
+    return versions.versions(spark, f"{root}/{name}")
 
 
 def save_model(model: PipelineModel, root: str, name: str) -> str:
-    """Store under the next version number; returns the version."""
+    """Save aside, then publish under the next free number; returns the version.
+
+    Two writers at once get different numbers, and a writer that dies while
+    saving leaves no version.
+    """
     spark = SparkSession.active()
-    version = (model_versions(spark, root, name) or [0])[-1] + 1
-    model.save(f"{root}/{name}/version={version}")
-    return str(version)
+    folder = f"{root}/{name}"
+    staged = versions.staging_path(folder)
+    model.save(staged)
+    return str(versions.publish_next(spark, staged, folder))
 
 
 def load_latest_model(spark: SparkSession, root: str, name: str) -> tuple[PipelineModel, str]:
     """Highest version by number, not by text; no version is an error."""
-    versions = model_versions(spark, root, name)
-    if not versions:
+    found = model_versions(spark, root, name)
+    if not found:
         raise LookupError(f"no version of model {name!r} below {root}")
-    return PipelineModel.load(f"{root}/{name}/version={versions[-1]}"), str(versions[-1])
+    return PipelineModel.load(versions.version_path(f"{root}/{name}", found[-1])), str(found[-1])

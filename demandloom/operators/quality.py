@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -96,25 +97,38 @@ def _passed(report: DataFrame, rules: Sequence[Column]) -> DataFrame:
     return report.withColumn("passed", reduce(lambda a, b: a & b, rules))
 
 
+def _has_files(df: DataFrame) -> bool:
+    """Do the rows still carry the file and split they were read from?"""
+    try:
+        return bool(df.select("_metadata.file_path", "_metadata.file_block_start").columns)
+    except AnalysisException:
+        return False
+
+
 def non_decreasing(df: DataFrame, value: Column, order: Column | None = None) -> Column:
-    """Scalar: is ``value`` non-decreasing in row order (or by ``order``)?
+    """Scalar: is ``value`` non-decreasing in file order (or by ``order``)?
 
-    Without ``order`` the scan order of the rows counts, which is the file
-    order of one file.  Rows are compared inside their partition, and only the
-    first and last value of each partition are compared across partitions, so
-    no task sees more than one partition.
+    Without ``order`` the rows of files count in the order of file path, place of
+    the split in its file and place in the split, whatever tasks the splits were
+    packed into; rows that come from no file count in scan order.  Rows are
+    compared inside their split, and only the first and last value of each split
+    are compared across splits, so no task sees more than one of them.
     """
-    if order is None:
-        rows = df.select(value.alias("v"), F.monotonically_increasing_id().alias("o"))
+    scan = F.monotonically_increasing_id()
+    if order is not None:
+        rows = df.select(value.alias("v"), order.alias("o")).repartitionByRange("o").withColumn(
+            "b", F.struct(F.spark_partition_id()))
+    elif _has_files(df):
+        split = F.struct("_metadata.file_path", "_metadata.file_block_start")
+        rows = df.select(value.alias("v"), scan.alias("o"), split.alias("b"))
     else:
-        rows = df.select(value.alias("v"), order.alias("o")).repartitionByRange("o")
-    rows = rows.withColumn("b", F.spark_partition_id())
+        rows = df.select(value.alias("v"), scan.alias("o"), F.struct(F.spark_partition_id()).alias("b"))
     inside = rows.withColumn("p", F.lag("v").over(Window.partitionBy("b").orderBy("o")))
     blocks = inside.groupBy("b").agg(
-        F.min("o").alias("o"), F.min_by("v", "o").alias("first"), F.max_by("v", "o").alias("last"),
+        F.min_by("v", "o").alias("first"), F.max_by("v", "o").alias("last"),
         F.count_if(F.col("v") < F.col("p")).alias("drops"))
-    # One row per partition from here on.
-    before = F.lag("last").over(Window.orderBy("o"))
+    # One row per split from here on.
+    before = F.lag("last").over(Window.orderBy("b"))
     across = blocks.withColumn("step", (F.col("first") < before).cast("int"))
     return across.agg(
         (F.coalesce(F.sum("drops"), F.lit(0)) + F.coalesce(F.sum("step"), F.lit(0)) == 0)

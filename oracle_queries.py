@@ -486,6 +486,10 @@ def build() -> dict[str, str]:
     q["training_extract_all_series"] = f"""
         {MART_ROWS} FROM mart WHERE date > (SELECT max(date) - 365 FROM mart)"""
     q["extract_roundtrip"], q["mart_roundtrip"] = q["training_extract_all_series"], f"{MART_ROWS} FROM mart"
+    q["extract_manifest"] = f"""
+        , chosen AS (SELECT * FROM mart WHERE date > (SELECT max(date) - 365 FROM mart))
+        {MART_ROWS}, (SELECT count(*) FROM chosen) AS manifest_rows FROM chosen
+        WHERE store_id BETWEEN 'NATION_1' AND 'NATION_2'"""
     q["series_key_counts"] = """
         SELECT store_id || '|' || item_id AS series_key, count(*) AS n FROM sales GROUP BY ALL"""
     q["series_totals"] = """
@@ -590,6 +594,33 @@ def build() -> dict[str, str]:
         "(intercept + slope * lag_7)", "(SELECT * FROM windows JOIN lines_fit USING (window_no))")
     q["recursive_linear"] = _recursive(
         "((SELECT intercept FROM whole_fit) + (SELECT slope FROM whole_fit) * h[-7])")
+    q["predicted_batch"] = q["recursive_linear"].replace(
+        "FROM steps WHERE step > 0", ", '2' AS model_version FROM steps WHERE step > 0")
+    pair = "lag_7_and_rolling_mean_28"
+    parts = [f"SELECT '{c}' AS s, date, CAST(sales AS DOUBLE) AS y, {c} AS a, 0.0::DOUBLE AS b FROM feat WHERE {c} IS NOT NULL"
+             for c in ("lag_7", "lag_28", "rolling_mean_28")]
+    parts.append(f"SELECT '{pair}', date, CAST(sales AS DOUBLE), lag_7, rolling_mean_28 FROM feat "
+                 "WHERE lag_7 IS NOT NULL AND rolling_mean_28 IS NOT NULL")
+    # Least squares from covariances; Cramer's rule for the pair.
+    q["ablation_linear"] = f"""
+        , grid_rows AS ({' UNION ALL '.join(parts)}),
+        grid_windows AS (
+          SELECT s, w, hi - CAST((w - 1) * 28 + 27 AS INTEGER) AS lo, hi - CAST((w - 1) * 28 AS INTEGER) AS hi
+          FROM (SELECT s, max(date) AS hi FROM grid_rows GROUP BY s), range(1, 6) r(w)),
+        moments AS (
+          SELECT s, w, lo, g.hi, count(*) AS n, avg(y) AS my, avg(a) AS ma, avg(b) AS mb, covar_pop(y, a) AS ya,
+                 covar_pop(y, b) AS yb, var_pop(a) AS aa, var_pop(b) AS bb, covar_pop(a, b) AS ab
+          FROM grid_windows g JOIN grid_rows USING (s) WHERE date < lo GROUP BY ALL),
+        slopes AS (
+          SELECT *, CASE WHEN s = '{pair}' THEN (ya * bb - yb * ab) / (aa * bb - ab * ab) ELSE ya / aa END AS ca,
+                 CASE WHEN s = '{pair}' THEN (yb * aa - ya * ab) / (aa * bb - ab * ab) ELSE 0 END AS cb
+          FROM moments),
+        tested AS (
+          SELECT s, w, n, y, my + ca * (a - ma) + cb * (b - mb) - y AS e
+          FROM slopes JOIN grid_rows USING (s) WHERE date BETWEEN lo AND hi)
+        SELECT s AS feature_set_name, 'linear' AS model_name, CAST(w AS INTEGER) AS window_no, n AS train_rows,
+               count(*) AS test_rows, {d('sum(abs(e)) / sum(y)', 'wmape')}, {d('avg(abs(e))', 'mae')},
+               {d('sqrt(avg(e * e))', 'rmse')} FROM tested GROUP BY s, w, n"""
     line = "(intercept + slope * lag_7)"
     q["backtest_linear_wrmsse"] = f"""
         , fitted AS (SELECT * FROM windows JOIN lines_fit USING (window_no)),
@@ -669,6 +700,8 @@ def build() -> dict[str, str]:
                substr(repeat(props, 600), 1, 5000) AS message
         FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
 
+    q["audit_compacted_state"] = q["audit_latest_state"]
+
     calendar_check = """
         SELECT *, pk_nulls + date_nulls + date_parse_failures + weekday_invalid_count
                   + wm_yr_wk_nulls = 0 AND pk_unique
@@ -692,6 +725,14 @@ def build() -> dict[str, str]:
         FROM (SELECT v AS date, lag(v) OVER (ORDER BY n) AS before FROM (
           SELECT n, CASE WHEN n % 100 = 0 THEN CAST(date AS DATE) - 2 ELSE CAST(date AS DATE) END AS v
           FROM calraw))"""
+    q["dq_calendar_file_order"] = """
+        SELECT layout, count(*) AS rows, coalesce(count(*) FILTER (date < before), 0) = 0
+                 AS date_monotonic_non_decreasing,
+               coalesce(count(*) FILTER (date < before), 0) = 0 AS passed
+        FROM (SELECT layout, date, lag(date) OVER (PARTITION BY layout ORDER BY CASE layout
+                WHEN 'in_order' THEN part ELSE -part END, n) AS before
+              FROM (SELECT n, date, CASE WHEN n <= 200 THEN 1 WHEN n <= 1000 THEN 2 ELSE 3 END AS part FROM calraw),
+                   (VALUES ('in_order'), ('last_days_first')) l(layout)) GROUP BY layout"""
     price_check = """
         SELECT count(*) AS rows, 4 AS cols, '' AS missing_required_columns, 0 AS store_id_nulls,
                0 AS item_id_nulls, count(*) FILTER (wm_yr_wk IS NULL) AS wm_yr_wk_nulls,
@@ -828,6 +869,18 @@ def build() -> dict[str, str]:
                {d('quantile_cont(sales, 0.5)', 'median_sales')},
                {d('quantile_cont(sales, 0.9)', 'p90_sales')},
                {d('quantile_cont(sales, 0.99)', 'p99_sales')} FROM priced"""
+    q["eda_distribution_external"] = " UNION ALL ".join(f"""
+        SELECT '{c}' AS feature, count({c}) AS n, {d(f'avg(CAST({c} AS DOUBLE))', 'average')},
+               {d(f'stddev_samp(CAST({c} AS DOUBLE))', 'deviation')},
+               {d(f'quantile_cont(CAST({c} AS DOUBLE), 0.5)', 'p50')},
+               {d(f'quantile_cont(CAST({c} AS DOUBLE), 0.9)', 'p90')},
+               {d(f'quantile_cont(CAST({c} AS DOUBLE), 0.99)', 'p99')} FROM mart""" for c in ("sell_price", *WEATHER))
+    place = "CAST('0x' || substr(md5(store_id || '|' || item_id || '|' || CAST(date AS VARCHAR)), 1, 15) AS BIGINT), store_id, item_id, date"
+    q["sample_exact_rows"] = f"""
+        SELECT store_id, item_id, {t('date', 'date')}, sales, 'all' AS part
+        FROM sales QUALIFY row_number() OVER (ORDER BY {place}) <= 1000
+        UNION ALL SELECT store_id, item_id, {t('date', 'date')}, sales, 'store'
+        FROM sales QUALIFY row_number() OVER (PARTITION BY store_id ORDER BY {place}) <= 20"""
     q["eda_daily_totals"] = f"""
         SELECT {t('date', 'date')}, CAST(sum(sales) AS BIGINT) AS total_daily_sales FROM priced
         GROUP BY date"""

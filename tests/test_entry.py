@@ -23,6 +23,8 @@ SPREAD = (
     "ranking_wrmsse", "recursive_linear", "contract_columns", "contract_grain_faults", "contract_sales_faults",
     "contract_price_key_faults", "dq_sales_wide", "eda_store_sparsity", "eda_profile", "landed_gates",
     "landed_silver_sales", "forecast_table_roundtrip", "snapshot_roundtrip", "metrics_wrmsse",
+    "extract_manifest", "predicted_batch", "ablation_linear", "audit_compacted_state",
+    "dq_calendar_file_order", "eda_distribution_external", "sample_exact_rows",
 )
 pytestmark = pytest.mark.skipif(not os.path.isdir(ROOT), reason="no test tables")
 
@@ -52,7 +54,7 @@ def test_query_matches_sql(spark, duck, name):
 def test_every_sql_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert set(entry._retail_queries()) - set(oracle_queries.build()) == {
-        "backtest_gbt", "backtest_random_forest", "feature_importance", "recursive_gbt"}
+        "backtest_gbt", "backtest_random_forest", "feature_importance", "recursive_gbt", "ablation_linear_sets"}
 
 
 def test_entry_is_the_mart(spark):
