@@ -68,10 +68,11 @@ def _kth_values(df: DataFrame, ranks: dict[str, list[int]], ends: dict[str, tupl
         tags = []
         for i, (c, low, high) in enumerate(names):
             x = F.col(c).cast("double")
-            # Dividing first keeps the step finite for any two doubles.
+            # Dividing first keeps the step finite for any two doubles; a difference
+            # beyond all doubles falls into the last bin, which keeps the order.
             step = high / BINS - low / BINS
-            b = F.floor((x - F.lit(low)) / F.lit(step)) if step else F.when(x > F.lit(low), F.lit(1)).otherwise(F.lit(0))
-            b = F.least(b.cast("int"), F.lit(BINS - 1))
+            b = (x - F.lit(low)) / F.lit(step) if step else F.when(x > F.lit(low), F.lit(1.0)).otherwise(F.lit(0.0))
+            b = F.floor(F.least(b, F.lit(float(BINS - 1)))).cast("int")
             tags.append(F.when(x.between(F.lit(low), F.lit(high)), F.struct(
                 F.lit(i).alias("i"), b.alias("b"), x.alias("x"))))
         bins = df.select(F.explode(F.array_compact(F.array(*tags))).alias("t")).groupBy("t.i", "t.b").agg(
