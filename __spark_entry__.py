@@ -13,6 +13,7 @@ import sys
 from collections.abc import Callable, Sequence
 from dataclasses import replace
 from datetime import date, datetime
+from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -29,7 +30,7 @@ from demandloom.operators import (  # noqa: E402
     asof, audit, backtest, baselines, boosting, contracts, extract, features, forest, gold, linear_grid, models,
     monitoring, order_stats, quality, recursion, reports, reshape, silver, splits, stability,
 )
-from demandloom.plans import prediction, refresh  # noqa: E402
+from demandloom.plans import prediction, refresh, training  # noqa: E402
 from demandloom.plans.training import modeling_frame  # noqa: E402
 from demandloom.session import scratch_path  # noqa: E402
 from demandloom.sinks import manifest  # noqa: E402
@@ -317,6 +318,20 @@ def _predicted_batch(t: OrderTables) -> DataFrame:
         F.when(~F.isnan("prediction"), F.col("prediction")).alias("prediction"), "model_version")
 
 
+def _training_run(t: OrderTables) -> DataFrame:
+    """The training plan with three small trees: its windows, stored version, settings and importances."""
+    config = replace(models.GRADIENT_BOOSTING, trees=3, max_depth=3, learning_rate=0.3)
+    run = training.train(t.spark, t.unpriced, config, scratch_path(t.spark, "trained"), config.n_windows)
+    importance = run.importance.agg(
+        F.count(F.lit(1)).alias("importance_rows"), F.sum("importance").alias("importance_total"))
+    return run.windows.select("window", "train_rows", "test_rows").withColumns({
+        "model_version": F.lit(run.version),
+        "modeling_rows": run.metrics.select("modeling_rows").scalar(),
+        "feature_count": run.params.where("name = 'feature_count'").select("value").scalar(),
+        "importance_rows": importance.select("importance_rows").scalar(),
+        "importance_total": importance.select("importance_total").scalar()})
+
+
 def _linear_grid(t: OrderTables) -> DataFrame:
     stored = t._stored("sales-features", t.sales_features)
     return linear_grid.ablation_linear(stored, {
@@ -487,6 +502,95 @@ def _trends_report(t: OrderTables) -> DataFrame:
     return out
 
 
+def _keyless_macro_texts(t: OrderTables) -> DataFrame:
+    """Macro documents in which each series lacks something: a label, the ingestion part, values, all observations."""
+    series, none = F.col("series_metadata.series_id"), F.lit(None).cast("string")
+    meta = F.col("series_metadata")
+    valueless = F.transform("observations", lambda o: F.struct(
+        o["date"].alias("date"), F.when(F.month(o["date"].cast("date")) != 2, o["value"]).alias("value")))
+    docs = t.macro_documents.withColumns({
+        "series_metadata": F.when(series == "CPIAUCSL", meta.withField("label", none)).otherwise(meta),
+        "ingestion_metadata": F.when(series != "UNRATE", F.col("ingestion_metadata")),
+        "observations": F.when(series == "FEDFUNDS", valueless).when(
+            series != "PAYEMS", F.col("observations"))})
+    return docs.select(series.alias("series_id"), F.to_json(F.struct(*docs.columns)).alias("document"))
+
+
+def _trends_faults(t: OrderTables) -> DataFrame:
+    """Keyword files without a fixed column, without a value column, with two of them, and with bad values."""
+    month = F.month(F.col("date").cast("date"))
+    faults = {
+        "walmart": lambda f, k: f.drop("geo"),
+        "grocery store": lambda f, k: f.drop(k),
+        "discount store": lambda f, k: f.withColumn("interest", F.col(f"`{k}`")),
+        "cleaning supplies": lambda f, k: f.withColumn(
+            k, F.when(month == 1, "-1").when(month == 2, "none").otherwise(F.col(f"`{k}`"))),
+    }
+    out = None
+    for keyword, fault in faults.items():
+        report = quality.tagged(
+            quality.trends_checks(fault(t.keyword_file(keyword), keyword)), {"keyword": keyword})
+        out = report if out is None else out.unionByName(report)
+    return out
+
+
+def _gate_verdicts(t: OrderTables) -> DataFrame:
+    """Four gates through the quality log: each is started, judged and closed, and the state is read back."""
+    log = audit.QualityLog(t.spark, scratch_path(t.spark, "gates"))
+    for name, dataset, report in (
+        ("calendar", "calendar", quality.calendar_checks(t.calendar_raw, _day_number())),
+        ("calendar", "calendar_faults", quality.calendar_checks(_dirty_calendar(t), _day_number())),
+        ("sell_prices", "sell_prices", quality.sell_price_checks(t.prices_raw)),
+        ("macro_series", "macro_series", quality.suite_rollup(_macro_report(t), "series_id")),
+    ):
+        run_id = log.start(dataset, quality.SUITES[name].suite)
+        try:
+            quality.gate(report, log, run_id, name)
+        except quality.DataQualityError:
+            continue  # the log has the verdict
+    counters = ("rows", "pk_nulls", "wm_yr_wk_nulls", "parts_failed")
+    return log.state().select(
+        "dataset_name", "suite_name", "status", F.substring_index("error_message", ";", 1).alias("message"),
+        *[F.get_json_object("details_json", f"$.{c}").cast("bigint").alias(c) for c in counters])
+
+
+def _stamped_weather(t: OrderTables) -> DataFrame:
+    """Daily weather with the metadata of its registered location and the constants of its source."""
+    station = F.element_at(F.array(F.lit("CA"), F.lit("TX"), F.lit("WI")), (F.length("state_id") % 3 + 1).cast("int"))
+    rows = t.weather.select(
+        F.col("state_id").alias("region"), station.alias("location_id"), "weather_date", "precipitation_sum")
+    registered = reshape.stamp_from_registry(rows, S.weather_registry(t.spark), "location_id")
+    return reshape.stamp(registered, S.SOURCE_CONTRACTS["weather"])
+
+
+def _run_ids(t: OrderTables) -> DataFrame:
+    hour = F.date_trunc("hour", "ts")
+    return t.table("events").groupBy(X.run_id_text(hour).alias("run_id")).agg(F.count(F.lit(1)).alias("events"))
+
+
+#: Codes as they may come, one per order priority: known, padded, missing, unknown, empty.
+SHOWN_CODES = {
+    "1-URGENT": ("gradient_boosted_trees", "latest", "full_feature_set"),
+    "2-HIGH": (" random_forest ", "cache", "baseline_plus_price"),
+    "3-MEDIUM": (None, " unavailable", "baseline_plus_weather"),
+    "4-NOT SPECIFIED": ("prophet", "elsewhere", "baseline_plus_macro "),
+    "5-LOW": ("", None, None),
+}
+
+
+def _labels_by_code(t: OrderTables) -> DataFrame:
+    def code(i: int) -> F.Column:
+        return reduce(lambda c, kv: c.when(F.col("o_orderpriority") == kv[0], F.lit(kv[1][i])),
+                      SHOWN_CODES.items(), F.when(F.lit(False), F.lit("")))
+
+    return t.table("orders").groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("top")).select(
+        "o_orderpriority", X.model_label(code(0)).alias("model_label"),
+        X.data_source_label(code(1)).alias("data_source_label"),
+        X.feature_set_label(code(2)).alias("feature_set_label"),
+        X.int_text(F.col("n")).alias("orders_label"), X.float_text(F.col("top"), 2).alias("top_label"))
+
+
 def _column_contracts(t: OrderTables) -> DataFrame:
     tables = {
         "silver_calendar": t.calendar, "silver_sell_prices": t.prices, "silver_sales": t.sales,
@@ -551,6 +655,7 @@ def _retail_queries() -> dict[str, Query]:
             silver.macro_series(reshape.flatten_macro(t.macro_documents)), MACRO_COLUMNS)),
         "normalise_keyword_files": _on(_keyword_files),
         "date_chunks": _on(_date_chunks),
+        "weather_stamped": _on(_stamped_weather),
         "sales_date_range": _on(lambda t: silver.sales_date_range(t.sales_raw, t.calendar)),
         "dedup_keep_last": _on(_dedup),
         # landed files and sinks, there and back
@@ -615,6 +720,7 @@ def _retail_queries() -> dict[str, Query]:
         "backtest_linear": _on(_backtest_linear, WINDOW),
         "recursive_linear": _on(_recursive_linear),
         "predicted_batch": _on(_predicted_batch),
+        "training_run": _on(_training_run, WINDOW),
         "ablation_linear": _on(_linear_grid, WINDOW),
         "ablation_linear_sets": _on(_linear_sets, WINDOW),
         "backtest_gbt": _backtest_model(SMALL_BOOSTING),
@@ -653,6 +759,11 @@ def _retail_queries() -> dict[str, Query]:
         "dq_weather": _on(lambda t: quality.weather_document_checks(
             _weather_texts(t), parts=("location_id",))),
         "dq_trends": _on(_trends_report),
+        "dq_macro_missing_keys": _on(lambda t: quality.macro_document_checks(
+            _keyless_macro_texts(t), parts=("series_id",))),
+        "dq_trends_faults": _on(_trends_faults),
+        "dq_failing_parts": _on(lambda t: quality.failing_parts(_macro_report(t), "series_id")),
+        "dq_gate_verdicts": _on(_gate_verdicts),
         "dq_suite_rollup": _on(lambda t: quality.suite_rollup(_macro_report(t), "series_id")),
         "contract_grain_unique": _on(
             lambda t: contracts.grain_unique(gold.training_daily(t.priced))),
@@ -698,6 +809,8 @@ def _retail_queries() -> dict[str, Query]:
         "filter_options": _on(lambda t: reports.filter_options(t.forecasts, "store_id")),
         "forecast_window": _on(lambda t: reports.forecast_window(_latest(t))),
         "display_labels": _on(_labels),
+        "display_labels_by_code": _on(_labels_by_code),
+        "snapshot_run_ids": _on(_run_ids),
     }
     for name in S.FEATURE_SETS:
         q[f"modeling_dataset_{name}"] = _modeling_query(name)

@@ -346,19 +346,36 @@ def tagged(report: DataFrame, tags: Mapping[str, str]) -> DataFrame:
     return report.select(*[F.lit(v).alias(k) for k, v in tags.items()], "*")
 
 
+#: Names of failing parts that a rolled-up report shows; ``failing_parts`` has all of them.
+SHOWN_PARTS = 100
+
+
+def failing_parts(reports: DataFrame, part: str) -> DataFrame:
+    """The parts that fail, a row each, with their report as JSON."""
+    failing = reports.where(~F.coalesce("passed", F.lit(False)))
+    return failing.select(part, _as_json(failing).alias("details_json"))
+
+
 def suite_rollup(reports: DataFrame, part: str) -> DataFrame:
-    """All parts must pass; failing parts are listed (one entry per part)."""
-    failing = F.sort_array(F.collect_list(F.when(~F.col("passed"), F.col(part))))
+    """All parts must pass; failing ones are counted and the first by name are listed.
+
+    The report stays one bounded row however many parts a suite has.
+    """
+    failed = ~F.coalesce("passed", F.lit(False))
+    shown = reports.where(failed).orderBy(part).limit(SHOWN_PARTS).agg(
+        F.sort_array(F.collect_list(part))).scalar()
     return reports.agg(
-        F.count(F.lit(1)).alias("parts_checked"), failing.alias("failing_parts"),
-        F.coalesce(F.bool_and("passed"), F.lit(True)).alias("passed"))
+        F.count(F.lit(1)).alias("parts_checked"), F.count_if(failed).alias("parts_failed")).select(
+        "*", shown.alias("failing_parts"), (F.col("parts_failed") == 0).alias("passed"))
+
+
+def _as_json(report: DataFrame) -> Column:
+    return F.to_json(F.struct(*report.columns), {"ignoreNullFields": "false"})
 
 
 def details(report: DataFrame) -> DataFrame:
     """The report as one JSON document per row, plus its verdict."""
-    return report.select(
-        "passed", F.to_json(F.struct(*report.columns), {"ignoreNullFields": "false"})
-        .alias("details_json"))
+    return report.select("passed", _as_json(report).alias("details_json"))
 
 
 def gate(report: DataFrame, audit, run_id: str, what: str) -> None:

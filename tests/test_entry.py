@@ -24,6 +24,8 @@ SPREAD = (
     "contract_price_key_faults", "dq_sales_wide", "eda_store_sparsity", "eda_profile", "landed_gates",
     "landed_silver_sales", "forecast_table_roundtrip", "snapshot_roundtrip", "metrics_wrmsse",
     "extract_manifest", "predicted_batch", "ablation_linear", "audit_compacted_state",
+    "dq_macro_missing_keys", "dq_trends_faults", "dq_failing_parts", "dq_gate_verdicts", "weather_stamped",
+    "training_run", "display_labels_by_code", "snapshot_run_ids",
     "dq_calendar_file_order", "eda_distribution_external", "sample_exact_rows",
 )
 pytestmark = pytest.mark.skipif(not os.path.isdir(ROOT), reason="no test tables")

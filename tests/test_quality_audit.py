@@ -185,7 +185,13 @@ def test_rollup_and_gate(spark, tmp_path):
     reports = spark.createDataFrame(
         [("a", True), ("c", False), ("b", False)], "part string, passed boolean")
     r = quality.suite_rollup(reports, "part").first()
-    assert (r.parts_checked, r.failing_parts, r.passed) == (3, ["b", "c"], False)
+    assert (r.parts_checked, r.parts_failed, r.failing_parts, r.passed) == (3, 2, ["b", "c"], False)
+    failing = {x.part: json.loads(x.details_json) for x in quality.failing_parts(reports, "part").collect()}
+    assert failing == {p: {"part": p, "passed": False} for p in "bc"}
+    none = quality.suite_rollup(reports.limit(0), "part").first()
+    assert (none.parts_checked, none.parts_failed, none.failing_parts, none.passed) == (0, 0, [], True)
+    unknown = spark.createDataFrame([("a", None)], "part string, passed boolean")
+    assert not quality.suite_rollup(unknown, "part").first().passed
     log = audit.QualityLog(spark, str(tmp_path / "dq"))
     suite = SUITES["calendar"]
     first = log.start(suite.dataset, suite.suite, dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc))
@@ -201,6 +207,14 @@ def test_rollup_and_gate(spark, tmp_path):
     assert json.loads(state[second].details_json)["pk_nulls"] == 1
 
 
+def test_rolled_up_report_is_bounded(spark):
+    many = spark.range(1000).select(F.format_string("p%04d", "id").alias("part"), (F.col("id") % 2 == 0).alias("passed"))
+    r = quality.suite_rollup(many, "part").first()
+    assert (r.parts_checked, r.parts_failed, r.passed) == (1000, 500, False)
+    assert r.failing_parts == [f"p{i:04d}" for i in range(1, 2 * quality.SHOWN_PARTS, 2)]
+    assert quality.failing_parts(many, "part").count() == 500
+
+
 def test_ingestion_log(spark, tmp_path):
     log = audit.IngestionLog(spark, str(tmp_path / "runs"))
     assert log.state().count() == 0
