@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from demandloom.llm import contraction
 from demandloom.llm import tokens as T
 from demandloom.llm.common import narrow, slices, stage
-from demandloom.llm.packing import bucket_bounds, pack, unpack
+from demandloom.llm.packing import filled_buckets, pack, unpack
 
 #: Coordinates of a point, and of a part of the finer count vector.
 GROUPS, PART_GROUPS = 256, 4096
@@ -183,14 +183,11 @@ def _emit_keys(batches: Iterator[pa.RecordBatch], size: int, similarity: Fractio
         rows = [{"bucket": buckets + (task << 24) + number, "keys": key[shared].tobytes(), "owners": None,
                  "sets": owner[shared].tobytes(), "n": int(shared.sum())}]
         key, owner = key[new], owner[new]
-        cut = np.searchsorted(key, bucket_bounds(buckets))
-        for b in range(buckets):
-            k, o = key[cut[b]:cut[b + 1]], owner[cut[b]:cut[b + 1]]
-            if len(k):
-                sets, at = np.unique(o, return_inverse=True)
-                kind = np.uint16 if len(sets) <= 1 << 16 else np.uint32
-                rows.append({"bucket": b, "keys": pack(k), "owners": at.astype(kind).tobytes(),
-                             "sets": sets.tobytes(), "n": len(k)})
+        for b, first, end in filled_buckets(key, buckets):
+            sets, at = np.unique(owner[first:end], return_inverse=True)
+            kind = np.uint16 if len(sets) <= 1 << 16 else np.uint32
+            rows.append({"bucket": b, "keys": pack(key[first:end]), "owners": at.astype(kind).tobytes(),
+                         "sets": sets.tobytes(), "n": end - first})
         for i in range(0, len(rows), 64):
             yield pa.RecordBatch.from_pylist(rows[i:i + 64], _KEYED)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 
@@ -28,3 +30,18 @@ def bucket_bounds(buckets: int) -> np.ndarray:
     """First value of each bucket, and an end beyond all values but the last."""
     step = (1 << 64) // buckets
     return np.array([i * step for i in range(buckets)] + [(1 << 64) - 1], np.uint64)
+
+
+def filled_buckets(values: np.ndarray, buckets: int) -> Iterator[tuple[int, int, int]]:
+    """(bucket, first, end) of the buckets that hold any of the sorted ``values``, by the bounds of ``bucket_bounds``.
+
+    The work grows with the values, not with the number of buckets.
+    """
+    if not len(values):
+        return
+    owner = np.zeros(len(values), np.uint64)
+    if buckets > 1:
+        owner = np.minimum(values // np.uint64((1 << 64) // buckets), np.uint64(buckets - 1))
+    heads = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+    for first, end in zip(heads, np.append(heads[1:], len(owner))):
+        yield int(owner[first]), int(first), int(end)

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from demandloom.llm import tokens as T
 from demandloom.llm.common import narrow, row_key, slices, stage
-from demandloom.llm.packing import bucket_bounds, pack, unpack
+from demandloom.llm.packing import filled_buckets, pack, unpack
 
 CHUNK_BYTES = 12 << 20
 #: Text bytes per bucket of values; about a million windows of usual words.
@@ -89,11 +89,8 @@ def _chunk_rows(batch: pa.RecordBatch, chunk: int, window: int, buckets: int) ->
     # Of the others only the smallest id's windows travel: all of them, as a text may
     # hold one several times.
     value, at = value[owner == least], at[owner == least]
-    cut = np.searchsorted(value, bucket_bounds(buckets))
-    for b in range(buckets):
-        v, w = value[cut[b]:cut[b + 1]], at[cut[b]:cut[b + 1]]
-        if not len(v):
-            continue
+    for b, first, last in filled_buckets(value, buckets):
+        v, w = value[first:last], at[first:last]
         present = np.unique(doc[w])
         yield {"bucket": b, "chunk": chunk, "hashes": pack(v),
                "windows": w.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :_width(len(doc))].tobytes(),

@@ -81,6 +81,19 @@ def test_repeats_edges(spark):
     assert empty.collect() == [] and empty.columns[:3] == ["doc_id", "n_words", "n_removed"]
 
 
+@pytest.mark.parametrize("buckets", [1, 3, 64, 10**12])
+def test_filled_buckets_hold_every_value(buckets):
+    rng = np.random.default_rng(5)
+    values = np.sort(np.append(rng.integers(0, 1 << 63, 500).astype(np.uint64) * np.uint64(2),
+                               np.array([0, 1, (1 << 64) - 1], np.uint64)))
+    found = list(packing.filled_buckets(values, buckets))
+    assert [f for _, f, _ in found] == [0, *[e for _, _, e in found][:-1]] and found[-1][2] == len(values)
+    step = (1 << 64) // buckets
+    for b, first, end in found:
+        assert end > first and all(min(int(v) // step, buckets - 1) == b for v in values[first:end])
+    assert list(packing.filled_buckets(values[:0], buckets)) == []
+
+
 def test_packed_values_round_trip():
     for values in ([5], [0, 0, 1 << 63, (1 << 64) - 1], list(range(7, 5000, 3))):
         v = np.array(values, np.uint64)
