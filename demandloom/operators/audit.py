@@ -5,12 +5,16 @@ the latest event.  Appends never rewrite files, and the state query combines
 map-side.  A log is a base (one row per run, the fold of all events up to a day)
 and a tail of event days after it; both are cut into buckets of runs, so closing
 a run reads one bucket.
+
+Error texts are long, so whole events are never sorted: the newest event of each run is found from the narrow columns,
+and only events that are the newest of a run are gathered; files of events are written in the order of arrival.
 """
 
 from __future__ import annotations
 
 import uuid
 import zlib
+from contextlib import contextmanager
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
@@ -19,10 +23,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandloom import schemas as S
+from demandloom.session import scratch_path
 from demandloom.sinks import versions
 
 MESSAGE_LIMIT = 5000
 BUCKETS = 16
+#: Runs whose newest times are broadcast at most; more are joined by shuffled hash tables.
+BROADCAST_RUNS = 1 << 18
+#: Newest events and appended events of a task, and tasks at most (more would be sorted before a shuffle).
+FOLD_ROWS, APPEND_ROWS, TASKS = 1 << 12, 1 << 14, 200
+#: Files a task writes side by side; it sorts only what belongs to further ones.
+OPEN_FILES = 64
 
 
 def clipped_message(column) -> F.Column:
@@ -40,15 +51,39 @@ def latest_state(events: DataFrame, run_id: str = "run_id", at: str = "event_ts"
     rest = [c for c in events.columns if c not in (run_id, at)]
     started = [c for c in ("source_name", "ingest_date", "schema_version", "dataset_name",
                            "suite_name", "started_at") if c in rest]
-    latest = F.max_by(F.struct(*rest), at).alias("_e")
     known = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col(at))).alias(f"_s_{c}") for c in started]
-    newest = [F.max(at).alias(at)] if keep_at else []
-    folded = events.groupBy(run_id).agg(latest, *known, *newest)
-    return folded.select(run_id, *([at] if keep_at else []), *[
+    newest = events.groupBy(F.col(run_id).alias("_run")).agg(F.max(at).alias("_at"), *known)
+    path = scratch_path(events.sparkSession, "audit-newest")
+    newest.write.parquet(path)
+    newest = events.sparkSession.read.schema(newest.schema).parquet(path)
+    runs = newest.count()
+    # Neither of these joins sorts the events.
+    last = events.join(newest.hint("broadcast" if runs <= BROADCAST_RUNS else "shuffle_hash"),
+                       events[run_id].eqNullSafe(F.col("_run")) & events[at].eqNullSafe(F.col("_at")))
+    folded = last.repartition(_tasks(runs, FOLD_ROWS), run_id).groupBy(run_id).agg(
+        F.max_by(F.struct(*rest), at).alias("_e"), F.max(at).alias("_at"),
+        *[F.max_by(f"_s_{c}", at).alias(f"_s_{c}") for c in started])
+    return folded.select(run_id, *([F.col("_at").alias(at)] if keep_at else []), *[
         F.coalesce(f"_e.{c}", f"_s_{c}").alias(c) if c in started else F.col(f"_e.{c}").alias(c)
         for c in rest])
 
 
+def _tasks(rows: int, of_a_task: int) -> int:
+    return min(TASKS, 1 + rows // of_a_task)
+
+
+@contextmanager
+def _unsorted_files(spark: SparkSession):
+    """Writes by partition columns keep several files open instead of sorting the rows."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name, "0")
+    spark.conf.set(name, OPEN_FILES)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def with_duration(state: DataFrame) -> DataFrame:
     """Whole seconds from start to end."""
     return state.withColumn(
@@ -113,9 +148,11 @@ class EventLog:
         if through:
             day = F.greatest(day, F.lit(through + timedelta(days=1)))
         bucket = F.pmod(F.crc32(F.col(self.run_id).cast("binary")), F.lit(BUCKETS)).cast("int")
-        (
-            events.select(*self.schema.names, day.alias("day"), bucket.alias("bucket"))
-            .write.mode("append").partitionBy("day", "bucket").parquet(self._tail_path))
+        rows = events.select(self.run_id).count()
+        dealt = events.select(*self.schema.names, day.alias("day"), bucket.alias("bucket")).repartition(
+            _tasks(rows, APPEND_ROWS), "day", "bucket")
+        with _unsorted_files(self.spark):
+            dealt.write.mode("append").partitionBy("day", "bucket").parquet(self._tail_path)
 
     def _append(self, **values) -> None:
         now = values.pop("now", None) or datetime.now(timezone.utc)
@@ -140,9 +177,9 @@ class EventLog:
         bucket = F.pmod(F.crc32(F.col(self.run_id).cast("binary")), F.lit(BUCKETS)).cast("int")
         folded = latest_state(tail.drop("bucket"), self.run_id, keep_at=True)
         staged = versions.staging_path(self._base_path)
-        (
-            folded.select(*self.schema.names, bucket.alias("bucket")).repartition(BUCKETS, "bucket")
-            .write.partitionBy("bucket").parquet(staged))
+        dealt = folded.select(*self.schema.names, bucket.alias("bucket")).repartition(BUCKETS, "bucket")
+        with _unsorted_files(self.spark):
+            dealt.write.partitionBy("bucket").parquet(staged)
         if not versions.publish_as(self.spark, staged, self._base_path, _number(through)):
             versions.remove(self.spark, staged)
             return

@@ -118,6 +118,43 @@ def test_compaction_bounds_files_and_keeps_the_state(spark, tmp_path):
         log.compact(dt.datetime.now(dt.timezone.utc).date())
 
 
+@pytest.mark.parametrize("broadcast", [1 << 18, 0])
+def test_whole_events_are_gathered_for_the_newest_only(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(audit, "BROADCAST_RUNS", broadcast)
+    rows = [(f"r{i % 7}" if i % 7 else None, "s" if i < 7 else None, i // 7 % 5 if i % 7 != 3 else None, f"m{i}" * 50)
+            for i in range(70)]
+    events = spark.createDataFrame(rows, "run_id string, source_name string, event_ts int, message string")
+    state = audit.latest_state(events, keep_at=True)
+    got = {r.run_id: r for r in state.collect()}
+    assert len(got) == state.count() == 7
+    for run in ("r1", "r2", "r4", "r5", "r6", None):
+        last = [m for r, _, at, m in rows if r == run and at == 4]
+        assert got[run].event_ts == 4 and got[run].source_name == "s" and got[run].message in last
+    assert tuple(got["r3"]) == ("r3", None, None, None)
+    # Before the join with the newest times, messages are not sorted.
+    plan = audit.latest_state(events)._jdf.queryExecution().executedPlan().toString()
+    assert "Sort " not in plan[plan.index("HashJoin"):] and "SortMergeJoin" not in plan
+
+
+def test_files_of_events_are_written_unsorted(spark, tmp_path):
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    seen = []
+    schema = "run_id string, event_ts timestamp, message string"
+    log = audit.EventLog(spark, str(tmp_path / "log"), spark.createDataFrame([], schema).schema)
+    start = dt.datetime(2024, 1, 1)
+    events = spark.createDataFrame(
+        [(f"r{i}", start + dt.timedelta(days=i % 40), "m") for i in range(2000)], log.schema)
+    with audit._unsorted_files(spark):
+        seen.append(spark.conf.get(name))
+        log.append(events)
+    assert seen == [str(audit.OPEN_FILES)] and spark.conf.get(name) == "0"
+    # One file for each day and bucket, however many tasks held rows of it.
+    files = glob.glob(f"{tmp_path}/log/tail/day=*/bucket=*/*.parquet")
+    assert len(files) == len({f.rsplit("/", 1)[0] for f in files}) == events.selectExpr(
+        "cast(event_ts as date) d", f"pmod(crc32(cast(run_id as binary)), {audit.BUCKETS}) b").distinct().count()
+    assert sorted(r.run_id for r in log.events().collect()) == sorted(f"r{i}" for i in range(2000))
+
+
 def test_manifest(spark, tmp_path):
     path = str(tmp_path / "x")
     rows = [(f"S{i % 4}", f"I{i % 3}", dt.date(2024, 1, 1) + dt.timedelta(days=i), i) for i in range(200)]
