@@ -1,18 +1,14 @@
-"""Phrase collocations by SON partitioning.
+"""Phrase collocations by counting in hash buckets.
 
 Phrases are runs of 2 to ``longest`` words inside pieces of texts (a piece ends at a
 punctuation mark or line end).  Everything is counted per language.
 
-1. Texts are encoded in chunks, by language: distinct words and a code per word.  Chunks are dealt to
-   ``SHARDS`` shards of each language.
-2. Each shard is mined completely at the support that its share of the language's words leaves of the
-   global one (rounded up): first its pairs of words, then its longer phrases, whose pairs must all be
-   frequent somewhere (what is frequent in a shard has frequent parts there).  A chunk sends its distinct phrases
-   by bucket of a hash, where the counts of each shard are added up, so a phrase that a third of all texts repeat is
-   one entry per chunk.  A bucket answers each chunk with one bit per phrase: frequent in at least one shard, or not.  That
-   is the union of the shards' finds.  A phrase with the global support has the local one in some shard, so none is lost.
-3. All chunks count all candidates, as strings, and Spark adds these counts up: the exact global counts.  Hashes only
-   decide what is looked at; a collision can add a candidate, never a count.
+1. Texts are encoded in chunks, by language: distinct words and a code per word.
+2. Pairs of words are counted: a chunk sends its distinct pairs by bucket of a hash, so a pair that a third of all texts
+   repeat is one entry per chunk.  A bucket adds the chunks up and answers each with one bit per pair: frequent or not.
+   What is left of a chunk is runs of words whose pairs are all frequent; a frequent phrase lies in such runs only.
+3. The phrases of these runs are counted in the same way, told apart by 128 bits.  The bucket asks one of the chunks
+   that hold a frequent phrase for its words, so a phrase leaves as a string once, with its global count.
 
 Scores compare a phrase with its cuts: joins of the phrase table with itself.  Phrases whose words lie in a longer
 candidate of (nearly) the same count go.
@@ -33,8 +29,6 @@ from demandloom.llm import tokens as T
 from demandloom.llm.common import slices, stage
 from demandloom.llm.packing import bucket_bounds, pack, unpack
 
-#: Shards of each language; their supports are about a tenth of the global one.
-SHARDS = 10
 #: Text bytes per chunk, and per bucket of phrases.
 CHUNK_BYTES, BUCKET_BYTES = 8 << 20, 16 << 20
 
@@ -47,12 +41,13 @@ _BREAK[BREAKS] = 1
 #: The code between two pieces.
 GAP = np.uint32(0xFFFFFFFF)
 
-ENCODED = "lang string, chunk long, shard int, n long, words array<string>, times array<long>, codes binary"
-PACKED = "bucket long, chunk long, shard int, least int, hashes binary, counts binary, n int"
-_PACKED = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("shard", pa.int32()), ("least", pa.int32()),
-                     ("hashes", pa.binary()), ("counts", pa.binary()), ("n", pa.int32())])
+ENCODED = "lang string, chunk long, n long, words array<string>, times array<long>, codes binary"
+PACKED = "bucket long, chunk long, hashes binary, checks binary, counts binary, n int"
+_PACKED = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("hashes", pa.binary()), ("checks", pa.binary()),
+                     ("counts", pa.binary()), ("n", pa.int32())])
 BITS = "chunk long, bucket long, n int, bits binary"
-KEPT = "lang string, chunk long, shard int, least int, words array<string>, codes binary"
+ASKED = "chunk long, bucket long, places binary, totals binary"
+KEPT = "lang string, chunk long, words array<string>, codes binary"
 COUNTED = "lang string, phrase string, n_words int, a long"
 
 
@@ -89,12 +84,12 @@ def _encode(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[pa.
             if len(codes):
                 yield pa.RecordBatch.from_pydict({
                     "lang": [lang], "chunk": pa.array([chunk], pa.int64()),
-                    "shard": pa.array([int(T.mix(np.array([chunk], np.uint64))[0] % np.uint64(SHARDS))], pa.int32()),
                     "n": pa.array([int(times.sum())], pa.int64()), "words": _one_list(T.strings(words, first)),
                     "times": pa.array([times], pa.list_(pa.int64())), "codes": pa.array([codes.tobytes()])})
 
 
-def phrases(codes: np.ndarray, value: np.ndarray, shortest: int, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def phrases(codes: np.ndarray, value: np.ndarray, shortest: int, longest: int,
+            base: np.uint64 = T.WINDOW_BASE) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(length, places, hashes) of all runs of ``shortest`` to ``longest`` words; ``value`` has a hash per code."""
     alive = codes != GAP
     hashes = np.where(alive, value[np.where(alive, codes, 0)] if len(value) else np.uint64(0), np.uint64(0))
@@ -102,7 +97,7 @@ def phrases(codes: np.ndarray, value: np.ndarray, shortest: int, longest: int) -
     for k in range(2, longest + 1):
         if len(run) < 2:
             return
-        run = run[:-1] * T.WINDOW_BASE + hashes[k - 1:]
+        run = run[:-1] * base + hashes[k - 1:]
         whole = whole[:-1] & alive[k - 1:]
         if k >= shortest:
             at = np.flatnonzero(whole)
@@ -129,45 +124,74 @@ def _chunk_phrases(words: pa.Array, codes: bytes, lang: str, shortest: int, long
     return size, at, np.concatenate([np.zeros(0, np.uint64), *(h for _, _, h in runs)])
 
 
-def _emit(batches: Iterator[pa.RecordBatch], shortest: int, longest: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def _chunk_checks(words: pa.Array, codes: bytes, lang: str, shortest: int, longest: int) -> np.ndarray:
+    """A second hash of all phrases of a chunk, independent of the first."""
+    value = T.mix(_hashed(words, lang) + T.BASE)
+    runs = phrases(np.frombuffer(codes, np.uint32), value, shortest, longest, T.BASE)
+    return np.concatenate([np.zeros(0, np.uint64), *(h for _, _, h in runs)])
+
+
+def _distinct(value: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Where each pair of hashes first lies, ordered by both, and how often it occurs."""
+    order = np.lexsort((check, value))
+    new = np.ones(len(order), bool)
+    new[1:] = (value[order[1:]] != value[order[:-1]]) | (check[order[1:]] != check[order[:-1]])
+    heads = np.flatnonzero(new)
+    return order[heads], np.diff(np.append(heads, len(order)))
+
+
+def _emit(batches: Iterator[pa.RecordBatch], shortest: int, longest: int, buckets: int,
+          checked: bool = False) -> Iterator[pa.RecordBatch]:
     bounds = bucket_bounds(buckets)
     for batch in batches:
         for i in range(batch.num_rows):
             get = lambda c: _row(batch, c)[i]
-            _, _, value = _chunk_phrases(get("words").values, get("codes").as_py(), get("lang").as_py(), shortest, longest)
-            value, times = np.unique(value, return_counts=True)
+            chunk = get("words").values, get("codes").as_py(), get("lang").as_py(), shortest, longest
+            _, _, value = _chunk_phrases(*chunk)
+            check = None
+            if checked:
+                check = _chunk_checks(*chunk)
+                first, times = _distinct(value, check)
+                value, check = value[first], check[first]
+            else:
+                value, times = np.unique(value, return_counts=True)
             cut = np.searchsorted(value, bounds)
             cut[-1] = len(value)
             rows = []
             for b in np.flatnonzero(np.diff(cut)):
-                t = times[cut[b]:cut[b + 1]]
+                part = slice(cut[b], cut[b + 1])
+                t = times[part]
                 kind = "u1" if t.max() < 256 else "<u4"
-                rows.append({"bucket": int(b), "chunk": get("chunk").as_py(), "shard": get("shard").as_py(),
-                             "least": get("least").as_py(), "hashes": pack(value[cut[b]:cut[b + 1]]),
+                rows.append({"bucket": int(b), "chunk": get("chunk").as_py(), "hashes": pack(value[part]),
+                             "checks": check[part].tobytes() if checked else None,
                              "counts": t.astype(kind).tobytes(), "n": len(t)})
             for k in range(0, len(rows), 64):
                 yield pa.RecordBatch.from_pylist(rows[k:k + 64], _PACKED)
 
 
-def _mine(table: pa.Table) -> pa.Table:
-    """Of a bucket: which phrases reach the support of a shard, as bits for each chunk."""
-    rows = table.to_pylist()
-    n = np.array([r["n"] for r in rows])
+def _totals(rows: list[dict], checked: bool) -> tuple[np.ndarray, ...]:
+    """Entries of a bucket in the order of their phrases, the number of each one's phrase, and how often each phrase occurs."""
     value = np.concatenate([unpack(r["hashes"], r["n"]) for r in rows])
     times = np.concatenate([np.frombuffer(r["counts"], "u1" if len(r["counts"]) == r["n"] else "<u4") for r in rows])
-    shard = np.repeat(np.array([r["shard"] for r in rows]), n)
-    least = np.repeat(np.array([r["least"] for r in rows]), n)
-    order = np.lexsort((shard, value))
-    v, s = value[order], shard[order]
-    phrase = np.ones(len(v), bool)
-    phrase[1:] = v[1:] != v[:-1]
-    local = phrase.copy()
-    local[1:] |= s[1:] != s[:-1]
-    heads = np.flatnonzero(local)
-    enough = np.add.reduceat(times[order].astype(np.int64), heads) >= np.minimum.reduceat(least[order], heads)
-    some = np.logical_or.reduceat(enough[np.cumsum(local) - 1], np.flatnonzero(phrase))
-    kept = np.zeros(len(v), bool)
-    kept[order] = some[np.cumsum(phrase) - 1]
+    if checked:
+        check = np.concatenate([np.frombuffer(r["checks"], np.uint64) for r in rows])
+        order = np.lexsort((check, value))
+    else:
+        order = np.argsort(value, kind="stable")
+    new = np.ones(len(order), bool)
+    new[1:] = value[order[1:]] != value[order[:-1]]
+    if checked:
+        new[1:] |= check[order[1:]] != check[order[:-1]]
+    return order, np.cumsum(new) - 1, np.add.reduceat(times[order].astype(np.int64), np.flatnonzero(new))
+
+
+def _mine(table: pa.Table, support: int) -> pa.Table:
+    """Of a bucket: which phrases reach the support, as bits for each chunk."""
+    rows = table.to_pylist()
+    n = np.array([r["n"] for r in rows])
+    order, phrase, total = _totals(rows, False)
+    kept = np.zeros(len(order), bool)
+    kept[order] = total[phrase] >= support
     parts = np.split(kept, np.cumsum(n)[:-1])
     use = [i for i, p in enumerate(parts) if p.any()]
     return pa.table({
@@ -177,32 +201,54 @@ def _mine(table: pa.Table) -> pa.Table:
         "bits": pa.array([np.packbits(parts[i]).tobytes() for i in use], pa.binary())})
 
 
-def _candidates(chunk: pa.Table, found: pa.Table, shortest: int, longest: int, buckets: int) -> tuple[np.ndarray, ...]:
-    """(length, place, phrase's number) of the candidates of a chunk."""
+def _ask(table: pa.Table, support: int) -> pa.Table:
+    """Of a bucket: the phrases that reach the support, each with its count for one of the chunks that have it."""
+    rows = table.to_pylist()
+    n = np.array([r["n"] for r in rows])
+    order, phrase, total = _totals(rows, True)
+    use = total[phrase] >= support
+    entry, phrase = order[use], phrase[use]
+    row = np.repeat(np.arange(len(rows)), n)[entry]
+    chunk = np.array([r["chunk"] for r in rows]).astype(np.uint64)
+    # Any chunk will do; a hash spreads the phrases that all chunks have.
+    turn = np.lexsort((T.mix(T.mix(phrase.astype(np.uint64)) ^ chunk[row]), phrase))
+    one = np.ones(len(turn), bool)
+    one[1:] = phrase[turn[1:]] != phrase[turn[:-1]]
+    turn = turn[one]
+    turn = turn[np.lexsort((entry[turn], row[turn]))]
+    first = (np.cumsum(n) - n)[row[turn]]
+    place, count, row = (entry[turn] - first).astype("<u4"), total[phrase[turn]], row[turn]
+    heads = np.flatnonzero(np.append(True, row[1:] != row[:-1])) if len(row) else np.zeros(0, np.int64)
+    cuts = list(zip(heads, np.append(heads[1:], len(row)))) if len(row) else []
+    return pa.table({
+        "chunk": pa.array([rows[row[i]]["chunk"] for i, _ in cuts], pa.int64()),
+        "bucket": pa.array([rows[row[i]]["bucket"] for i, _ in cuts], pa.int64()),
+        "places": pa.array([place[i:j].tobytes() for i, j in cuts], pa.binary()),
+        "totals": pa.array([count[i:j].astype("<i8").tobytes() for i, j in cuts], pa.binary())})
+
+
+def _frequent_pairs(chunk: pa.Table, found: pa.Table, buckets: int) -> np.ndarray:
+    """Places of the frequent pairs of a chunk."""
     get = lambda c: _row(chunk, c)[0]
-    words = get("words").values
-    size, at, value = _chunk_phrases(words, get("codes").as_py(), get("lang").as_py(), shortest, longest)
+    _, at, value = _chunk_phrases(get("words").values, get("codes").as_py(), get("lang").as_py(), 2, 2)
     value, number = np.unique(value, return_inverse=True)
     cut = np.searchsorted(value, bucket_bounds(buckets))
     kept = np.zeros(len(value), bool)
     for r in found.to_pylist():
         first = cut[r["bucket"]]
         kept[first:first + r["n"]] = np.unpackbits(np.frombuffer(r["bits"], np.uint8), count=r["n"]).view(bool)
-    use = kept[number]
-    return size[use], at[use], number[use]
+    return at[kept[number]]
 
 
 def _runs(key: tuple, chunk: pa.Table, found: pa.Table, buckets: int) -> pa.Table:
-    """What is left of a chunk: runs of words whose pairs are all candidates."""
+    """What is left of a chunk: runs of words whose pairs are all frequent."""
     empty = pa.table({c: pa.array([], t) for c, t in zip(
-        ("lang", "chunk", "shard", "least", "words", "codes"),
-        (pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.binary()))})
+        ("lang", "chunk", "words", "codes"), (pa.string(), pa.int64(), pa.list_(pa.string()), pa.binary()))})
     if not chunk.num_rows or not found.num_rows:
         return empty
     codes = np.frombuffer(_row(chunk, "codes")[0].as_py(), np.uint32)
-    _, at, _ = _candidates(chunk, found, 2, 2, buckets)
     pair = np.zeros(len(codes) + 1, bool)
-    pair[at] = True
+    pair[_frequent_pairs(chunk, found, buckets)] = True
     used = pair[:-1].copy()
     used[1:] |= pair[:-2]
     # A gap after each word that does not go on to the next.
@@ -213,52 +259,51 @@ def _runs(key: tuple, chunk: pa.Table, found: pa.Table, buckets: int) -> pa.Tabl
     out[np.arange(len(places)) + np.cumsum(~goes_on) - ~goes_on] = code
     words = _row(chunk, "words")[0].values.take(pa.array(present.astype(np.int64)))
     return pa.table({
-        "lang": _row(chunk, "lang"), "chunk": _row(chunk, "chunk"), "shard": _row(chunk, "shard"),
-        "least": _row(chunk, "least"), "words": _one_list(words.cast(pa.string())),
+        "lang": _row(chunk, "lang"), "chunk": _row(chunk, "chunk"), "words": _one_list(words.cast(pa.string())),
         "codes": pa.array([out.tobytes()], pa.binary())})
 
 
-def _count(key: tuple, chunk: pa.Table, found: pa.Table, longest: int, buckets: int) -> pa.Table:
-    """The candidates of a chunk as strings, and how often they occur there."""
-    if not chunk.num_rows or not found.num_rows:
-        size = first = times = np.zeros(0, np.int64)
-        texts, lang = [], None
-    else:
-        lang = _row(chunk, "lang")[0].as_py()
-        codes = np.frombuffer(_row(chunk, "codes")[0].as_py(), np.uint32)
-        words = np.array(_row(chunk, "words")[0].as_py(), object)
-        size, at, number = _candidates(chunk, found, 2, longest, buckets)
-        _, first, times = np.unique(number, return_index=True, return_counts=True)
-        texts = [" ".join(words[codes[at[i]:at[i] + size[i]]]) for i in first]
+def _name(key: tuple, chunk: pa.Table, asked: pa.Table, longest: int, buckets: int) -> pa.Table:
+    """The phrases that a chunk is asked for as strings, with their global counts."""
+    texts, lang, size, total = [], None, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if chunk.num_rows and asked.num_rows:
+        get = lambda c: _row(chunk, c)[0]
+        lang = get("lang").as_py()
+        known = get("words").values, get("codes").as_py(), lang, 2, longest
+        size, at, value = _chunk_phrases(*known)
+        first, _ = _distinct(value, _chunk_checks(*known))
+        cut = np.searchsorted(value[first], bucket_bounds(buckets))
+        rows = asked.to_pylist()
+        use = first[np.concatenate([cut[r["bucket"]] + np.frombuffer(r["places"], "<u4") for r in rows])]
+        total = np.concatenate([np.frombuffer(r["totals"], "<i8") for r in rows])
+        words, codes = np.array(get("words").as_py(), object), np.frombuffer(known[1], np.uint32)
+        size = size[use]
+        texts = [" ".join(words[codes[i:i + k]]) for i, k in zip(at[use], size)]
     return pa.table({"lang": pa.array([lang] * len(texts), pa.string()), "phrase": pa.array(texts, pa.string()),
-                     "n_words": pa.array(size[first], pa.int32()), "a": pa.array(times, pa.int64())})
+                     "n_words": pa.array(size, pa.int32()), "a": pa.array(total, pa.int64())})
 
 
-def _candidate_counts(docs: DataFrame, support: int, longest: int, lang_col: str, text_col: str,
-                      chunk_bytes: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(lang, n), the frequent words (lang, phrase, a) and the counts of all candidates (lang, phrase, n_words, a)."""
+def _frequent_counts(docs: DataFrame, support: int, longest: int, lang_col: str, text_col: str,
+                     chunk_bytes: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(lang, n), the frequent words (lang, phrase, a) and the frequent phrases (lang, phrase, n_words, a)."""
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                         F.col(text_col).cast("string").alias("text"))
     amount = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-amount // BUCKET_BYTES))
     encoded = stage(texts.mapInArrow(lambda b: _encode(b, chunk_bytes), ENCODED), "phrase-chunks")
-    shares = encoded.groupBy("lang", "shard").agg(F.sum("n").alias("n"))
-    totals = stage(shares.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
-    # support * n / total, rounded up, in whole numbers.
-    local = F.ceil(F.col("s.n").cast("decimal(28,0)") * support / F.col("t.n")).cast("int")
-    supports = stage(shares.alias("s").join(totals.alias("t"), "lang").select(
-        "lang", "shard", F.greatest(F.lit(1), local).alias("least")), "phrase-supports")
+    totals = stage(encoded.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
     words = encoded.select("lang", F.explode(F.arrays_zip("words", "times")).alias("w")).groupBy(
         "lang", F.col("w.words").alias("phrase")).agg(F.sum("w.times").alias("a")).where(F.col("a") >= support)
 
-    chunks = encoded.join(supports, ["lang", "shard"]).select("lang", "chunk", "shard", "least", "words", "codes")
-    pairs = chunks.mapInArrow(lambda b: _emit(b, 2, 2, buckets), PACKED).groupBy("bucket").applyInArrow(_mine, BITS)
+    chunks = encoded.select("lang", "chunk", "words", "codes")
+    pairs = chunks.mapInArrow(lambda b: _emit(b, 2, 2, buckets), PACKED).groupBy("bucket").applyInArrow(
+        lambda t: _mine(t, support), BITS)
     runs = stage(chunks.groupBy("chunk").cogroup(pairs.groupBy("chunk")).applyInArrow(
         lambda k, a, b: _runs(k, a, b, buckets), KEPT), "phrase-runs")
-    longer = runs.mapInArrow(lambda b: _emit(b, 2, longest, buckets), PACKED).groupBy("bucket").applyInArrow(_mine, BITS)
-    counted = runs.groupBy("chunk").cogroup(longer.groupBy("chunk")).applyInArrow(
-        lambda k, a, b: _count(k, a, b, longest, buckets), COUNTED)
-    return totals, words, counted.groupBy("lang", "phrase", "n_words").agg(F.sum("a").alias("a"))
+    asked = runs.mapInArrow(lambda b: _emit(b, 2, longest, buckets, True), PACKED).groupBy("bucket").applyInArrow(
+        lambda t: _ask(t, support), ASKED)
+    return totals, words, runs.groupBy("chunk").cogroup(asked.groupBy("chunk")).applyInArrow(
+        lambda k, a, b: _name(k, a, b, longest, buckets), COUNTED)
 
 
 def _words_of(text: Column, first: Column, size: Column) -> Column:
@@ -276,8 +321,8 @@ def collocations(docs: DataFrame, support: int = 100, longest: int = 5, most: in
     byte order.  A null language is ``und``, a null text empty.  Repeated rows count as often as they occur; no rows,
     or none with enough words, give no phrases.  Other columns are ignored.
     """
-    totals, words, counted = _candidate_counts(docs, support, longest, lang_col, text_col, chunk_bytes)
-    found = stage(counted.where(F.col("a") >= support), "phrase-found")
+    totals, words, frequent = _frequent_counts(docs, support, longest, lang_col, text_col, chunk_bytes)
+    found = stage(frequent, "phrase-found")
     known = stage(words.select("lang", "phrase", "a").unionByName(found.select("lang", "phrase", "a")), "phrase-parts")
 
     cuts = found.select("*", F.explode(F.sequence(F.lit(1), F.col("n_words") - 1)).alias("k")).select(

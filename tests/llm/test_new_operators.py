@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 from fractions import Fraction
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -68,6 +69,24 @@ def test_phrases_match_brute_force(spark, monkeypatch, chunk):
     assert empty.collect() == [] and empty.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
 
 
+def test_only_frequent_phrases_leave_chunks_and_each_once(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "BUCKET_BYTES", 2000)
+    # Every chunk has its own phrase 30 times, and all share one: 40 chunks, one string for the shared phrase.
+    rows = [("en", " . ".join([f"own{i // 30} own{i // 30}x", "new york city"])) for i in range(1200)]
+    docs = spark.createDataFrame([(i, "s", g, 1, t, "c", 1, "b") for i, (g, t) in enumerate(rows)], SCHEMA).coalesce(2)
+    _, _, frequent = collocations._frequent_counts(docs, 100, 5, "lang", "text", 900)
+    assert sorted(tuple(r) for r in frequent.collect()) == [
+        ("en", "new york", 2, 1200), ("en", "new york city", 3, 1200), ("en", "york city", 2, 1200)]
+
+
+def test_equal_first_hashes_are_told_apart():
+    packed = lambda chunk, check: {"bucket": 0, "chunk": chunk, "hashes": collocations.pack(np.array([7, 7, 9], np.uint64)),
+                                   "checks": np.array(check, np.uint64).tobytes(), "counts": bytes([60, 50, 1]), "n": 3}
+    table = pa.Table.from_pylist([packed(1, [1, 2, 3]), packed(2, [1, 5, 3])], collocations._PACKED)
+    asked = collocations._ask(table, 100).to_pylist()
+    assert [(r["places"], r["totals"]) for r in asked] == [(bytes(4), (120).to_bytes(8, "little"))]
+
+
 def test_pieces_end_with_texts():
     codes, words, first, times = collocations.encode(pa.array(["", "a b", "", "b.c", " ", "d"]))
     names = [bytes(words.data[words.start[i]:words.end[i]]).decode() for i in first]
