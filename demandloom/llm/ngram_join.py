@@ -6,12 +6,12 @@ minima of two points bound the overlap of their sets from above.
 
 Candidates
     A pair of similarity s differs in at most d = (1 - s) / (1 + s) * (|x| + |y|)
-    shingles.  The coordinates of a point are cut into d + 1 parts (d for the
+    shingles.  Shingles are dealt by hash to d + 1 parts (d for the
     largest set of a size class) and some to spare, so a linked pair has the same
-    counts in several parts.  Sets with the same counts in a part that is not empty
+    shingles in several parts.  Sets with the same shingles in a part that is not empty
     form a leaf block of the index; whatever is not in one block cannot be linked
-    (``part_keys`` says what becomes of empty parts).  Parts are matched by a 64-bit
-    key.  A task sends one set for each key of a chunk of texts, packed by
+    (``part_keys`` says what becomes of empty parts).  Sets that share no shingle are in no common block, as their
+    pairs would grow with the square of their number.  Parts are matched by a 64-bit key.  A task sends one set for each key of a chunk of texts, packed by
     bucket of the key; the other members that the chunk knows go the direct way, so
     a key that a third of all sets have is one entry per chunk.
 Within a block
@@ -47,8 +47,8 @@ from demandloom.llm import tokens as T
 from demandloom.llm.common import narrow, slices, stage
 from demandloom.llm.packing import filled_buckets, pack, unpack
 
-#: Coordinates of a point, and of a part of the finer count vector.
-GROUPS, PART_GROUPS = 256, 4096
+#: Coordinates of a point.
+GROUPS = 256
 #: Ratio of the bounds of a size class.
 CLASS_RATIO = Fraction(13, 10)
 #: Points of a rectangle, and of a tile that needs no R-tree.
@@ -85,15 +85,16 @@ def part_keys(doc: np.ndarray, value: np.ndarray, sizes: np.ndarray,
     """(text number, key) of the parts of every text, in the class of its size and in
     those of larger sets that it could be linked with.
 
-    Empty parts say nothing and are left out, unless a set has more of them than
-    there are spare parts: linked sets whose parts alike are all empty both have
-    that many, so none is missed.
+    Empty parts say nothing and are left out.  Linked sets whose parts alike are all
+    empty both have more of them than there are spare parts; such sets also give
+    their least shingles (``prefix_keys``), so none is missed.
     """
     classes = size_classes(similarity, int(sizes.max(initial=1)))
     low = np.array([c[0] for c in classes])
     parts, spare = (np.array([c[k] for c in classes]) for k in (2, 3))
     own = np.searchsorted(low, sizes, "right") - 1
     docs, keys, step = [], [], 0
+    sparse = np.zeros(len(sizes), bool)
     reach = np.array([-(-low_c * similarity.numerator // similarity.denominator) for low_c in low.tolist()])
     while True:
         cls = own + step
@@ -106,14 +107,13 @@ def part_keys(doc: np.ndarray, value: np.ndarray, sizes: np.ndarray,
         use = on[doc]
         d, v = doc[use], value[use]
         part = ((v & np.uint64(0xFFFFFFFF)) * width[d].astype(np.uint64)) >> np.uint64(32)
-        group = part * np.uint64(PART_GROUPS) + (v >> np.uint64(44)) % np.uint64(PART_GROUPS)
         sums = np.zeros(int(width.sum()), np.uint64)
-        np.add.at(sums, first[d] + part.astype(np.int64), T.mix(group + np.uint64(1)))
+        np.add.at(sums, first[d] + part.astype(np.int64), T.mix(v + np.uint64(1)))
         filled = np.zeros(len(sums), bool)
         filled[first[d] + part.astype(np.int64)] = True
         owner = np.repeat(np.arange(len(sizes)), width)
         empty = np.bincount(owner[~filled], minlength=len(sizes))
-        filled |= (empty > spare[np.minimum(cls, len(classes) - 1)])[owner]
+        sparse |= on & (empty > spare[np.minimum(cls, len(classes) - 1)])
         place = (np.arange(len(sums)) - first[owner]).astype(np.uint64)
         salt = T.mix((np.where(on, cls, 0)[owner].astype(np.uint64) << np.uint64(32)) + place)
         docs.append(owner[filled])
@@ -121,11 +121,27 @@ def part_keys(doc: np.ndarray, value: np.ndarray, sizes: np.ndarray,
         step += 1
     if not docs:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    use = sparse[doc]
+    owner, key = prefix_keys(doc[use], value[use], sizes, similarity)
+    docs.append(owner)
+    keys.append(key)
     docs, keys = np.concatenate(docs), np.concatenate(keys)
     order = np.argsort(docs, kind="stable")
     return docs[order], keys[order]
 
 
+def prefix_keys(doc: np.ndarray, value: np.ndarray, sizes: np.ndarray, similarity: Fraction) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, key) of the least shingles of every text: so many that at most the others, which are fewer than a
+    linked set must share, could all be shared.  Linked sets have one of these in common."""
+    order = np.lexsort((value, doc))
+    doc, value = doc[order], value[order]
+    first = np.searchsorted(doc, np.arange(len(sizes)))
+    rank = np.arange(len(doc)) - first[doc]
+    shared = -(-sizes.astype(np.int64) * similarity.numerator // similarity.denominator)
+    use = rank <= (sizes - shared)[doc]
+    return doc[use], T.mix(value[use] ^ T.WINDOW_BASE)
+
+
 def text_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(text number, shingle) of the distinct shingles of lower-cased texts."""
     words = T.scan(texts, lower=True)

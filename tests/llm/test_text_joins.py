@@ -172,6 +172,32 @@ def test_parts_share_a_key_if_linked():
         assert set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist())
 
 
+@pytest.mark.parametrize("size", [3, 12, 60, 400, 2000])
+def test_sets_that_share_nothing_share_no_block(size):
+    rng = np.random.default_rng(size)
+    n = 200
+    doc = np.repeat(np.arange(n), size)
+    value = rng.integers(0, 1 << 63, n * size, dtype=np.uint64)
+    owner, keys = ngram_join.part_keys(doc, value, np.full(n, size), Fraction(8, 10))
+    assert len(np.unique(keys)) == len(keys) >= n and set(owner) == set(range(n))
+
+
+@pytest.mark.parametrize("s", [Fraction(8, 10), Fraction(85, 100), Fraction(9, 10)])
+def test_linked_sets_share_a_block(s):
+    rng = np.random.default_rng(3)
+    for size in [1, 2, 3, 4, 5, 9, 10, 11, 20, 33, 100, 1000]:
+        for _ in range(30):
+            a = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+            # The smallest overlap that links a with a set of the same, and of a smaller, size.
+            same = -(-2 * size * s.numerator // (s.numerator + s.denominator))
+            less = -(-size * s.numerator // s.denominator)
+            for shared, more in ((same, size - same), (less, 0)):
+                b = np.concatenate([rng.permutation(a)[:shared], rng.integers(0, 1 << 63, more, dtype=np.uint64)])
+                doc = np.repeat([0, 1], [len(a), len(b)])
+                owner, keys = ngram_join.part_keys(doc, np.concatenate([a, b]), np.array([len(a), len(b)]), s)
+                assert set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist())
+
+
 def test_rtree_loses_no_pair():
     rng = np.random.default_rng(1)
     points = rng.poisson(3, (120, ngram_join.GROUPS))
