@@ -29,6 +29,8 @@ from demandloom.llm.common import narrow, slices
 SLOTS, SMOOTH, ROUNDS, MOST_LANGUAGES = 1 << 16, 0.2, 12, 256
 #: A word counts as at most this much evidence, in trigrams.
 WORD_LIMIT = 12.0
+#: Text bytes handled at a time.  The numbers kept per byte, and per word and language, take many times as much.
+SLICE_BYTES = 512 << 10
 
 UNKNOWN = "und"
 _LETTERS = np.zeros(256, bool)
@@ -53,21 +55,21 @@ def trigrams(texts: pa.Array) -> tuple[T.Words, np.ndarray]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    totals: dict[str, np.ndarray] = {}
-    for batch in slices(batches):
+    number: dict[str, int] = {}
+    totals = np.zeros(0, np.int64)
+    for batch in slices(batches, SLICE_BYTES):
         words, slot = trigrams(batch.column(batch.schema.get_field_index("text")))
         langs = batch.column(batch.schema.get_field_index("lang")).to_pylist()
-        names = sorted(set(langs))
-        number = np.array([names.index(x) for x in langs])
+        numbers = np.array([number.setdefault(x, len(number)) for x in langs])
+        if len(totals) < len(number) * SLOTS:
+            totals = np.append(totals, np.zeros(len(number) * SLOTS - len(totals), np.int64))
         inside = np.zeros(len(slot) + 1, np.int64)
         np.add.at(inside, words.start, 1)
         np.add.at(inside, words.end, -1)
         inside = np.cumsum(inside)[:-1] > 0
-        lang = np.repeat(number[words.doc()], words.end - words.start)
-        found = np.bincount(lang * SLOTS + slot[inside], minlength=len(names) * SLOTS).reshape(-1, SLOTS)
-        for name, row in zip(names, found):
-            totals[name] = totals.get(name, 0) + row
-    for name, row in totals.items():
+        lang = np.repeat(numbers[words.doc()], words.end - words.start)
+        np.add.at(totals, lang * SLOTS + slot[inside], 1)
+    for name, row in zip(number, totals.reshape(-1, SLOTS)):
         at = np.flatnonzero(row)
         yield pa.RecordBatch.from_pydict({
             "lang": pa.array([name] * len(at), pa.string()), "slot": pa.array(at, pa.int32()),
@@ -156,7 +158,7 @@ def _masked(model: Model, slot: np.ndarray, words: T.Words) -> Iterator[np.ndarr
 
 
 def _predict(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
+    for batch in slices(batches, SLICE_BYTES):
         texts = batch.column(1)
         share, spoke = infer(texts, model)
         any_letter = np.array([any(map(str.isalpha, t)) for t in texts.to_pylist()], bool)
@@ -189,7 +191,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 
 def _keep(batches: Iterator[pa.RecordBatch], model: Model, least: float) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
+    for batch in slices(batches, SLICE_BYTES):
         verdict = pa.Table.from_batches(_predict(iter([batch.select(["doc_id", "text"])]), model)).combine_chunks()
         lang = verdict.column("lang_pred")
         sure = pc.and_(pc.not_equal(lang, UNKNOWN), pc.greater_equal(verdict.column("score"), least))

@@ -1,7 +1,10 @@
 """Faults found once: batch borders, measures across texts, patterned words, characters that are no letters."""
 
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from demandloom.llm import language_id, quality, substring_dedup
 from demandloom.llm import tokens as T
@@ -31,6 +34,34 @@ def test_language_stage_across_batch_borders():
     assert sorted(i for b in out for i in b.column(0).to_pylist()) == list(range(1051))
 
 
+@pytest.mark.parametrize("run", [language_id._count, lambda b: language_id._keep(b, model(), 0.3)])
+def test_language_memory_stays_below_the_batch_times_ten(run):
+    whole = batch([f"the {i} and with that und der mit " * 60 for i in range(4000)])  # 8 MB, as Spark sends it
+    whole = whole.set_column(2, "lang", pa.array([f"l{i % 3}" for i in range(4000)]))
+    tracemalloc.start()
+    for _ in run(iter([whole])):
+        pass
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 10 * 8_000_000
+
+
+def test_language_counts_do_not_depend_on_slices(monkeypatch):
+    texts = ["the and with", "", "und der", "mit 4 mit", "the", "..", "das und das"] * 9
+    whole = batch(texts).set_column(2, "lang", pa.array([f"l{i % 5}" for i in range(len(texts))]))
+
+    def counts():
+        out = pa.Table.from_batches(language_id._count(iter([whole])))
+        return sorted(zip(*(out.column(c).to_pylist() for c in ("lang", "slot", "n"))))
+
+    want, predicted = counts(), pa.Table.from_batches(language_id._keep(iter([whole]), model(), 0.3)).to_pylist()
+    assert sum(n for _, _, n in want) == 9 * sum(b.isalpha() for t in texts[:7] for b in t)
+    monkeypatch.setattr(language_id, "SLICE_BYTES", 20)
+    assert counts() == want
+    assert pa.Table.from_batches(language_id._keep(iter([whole]), model(), 0.3)).to_pylist() == predicted
+    assert list(language_id._count(iter([]))) == []
+
+
 def test_slices_are_not_cut_again():
     rng = np.random.default_rng(1)
     batches = [batch(["x" * int(k) for k in rng.integers(0, 120, 40)] + ["y" * 400] + [""] * 3) for _ in range(20)]
