@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from demandloom.llm.common import stage
 from demandloom.llm.components import components
 
-#: Rounds of comparisons between representatives at most; a round that links fewer of its pairs ends them.
+#: Rounds of comparisons between representatives at most; a round that links fewer of its pairs ends them, the first
+#: one only if it links fewer of those that the probe left, too.
 ROUNDS, LEAST_GAIN = 6, 0.05
 #: Members of a tile, rows that a task works on together, pairs that it looks at together.
 TILE, WORK_ROWS, PAIRS = 1024, 1 << 14, 1 << 18
@@ -50,12 +51,20 @@ def _merged(placed: DataFrame, edges: DataFrame) -> DataFrame:
         *[c for c in placed.columns if c != "comp"], F.coalesce("component", "comp").alias("comp"))
 
 
-def _open(placed: DataFrame) -> DataFrame:
-    """Members (block, id, comp, main) of blocks with several components; main is the largest one of the block."""
-    sizes = placed.groupBy("block", "comp").agg(F.count(F.lit(1)).alias("m"))
+def _open(placed: DataFrame, alike: bool) -> DataFrame:
+    """Members (block, id, comp, main) of blocks with several components; main is the largest one of the block.
+
+    With ``alike``, of blocks with the same members (told by 128 bits and their number) the least one stands for all.
+    """
+    marks = [F.bit_xor(F.xxhash64("id", F.lit(k))).alias(f"x{k}") for k in (0, 1)] if alike else []
+    sizes = placed.groupBy("block", "comp").agg(F.count(F.lit(1)).alias("m"), *marks)
     several = sizes.groupBy("block").agg(
         F.max(F.struct("m", F.bitwise_not("comp"))).alias("top"), F.count(F.lit(1)).alias("parts"),
-        F.sum("m").alias("members")).where("parts > 1").select(
+        F.sum("m").alias("members"), *[F.bit_xor(f"x{k}").alias(f"x{k}") for k in range(len(marks))]).where("parts > 1")
+    if alike:
+        several = several.groupBy("members", "x0", "x1").agg(F.min(F.struct("block", "top")).alias("one")).select(
+            "one.block", "one.top", "members")
+    several = several.select(
         F.col("block").alias("of"), F.bitwise_not(F.col("top").getField("col2")).alias("main"), F.col("top.m").alias("main_members"),
         "members")
     return placed.join(several, F.col("block") == F.col("of")).select(
@@ -98,6 +107,29 @@ def _tiles(members: DataFrame) -> DataFrame:
         "block", "id", "comp", "cell.t0", "cell.t1", "cell.side")
 
 
+def _least_blocks(members: DataFrame, most: int) -> DataFrame:
+    """(id, blocks): the least ``most`` open blocks of every member, in order."""
+    return members.groupBy("id").agg(F.slice(F.sort_array(F.collect_list("block")), 1, most).alias("blocks"))
+
+
+def block_rows(blocks: pa.Array) -> np.ndarray:
+    """The ordered blocks of each member as a row of numbers, filled up with the largest one."""
+    count = np.diff(blocks.offsets.to_numpy())
+    out = np.full((len(blocks), count.max(initial=0)), np.iinfo(np.int64).max)
+    out[np.arange(out.shape[1]) < count[:, None]] = blocks.flatten().to_numpy()
+    return out
+
+
+def first_here(block: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Whether no block before ``block`` is among the least blocks of both members of a pair (rows of ``block_rows``).
+
+    The least block that two members share has none before it, so it keeps the pair.  A pair whose shared blocks
+    are among few of the least ones may be kept in several.
+    """
+    both = np.sort(np.concatenate([left, right], axis=1), axis=1)
+    return ~((both[:, 1:] == both[:, :-1]) & (both[:, 1:] < block[:, None])).any(axis=1)
+
+
 def tile_order(table: pa.Table) -> tuple[pa.Table, np.ndarray]:
     """A table of tiles, those of one tile together, side 1 before 0; and where each tile starts, with the end."""
     columns = [table.column(c).to_numpy() for c in ("block", "t0", "t1")]
@@ -142,32 +174,37 @@ def found_pairs(found: list[tuple[np.ndarray, ...]], ids: np.ndarray, comp: np.n
 
 
 def connect(blocks: DataFrame, verify: Verify, features: DataFrame, tile_pairs: Callable[[pa.Table], pa.Table],
-            probe: Callable[[DataFrame], DataFrame] = lambda pairs: pairs, first: Column | None = None) -> DataFrame:
+            probe: Verify | None = None, first: Column | None = None, least: int = 0) -> DataFrame:
     """(node, component) of all members with a link to another one.
 
     ``blocks`` (block, id) are staged rows without repeats.  ``verify`` gives the linked ones of pairs (a, b), with a
     and b.  ``probe`` may drop pairs that cannot be linked; ``first`` is a condition on the n blocks shared with a
     lead.  ``features`` (id and more) are joined to the members that ``tile_pairs`` gets: block, t0, t1, id, comp,
     side and the features, of several tiles; it returns candidate pairs (``found_pairs``) among those that
-    ``crossing_pairs`` gives.  No candidate may be left out.
+    ``crossing_pairs`` gives.  No candidate may be left out.  With ``least``, blocks of the same members are one and
+    the members have ``blocks``, the least so many they are in, by which ``first_here`` tells repeats of a pair.
     """
     pairs = leads(blocks)
     pairs = (pairs if first is None else pairs.where(first)).select("a", "b")
-    edges = stage(verify(stage(probe(pairs), "contraction-leads", True)), "contraction-edges", True)
+    edges = stage(verify(stage(probe(pairs) if probe else pairs, "contraction-leads", True)), "contraction-edges", True)
     known = components(edges).select(F.col("node").alias("of_id"), "component")
     placed = blocks.join(known, F.col("id") == F.col("of_id"), "left").select(
         "block", "id", F.coalesce("component", "id").alias("comp"))
-    members = stage(_open(placed), "contraction-open", True)
+    members = stage(_open(placed, least > 0), "contraction-open", True)
     merges = None
     for salt in range(ROUNDS):
         pairs = stage(_representatives(members, salt), "contraction-pairs")
         if salt and not pairs.limit(1).count():
             break
-        linked = _linked_parts(pairs, verify(probe(pairs.select("a", "b"))))
+        tried = stage(probe(pairs.select("a", "b")), "contraction-probed") if probe else pairs.select("a", "b")
+        linked = _linked_parts(pairs, verify(tried))
         merges = linked if merges is None else merges.unionByName(linked)
-        members = stage(_open(_merged(members.select("block", "id", "comp"), linked)), "contraction-open", True)
-        if linked.count() < LEAST_GAIN * pairs.count():
+        members = stage(_open(_merged(members.select("block", "id", "comp"), linked), least > 0), "contraction-open", True)
+        gain = linked.count()
+        if gain < LEAST_GAIN * pairs.count() and (salt or gain <= LEAST_GAIN * tried.count()):
             break
+    if least:
+        features = features.join(_least_blocks(members, least), "id")
     dealt = _tiles(members)
     work = max(1, -(-dealt.count() // WORK_ROWS))
     rest = dealt.withColumn("work", F.pmod(F.xxhash64("block", "t0", "t1"), F.lit(work))).join(features, "id").groupBy(

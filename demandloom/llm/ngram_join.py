@@ -20,7 +20,8 @@ Within a block
     (``contraction``).  What that leaves in different components goes through an R-tree
     of the block's points: rectangles of similar points, whose summed minima discard
     whole rectangles of pairs, then single pairs.  Blocks with many members are dealt
-    out as tiles.
+    out as tiles.  Near copies share many blocks: those of the same members are one, and
+    a pair leaves the first of its blocks only.
 Verification
     Surviving pairs are compared by their whole texts.
 
@@ -53,6 +54,8 @@ GROUPS = 256
 CLASS_RATIO = Fraction(13, 10)
 #: Points of a rectangle, and of a tile that needs no R-tree.
 LEAF, SMALL = 16, 64
+#: Blocks of a set that travel with it, to tell pairs that another block has too.
+LEAST_BLOCKS = 16
 
 #: Text bytes per chunk that a task works on, and per bucket of part keys.
 CHUNK_BYTES, BUCKET_BYTES = 12 << 20, 8 << 20
@@ -300,13 +303,15 @@ def rtree_pairs(points: np.ndarray, sizes: np.ndarray, side: np.ndarray,
 
 
 def _tile_pairs(table: pa.Table, similarity: Fraction) -> pa.Table:
-    """Pairs of different components that the points of their tile allow, with the bound of their overlap.
+    """Pairs of different components that the points of their tile allow, with the bound of their overlap; a pair leaves
+    the least block that its sets share (``contraction.first_here``).
 
     Tiles of a few rectangles are compared point by point, larger ones through the R-tree.
     """
     table, starts = contraction.tile_order(table)
     ids, comp, side, n = (table.column(c).to_numpy() for c in ("id", "comp", "side", "n"))
     points = points_of(table.column("point").combine_chunks())
+    block, blocks = table.column("block").to_numpy(), contraction.block_rows(table.column("blocks").combine_chunks())
     found = []
 
     def keep(i: np.ndarray, j: np.ndarray) -> None:
@@ -314,6 +319,8 @@ def _tile_pairs(table: pa.Table, similarity: Fraction) -> pa.Table:
         i, j = i[use], j[use]
         score = np.minimum(points[i], points[j]).sum(axis=1, dtype=np.int64)
         use = enough(score, n[i], n[j], similarity)
+        i, j, score = i[use], j[use], score[use]
+        use = contraction.first_here(block[i], blocks[i], blocks[j])
         found.append((i[use], j[use], score[use]))
 
     large = np.diff(starts) > SMALL
@@ -378,7 +385,8 @@ def similar_groups(docs: DataFrame, size: int = 5, similarity: float | Fraction
         in_blocks, lambda pairs: linked_pairs(pairs, texts, size, similarity), points,
         lambda t: _tile_pairs(t, similarity),
         probe=lambda pairs: pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(
-            lambda b: _bound(b, similarity), "a long, b long"))
+            lambda b: _bound(b, similarity), "a long, b long"),
+        least=LEAST_BLOCKS)
 
     place = sets.join(linked, F.col("id") == F.col("node"), "left").select(
         *by_set, F.coalesce("component", "id").alias("component_id"))

@@ -210,6 +210,57 @@ def test_rtree_loses_no_pair():
     assert found == want and want
 
 
+@pytest.mark.parametrize("small", [0, 1 << 10])
+def test_a_pair_leaves_one_of_its_blocks(monkeypatch, small):
+    """Near copies share most of their parts; each pair leaves one block, by the R-tree and without it."""
+    monkeypatch.setattr(ngram_join, "SMALL", small)
+    rng = np.random.default_rng(5)
+    sets = np.tile(rng.integers(0, 1 << 63, 120, dtype=np.uint64), (24, 1))
+    for row in sets:
+        row[rng.permutation(120)[:6]] = rng.integers(0, 1 << 63, 6, dtype=np.uint64)
+    doc, s = np.repeat(np.arange(24), 120), Fraction(8, 10)
+    owner, key = T.distinct(*ngram_join.part_keys(doc, sets.ravel(), np.full(24, 120), s))
+    key = key.view(np.int64)
+    points = ngram_join.set_points(doc, sets.ravel(), 24).to_pylist()
+    left, shared = [], 0
+    for block in np.unique(key):
+        ids = owner[key == block]
+        if len(ids) < 2:
+            continue
+        shared += len(ids) * (len(ids) - 1) // 2
+        least = [np.sort(key[owner == i])[:16].tolist() for i in ids]
+        full = lambda v: pa.array(np.full(len(ids), v))
+        table = pa.table({"id": ids, "block": full(block), "comp": ids, "t0": full(0), "t1": full(0), "side": full(2),
+                          "n": full(120), "point": [points[i] for i in ids],
+                          "blocks": pa.array(least, pa.list_(pa.int64()))})
+        found = ngram_join._tile_pairs(table, s)
+        left += zip(found["a"].to_pylist(), found["b"].to_pylist())
+    assert set(left) == {(a, b) for a in range(24) for b in range(a + 1, 24)}
+    assert len(left) <= 1.2 * len(set(left)) < shared / 10
+
+
+@pytest.mark.parametrize("most", [1, 3, 100])
+def test_first_here_loses_no_pair(most):
+    """Every pair stays in the least block that it shares; with all blocks of its members known, nowhere else."""
+    rng = np.random.default_rng(most)
+    has = [np.sort(rng.permutation(np.arange(-20, 20))[:rng.integers(0, 40)]) for _ in range(40)]
+    rows = contraction.block_rows(pa.array([h[:most].tolist() for h in has], pa.list_(pa.int64())))
+    for i in range(40):
+        for j in range(i):
+            shared = np.intersect1d(has[i], has[j])
+            k = np.full(len(shared), i), np.full(len(shared), j)
+            kept = shared[contraction.first_here(shared, rows[k[0]], rows[k[1]])]
+            assert list(kept[:1]) == list(shared[:1]) and (most < 100 or len(kept) <= 1)
+
+
+def test_blocks_of_the_same_members_are_one(spark):
+    rows = [(7, 1, 1), (7, 2, 2), (8, 1, 1), (8, 2, 2), (9, 1, 1), (9, 3, 3), (10, 1, 1), (10, 4, 1)]
+    placed = spark.createDataFrame(rows, "block long, id long, comp long")
+    got = lambda alike: sorted((r.block, r.id) for r in contraction._open(placed, alike).collect())
+    assert got(True) == [(7, 1), (7, 2), (9, 1), (9, 3)]
+    assert got(False) == [(7, 1), (7, 2), (8, 1), (8, 2), (9, 1), (9, 3)]
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(20)] + [(50, 40), (40, 50), (60, 60), (41, 50), (100, 3)]
     got = components.components(spark.createDataFrame(edges, "a long, b long"))
